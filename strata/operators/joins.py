@@ -1,0 +1,22 @@
+"""Join helpers with a proven size bound for broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_count(df: DataFrame, limit: int) -> int:
+    """Row count, but stops reading after ``limit + 1`` rows."""
+    return df.limit(limit + 1).count()
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark ``df`` for broadcast only when a bounded count proves ``<= max_rows`` rows.
+
+    Beyond the bound the plain DataFrame is returned and Spark plans a
+    shuffle join (AQE may still switch to broadcast from measured sizes).
+    """
+    if bounded_count(df, max_rows) <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -6,11 +6,11 @@ task forwards at most one row per key, so a key holding a third of all rows
 does not land whole on one reducer.
 
 ``split_duplicates`` returns (clean, rejected).  It stages its input once
-(reliable checkpoint in the shared folder) with a row id, picks winners
+(a Parquet table in the shared folder) with a row id, picks winners
 through the same rank-1 path, and finds the losers by an anti join on the row
 id.  The row id is unique, so that join spreads evenly whatever the key
-distribution, and clean and rejected always come from one ranking: each input
-row lands in exactly one of them.
+distribution (also for a hot group of exact copies), and clean and rejected
+always come from one ranking: each input row lands in exactly one of them.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import as_column
+from strata.session import shared_dir
 
 ROW_ID = "_row_id"
 _SORTABLE_SKIP = ("array", "map", "struct", "binary", "variant")
@@ -67,15 +68,20 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     return ranked.filter(F.col("_rn_latest") == 1).drop("_rn_latest")
 
 
-def stage(df: DataFrame, with_row_id: bool = True) -> DataFrame:
-    """Materialise ``df`` once in the shared checkpoint folder, with a stable row id.
+def stage(df: DataFrame, with_row_id: bool = True, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint folder, with a row id.
 
-    After the checkpoint every consumer reads the same rows and ids, also
-    when an executor is lost and tasks re-run.
+    The ids are fixed by the committed files: every consumer reads the same
+    rows and ids, also when an executor is lost and tasks re-run, and the
+    lineage is cut (one computation of the input, unlike an RDD checkpoint
+    which recomputes it for the write).
     """
+    spark = df.sparkSession
     if with_row_id and ROW_ID not in df.columns:
         df = df.withColumn(ROW_ID, F.monotonically_increasing_id())
-    return df.checkpoint(eager=True)
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def split_duplicates(

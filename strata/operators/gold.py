@@ -168,14 +168,19 @@ def monthly_status_counts(
     )
 
 
-def attendance_payroll(payroll: DataFrame, counts: DataFrame, as_of, ts_type: str = "timestamp_ntz") -> DataFrame:
+def attendance_payroll(
+    payroll: DataFrame, counts: DataFrame, as_of, ts_type: str = "timestamp_ntz", normalize: bool = True
+) -> DataFrame:
     """Payroll rows left-joined to monthly attendance counts, zero-filled.
 
     Both sides are normalised to the first day of the pay month, so a period
     given as any day of the month (or text ``yyyy-MM``) finds its month.
+    ``normalize=False`` is for payroll whose ``pay_period`` is already a month
+    start: the join then reuses the payroll dedupe's partitioning on
+    (employee_id, pay_period) instead of shuffling payroll again.
     Each side has one row per (employee, month), so the join cannot fan out.
     """
-    pay = payroll.withColumn("pay_period", month_start("pay_period"))
+    pay = payroll.withColumn("pay_period", month_start("pay_period")) if normalize else payroll
     return pay.join(counts, ["employee_id", "pay_period"], "left").select(
         "employee_id",
         "pay_period",

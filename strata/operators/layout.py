@@ -17,53 +17,69 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import interleave_bits
 
-_NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal", "date", "timestamp", "timestamp_ntz")
+_INTEGRAL = ("byte", "short", "integer", "long", "float", "double", "decimal")
 
 
-def _rank_source(df: DataFrame, c: str) -> Column:
+def _numeric_source(df: DataFrame, c: str) -> Column:
+    """A double that orders like ``c`` (dates and timestamps by epoch; text by hash)."""
     t = df.schema[c].dataType.typeName()
-    if t in _NUMERIC:
-        return F.col(c)
-    # Text and other types: cluster on a hash (equal values stay together).
-    return F.xxhash64(F.col(c))
-
-
-def _bucket_expr(x: Column, cuts: list) -> Column:
-    """Number of cut points strictly below ``x`` as a balanced CASE tree (codegen, log2 depth)."""
-    def build(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(x > F.lit(cuts[mid]), build(mid + 1, hi)).otherwise(build(lo, mid))
-
-    return F.coalesce(build(0, len(cuts)), F.lit(0))
-
-
-def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 8, method: str = "buckets") -> Column:
-    """Interleaved clustering key.
-
-    method="buckets": equal-count bucket numbers (columns of any range weigh
-    the same).  method="raw": interleave the low ``bits`` of integer columns.
+    x = F.col(c)
+    if t in _INTEGRAL:
+        out = x.cast("double")
+    elif t == "date":
+        out = F.unix_date(x).cast("double")
+    elif t.startswith("timestamp"):
+        out = F.unix_timestamp(x).cast("double")  # epoch seconds; no time-zone shift for NTZ
+    else:
+        out = F.xxhash64(x).cast("double")  # text and other types: equal values stay together
+    return F.coalesce(out, F.lit(float("-inf")))
+
+
+def with_zorder_key(
+    df: DataFrame, cols: Sequence[str], bits: int = 8, method: str = "buckets", name: str = "_z",
+    accuracy: int = 1000,
+) -> DataFrame:
+    """``df`` plus an interleaved clustering key column ``name``.
+
+    method="buckets": equal-count bucket numbers per column (every column
+    weighs the same whatever its range), found by binary search over the
+    cut points (``Bucketizer``, JVM side).  method="raw": interleave the low
+    ``bits`` of integer columns as they are.
     """
     if method == "raw":
-        return interleave_bits(list(cols), bits)
+        return df.withColumn(name, interleave_bits(list(cols), bits))
+    from pyspark.ml.feature import Bucketizer
+
     n = 2**bits
     probs = [i / n for i in range(1, n)]
-    sources = {c: _rank_source(df, c) for c in cols}
-    row = df.agg(*[F.percentile_approx(sources[c], probs, 10_000).alias(c) for c in cols]).first()
-    bucket_cols = []
+    src = {c: f"_zsrc_{i}" for i, c in enumerate(cols)}
+    dst = {c: f"_zbkt_{i}" for i, c in enumerate(cols)}
+    staged = df.withColumns({src[c]: _numeric_source(df, c) for c in cols})
+    row = staged.agg(*[F.percentile_approx(src[c], probs, accuracy).alias(src[c]) for c in cols]).first()
+    splits = []
     for c in cols:
-        cuts = sorted({v for v in (row[c] or []) if v is not None})
-        bucket_cols.append(_bucket_expr(sources[c], cuts))
-    return interleave_bits(bucket_cols, bits)
+        cuts = sorted({float(v) for v in (row[src[c]] or []) if v is not None and v != float("-inf")})
+        splits.append([float("-inf")] + cuts + [float("inf")])
+    bucketed = Bucketizer(
+        splitsArray=splits, inputCols=[src[c] for c in cols], outputCols=[dst[c] for c in cols]
+    ).transform(staged)
+    key = interleave_bits([F.col(dst[c]).cast("bigint") for c in cols], bits)
+    return bucketed.withColumn(name, key).drop(*src.values(), *dst.values())
+
+
+def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 8, method: str = "raw") -> Column:
+    """Interleaved key as a column expression (raw method only: no data pass needed)."""
+    if method != "raw":
+        raise ValueError("use with_zorder_key for bucketed keys")
+    return interleave_bits(list(cols), bits)
 
 
 def cluster(df: DataFrame, cols: Sequence[str], n_files: int, bits: int = 8, method: str = "buckets") -> DataFrame:
     """``df`` range-partitioned into ``n_files`` by the z key and sorted within each partition."""
-    z = zorder_key(df, cols, bits, method)
+    data_cols = df.columns
     return (
-        df.withColumn("_z", z)
-        .withColumn("_h", F.xxhash64(*[F.col(c) for c in df.columns]))
+        with_zorder_key(df, cols, bits, method, "_z")
+        .withColumn("_h", F.xxhash64(*[F.col(c) for c in data_cols]))
         .repartitionByRange(n_files, "_z", "_h")
         .sortWithinPartitions("_z", "_h")
         .drop("_z", "_h")

@@ -188,4 +188,6 @@ class StandIns:
 
     def attendance_payroll(self) -> DataFrame:
         clean, _ = self.payroll_split
-        return gold.attendance_payroll(clean, self.monthly_counts, AS_OF)
+        # pay_period is built as a month start (payroll_bronze), so the dedupe's
+        # partitioning on (employee_id, pay_period) carries into the join
+        return gold.attendance_payroll(clean, self.monthly_counts, AS_OF, normalize=False)

@@ -14,8 +14,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale.  AQE re-plans joins from measured shuffle
-# sizes, splits skewed join partitions and coalesces small ones.
+# sizes, splits skewed join partitions and coalesces small ones.  The static
+# planner never broadcasts on estimated sizes; AQE broadcasts a side only
+# after its shuffle stage has measured it below the adaptive threshold, and
+# operators broadcast dimensions only behind a bounded count.
 SCALE_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

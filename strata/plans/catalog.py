@@ -283,6 +283,20 @@ def q_audit_row(spark, d):
     return audit_row(counts, "r1", START_TIME, END_TIME)
 
 
+def q_stream_ingest(spark, d):
+    """Two landing days, one availableNow run after each: every file is read once."""
+    from strata.streaming.ingest import ingest_available
+
+    ev = _s(spark, d).table("events")
+    raw = shared_dir(spark, "raw_stream")
+    bronze = shared_dir(spark, "bronze_stream")
+    ckpt = shared_dir(spark, "stream_ckpt")
+    for run, day in (("r1", "2024-02-01"), ("r2", "2024-02-02")):
+        land_csv(ev.repartition(3), raw, "events", day)
+        ingest_available(spark, raw, EVENTS_SCHEMA, bronze, ckpt, run, INGEST_TS)
+    return runs_summary(read_bronze(spark, bronze))
+
+
 QUERIES: dict[str, Query] = {
     "workforce_summary": q_workforce_summary,
     "dedupe_clean": q_dedupe_clean,
@@ -322,4 +336,5 @@ QUERIES: dict[str, Query] = {
     "bronze_append": q_bronze_append,
     "schema_evolution": q_schema_evolution,
     "audit_row": q_audit_row,
+    "stream_ingest": q_stream_ingest,
 }

@@ -121,6 +121,23 @@ newk AS (SELECT * FROM snap1 s WHERE NOT EXISTS (SELECT 1 FROM cur WHERE cur.emp
   UNION ALL SELECT * FROM inc WHERE employee_id IN (SELECT employee_id FROM ch))"""
 
 
+# round(avg(decimal(18,2)), 2) as Spark computes it: exact decimal average
+# rounded HALF_UP to 6 places (the avg result scale), then HALF_UP to 2.
+# DuckDB's AVG(DECIMAL) goes through a double, which can land a tie like
+# .915 on .91, so the average is done here in integer cents.
+
+
+def decimal_avg(x: str, digits: int, scale: int = 2) -> str:
+    """round(avg(x), digits) for a decimal(_, scale) column, in exact integers, as a DOUBLE."""
+    unit = 10 ** (6 - scale)   # source units -> 1e-6 units
+    step = 10 ** (6 - digits)  # 1e-6 units per output unit
+    total = f"CAST(abs(SUM({x})) * {10 ** scale} AS HUGEINT)"
+    avg6 = f"((2 * {total} * {unit} + COUNT({x})) // (2 * COUNT({x})))"
+    rounded = f"((2 * {avg6} + {step}) // {2 * step})"
+    return (f"CASE WHEN COUNT({x}) = 0 THEN NULL "
+            f"ELSE CAST(sign(SUM({x})) * {rounded} AS DOUBLE) / {float(10 ** digits)} END")
+
+
 DEPT = "dept AS (SELECT n_nationkey AS department_id, n_name AS department_name FROM nation)"
 
 SPINE = f"""spine AS (
@@ -131,7 +148,7 @@ SPINE = f"""spine AS (
 WORKFORCE = f"""ws AS (
   SELECT e.department_id, d.department_name, COUNT(*) AS headcount,
          CAST(SUM(CASE WHEN e.employment_status = 'Active' THEN 1 ELSE 0 END) AS BIGINT) AS active_count,
-         CAST(ROUND(AVG(e.salary), 2) AS DOUBLE) AS avg_salary,
+         {decimal_avg("e.salary", 2)} AS avg_salary,
          CAST(SUM(CASE WHEN e.employment_status IN ('Resigned', 'Notice') THEN 1 ELSE 0 END) AS BIGINT)
            AS attrition_count,
          {TS(AS_OF)} AS refresh_ts
@@ -187,7 +204,7 @@ ORACLE: dict[str, str] = {
         PAY_B, PAY_E, body="SELECT payroll_id, payroll_delay_days, dq_future_processing FROM pay_e"),
     "variance_profile": with_ctes(
         PAY_B, PAY_E,
-        body="SELECT COUNT(net_pay_variance) AS count, CAST(ROUND(AVG(net_pay_variance), 4) AS DOUBLE) AS mean, "
+        body=f"SELECT COUNT(net_pay_variance) AS count, {decimal_avg('net_pay_variance', 4)} AS mean, "
              "CAST(ROUND(STDDEV_SAMP(net_pay_variance), 4) AS DOUBLE) AS stddev, "
              "MIN(net_pay_variance) AS min, MAX(net_pay_variance) AS max, "
              "CAST(SUM(CASE WHEN ABS(net_pay_variance) > 0.01 THEN 1 ELSE 0 END) AS BIGINT) AS beyond_tolerance, "
@@ -251,6 +268,8 @@ ORACLE: dict[str, str] = {
     "schema_evolution": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment, "
                         "'r1' AS _run_id FROM customer "
                         "UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'r2' FROM customer",
+    "stream_ingest": "SELECT 'r1' AS _run_id, COUNT(*) AS rows FROM events "
+                     "UNION ALL SELECT 'r2', COUNT(*) FROM events",
     "audit_row": with_ctes(
         ATT_B, ATT_E, PAY_B, PAY_E, emp_ctes(),
         body=f"SELECT 'r1' AS run_id, 'pl_master_hr' AS pipeline_name, 'all_sources' AS source_name, "

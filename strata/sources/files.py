@@ -8,6 +8,7 @@ timestamp, a bare time gets today's date).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -81,9 +82,10 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     would delete its own input first.
     """
     if mode == "overwrite":
-        target = path.rstrip("/")
+        host, folder = _norm(path)
         for f in df.inputFiles():
-            if f.startswith(target + "/") or f.replace("file:", "").startswith(target.replace("file:", "") + "/"):
+            fh, fp = _norm(f)
+            if fh == host and (fp + "/").startswith(folder + "/"):
                 raise ValueError(f"refusing to overwrite {path}: the DataFrame reads from it")
     w = df.write.mode(mode)
     if partition_by:
@@ -91,11 +93,17 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.parquet(path)
 
 
+def _norm(p: str) -> tuple[str, str]:
+    """(host, path) of a file URI or plain path: ``file:/a``, ``file:///a`` and ``/a`` agree."""
+    u = urlparse(p)
+    return u.netloc, u.path.rstrip("/")
+
+
 def safe_count(spark: SparkSession, path: str) -> int:
     """Row count of a table; 0 only when the path does not exist (other errors raise)."""
     try:
         return spark.read.parquet(path).count()
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in (e.getErrorClass() or "") or "Path does not exist" in str(e):
+        if "PATH_NOT_FOUND" in (e.getCondition() or "") or "Path does not exist" in str(e):
             return 0
         raise

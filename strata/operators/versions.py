@@ -3,9 +3,10 @@
 A versioned table is a folder with one sub-folder per version,
 ``<path>/version=N``, each written once and complete when its ``_SUCCESS``
 marker exists, plus a one-row-per-version log in ``<path>/_history`` (Spark
-skips ``_``-prefixed folders when it lists the data).  Reading a version is a
-partition filter on ``version``, which prunes to one folder.  Writing never
-touches a folder that is being read.
+skips ``_``-prefixed folders when it lists the data).  Reading a version
+lists only that version's folder (``basePath`` keeps ``version`` as a
+column), so reads do not slow down as history grows.  Writing never touches
+a folder that is being read.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ def _fs(spark: SparkSession, path: str):
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def list_versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions (with a ``_SUCCESS`` marker), ascending."""
+def list_versions(spark: SparkSession, path: str, complete_only: bool = True) -> list[int]:
+    """Versions under ``path``, ascending; by default only complete ones (``_SUCCESS`` present)."""
     jvm, p, fs = _fs(spark, path)
     if not fs.exists(p):
         return []
@@ -40,7 +41,7 @@ def list_versions(spark: SparkSession, path: str) -> list[int]:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("version="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if not complete_only or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 out.append(int(name.split("=", 1)[1]))
     return sorted(out)
 
@@ -54,10 +55,13 @@ def write_version(df: DataFrame, path: str, run_id: str, as_of, operation: str =
     """Write ``df`` as the next version and log it; returns the version number.
 
     The row count for the log is observed during the write (no second pass).
+    Readers see the version only once its ``_SUCCESS`` marker exists.
     """
     spark = df.sparkSession
-    prev = latest_version(spark, path)
-    n = 0 if prev is None else prev + 1
+    # number after every folder, complete or not: a write that died half-way
+    # (no _SUCCESS, invisible to readers) never blocks the next version
+    seen = list_versions(spark, path, complete_only=False)
+    n = seen[-1] + 1 if seen else 0
     obs = Observation(f"strata_version_{n}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(f"{path}/version={n}")
     rows = obs.get["rows"]
@@ -73,7 +77,12 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
         version = latest_version(spark, path)
         if version is None:
             raise FileNotFoundError(f"no complete version under {path}")
-    return spark.read.parquet(path).filter(F.col("version") == F.lit(version))
+    return _read_folders(spark, path, [version]).filter(F.col("version") == F.lit(version))
+
+
+def _read_folders(spark: SparkSession, path: str, vs: list[int]) -> DataFrame:
+    """Only the named version folders are listed (not the whole history); ``version`` stays a column."""
+    return spark.read.option("basePath", path).parquet(*[f"{path}/version={v}" for v in vs])
 
 
 def version_history(spark: SparkSession, path: str) -> DataFrame:
@@ -99,7 +108,7 @@ def compare_versions(
     """
     if version_a is None:
         version_a = latest_version(spark, path)
-    t = spark.read.parquet(path).filter(F.col("version").isin(version_a, version_b))
+    t = _read_folders(spark, path, sorted({version_a, version_b})).filter(F.col("version").isin(version_a, version_b))
     pred = F.expr(predicate) if isinstance(predicate, str) else predicate
     la, lb = labels
     agg = t.agg(

@@ -63,3 +63,28 @@ def publish_all(
         publish_jdbc(df, url, tbl, properties)
         written[tbl] = int(obs.get["rows"])
     return written
+
+
+def land_table(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: Mapping[str, str],
+    mapping: Sequence[tuple[str, str, str]],
+    base: str,
+    entity: str,
+    load_date: str,
+    partition_column: str | None = None,
+    lower_bound: int | None = None,
+    upper_bound: int | None = None,
+    num_partitions: int | None = None,
+) -> str:
+    """Copy a SQL table to ``<base>/<entity>/<load_date>/`` as quoted CSV through a column mapping.
+
+    The read is split into ``num_partitions`` range queries when a numeric
+    ``partition_column`` is given; returns the landing folder.
+    """
+    from strata.sources.files import land_csv
+
+    src = read_jdbc(spark, url, table, properties, partition_column, lower_bound, upper_bound, num_partitions)
+    return land_csv(src, base, entity, load_date, mapping)

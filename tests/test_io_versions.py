@@ -183,3 +183,16 @@ def test_end_to_end_run(spark):
     rej = spark.read.parquet(p2.path("rejected", "attendance"))
     assert {r._run_id: r.n for r in rej.groupBy("_run_id").agg(F.count("*").alias("n")).collect()} == {"r1": 1, "r2": 1}
     assert audit.first().records_read == 2 + 2 + 4
+
+
+def test_version_after_crashed_write(spark):
+    path = shared_dir(spark, "versions_crash")
+    t = spark.createDataFrame([(1,)], "k INT")
+    versions.write_version(t, path, "r0", "2026-01-01 00:00:00")
+    spark.range(3).write.parquet(f"{path}/version=1")  # a dead attempt: files but ...
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/version=1/_SUCCESS")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)  # ... no marker
+    assert versions.latest_version(spark, path) == 0
+    assert versions.write_version(t, path, "r1", "2026-02-01 00:00:00") == 2
+    assert versions.list_versions(spark, path) == [0, 2]

@@ -78,6 +78,20 @@ def month_spine(spark: SparkSession, as_of, n_months: int = 12) -> DataFrame:
     )
 
 
+def month_spine_from(df: DataFrame, ts_col: str, n_months: int = 12) -> DataFrame:
+    """The ``n_months`` months ending with the month of the latest ``ts_col`` in ``df``.
+
+    One aggregate pass over ``df`` (partial + final), then the single result
+    row is expanded to ``n_months`` rows; no join.
+    """
+    latest = df.agg(F.max(F.to_date(ts_col)).alias("_d"))
+    ids = latest.select("_d", F.explode(F.sequence(F.lit(0), F.lit(n_months - 1))).alias("id"))
+    return ids.filter(F.col("_d").isNotNull()).select(
+        month_label(F.last_day(F.add_months(F.col("_d"), -F.col("id").cast("int")))).alias("snapshot_month"),
+        (month_index(F.col("_d")) - F.col("id")).cast("int").alias("month_idx"),
+    )
+
+
 def _active(versions: DataFrame, active: str | None) -> DataFrame:
     return versions if active is None else versions.filter(F.col("employment_status") == active)
 

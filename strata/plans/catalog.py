@@ -165,9 +165,10 @@ def q_scd2_as_of(spark, d):
 
 
 def q_month_spine(spark, d):
-    from strata.plans.standins import AS_OF, N_MONTHS
+    """The 48 months ending with the latest order month (read from the whole ``orders`` table)."""
+    from strata.plans.standins import N_MONTHS
 
-    return gold.month_spine(spark, AS_OF, N_MONTHS)
+    return gold.month_spine_from(_s(spark, d).table("orders"), "o_orderdate", N_MONTHS)
 
 
 def q_headcount_history(spark, d):

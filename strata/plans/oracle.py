@@ -235,7 +235,10 @@ ORACLE: dict[str, str] = {
         emp_ctes(),
         body=f"SELECT * FROM v1 WHERE effective_from <= {TS(AS_OF_POINT)} "
              f"AND (effective_to IS NULL OR effective_to > {TS(AS_OF_POINT)})"),
-    "month_spine": with_ctes(SPINE, body="SELECT * FROM spine"),
+    "month_spine": "WITH m AS (SELECT CAST(max(o_orderdate) AS DATE) AS d FROM orders) "
+                   "SELECT strftime(last_day(d - to_months(CAST(i AS INTEGER))), '%Y-%m') AS snapshot_month, "
+                   "CAST(year(d) * 12 + month(d) - 1 - i AS INTEGER) AS month_idx "
+                   f"FROM m, range(0, {N_MONTHS}) t(i) WHERE d IS NOT NULL",
     "headcount_history": with_ctes(emp_ctes(), SPINE, HEADCOUNT, body="SELECT * FROM hc"),
     "headcount_history_expanded": with_ctes(emp_ctes(), SPINE, HEADCOUNT, body="SELECT * FROM hc"),
     "sorted_history": with_ctes(emp_ctes(), SPINE, HEADCOUNT, body="SELECT * FROM hc ORDER BY snapshot_month, department_id"),

@@ -188,3 +188,10 @@ def test_top_n_and_status_breakdown(spark, table):
     assert sb == {"Active": 6}
     top = gold.top_n(table, [F.desc("salary"), F.asc("employee_id")], 2).collect()
     assert [r.employee_id for r in top] == ["8", "6"]
+
+
+def test_month_spine_from_data(spark):
+    df = spark.createDataFrame([(dt.datetime(2026, 3, 9, 10),), (dt.datetime(2025, 12, 1),)], "ts TIMESTAMP_NTZ")
+    assert [r.snapshot_month for r in gold.month_spine_from(df, "ts", 4).collect()] == [
+        "2026-03", "2026-02", "2026-01", "2025-12"]
+    assert gold.month_spine_from(df.limit(0), "ts", 4).count() == 0

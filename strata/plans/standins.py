@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import month_start, typed_timestamp
 from strata.operators import gold, quality, scd2
 from strata.operators.bronze import stamp_lineage
-from strata.operators.dedupe import latest_by, split_duplicates
+from strata.operators.dedupe import latest_by, split_duplicates, stage
 from strata.session import ensure_checkpoint_dir
 
 # Run parameters of the stand-in runs (arguments, never the clock).
@@ -161,13 +161,17 @@ class StandIns:
             F.col("n_nationkey").alias("department_id"), F.col("n_name").alias("department_name")
         )
 
+    # The SCD2 table and the incoming snapshot are stored tables in a real run
+    # (a version folder, a silver snapshot).  They are staged once here too:
+    # scd2_apply reads the table in three branches (history, NULL keys,
+    # current rows), which would otherwise each recompute the snapshot.
     @cached_property
     def employee_v0(self) -> DataFrame:
-        return scd2.scd2_init(self.employee_snapshot(T0), T0)
+        return stage(scd2.scd2_init(self.employee_snapshot(T0), T0), with_row_id=False, name="employee_v0")
 
     @cached_property
     def employee_incoming(self) -> DataFrame:
-        return self.employee_snapshot(T1)
+        return stage(self.employee_snapshot(T1), with_row_id=False, name="employee_incoming")
 
     def employee_v1(self, null_safe: bool = False) -> DataFrame:
         return scd2.scd2_apply(

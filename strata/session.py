@@ -29,6 +29,32 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of Parquet input.
+
+    Shuffle partitions start at ~one per ``target_partition_bytes`` of input
+    (at least twice the task slots) and AQE coalesces them to ~128 MB after
+    each stage, so one plan serves small and large runs; skewed join
+    partitions above 4x the median and 256 MB are split.  Scan splits stay at
+    256 MB so a task's input fits comfortably in executor memory.
+    """
+    slots = executors * cores_per_executor
+    partitions = max(2 * slots, input_bytes // target_partition_bytes)
+    conf = dict(SCALE_CONF)
+    conf.update(
+        {
+            "spark.sql.shuffle.partitions": str(partitions),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
+            "spark.sql.files.maxPartitionBytes": "256MB",
+        }
+    )
+    return conf
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "strata") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -30,17 +30,19 @@ SCALE_CONF = {
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+                 input_bytes_per_partition: int = 1024**3, max_partitions: int = 100_000) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of Parquet input.
 
-    Shuffle partitions start at ~one per ``target_partition_bytes`` of input
-    (at least twice the task slots) and AQE coalesces them to ~128 MB after
-    each stage, so one plan serves small and large runs; skewed join
-    partitions above 4x the median and 256 MB are split.  Scan splits stay at
-    256 MB so a task's input fits comfortably in executor memory.
+    Shuffle partitions start at about one per GB of input (shuffled data is
+    far smaller after column pruning and partial aggregation), at least
+    twice the task slots and at most ``max_partitions`` so map x reduce
+    block counts stay manageable; AQE then coalesces them to ~128 MB after
+    each stage, so one plan serves small and large runs.  Skewed join
+    partitions above 4x the median and 256 MB are split.  Scan splits stay
+    at 256 MB so a task's input fits comfortably in executor memory.
     """
     slots = executors * cores_per_executor
-    partitions = max(2 * slots, input_bytes // target_partition_bytes)
+    partitions = min(max_partitions, max(2 * slots, input_bytes // input_bytes_per_partition))
     conf = dict(SCALE_CONF)
     conf.update(
         {

@@ -123,3 +123,8 @@ def compare_versions(
             )
         )
     )
+
+
+def sql_source(path: str, version: int) -> str:
+    """A Spark SQL FROM-clause source for one version folder: ``parquet.`<path>/version=N```."""
+    return f"parquet.`{path}/version={int(version)}`"

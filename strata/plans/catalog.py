@@ -211,6 +211,14 @@ def _tracked():
     return TRACKED
 
 
+def q_status_breakdown_sql(spark, d):
+    """Current rows per status through Spark SQL text over the stored latest version."""
+    path = _versioned_employee(spark, d)
+    src = versions.sql_source(path, versions.latest_version(spark, path))
+    return spark.sql(f"SELECT employment_status, COUNT(*) AS cnt FROM {src} WHERE is_current = true "
+                     "GROUP BY employment_status")
+
+
 def q_compare_versions(spark, d):
     path = _versioned_employee(spark, d)
     return versions.compare_versions(spark, path, "is_current AND employment_status = 'Active'")
@@ -328,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "sorted_history": q_sorted_history,
     "top_attrition": q_top_attrition,
     "status_breakdown": q_status_breakdown,
+    "status_breakdown_sql": q_status_breakdown_sql,
     "compare_versions": q_compare_versions,
     "version_history": q_version_history,
     "read_version": q_read_version,

@@ -248,6 +248,8 @@ ORACLE: dict[str, str] = {
         body="SELECT * FROM ws ORDER BY attrition_count DESC, department_id LIMIT 5"),
     "status_breakdown": with_ctes(
         emp_ctes(), body="SELECT employment_status, COUNT(*) AS cnt FROM v1 WHERE is_current GROUP BY 1"),
+    "status_breakdown_sql": with_ctes(
+        emp_ctes(), body="SELECT employment_status, COUNT(*) AS cnt FROM v1 WHERE is_current GROUP BY 1"),
     "compare_versions": with_ctes(
         emp_ctes(),
         body="SELECT 'now' AS snapshot, COUNT(*) AS active_count FROM v1 "

@@ -117,26 +117,36 @@ def headcount_history(
     plan="expand": each version lists the spine months it covers
     (``sequence`` + ``explode``, at most ``n_months`` per version), then one
     hash aggregate.  Linear in versions; no join.
-    plan="range_join": the reference's shape, versions x month spine under
-    the interval predicate, with the spine broadcast (size = ``n_months``).
+    plan="range_join": the reference's shape (versions x months under the
+    interval predicate) as a binned equi-join: each version lists its
+    candidate months ``month(from)`` .. ``month(to)`` clipped to the spine,
+    joins the broadcast spine (``n_months`` rows, a proven bound) on the
+    month index, and the exact interval predicate is applied to each pair.
+    No nested loop; the boundary rule is evaluated independently of the
+    arithmetic of the expand plan.
     """
+    if plan not in ("expand", "range_join"):
+        raise ValueError("plan must be 'expand' or 'range_join'")
     spine = month_spine(spark, as_of, n_months)
     v = _active(versions, active).select("department_id", FROM, TO)
+    lo = F.lit(month_index_of(as_of) - n_months + 1)
+    hi = F.lit(month_index_of(as_of))
+    frm, to = F.col(FROM), F.col(TO)
+
     if plan == "range_join":
-        m_end = month_end_midnight(F.col("m.snapshot_month")).cast(ts_type)
+        first_c = F.greatest(month_index(frm), lo)
+        last_c = F.least(F.coalesce(month_index(to), hi), hi)
+        bins = v.select("department_id", FROM, TO, first_c.alias("_f"), last_c.alias("_l")).filter(
+            F.col("_f") <= F.col("_l")
+        ).select("department_id", FROM, TO, F.explode(F.sequence("_f", "_l")).alias("month_idx"))
+        pairs = bins.join(F.broadcast(spine), "month_idx", "inner")
+        m_end = month_end_midnight(F.col("snapshot_month")).cast(ts_type)
         if end_of_day:
             m_end = m_end + F.expr("INTERVAL '0 23:59:59.999999' DAY TO SECOND")
-        cond = (F.col(f"e.{FROM}") <= m_end) & (F.col(f"e.{TO}").isNull() | (F.col(f"e.{TO}") > m_end))
-        joined = v.alias("e").join(F.broadcast(spine).alias("m"), cond, "inner")
-        return joined.groupBy(F.col("e.department_id").alias("department_id"), F.col("m.snapshot_month")).agg(
+        inside = (frm <= m_end) & (to.isNull() | (to > m_end))
+        return pairs.filter(inside).groupBy("department_id", "snapshot_month").agg(
             F.count(F.lit(1)).alias("headcount")
         )
-    if plan != "expand":
-        raise ValueError("plan must be 'expand' or 'range_join'")
-
-    lo = F.lit(month_index_of(as_of) - n_months + 1)
-    hi = F.lit(month_index_of(as_of))
-    frm, to = F.col(FROM), F.col(TO)
 
     def month_end_of(ts: Column) -> Column:
         end = F.last_day(F.to_date(ts)).cast(ts_type)

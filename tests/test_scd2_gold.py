@@ -144,10 +144,13 @@ def test_headcount_plans_agree_and_end_of_day(spark, versions):
     assert eod.exceptAll(eod_j).count() == 0
 
 
-def test_headcount_expand_plan_has_no_join(spark, versions):
+def test_headcount_plan_shapes(spark, versions):
     plan = gold.headcount_history(versions, spark, "2026-06-10", 12, plan="expand")._jdf.queryExecution()
     s = plan.executedPlan().toString()
     assert "Join" not in s and "Cartesian" not in s
+    plan = gold.headcount_history(versions, spark, "2026-06-10", 12, plan="range_join")._jdf.queryExecution()
+    s = plan.executedPlan().toString()
+    assert "BroadcastHashJoin" in s and "NestedLoop" not in s and "Cartesian" not in s
 
 
 def test_month_spine(spark):

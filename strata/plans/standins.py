@@ -190,8 +190,15 @@ class StandIns:
     def headcount(self, plan: str) -> DataFrame:
         return gold.headcount_history(self.employee_versions, self.spark, AS_OF, N_MONTHS, plan=plan)
 
+    @cached_property
+    def payroll_silver(self) -> DataFrame:
+        """Silver payroll = the clean side of the split: rank 1 under the same total order
+        (no staging needed when the rejected side is not used)."""
+        return latest_by(self.payroll_enriched, ["employee_id", "pay_period"],
+                         [F.desc("processed_date"), F.desc("payroll_id")])
+
     def attendance_payroll(self) -> DataFrame:
-        clean, _ = self.payroll_split
+        clean = self.payroll_silver
         # pay_period is built as a month start (payroll_bronze), so the dedupe's
         # partitioning on (employee_id, pay_period) carries into the join
         return gold.attendance_payroll(clean, self.monthly_counts, AS_OF, normalize=False)

@@ -32,6 +32,7 @@ AUDIT_SCHEMA = T.StructType(
     ]
 )
 STATUS_OK, STATUS_PARTIAL = "Success", "PartialFailure"
+PIPELINE_NAME, SOURCE_NAME, LOAD_TYPE = "pl_master_hr", "all_sources", "Full"
 
 
 def table_counts(read: Mapping[str, DataFrame], rejected: Mapping[str, DataFrame]) -> DataFrame:
@@ -56,9 +57,9 @@ def audit_row(
     start_time,
     end_time,
     failed_steps: Sequence[str] = (),
-    pipeline_name: str = "pl_master_hr",
-    source_name: str = "all_sources",
-    load_type: str = "Full",
+    pipeline_name: str = PIPELINE_NAME,
+    source_name: str = SOURCE_NAME,
+    load_type: str = LOAD_TYPE,
     records_updated: int = 0,
     ts_type: str = "timestamp_ntz",
 ) -> DataFrame:
@@ -68,7 +69,7 @@ def audit_row(
     status is PartialFailure and the message lists failed steps when any failed.
     """
     ok = len(failed_steps) == 0
-    msg = None if ok else "Failed notebooks: " + ", ".join(failed_steps)
+    msg = None if ok else "Failed steps: " + ", ".join(failed_steps)
     return counts.select(
         F.lit(run_id).alias("run_id"),
         F.lit(pipeline_name).alias("pipeline_name"),

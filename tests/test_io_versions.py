@@ -196,3 +196,24 @@ def test_version_after_crashed_write(spark):
     assert versions.latest_version(spark, path) == 0
     assert versions.write_version(t, path, "r1", "2026-02-01 00:00:00") == 2
     assert versions.list_versions(spark, path) == [0, 2]
+
+
+def test_run_records_failed_steps_and_continues(spark):
+    from strata.plans.orchestrate import RunParams, run_all
+
+    base = shared_dir(spark, "lake_fail")
+    _land_fixture_run(spark, base, "2026-05-20", [("E1", "D1", "Eng", "M", "100.00", "Active", "2020-01-01")])
+    # payroll lands nowhere for this date: its steps fail, the others still run
+    p = RunParams(base, "r1", "2026-05-20", "2026-05-20 23:00:00", n_months=3,
+                  clock=lambda: dt.datetime(2026, 5, 21, 6, 0, 0))
+    jvm = spark.sparkContext._jvm
+    raw_pay = jvm.org.apache.hadoop.fs.Path(p.path("raw", "payroll"))
+    raw_pay.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(raw_pay, True)
+    with pytest.raises(RuntimeError):
+        run_all(spark, p)
+    res, audit = run_all(spark, RunParams(**{**p.__dict__, "run_id": "r1b"}), raise_on_failure=False)
+    status = {n: s for n, s, _, _ in res}
+    assert status["bronze_payroll"] == "FAILED" and status["silver_payroll"] == "FAILED"
+    assert status["gold_workforce_summary"] == "SUCCESS"
+    a = audit.first()
+    assert a.status == "PartialFailure" and "bronze_payroll" in a.error_message

@@ -126,3 +126,25 @@ def variance_profile(
         F.count_if(flagged).alias("flagged"),
         F.count(F.lit(1)).alias("rows"),
     )
+
+
+def cast_or_reject(
+    df: DataFrame, types: dict[str, str], reason: str = "bad_value", strict: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Type text columns; rows whose value does not parse go to a rejected output.
+
+    strict: ``try_cast`` each column; a row is rejected (with ``rejection_reason``
+    and ``bad_columns``) when a non-NULL input becomes NULL.  Not strict: a
+    plain ``cast``, which under ANSI mode raises on the first bad value (the
+    reference's behaviour), and the rejected output is empty.
+    One projection and two filters of the same plan; no shuffle.
+    """
+    if not strict:
+        typed = df.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+        return typed, typed.limit(0).withColumn("rejection_reason", F.lit(reason))
+    bad = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c)) for c, t in types.items()]
+    marked = df.withColumn("bad_columns", F.concat_ws(",", *bad))
+    is_bad = F.col("bad_columns") != ""
+    typed = marked.filter(~is_bad).drop("bad_columns").withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+    rejected = marked.filter(is_bad).withColumn("rejection_reason", F.lit(reason))
+    return typed, rejected

@@ -76,7 +76,17 @@ class RunParams:
 
 
 def _bronze(spark: SparkSession, p: RunParams, entity: str) -> int:
-    raw = read_csv(spark, p.path("raw", entity, p.run_date), schema=SCHEMAS[entity])
+    """Land -> Bronze.  Parity: typed read that fails on a value that does not
+    parse (as a cast does under ANSI).  Strict: read text, type with
+    ``try_cast`` and send unparseable rows to ``rejected/<entity>_values``."""
+    src = p.path("raw", entity, p.run_date)
+    if p.strict:
+        schema = spark.createDataFrame([], SCHEMAS[entity]).schema
+        text = read_csv(spark, src, schema=", ".join(f"{f.name} STRING" for f in schema.fields))
+        raw, bad = quality.cast_or_reject(text, {f.name: f.dataType.simpleString() for f in schema.fields})
+        _append_rejected(stamp_lineage(bad, p.run_id, p.as_of), p.path("rejected", f"{entity}_values"), p.run_id)
+    else:
+        raw = read_csv(spark, src, schema=SCHEMAS[entity], mode="FAILFAST")
     stamped = stamp_lineage(raw, p.run_id, p.as_of)
     append_run(stamped, p.path("bronze", entity))
     return safe_count(spark, p.path("bronze", entity, f"_run_id={p.run_id}"))

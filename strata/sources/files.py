@@ -26,13 +26,16 @@ def read_csv(
     infer: bool = False,
     multi_line: bool = False,
     with_source_file: bool = False,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Header CSV in the landing dialect.
 
     ``multi_line`` keeps quoted newlines inside one value (files then cannot
-    be split across tasks).  Empty fields read as NULL.
+    be split across tasks).  Empty fields read as NULL.  ``mode`` is Spark's
+    parse mode: PERMISSIVE turns a value that does not fit the schema into
+    NULL, FAILFAST raises on it.
     """
-    r = spark.read.options(**CSV_DIALECT).option("multiLine", str(multi_line).lower())
+    r = spark.read.options(**CSV_DIALECT).option("multiLine", str(multi_line).lower()).option("mode", mode)
     if schema is not None:
         r = r.schema(schema)
     elif infer:
@@ -43,13 +46,17 @@ def read_csv(
     return df
 
 
-def apply_mapping(df: DataFrame, mapping: Sequence[tuple[str, str, str]]) -> DataFrame:
+def apply_mapping(df: DataFrame, mapping: Sequence[tuple[str, str, str]], lenient: bool = False) -> DataFrame:
     """Explicit column list: (source name, sink name, Spark type) with conversion.
 
     Columns not listed are left out; a ``string`` sink type renders
-    timestamps as text.
+    timestamps as text.  ``lenient`` converts with ``try_cast`` (a value that
+    does not fit becomes NULL instead of failing the copy).
     """
-    return df.select(*[F.col(src).cast(t).alias(dst) for src, dst, t in mapping])
+    def conv(src: str, t: str):
+        return F.col(src).try_cast(t) if lenient else F.col(src).cast(t)
+
+    return df.select(*[conv(src, t).alias(dst) for src, dst, t in mapping])
 
 
 def land_csv(

@@ -160,3 +160,14 @@ def test_payroll_dedupe_latest_processed_then_highest_id(payroll):
                                   [F.desc("processed_date"), F.desc("payroll_id")], "duplicate_pay_period")
     assert {r.payroll_id for r in clean.collect()} == {2, 3, 4, 5, 7}
     assert {r.payroll_id for r in rej.collect()} == {1, 6}
+
+
+def test_cast_or_reject(spark):
+    raw = spark.createDataFrame([("1", "2026-05-01", "10.50"), ("x", "2026-05-02", "3"), ("3", "not a date", None),
+                                 ("4", None, "99999999999999999999.99")], "id STRING, d STRING, amt STRING")
+    typed, rej = quality.cast_or_reject(raw, {"id": "bigint", "d": "date", "amt": "decimal(18,2)"})
+    assert [r.id for r in typed.collect()] == [1]
+    assert typed.schema["d"].dataType.simpleString() == "date"
+    bad = {r.bad_columns for r in rej.collect()}
+    assert bad == {"id", "d", "amt"}
+    assert typed.count() + rej.count() == raw.count()

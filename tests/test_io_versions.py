@@ -217,3 +217,22 @@ def test_run_records_failed_steps_and_continues(spark):
     assert status["gold_workforce_summary"] == "SUCCESS"
     a = audit.first()
     assert a.status == "PartialFailure" and "bronze_payroll" in a.error_message
+
+
+def test_bad_values_fail_in_parity_and_are_rejected_in_strict(spark):
+    from strata.plans.orchestrate import RunParams, _bronze
+
+    base = shared_dir(spark, "lake_bad")
+    pay = spark.createDataFrame(
+        [("1", "E1", "2026-05-01", "1000.00", "1.00", "0.00", "1001.00", "2026-05-31"),
+         ("2", "E2", "2026-05-01", "abc", "1.00", "0.00", "1.00", "2026-05-31")],
+        "payroll_id STRING, employee_id STRING, pay_period STRING, basic_salary STRING, bonus_amount STRING, "
+        "deduction_amount STRING, net_pay STRING, processed_date STRING")
+    land_csv(pay, f"{base}/raw", "payroll", "2026-05-20")
+    p = RunParams(base, "r1", "2026-05-20", "2026-05-20 23:00:00")
+    with pytest.raises(Exception):
+        _bronze(spark, p, "payroll")
+    ps = RunParams(base, "r2", "2026-05-20", "2026-05-20 23:00:00", strict=True)
+    assert _bronze(spark, ps, "payroll") == 1
+    rej = spark.read.parquet(ps.path("rejected", "payroll_values")).collect()
+    assert [(r.payroll_id, r.bad_columns, r._run_id) for r in rej] == [("2", "basic_salary", "r2")]

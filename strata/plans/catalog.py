@@ -16,15 +16,19 @@ from strata.operators import gold, layout, scd2, versions
 from strata.operators.audit import audit_row, table_counts
 from strata.operators.bronze import ingest_bronze, read_bronze, runs_summary
 from strata.operators.dedupe import latest_by
+from strata.operators.quality import variance_profile
 from strata.plans.standins import (
     AS_OF_POINT,
     END_TIME,
     INGEST_TS,
+    N_MONTHS,
     START_TIME,
     T0,
     T1,
+    TRACKED,
     StandIns,
 )
+from strata.streaming.ingest import ingest_available
 from strata.session import shared_dir
 from strata.sources.files import land_csv, read_csv
 
@@ -100,8 +104,6 @@ def q_dq_future_processing(spark, d):
 
 
 def q_variance_profile(spark, d):
-    from strata.operators.quality import variance_profile
-
     return variance_profile(_s(spark, d).payroll_enriched)
 
 
@@ -134,8 +136,6 @@ def q_scd2_init(spark, d):
 
 def q_scd2_changes(spark, d):
     s = _s(spark, d)
-    from strata.plans.standins import TRACKED
-
     return scd2.scd2_changes(s.employee_v0, s.employee_incoming, "employee_id", TRACKED)
 
 
@@ -146,8 +146,6 @@ def q_scd2_new_keys(spark, d):
 
 def q_scd2_expire(spark, d):
     s = _s(spark, d)
-    from strata.plans.standins import TRACKED
-
     changed = scd2.scd2_changes(s.employee_v0, s.employee_incoming, "employee_id", TRACKED)
     return scd2.scd2_expire(s.employee_v0, changed, "employee_id", T1)
 
@@ -166,8 +164,6 @@ def q_scd2_as_of(spark, d):
 
 def q_month_spine(spark, d):
     """The 48 months ending with the latest order month (read from the whole ``orders`` table)."""
-    from strata.plans.standins import N_MONTHS
-
     return gold.month_spine_from(_s(spark, d).table("orders"), "o_orderdate", N_MONTHS)
 
 
@@ -200,17 +196,11 @@ def _versioned_employee(spark, d) -> str:
     path = shared_dir(spark, "employee_versions")
     versions.write_version(s.employee_v0, path, "r0", T0, "WRITE")
     v0 = versions.read_version(spark, path, 0).drop("version")
-    v1 = scd2.scd2_apply(v0, s.employee_incoming, "employee_id", T1, tracked=_tracked())
+    v1 = scd2.scd2_apply(v0, s.employee_incoming, "employee_id", T1, tracked=TRACKED)
     versions.write_version(v1, path, "r1", T1, "SCD2_APPLY")
     return path
 
 
-def _tracked():
-    from strata.plans.standins import TRACKED
-
-    return TRACKED
-
-
 def q_status_breakdown_sql(spark, d):
     """Current rows per status through Spark SQL text over the stored latest version."""
     path = _versioned_employee(spark, d)
@@ -294,8 +284,6 @@ def q_audit_row(spark, d):
 
 def q_stream_ingest(spark, d):
     """Two landing days, one availableNow run after each: every file is read once."""
-    from strata.streaming.ingest import ingest_available
-
     ev = _s(spark, d).table("events")
     raw = shared_dir(spark, "raw_stream")
     bronze = shared_dir(spark, "bronze_stream")

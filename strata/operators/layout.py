@@ -21,7 +21,13 @@ _INTEGRAL = ("byte", "short", "integer", "long", "float", "double", "decimal")
 
 
 def _numeric_source(df: DataFrame, c: str) -> Column:
-    """A double that orders like ``c`` (dates and timestamps by epoch; text by hash)."""
+    """A double that orders like ``c``.
+
+    Numbers as they are; dates and timestamps by epoch; text by its first 7
+    UTF-8 bytes read as a right-padded big-endian number (Spark's string
+    order on that prefix); other types by hash (equal values stay together).
+    NULL and NaN sort first.
+    """
     t = df.schema[c].dataType.typeName()
     x = F.col(c)
     if t in _INTEGRAL:
@@ -30,9 +36,12 @@ def _numeric_source(df: DataFrame, c: str) -> Column:
         out = F.unix_date(x).cast("double")
     elif t.startswith("timestamp"):
         out = F.unix_timestamp(x).cast("double")  # epoch seconds; no time-zone shift for NTZ
+    elif t == "string":
+        prefix = F.rpad(F.hex(F.substring(x.cast("binary"), 1, 7)), 14, "0")
+        out = F.conv(prefix, 16, 10).cast("double")
     else:
-        out = F.xxhash64(x).cast("double")  # text and other types: equal values stay together
-    return F.coalesce(out, F.lit(float("-inf")))
+        out = F.xxhash64(x).cast("double")
+    return F.nanvl(F.coalesce(out, F.lit(float("-inf"))), F.lit(float("-inf")))
 
 
 def with_zorder_key(

@@ -236,3 +236,17 @@ def test_bad_values_fail_in_parity_and_are_rejected_in_strict(spark):
     assert _bronze(spark, ps, "payroll") == 1
     rej = spark.read.parquet(ps.path("rejected", "payroll_values")).collect()
     assert [(r.payroll_id, r.bad_columns, r._run_id) for r in rej] == [("2", "basic_salary", "r2")]
+
+
+def test_zorder_source_orders_text_and_handles_nan(spark):
+    from strata.operators.layout import _numeric_source
+
+    words = ["", "a", "ab", "abc", "b", "ba", "zz", "été"]
+    df = spark.createDataFrame([(w, float("nan") if i == 0 else float(i)) for i, w in enumerate(words)],
+                               "w STRING, x DOUBLE")
+    keys = [r.k for r in df.select(_numeric_source(df, "w").alias("k")).collect()]
+    assert [w for _, w in sorted(zip(keys, words))] == sorted(words, key=lambda s: s.encode())
+    nan_key = df.select(_numeric_source(df, "x").alias("k")).first().k
+    assert nan_key == float("-inf")
+    z = layout.with_zorder_key(df, ["w", "x"], bits=4)
+    assert z.count() == len(words)

@@ -198,3 +198,25 @@ def test_month_spine_from_data(spark):
     assert [r.snapshot_month for r in gold.month_spine_from(df, "ts", 4).collect()] == [
         "2026-03", "2026-02", "2026-01", "2025-12"]
     assert gold.month_spine_from(df.limit(0), "ts", 4).count() == 0
+
+
+def test_apply_with_many_null_keys_bypasses_the_join(spark):
+    # a third of the table and of the snapshot carry a NULL key
+    cur = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("employee_id"),
+        F.lit("D").alias("department_id"), F.lit("x").alias("designation"), F.lit("m").alias("manager_id"),
+        F.lit(1).cast("decimal(18,2)").alias("salary"), F.lit("Active").alias("employment_status"),
+        F.lit("n").alias("employee_name"))
+    from strata.operators.dedupe import stage
+
+    table = stage(scd2.scd2_init(cur, T0), with_row_id=False)
+    inc = stage(cur.withColumn("salary", F.when(F.col("employee_id").cast("int") % 2 == 0, F.lit(2))
+                               .otherwise(F.col("salary")).cast("decimal(18,2)")), with_row_id=False)
+    out = scd2.scd2_apply(table, inc, "employee_id", T1)
+    nulls, keyed = 1000, 2000
+    changed = inc.filter("CAST(employee_id AS INT) % 2 = 0").count()
+    assert out.count() == (nulls + keyed) + nulls + changed  # NULL keys: kept + inserted again (Q6)
+    assert out.filter("employee_id IS NOT NULL AND is_current").count() == keyed
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    join_part = plan[plan.index("SortMergeJoin"):]
+    assert "isnotnull(employee_id" in join_part

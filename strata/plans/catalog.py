@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from strata.operators import gold, layout, scd2, versions
 from strata.operators.audit import audit_row, table_counts
-from strata.operators.bronze import ingest_bronze, read_bronze, runs_summary
+from strata.functions.columns import typed_timestamp
+from strata.operators.bronze import ingest_bronze, latest_incremental, read_bronze, runs_summary
 from strata.operators.dedupe import latest_by
 from strata.operators.quality import variance_profile
 from strata.plans.standins import (
@@ -263,6 +264,20 @@ def q_bronze_append(spark, d):
     return runs_summary(read_bronze(spark, bronze))
 
 
+def q_latest_incremental(spark, d):
+    """``orders`` ingested twice: run r1 = orders placed before T0, run r2 = every order again with
+    a corrected price.  The incremental latest after r2 holds each order's r2 row."""
+    o = _s(spark, d).table("orders")
+    bronze, store = shared_dir(spark, "bronze_orders"), shared_dir(spark, "orders_latest")
+    first = o.filter(F.col("o_orderdate") < typed_timestamp(T0))
+    ingest_bronze(first, "r1", T0, bronze, source_file=False)
+    latest_incremental(spark, bronze, store, "o_orderkey", "r1", T0)
+    again = o.withColumn("o_totalprice", F.col("o_totalprice") + F.lit(100.0))
+    ingest_bronze(again, "r2", T1, bronze, source_file=False)
+    out = latest_incremental(spark, bronze, store, "o_orderkey", "r2", T1)
+    return out.drop("_row_id", "_source_file")
+
+
 def q_schema_evolution(spark, d):
     c = _s(spark, d).table("customer")
     bronze = shared_dir(spark, "bronze_customer")
@@ -333,6 +348,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "bronze_append": q_bronze_append,
     "schema_evolution": q_schema_evolution,
+    "latest_incremental": q_latest_incremental,
     "audit_row": q_audit_row,
     "stream_ingest": q_stream_ingest,
 }

@@ -270,6 +270,8 @@ ORACLE: dict[str, str] = {
                      "CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders",
     "bronze_append": "SELECT 'r1' AS _run_id, COUNT(*) AS rows FROM events "
                      "UNION ALL SELECT 'r2', COUNT(*) FROM events",
+    "latest_incremental": f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 100.0 AS o_totalprice, "
+                          f"o_orderdate, o_orderpriority, {TS(T1)} AS _ingest_ts, 'r2' AS _run_id FROM orders",
     "schema_evolution": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment, "
                         "'r1' AS _run_id FROM customer "
                         "UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'r2' FROM customer",

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from strata.operators import gold, quality, scd2, versions
 from strata.operators.audit import audit_row, table_counts
-from strata.operators.bronze import append_run, read_bronze, stamp_lineage
-from strata.operators.dedupe import ROW_ID, latest_by, split_duplicates
+from strata.operators.bronze import append_run, latest_incremental, stamp_lineage
+from strata.operators.dedupe import ROW_ID, split_duplicates
 from strata.sources.files import read_csv, safe_count, write_table
 from strata.sources.jdbc import append_jdbc, publish_all
 
@@ -94,32 +94,8 @@ def _bronze(spark: SparkSession, p: RunParams, entity: str) -> int:
 
 
 def _latest(spark: SparkSession, p: RunParams, entity: str, key: str) -> DataFrame:
-    """Latest Bronze row per source id, maintained incrementally.
-
-    "Latest" is associative, so the previous result plus this run's Bronze
-    partition (partition-pruned read) gives the same rows as ranking the whole
-    append-only history again, and the work per run grows with the new data
-    and the number of ids, not with the history.  The result is kept as a
-    versioned table ``bronze_latest/<entity>``; a re-run starts from the last
-    version written by another run, so it is idempotent.
-    """
-    store = p.path("bronze_latest", entity)
-    bronze = read_bronze(spark, p.path("bronze", entity))
-    base_version = None
-    if versions.latest_version(spark, store) is not None:
-        done = versions.list_versions(spark, store)
-        hist = {r.version: r.run_id for r in versions.version_history(spark, store).collect()}
-        others = [v for v in done if hist.get(v) not in (None, p.run_id)]
-        base_version = others[-1] if others else None
-    if base_version is None:
-        rows = bronze
-    else:
-        prev = versions.read_version(spark, store, base_version).drop("version", ROW_ID)
-        rows = prev.unionByName(bronze.filter(F.col("_run_id") == p.run_id), allowMissingColumns=True)
-    # the stored row id lets the silver split use this table as its staged input
-    latest = latest_by(rows, [key], [F.desc("_ingest_ts")]).withColumn(ROW_ID, F.monotonically_increasing_id())
-    v = versions.write_version(latest, store, p.run_id, p.as_of, "LATEST")
-    return versions.read_version(spark, store, v).drop("version")
+    """Latest Bronze row per source id, kept incrementally in ``bronze_latest/<entity>``."""
+    return latest_incremental(spark, p.path("bronze", entity), p.path("bronze_latest", entity), key, p.run_id, p.as_of)
 
 
 def _append_rejected(df: DataFrame, path: str, run_id: str) -> None:

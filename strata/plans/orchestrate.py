@@ -233,3 +233,35 @@ def run_all(spark: SparkSession, p: RunParams, raise_on_failure: bool = True) ->
     if failed and raise_on_failure:
         raise RuntimeError(f"{len(failed)} steps failed: {', '.join(failed)}")
     return results, spark.read.parquet(p.path("audit")).filter(F.col("run_id") == p.run_id)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m strata.plans.orchestrate --base B --run-id R --run-date D --as-of T [--strict]``.
+
+    Uses the active (or default) SparkSession; its ``spark.checkpoint.dir``
+    should name a shared folder on a cluster.
+    """
+    import argparse
+
+    ap = argparse.ArgumentParser(description="landing -> bronze -> silver -> gold -> reports -> audit")
+    ap.add_argument("--base", required=True)
+    ap.add_argument("--run-id", required=True)
+    ap.add_argument("--run-date", required=True, help="landing folder date, yyyy-MM-dd")
+    ap.add_argument("--as-of", required=True, help="'yyyy-MM-dd HH:mm:ss'")
+    ap.add_argument("--months", type=int, default=12)
+    ap.add_argument("--strict", action="store_true")
+    ap.add_argument("--jdbc-url")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
+    from strata.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    params = RunParams(a.base, a.run_id, a.run_date, a.as_of, a.months, a.strict, a.jdbc_url)
+    results, audit = run_all(spark, params)
+    for name, status, secs, _ in results:
+        print(f"{status:8s} {secs:7.1f}s {name}")
+    audit.show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()

@@ -107,10 +107,11 @@ def _norm(p: str) -> tuple[str, str]:
 
 
 def safe_count(spark: SparkSession, path: str) -> int:
-    """Row count of a table; 0 only when the path does not exist (other errors raise)."""
+    """Row count of a table; 0 when there is no table (missing or empty folder), other errors raise."""
     try:
         return spark.read.parquet(path).count()
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in (e.getCondition() or "") or "Path does not exist" in str(e):
+        cond = e.getCondition() or ""
+        if "PATH_NOT_FOUND" in cond or "UNABLE_TO_INFER_SCHEMA" in cond or "Path does not exist" in str(e):
             return 0
         raise

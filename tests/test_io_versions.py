@@ -270,3 +270,9 @@ def test_incremental_latest_equals_full_recompute(spark):
     cols = ["id", "v", "_ingest_ts", "_run_id"]
     assert sorted(tuple(r) for r in got.select(cols).collect()) == sorted(tuple(r) for r in full.select(cols).collect())
     assert {r.id: r.v for r in got.collect()} == {1: "aaa", 2: "bb", 3: "c"}
+
+
+def test_safe_count_empty_folder(spark, tmp_path):
+    d = tmp_path / "empty"
+    d.mkdir()
+    assert safe_count(spark, str(d)) == 0

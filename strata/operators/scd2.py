@@ -56,7 +56,8 @@ def scd2_init(snapshot: DataFrame, as_of, ts_type: str = "timestamp_ntz") -> Dat
 
 
 def current_rows(table: DataFrame) -> DataFrame:
-    return table.filter(F.col(CURRENT))
+    """Rows with ``is_current`` true (NULL counts as not current, and is kept as history)."""
+    return table.filter(F.coalesce(F.col(CURRENT), F.lit(False)))
 
 
 def scd2_changes(
@@ -96,7 +97,7 @@ def scd2_expire(table: DataFrame, changed_keys: DataFrame, key: str | Sequence[s
         {CURRENT: F.when(hit, F.lit(False)).otherwise(F.col(CURRENT)),
          TO: F.when(hit, ts).otherwise(F.col(TO))}
     ).drop("_hit").select(*table.columns)
-    return table.filter(~F.col(CURRENT)).unionByName(updated)
+    return table.filter(~F.coalesce(F.col(CURRENT), F.lit(False))).unionByName(updated)
 
 
 def scd2_apply(

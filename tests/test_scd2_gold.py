@@ -220,3 +220,11 @@ def test_apply_with_many_null_keys_bypasses_the_join(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     join_part = plan[plan.index("SortMergeJoin"):]
     assert "isnotnull(employee_id" in join_part
+
+
+def test_expire_keeps_rows_with_null_current_flag(spark, table, incoming):
+    odd = table.limit(1).withColumn("is_current", F.lit(None).cast("boolean")).withColumn("employee_id", F.lit("Z"))
+    t = table.unionByName(odd)
+    exp = scd2.scd2_expire(t, scd2.scd2_changes(t, incoming, "employee_id"), "employee_id", T1)
+    assert exp.count() == t.count()
+    assert scd2.scd2_apply(t, incoming, "employee_id", T1).filter("employee_id = 'Z'").count() == 1

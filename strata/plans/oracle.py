@@ -34,17 +34,17 @@ att_r AS (
 
 PAY_B = f"""li AS (
   SELECT l_orderkey,
-         SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS basic,
-         SUM(CAST(l_tax * 100 AS DECIMAL(18,2))) AS bonus,
-         SUM(CAST(l_discount * 100 AS DECIMAL(18,2))) AS deduction,
+         SUM(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)) AS basic,
+         SUM(CAST(floor(l_tax * 100 * 100 + 0.5) AS BIGINT)) AS bonus,
+         SUM(CAST(floor(l_discount * 100 * 100 + 0.5) AS BIGINT)) AS deduction,
          MAX(l_shipdate) AS shipped
   FROM lineitem GROUP BY l_orderkey),
 pay_b AS (
   SELECT o_orderkey AS payroll_id, o_custkey AS employee_id,
          CAST(date_trunc('month', o_orderdate) AS DATE) AS pay_period,
-         CAST(li.basic AS DECIMAL(18,2)) AS basic_salary,
-         CAST(li.bonus AS DECIMAL(18,2)) AS bonus_amount,
-         CAST(li.deduction AS DECIMAL(18,2)) AS deduction_amount,
+         CAST(CAST(li.basic AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS basic_salary,
+         CAST(CAST(li.bonus AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS bonus_amount,
+         CAST(CAST(li.deduction AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS deduction_amount,
          o_totalprice AS net_pay, CAST(li.shipped AS DATE) AS processed_date,
          {TS(INGEST_TS)} AS _ingest_ts, '{RUN_ID}' AS _run_id
   FROM orders LEFT JOIN li ON li.l_orderkey = orders.o_orderkey)"""

@@ -8,8 +8,9 @@ Spark from whole tables (no subsets):
   (no check times), anything else = Present; check-out = check-in +
   ``floor(value * 240)`` seconds.
 * payroll     <- ``orders`` with per-order ``lineitem`` sums: price -> basic,
-  100 x tax -> bonus, 100 x discount -> deduction, total price -> reported
-  net pay, last ship date -> processing date, order month -> pay period.
+  100 x tax -> bonus, 100 x discount -> deduction (each line rounded half up
+  to whole cents), total price -> reported net pay, last ship date ->
+  processing date, order month -> pay period.
 * attendance by month <- ``lineitem`` joined to ``orders``: customer,
   ship date, return flag A/R/N -> Present/Absent/Leave.
 * employee snapshot at time T <- each customer's latest order before T:
@@ -22,6 +23,7 @@ The SQL twins of these definitions are in ``strata.plans.oracle``.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,20 +95,29 @@ class StandIns:
     # ------------------------------------------------------------------- payroll
     @cached_property
     def payroll_bronze(self) -> DataFrame:
+        # money in whole cents: floor(x * 100 + 0.5) is the same IEEE computation in any engine,
+        # and long sums stay off the BigDecimal path that decimal(28,2) sums take
+        def cents(c):
+            return F.floor(c * 100 + 0.5).cast("bigint")
+
         li = self.table("lineitem").groupBy("l_orderkey").agg(
-            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("basic"),
-            F.sum((F.col("l_tax") * 100).cast("decimal(18,2)")).alias("bonus"),
-            F.sum((F.col("l_discount") * 100).cast("decimal(18,2)")).alias("deduction"),
+            F.sum(cents(F.col("l_extendedprice"))).alias("basic"),
+            F.sum(cents(F.col("l_tax") * 100)).alias("bonus"),
+            F.sum(cents(F.col("l_discount") * 100)).alias("deduction"),
             F.max("l_shipdate").alias("shipped"),
         )
+
+        def money(c):
+            return (F.col(c).cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+
         o = self.table("orders")
         df = o.join(li, o["o_orderkey"] == li["l_orderkey"], "left").select(
             F.col("o_orderkey").alias("payroll_id"),
             F.col("o_custkey").alias("employee_id"),
             month_start("o_orderdate").alias("pay_period"),
-            F.col("basic").cast("decimal(18,2)").alias("basic_salary"),
-            F.col("bonus").cast("decimal(18,2)").alias("bonus_amount"),
-            F.col("deduction").cast("decimal(18,2)").alias("deduction_amount"),
+            money("basic").alias("basic_salary"),
+            money("bonus").alias("bonus_amount"),
+            money("deduction").alias("deduction_amount"),
             F.col("o_totalprice").alias("net_pay"),
             F.to_date("shipped").alias("processed_date"),
         )

@@ -17,7 +17,7 @@ from strata.operators.audit import audit_row, table_counts
 from strata.functions.columns import typed_timestamp
 from strata.operators.bronze import ingest_bronze, latest_incremental, read_bronze, runs_summary
 from strata.operators.dedupe import latest_by
-from strata.operators.quality import variance_profile
+from strata.operators.quality import cast_or_reject, variance_profile
 from strata.plans.standins import (
     AS_OF_POINT,
     END_TIME,
@@ -278,6 +278,23 @@ def q_latest_incremental(spark, d):
     return out.drop("_row_id", "_source_file")
 
 
+def _typed_events(spark, d):
+    ev = _s(spark, d).table("events").select("event_id", F.col("value").cast("string").alias("value"))
+    return cast_or_reject(ev, {"value": "decimal(4,2)"}, reason="bad_value")
+
+
+def q_typed_values(spark, d):
+    """Strict typing (text -> decimal(4,2)) of every event value: the rows that fit."""
+    typed, _ = _typed_events(spark, d)
+    return typed
+
+
+def q_bad_values(spark, d):
+    """... and the rows that do not (values of 100 and more), kept with the reason."""
+    _, bad = _typed_events(spark, d)
+    return bad
+
+
 def q_schema_evolution(spark, d):
     c = _s(spark, d).table("customer")
     bronze = shared_dir(spark, "bronze_customer")
@@ -349,6 +366,8 @@ QUERIES: dict[str, Query] = {
     "bronze_append": q_bronze_append,
     "schema_evolution": q_schema_evolution,
     "latest_incremental": q_latest_incremental,
+    "typed_values": q_typed_values,
+    "bad_values": q_bad_values,
     "audit_row": q_audit_row,
     "stream_ingest": q_stream_ingest,
 }

@@ -272,6 +272,11 @@ ORACLE: dict[str, str] = {
                      "UNION ALL SELECT 'r2', COUNT(*) FROM events",
     "latest_incremental": f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 100.0 AS o_totalprice, "
                           f"o_orderdate, o_orderpriority, {TS(T1)} AS _ingest_ts, 'r2' AS _run_id FROM orders",
+    "typed_values": "SELECT event_id, TRY_CAST(CAST(value AS VARCHAR) AS DECIMAL(4,2)) AS value FROM events "
+                    "WHERE TRY_CAST(CAST(value AS VARCHAR) AS DECIMAL(4,2)) IS NOT NULL OR value IS NULL",
+    "bad_values": "SELECT event_id, CAST(value AS VARCHAR) AS value, 'value' AS bad_columns, "
+                  "'bad_value' AS rejection_reason FROM events "
+                  "WHERE value IS NOT NULL AND TRY_CAST(CAST(value AS VARCHAR) AS DECIMAL(4,2)) IS NULL",
     "schema_evolution": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment, "
                         "'r1' AS _run_id FROM customer "
                         "UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'r2' FROM customer",

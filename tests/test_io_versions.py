@@ -276,3 +276,13 @@ def test_safe_count_empty_folder(spark, tmp_path):
     d = tmp_path / "empty"
     d.mkdir()
     assert safe_count(spark, str(d)) == 0
+
+
+def test_cluster_conf_sizes_partitions():
+    from strata.session import cluster_conf
+
+    big = cluster_conf(100 * 1024**4, executors=1000, cores_per_executor=8)
+    assert big["spark.sql.shuffle.partitions"] == "100000"  # capped
+    assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    small = cluster_conf(10 * 1024**3, executors=10, cores_per_executor=4)
+    assert small["spark.sql.shuffle.partitions"] == "80"  # at least twice the slots

@@ -11,6 +11,8 @@ a folder that is being read.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,7 +64,7 @@ def write_version(df: DataFrame, path: str, run_id: str, as_of, operation: str =
     # (no _SUCCESS, invisible to readers) never blocks the next version
     seen = list_versions(spark, path, complete_only=False)
     n = seen[-1] + 1 if seen else 0
-    obs = Observation(f"strata_version_{n}")
+    obs = Observation(f"strata_version_{n}_{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(f"{path}/version={n}")
     rows = obs.get["rows"]
     spark.createDataFrame([(n, run_id, str(as_of), operation, int(rows))], HISTORY_SCHEMA).coalesce(1).write.mode(

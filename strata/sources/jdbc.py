@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,7 +60,7 @@ def publish_all(
 
     written = {}
     for tbl, path in tables:
-        obs = Observation(f"publish_{tbl}")
+        obs = Observation(f"publish_{tbl}_{uuid.uuid4().hex[:8]}")
         df = spark.read.parquet(path).observe(obs, F.count(F.lit(1)).alias("rows"))
         publish_jdbc(df, url, tbl, properties)
         written[tbl] = int(obs.get["rows"])

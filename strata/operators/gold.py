@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import (
@@ -124,9 +124,14 @@ def headcount_history(
     month index, and the exact interval predicate is applied to each pair.
     No nested loop; the boundary rule is evaluated independently of the
     arithmetic of the expand plan.
+    plan="sweep": two events per version (+1 at its first month, -1 after
+    its last), summed per (department, month), then a running sum per
+    department over its spine months.  Constant work per version whatever
+    ``n_months`` is; a hot department is at most ``n_months`` rows after the
+    partial aggregation.
     """
-    if plan not in ("expand", "range_join"):
-        raise ValueError("plan must be 'expand' or 'range_join'")
+    if plan not in ("expand", "range_join", "sweep"):
+        raise ValueError("plan must be 'expand', 'range_join' or 'sweep'")
     spine = month_spine(spark, as_of, n_months)
     v = _active(versions, active).select("department_id", FROM, TO)
     lo = F.lit(month_index_of(as_of) - n_months + 1)
@@ -161,6 +166,38 @@ def headcount_history(
     covered = v.select("department_id", first_c.alias("_f"), last_c.alias("_l")).filter(
         F.col("_f") <= F.col("_l")
     )
+    if plan == "sweep":
+        # two events per version: +1 at its first month, -1 after its last;
+        # summed per (department, month) with map-side partial aggregation
+        ev = covered.select(
+            "department_id",
+            F.inline(F.array(
+                F.struct(F.col("_f").alias("month_idx"), F.lit(1).alias("d")),
+                F.struct((F.col("_l") + 1).alias("month_idx"), F.lit(-1).alias("d")),
+            )),
+        )
+        deltas = ev.groupBy("department_id", "month_idx").agg(F.sum("d").alias("delta"))
+        # every spine month of each department (generated per row, no join), then a
+        # running sum over at most n_months rows per department
+        grid = deltas.select("department_id").distinct().select(
+            "department_id", F.explode(F.sequence(lo, hi)).alias("month_idx")
+        )
+        g, dl = grid.alias("g"), deltas.alias("dl")
+        joined = g.join(
+            dl,
+            F.col("g.department_id").eqNullSafe(F.col("dl.department_id"))
+            & (F.col("g.month_idx") == F.col("dl.month_idx")),
+            "left",
+        ).select(F.col("g.department_id").alias("department_id"), F.col("g.month_idx").alias("month_idx"),
+                 F.coalesce(F.col("dl.delta"), F.lit(0)).alias("delta"))
+        w = Window.partitionBy("department_id").orderBy("month_idx").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        counts = joined.withColumn("headcount", F.sum("delta").over(w).cast("bigint")).filter(F.col("headcount") > 0)
+        return counts.select(
+            "department_id", month_label_from_index("month_idx").alias("snapshot_month"), "headcount"
+        )
+
     months = covered.select("department_id", F.explode(F.sequence("_f", "_l")).alias("month_idx"))
     return months.groupBy("department_id", "month_idx").agg(F.count(F.lit(1)).alias("headcount")).select(
         "department_id", month_label_from_index("month_idx").alias("snapshot_month"), "headcount"

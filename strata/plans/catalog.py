@@ -176,6 +176,10 @@ def q_headcount_history_expanded(spark, d):
     return _s(spark, d).headcount("expand")
 
 
+def q_headcount_history_sweep(spark, d):
+    return _s(spark, d).headcount("sweep")
+
+
 def q_sorted_history(spark, d):
     return _s(spark, d).headcount("expand").orderBy("snapshot_month", "department_id")
 
@@ -353,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "month_spine": q_month_spine,
     "headcount_history": q_headcount_history,
     "headcount_history_expanded": q_headcount_history_expanded,
+    "headcount_history_sweep": q_headcount_history_sweep,
     "sorted_history": q_sorted_history,
     "top_attrition": q_top_attrition,
     "status_breakdown": q_status_breakdown,

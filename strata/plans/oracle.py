@@ -241,6 +241,7 @@ ORACLE: dict[str, str] = {
                    f"FROM m, range(0, {N_MONTHS}) t(i) WHERE d IS NOT NULL",
     "headcount_history": with_ctes(emp_ctes(), SPINE, HEADCOUNT, body="SELECT * FROM hc"),
     "headcount_history_expanded": with_ctes(emp_ctes(), SPINE, HEADCOUNT, body="SELECT * FROM hc"),
+    "headcount_history_sweep": with_ctes(emp_ctes(), SPINE, HEADCOUNT, body="SELECT * FROM hc"),
     "sorted_history": with_ctes(emp_ctes(), SPINE, HEADCOUNT, body="SELECT * FROM hc ORDER BY snapshot_month, department_id"),
     "workforce_summary": with_ctes(emp_ctes(), DEPT, WORKFORCE, body="SELECT * FROM ws"),
     "top_attrition": with_ctes(

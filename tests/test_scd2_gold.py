@@ -124,7 +124,7 @@ def versions(spark):
     return spark.createDataFrame(rows, VERS)
 
 
-@pytest.mark.parametrize("plan", ["expand", "range_join"])
+@pytest.mark.parametrize("plan", ["expand", "range_join", "sweep"])
 def test_headcount_boundaries(spark, versions, plan):
     out = gold.headcount_history(versions, spark, "2026-06-10", 12, plan=plan)
     may = {r.department_id for r in out.filter("snapshot_month = '2026-05'").collect()}
@@ -136,7 +136,13 @@ def test_headcount_boundaries(spark, versions, plan):
 def test_headcount_plans_agree_and_end_of_day(spark, versions):
     a = gold.headcount_history(versions, spark, "2026-08-01", 30, plan="expand")
     b = gold.headcount_history(versions, spark, "2026-08-01", 30, plan="range_join")
+    c = gold.headcount_history(versions, spark, "2026-08-01", 30, plan="sweep")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
+    nd = versions.withColumn("department_id", F.lit(None).cast("string"))  # NULL department: own group
+    x = gold.headcount_history(nd, spark, "2026-08-01", 30, plan="expand")
+    y = gold.headcount_history(nd, spark, "2026-08-01", 30, plan="sweep")
+    assert x.count() > 0 and x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
     eod = gold.headcount_history(versions, spark, "2026-06-10", 12, plan="expand", end_of_day=True)
     eod_j = gold.headcount_history(versions, spark, "2026-06-10", 12, plan="range_join", end_of_day=True)
     may = {r.department_id for r in eod.filter("snapshot_month = '2026-05'").collect()}

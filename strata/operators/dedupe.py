@@ -102,12 +102,21 @@ def split_duplicates(
     rejected with that reason instead of competing as one NULL group.
     ``reject_columns`` selects the rejected layout (``rejection_reason`` is
     added if not listed).  Clean keeps the input columns.
+    ``staged=True``: ``df`` is already a stored table carrying ``_row_id``
+    (e.g. from ``latest_incremental``), so no second write is needed.
+
+    Ties under ``order`` are broken by the row content (every other sortable
+    column), so the same input picks the same winner on every run whatever
+    the staging order; the row id only chooses among exact copies.
     """
     keep_cols = [c for c in df.columns if c != ROW_ID]
     base = df if staged else stage(df)
     if ROW_ID not in base.columns:
         raise ValueError("staged input must carry a row id column")
-    tb = [ROW_ID] if tiebreak is None else list(tiebreak) + [ROW_ID]
+    if tiebreak is None:
+        named = [o for o in order if isinstance(o, str)]
+        tiebreak = _sortable(base, list(keys) + named + [ROW_ID])
+    tb = list(tiebreak) + [ROW_ID]
 
     if null_key_reason is not None:
         any_null = F.lit(False)

@@ -171,3 +171,14 @@ def test_cast_or_reject(spark):
     bad = {r.bad_columns for r in rej.collect()}
     assert bad == {"id", "d", "amt"}
     assert typed.count() + rej.count() == raw.count()
+
+
+def test_split_ties_resolve_by_content_on_every_run(spark):
+    # same key, same order value, different content: the winner must not depend on staging order
+    rows = [("k", 1, "b"), ("k", 1, "a"), ("k", 1, "c")]
+    winners = set()
+    for perm in ([0, 1, 2], [2, 1, 0], [1, 2, 0]):
+        df = spark.createDataFrame([rows[i] for i in perm], "k STRING, v INT, w STRING").repartition(3)
+        clean, _ = split_duplicates(df, ["k"], [F.desc("v")], "dup")
+        winners.add(clean.first().w)
+    assert winners == {"a"}

@@ -29,6 +29,9 @@ ATTRITION_STATUSES = ("Resigned", "Notice")
 PRESENT_STATUS = "Present"
 ABSENT_STATUS = "Absent"
 
+# headcount_history(plan="auto"): longest spine still planned by month expansion
+AUTO_EXPAND_MAX_MONTHS = 24
+
 
 def workforce_summary(
     employees: DataFrame,
@@ -102,7 +105,7 @@ def headcount_history(
     as_of,
     n_months: int = 12,
     active: str | None = ACTIVE_STATUS,
-    plan: str = "expand",
+    plan: str = "auto",
     end_of_day: bool = False,
     ts_type: str = "timestamp_ntz",
 ) -> DataFrame:
@@ -129,9 +132,13 @@ def headcount_history(
     department over its spine months.  Constant work per version whatever
     ``n_months`` is; a hot department is at most ``n_months`` rows after the
     partial aggregation.
+    plan="auto" (default): expand for spines up to 24 months (at most that
+    many generated rows per version, no join), sweep beyond.
     """
+    if plan == "auto":
+        plan = "expand" if n_months <= AUTO_EXPAND_MAX_MONTHS else "sweep"
     if plan not in ("expand", "range_join", "sweep"):
-        raise ValueError("plan must be 'expand', 'range_join' or 'sweep'")
+        raise ValueError("plan must be 'auto', 'expand', 'range_join' or 'sweep'")
     spine = month_spine(spark, as_of, n_months)
     v = _active(versions, active).select("department_id", FROM, TO)
     lo = F.lit(month_index_of(as_of) - n_months + 1)

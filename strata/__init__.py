@@ -4,4 +4,36 @@ Every operator takes its run id, run date and as-of time as arguments, so the
 same inputs always give the same outputs.  Nothing here reads the wall clock.
 """
 
+from strata.operators.audit import audit_row, table_counts
+from strata.operators.bronze import ingest_bronze, latest_incremental, read_bronze, runs_summary, stamp_lineage
+from strata.operators.dedupe import latest_by, split_duplicates, stage
+from strata.operators.gold import (
+    attendance_payroll,
+    headcount_history,
+    month_spine,
+    monthly_status_counts,
+    status_breakdown,
+    workforce_summary,
+)
+from strata.operators.layout import compact_and_cluster, with_zorder_key
+from strata.operators.quality import (
+    add_payroll_delay,
+    add_work_hours,
+    attendance_flags,
+    cast_or_reject,
+    recompute_net_pay,
+    variance_profile,
+)
+from strata.operators.scd2 import scd2_apply, scd2_as_of, scd2_changes, scd2_expire, scd2_init, scd2_new_keys
+from strata.operators.versions import compare_versions, read_version, version_history, write_version
+
 __version__ = "0.1.0"
+
+__all__ = [
+    "add_payroll_delay", "add_work_hours", "attendance_flags", "attendance_payroll", "audit_row",
+    "cast_or_reject", "compact_and_cluster", "compare_versions", "headcount_history", "ingest_bronze",
+    "latest_by", "latest_incremental", "month_spine", "monthly_status_counts", "read_bronze", "read_version",
+    "recompute_net_pay", "runs_summary", "scd2_apply", "scd2_as_of", "scd2_changes", "scd2_expire", "scd2_init",
+    "scd2_new_keys", "split_duplicates", "stage", "stamp_lineage", "status_breakdown", "table_counts",
+    "variance_profile", "version_history", "with_zorder_key", "workforce_summary", "write_version",
+]

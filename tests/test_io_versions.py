@@ -170,7 +170,7 @@ def test_end_to_end_run(spark):
         ("E1", "D1", "Eng", "M", "150.00", "Active", "2020-01-01"),
         ("E2", "D1", "Eng", "M", "200.00", "Resigned", "2021-01-01"),
         ("E3", "D1", "Ops", "M", "300.00", "Active", "2026-05-01")])
-    p2 = RunParams(base, "r2", "2026-05-21", "2026-05-21 23:00:00", n_months=3, clock=clock)
+    p2 = RunParams(base, "r2", "2026-05-21", "2026-05-21 23:00:00", n_months=3, clock=clock, cluster_files=2)
     res, audit = run_all(spark, p2)
     emp = versions.read_version(spark, p2.path("silver", "employee"))
     assert emp.count() == 4 and emp.filter("is_current").count() == 3

@@ -130,3 +130,22 @@ def compare_versions(
 def sql_source(path: str, version: int) -> str:
     """A Spark SQL FROM-clause source for one version folder: ``parquet.`<path>/version=N```."""
     return f"parquet.`{path}/version={int(version)}`"
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Delete all but the newest ``keep`` complete versions (and any incomplete older folders).
+
+    The history log is kept.  Returns the deleted version numbers.  Only
+    folder deletes on the driver (file-system metadata), no data pass.
+    """
+    jvm, p, fs = _fs(spark, path)
+    complete = list_versions(spark, path)
+    if len(complete) <= keep:
+        return []
+    oldest_kept = complete[-keep]
+    gone = []
+    for v in list_versions(spark, path, complete_only=False):
+        if v < oldest_kept:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/version={v}"), True)
+            gone.append(v)
+    return gone

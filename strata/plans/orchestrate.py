@@ -5,10 +5,10 @@ Layout under ``base`` (a shared file system path)::
     raw/<entity>/<run_date>/*.csv          landed files (``land_csv``)
     bronze/<entity>/_run_id=<run>/         append-only history, one folder per run
     bronze_latest/<entity>/version=<n>/    latest row per source id, updated incrementally
-    silver/{attendance,payroll,department} rebuilt each run (overwrite)
+    silver/{attendance,payroll,department}/version=<n>/  rebuilt each run, replaced atomically
     silver/employee/version=<n>/           SCD2 table, one version per run
     rejected/{attendance,payroll}/_run_id=<run>/
-    gold/{workforce_summary,dept_headcount_history,attendance_payroll}
+    gold/{workforce_summary,dept_headcount_history,attendance_payroll}/version=<n>/
     (with ``cluster_files`` the silver tables are written z-ordered on the
     reference's columns, in place of a separate OPTIMIZE ... ZORDER pass)
     audit/                                 one row per run
@@ -33,7 +33,7 @@ from strata.operators import gold, layout, quality, scd2, versions
 from strata.operators.audit import audit_row, table_counts
 from strata.operators.bronze import append_run, latest_incremental, stamp_lineage
 from strata.operators.dedupe import ROW_ID, split_duplicates
-from strata.sources.files import read_csv, safe_count, write_table
+from strata.sources.files import read_csv, safe_count
 from strata.sources.jdbc import append_jdbc, publish_all
 
 # Fixed values that must equal the reference's for the same results.
@@ -78,6 +78,7 @@ class RunParams:
     jdbc_url: str | None = None
     jdbc_props: Mapping[str, str] = field(default_factory=dict)
     cluster_files: int | None = None  # write silver tables z-ordered into this many files
+    keep_versions: int = 2            # versions kept per replaced silver/gold table
     clock: Callable[[], _dt.datetime] = field(default=lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
 
     def path(self, *parts: str) -> str:
@@ -113,6 +114,20 @@ def _clustered(df: DataFrame, p: RunParams, entity: str) -> DataFrame:
     return layout.cluster(df, list(CLUSTER_COLUMNS[entity]), p.cluster_files)
 
 
+def _replace(df: DataFrame, p: RunParams, zone: str, table: str) -> int:
+    """Replace a rebuildable table atomically: write it as the next version, then
+    drop versions beyond ``keep_versions``.  Readers only ever see a complete version."""
+    path = p.path(zone, table)
+    v = versions.write_version(df, path, p.run_id, p.as_of, "OVERWRITE")
+    versions.vacuum(df.sparkSession, path, keep=p.keep_versions)
+    return v
+
+
+def _current(spark: SparkSession, p: RunParams, zone: str, table: str) -> DataFrame:
+    """Latest complete version of a replaced table."""
+    return versions.read_version(spark, p.path(zone, table)).drop("version")
+
+
 def _append_rejected(df: DataFrame, path: str, run_id: str) -> None:
     """Rejected rows of this run, in this run's partition (re-runs replace it).
 
@@ -131,7 +146,7 @@ def silver_attendance(spark: SparkSession, p: RunParams) -> None:
         null_key_reason="null_key" if p.strict else None, staged=True,
     )
     _append_rejected(rejected, p.path("rejected", "attendance"), p.run_id)
-    write_table(_clustered(clean, p, "attendance"), p.path("silver", "attendance"))
+    _replace(_clustered(clean, p, "attendance"), p, "silver", "attendance")
 
 
 def silver_payroll(spark: SparkSession, p: RunParams) -> None:
@@ -143,7 +158,7 @@ def silver_payroll(spark: SparkSession, p: RunParams) -> None:
         null_key_reason="null_key" if p.strict else None, staged=True,
     )
     _append_rejected(rejected, p.path("rejected", "payroll"), p.run_id)
-    write_table(_clustered(clean, p, "payroll"), p.path("silver", "payroll"))
+    _replace(_clustered(clean, p, "payroll"), p, "silver", "payroll")
 
 
 def silver_employee(spark: SparkSession, p: RunParams) -> int:
@@ -163,7 +178,7 @@ def silver_employee(spark: SparkSession, p: RunParams) -> int:
 
 
 def silver_department(spark: SparkSession, p: RunParams) -> None:
-    write_table(_latest(spark, p, "department", "department_id").drop(ROW_ID), p.path("silver", "department"))
+    _replace(_latest(spark, p, "department", "department_id").drop(ROW_ID), p, "silver", "department")
 
 
 def _employees(spark: SparkSession, p: RunParams) -> DataFrame:
@@ -171,31 +186,35 @@ def _employees(spark: SparkSession, p: RunParams) -> DataFrame:
 
 
 def gold_workforce(spark: SparkSession, p: RunParams) -> None:
-    dept = spark.read.parquet(p.path("silver", "department"))
-    write_table(gold.workforce_summary(_employees(spark, p), dept, p.as_of), p.path("gold", "workforce_summary"))
+    dept = _current(spark, p, "silver", "department")
+    _replace(gold.workforce_summary(_employees(spark, p), dept, p.as_of), p, "gold", "workforce_summary")
 
 
 def gold_headcount(spark: SparkSession, p: RunParams) -> None:
     hc = gold.headcount_history(_employees(spark, p), spark, p.as_of, p.n_months)
-    write_table(gold.with_refresh(hc, p.as_of), p.path("gold", "dept_headcount_history"))
+    _replace(gold.with_refresh(hc, p.as_of), p, "gold", "dept_headcount_history")
 
 
 def gold_attendance_payroll(spark: SparkSession, p: RunParams) -> None:
-    att = spark.read.parquet(p.path("silver", "attendance"))
-    pay = spark.read.parquet(p.path("silver", "payroll"))
+    att = _current(spark, p, "silver", "attendance")
+    pay = _current(spark, p, "silver", "payroll")
     out = gold.attendance_payroll(pay, gold.monthly_status_counts(att), p.as_of)
-    write_table(out, p.path("gold", "attendance_payroll"))
+    _replace(out, p, "gold", "attendance_payroll")
 
 
 def publish(spark: SparkSession, p: RunParams) -> None:
     if p.jdbc_url:
-        publish_all(spark, p.jdbc_url, [(t, p.path(rel)) for t, rel in REPORT_TABLES], p.jdbc_props)
+        tables = [(t, f"{p.path(rel)}/version={versions.latest_version(spark, p.path(rel))}")
+                  for t, rel in REPORT_TABLES]
+        publish_all(spark, p.jdbc_url, tables, p.jdbc_props)
 
 
 def run_audit(spark: SparkSession, p: RunParams, start: _dt.datetime, end: _dt.datetime, failed: list[str]) -> DataFrame:
     def table_or_empty(path: str) -> DataFrame:
         if safe_count(spark, path) == 0:
             return spark.range(0).select(F.lit(1).alias("x"))
+        if versions.latest_version(spark, path) is not None:
+            return versions.read_version(spark, path)
         return spark.read.parquet(path)
 
     emp_store = p.path("silver", "employee")

@@ -174,11 +174,11 @@ def test_end_to_end_run(spark):
     res, audit = run_all(spark, p2)
     emp = versions.read_version(spark, p2.path("silver", "employee"))
     assert emp.count() == 4 and emp.filter("is_current").count() == 3
-    ws = spark.read.parquet(p2.path("gold", "workforce_summary")).first()
+    ws = versions.read_version(spark, p2.path("gold", "workforce_summary")).first()
     assert (ws.headcount, ws.active_count, ws.attrition_count, ws.department_name) == (3, 2, 1, "One")
-    ap = {r.employee_id: r for r in spark.read.parquet(p2.path("gold", "attendance_payroll")).collect()}
+    ap = {r.employee_id: r for r in versions.read_version(spark, p2.path("gold", "attendance_payroll")).collect()}
     assert (ap["E1"].days_present, ap["E2"].days_absent) == (1, 1)
-    hc = spark.read.parquet(p2.path("gold", "dept_headcount_history")).collect()
+    hc = versions.read_version(spark, p2.path("gold", "dept_headcount_history")).collect()
     assert [(r.snapshot_month, r.headcount) for r in hc] == [("2026-05", 2)]  # E1 (new version) and E3
     rej = spark.read.parquet(p2.path("rejected", "attendance"))
     assert {r._run_id: r.n for r in rej.groupBy("_run_id").agg(F.count("*").alias("n")).collect()} == {"r1": 1, "r2": 1}
@@ -286,3 +286,14 @@ def test_cluster_conf_sizes_partitions():
     assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     small = cluster_conf(10 * 1024**3, executors=10, cores_per_executor=4)
     assert small["spark.sql.shuffle.partitions"] == "80"  # at least twice the slots
+
+
+def test_vacuum_keeps_newest_versions(spark):
+    path = shared_dir(spark, "versions_vacuum")
+    t = spark.createDataFrame([(1,)], "k INT")
+    for i in range(4):
+        versions.write_version(t, path, f"r{i}", "2026-01-01 00:00:00")
+    assert versions.vacuum(spark, path, keep=2) == [0, 1]
+    assert versions.list_versions(spark, path) == [2, 3]
+    assert versions.read_version(spark, path).count() == 1
+    assert versions.version_history(spark, path).count() == 4  # the log is kept

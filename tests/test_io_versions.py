@@ -297,3 +297,24 @@ def test_vacuum_keeps_newest_versions(spark):
     assert versions.list_versions(spark, path) == [2, 3]
     assert versions.read_version(spark, path).count() == 1
     assert versions.version_history(spark, path).count() == 4  # the log is kept
+
+
+def test_replayed_stream_batch_replaces_its_output(spark):
+    from strata.streaming.ingest import _writer
+
+    bronze = shared_dir(spark, "replay")
+    batch = spark.createDataFrame([(1, "r1"), (2, "r1")], "id INT, _run_id STRING")
+    write = _writer(bronze)
+    write(batch, 0)
+    write(batch, 0)  # the same epoch again after a failure
+    write(batch.limit(1), 1)
+    b = read_bronze(spark, bronze)
+    assert b.count() == 3 and b.filter("_batch = 0").count() == 2
+
+
+def test_audit_record_literal_row(spark):
+    from strata.operators.audit import AUDIT_SCHEMA, audit_record
+
+    row = audit_record(spark, ["r1", "pl_master_hr", "all_sources", "Full", dt.datetime(2026, 5, 21, 6),
+                               dt.datetime(2026, 5, 21, 7), 10, 10, 0, 2, "Success", None])
+    assert row.schema == AUDIT_SCHEMA and row.first().records_rejected == 2

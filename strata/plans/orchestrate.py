@@ -59,6 +59,8 @@ CLUSTER_COLUMNS = {
     "payroll": ("employee_id", "pay_period"),
     "attendance": ("employee_id", "attendance_date"),
 }
+
+# Step names of run_all, in the order the steps run.
 STEPS = (
     "bronze_attendance", "bronze_payroll", "bronze_employee", "bronze_department",
     "silver_attendance", "silver_payroll", "silver_employee_scd2", "silver_department",

@@ -52,35 +52,37 @@ THIS SOFTWARE."""),
 ]
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form: A-Z lower-cased, copyright lines dropped, spellings unified, punctuation to single spaces.
-
-    Letters beyond ASCII stay as they are.  NULL stays NULL.
-    """
-    t = ascii_lower(text)
+def canonical_lines(text: Column) -> Column:
+    """Canonical form line by line: lower case, copyright lines emptied, spellings unified, punctuation to a space."""
+    t = F.lower(text)
     t = F.regexp_replace(t, r"(?m)^[ \t*#/;-]*(?:copyright[ \t]*(?:\(c\)|©|[0-9:])|\(c\)|©)[^\n]*$", " ")
     for a, b in SPELLINGS:
         t = F.replace(t, F.lit(a), F.lit(b))
-    t = F.regexp_replace(t, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " ")
-    return F.trim(t)
+    return F.regexp_replace(t, r"[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " ")
 
 
-def digest(text: Column) -> Column:
-    """md5 of the canonical form; NULL for NULL and for texts with nothing left."""
-    return F.md5(F.nullif(canonical(text), F.lit("")).cast("binary"))
+def digest(lines: Column) -> Column:
+    """md5 of an entire canonical text on one line; NULL for NULL and for texts with nothing left."""
+    t = F.trim(F.regexp_replace(F.replace(lines, F.lit("\n"), F.lit(" ")), "  +", " "))
+    return F.md5(F.nullif(t, F.lit("")).cast("binary"))
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
     """(digest, license) of known texts; the same digest keeps its smallest licence name."""
     rows = spark.createDataFrame(known, "license string, text string")
-    return rows.select(digest(F.col("text")).alias("digest"), "license").groupBy("digest").agg(
+    return rows.select(digest(canonical_lines(F.col("text"))).alias("digest"), "license").groupBy("digest").agg(
         F.min("license").alias("license"))
 
 
 def scan_units(units: DataFrame, known: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """Units whose entire text is a known licence: ``keys`` and license (digest equi-join)."""
+    lines = units.select(*keys, canonical_lines(F.col(text)).alias("_lines"))
+    return _matched(lines, known, keys, "_lines")
+
+
+def _matched(units: DataFrame, known: DataFrame, keys: list[str], lines: str) -> DataFrame:
     k = known.select(F.col("digest").alias("_digest"), F.col("license"))
-    return units.select(*keys, digest(F.col(text)).alias("_digest")).join(k, "_digest").select(*keys, "license")
+    return units.select(*keys, digest(F.col(lines)).alias("_digest")).join(k, "_digest").select(*keys, "license")
 
 
 def scan_documents(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -89,12 +91,12 @@ def scan_documents(docs: DataFrame, known: DataFrame) -> DataFrame:
     Every input row gives one row, repeated rows too.  NULL and empty texts
     match nothing.  A line that occurs twice in a document counts twice.
     """
-    d = docs.select("doc_id", "text").withColumn("h", F.xxhash64("text"))
-    units = d.select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("i", "unit"))
-    lines = scan_units(units, known, ["doc_id", "h", "i"], "unit").groupBy("doc_id", "h").agg(
+    d = docs.select("doc_id", F.xxhash64("text").alias("h"), canonical_lines(F.col("text")).alias("c"))
+    units = d.select("doc_id", "h", F.posexplode(F.split("c", "\n")).alias("i", "unit"))
+    lines = _matched(units, known, ["doc_id", "h", "i"], "unit").groupBy("doc_id", "h").agg(
         F.sort_array(F.collect_set("license")).alias("line_licenses"), F.count_distinct("i").alias("n_lines_matched"))
     kd = known.select(F.col("digest").alias("_digest"), F.col("license").alias("whole_license"))
-    whole = d.select("doc_id", "h", digest(F.col("text")).alias("_digest"))
+    whole = d.select("doc_id", "h", digest(F.col("c")).alias("_digest"))
     w, n = whole.join(kd, "_digest", "left").alias("w"), lines.alias("n")
     return w.join(n, F.col("w.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("w.h") == F.col("n.h")), "left").select(
         "w.doc_id", "w.whole_license",

@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, embedding_dedup, license_scan, minhash_dedup, topk_search, url_filter
+from strata.llm import (
+    byte_bpe,
+    embedding_dedup,
+    license_scan,
+    line_dedup,
+    minhash_dedup,
+    source_mix,
+    topk_search,
+    url_filter,
+)
 from strata.llm.common import read
 
 #: Vocabulary of op6 (a parameter of the operator; the file is never copied).
@@ -18,10 +27,18 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_documents(read(spark, sf_dir, "documents"), license_scan.known_digests(spark))
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), shingle_words=2, percent=80).drop("d1", "d2")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(read(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,7 +64,7 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_license_scan, op4_minhash_dedup, op6_byte_bpe, op7_topk_search, op8_url_filter, op9_embedding_dedup)
+        op1_license_scan, op3_source_mix, op4_minhash_dedup, op5_line_dedup, op6_byte_bpe, op7_topk_search, op8_url_filter, op9_embedding_dedup)
 }
 
 ORACLE: dict[str, str] = {}

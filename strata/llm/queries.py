@@ -15,6 +15,7 @@ from strata.llm import (
     minhash_dedup,
     source_mix,
     topk_search,
+    toxicity,
     url_filter,
 )
 from strata.llm.common import read
@@ -62,9 +63,14 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_license_scan, op3_source_mix, op4_minhash_dedup, op5_line_dedup, op6_byte_bpe, op7_topk_search, op8_url_filter, op9_embedding_dedup)
+        op1_license_scan, op3_source_mix, op4_minhash_dedup, op5_line_dedup, op6_byte_bpe, op7_topk_search, op8_url_filter, op9_embedding_dedup, op10_toxicity)
 }
 
 ORACLE: dict[str, str] = {}

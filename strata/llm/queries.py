@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strata.llm import (
     byte_bpe,
     embedding_dedup,
+    html_text,
     license_scan,
     line_dedup,
     minhash_dedup,
@@ -28,6 +29,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_documents(read(spark, sf_dir, "documents"), license_scan.known_digests(spark))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train(pages))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -70,7 +76,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_license_scan, op3_source_mix, op4_minhash_dedup, op5_line_dedup, op6_byte_bpe, op7_topk_search, op8_url_filter, op9_embedding_dedup, op10_toxicity)
+        op1_license_scan, op2_html_text, op3_source_mix, op4_minhash_dedup, op5_line_dedup, op6_byte_bpe,
+        op7_topk_search, op8_url_filter, op9_embedding_dedup, op10_toxicity)
 }
 
 ORACLE: dict[str, str] = {}

@@ -194,3 +194,23 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
 
     schema = f"key {kind.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     return docs.select(key, text).mapInArrow(run, schema).withColumnRenamed("key", key)
+
+
+def tokenize(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``docs`` with ids, n_tokens and ``text`` as decoded from the ids (NULL counts as empty)."""
+    cols = docs.columns
+    at = cols.index(text)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = load(path, pattern)[1]
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                ids = [i for i, _ in encode_texts(part.column(at).to_pylist(), path, pattern)]
+                back = pa.array([b"".join([table[i] for i in x]).decode("utf-8", "replace") for x in ids], pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [*[back if k == at else c for k, c in enumerate(part.columns)], pa.array(ids, pa.list_(pa.int32())),
+                     pa.array([len(x) for x in ids], pa.int64())], [*cols, "ids", "n_tokens"])
+
+    return docs.mapInArrow(run, f"{kinds}, ids array<int>, n_tokens bigint")

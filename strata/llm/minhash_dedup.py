@@ -66,7 +66,7 @@ def minwise(s: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, size: int, full: bool) -> DataFrame:
-    """doc_id, n, d1, d2 (digest of the set) and ``sketch`` or, with ``full``, the set as ``items``."""
+    """doc_id, h (hash of the text), n, d1, d2 (digest of the set) and ``sketch`` or, with ``full``, the set as ``items``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     last = "items" if full else "sketch"
 
@@ -84,10 +84,11 @@ def _sets(docs: DataFrame, size: int, full: bool) -> DataFrame:
                     data.append((s.tobytes() if full else minwise(s).tobytes()) if len(s) else b"")
                 d = np.array(d).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()),
-                     pa.array(data, pa.binary())], ["doc_id", "n", "d1", "d2", last])
+                    [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()),
+                     pa.array(data, pa.binary())], ["doc_id", "h", "n", "d1", "d2", last])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, d1 bigint, d2 bigint, {last} binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(
+        run, f"doc_id {kind}, h bigint, n bigint, d1 bigint, d2 bigint, {last} binary")
 
 
 def _token(coord: Column) -> Column:
@@ -179,7 +180,7 @@ def _stars(reps: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80, trees: int = TREES) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept, class digest d1, d2.
+    """One row per document: doc_id, n_shingles, component_id, kept, and h (hash of its text), root (number of its group).
 
     Documents whose shingle sets reach a Jaccard similarity of ``percent``
     are linked; ``component_id`` is the smallest doc_id reachable and
@@ -249,7 +250,28 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80,
     final = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "shingle-components")
     head = reps.select(F.col("node").alias("root"), F.col("doc_id").alias("component_id"))
     known = reps.select("node", "d1", "d2").join(final, "node", "left").withColumn("root", F.coalesce("root", "node")) \
-        .join(head, "root").select("d1", "d2", "component_id")
+        .join(head, "root").select("d1", "d2", "component_id", "root")
     out = sets.join(known, ["d1", "d2"], "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "d1", "d2")
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "h", "root")
+
+
+def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates: the smallest doc_id, then h.
+
+    Documents without words stay.  Of rows that share doc_id and text one stays.
+    """
+    found = near_duplicates(docs, shingle_words, percent)
+    best = found.filter("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("k")).select("k.*")
+    stay = staged(best.unionByName(found.filter("root is null").select("doc_id", "h")).groupBy("doc_id", "h").agg(
+        F.count(F.lit(1)).alias("_n")), "near-duplicates-kept")
+    rows = docs.withColumn("_h", F.xxhash64("text"))
+    twice = staged(rows.groupBy("doc_id", "_h").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1"), "repeated-rows")
+    same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}._h") == F.col(f"{b}._h"))
+    stay = stay.select("doc_id", F.col("h").alias("_h"))
+    kept = rows.alias("r").join(stay.alias("s"), same("r", "s"), "left_semi")
+    if not twice.isEmpty():
+        once = kept.alias("r").join(twice.alias("t"), same("r", "t"), "left_anti")
+        again = kept.alias("r").join(twice.alias("t"), same("r", "t"), "left_semi").dropDuplicates(["doc_id", "_h"])
+        kept = once.unionByName(again)
+    return kept.select(*docs.columns)

@@ -39,7 +39,8 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), shingle_words=2, percent=80).drop("d1", "d2")
+    found = minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+    return found.drop("h", "root")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

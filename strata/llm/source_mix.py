@@ -91,8 +91,11 @@ def sainte_lague(parts: DataFrame, group: list[str], claim: str, seats: str, cap
     return a.join(b, on, "left").select(*keep, (F.col("a._sure") + F.coalesce("b._more", F.lit(0))).alias("quota"))
 
 
-def mix(docs: DataFrame, seed: int = 11, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document: doc_id, size, source, source_size, target, taken, start (words before it in its shard), quota, shard_size.
+def mix(docs: DataFrame, seed: int = 11, block_words: int = BLOCK_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: ``carry``, doc_id, size, source, source_size, target, taken, and what is taken.
+
+    That is ``passes`` whole copies, its first ``ahead`` words once more, and
+    ``again`` words after its first ``skip``.
 
     Sources in code point order, NULL last, weigh 1, 2, 3, repeating.  Texts
     that are NULL or without words have size 0 and nothing is taken from
@@ -104,6 +107,9 @@ def mix(docs: DataFrame, seed: int = 11, block_words: int = BLOCK_WORDS) -> Data
     d = staged(d.withColumn("h", spread), "mix-sizes")
     shards = F.lit(max(1, -(-d.count() // SHARD_DOCS)))
     d = d.withColumn("shard", F.pmod("h", shards))
+    whole = d
+    if carry:
+        whole = docs.withColumns({"size": word_count(F.col("text")), "h": spread}).withColumn("shard", F.pmod("h", shards))
     cells = staged(d.groupBy("source", "shard").agg(F.sum("size").alias("cell")), "mix-cells")
     sources = cells.groupBy("source").agg(F.sum("cell").alias("source_size"))
     ranked = staged(code_point_rank(sources, "source", "mix-order").withColumn("weight", F.col("pos") % 3 + 1).drop("pos"),
@@ -123,26 +129,42 @@ def mix(docs: DataFrame, seed: int = 11, block_words: int = BLOCK_WORDS) -> Data
     words = F.least(F.col("quota") * block_words, F.col("cell") * REPEATS)
     cell = staged(cell.select("source", "shard", "cell", "source_size", "target", words.alias("words")), "mix-quotas")
     place = Window.partitionBy("source", "shard").orderBy("h", "doc_id", "size")
-    lay = d.withColumn("start", F.sum("size").over(place.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    lay = whole.withColumn("start", F.sum("size").over(place.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     x, y = lay.alias("x"), cell.alias("y")
     on = F.col("x.source").eqNullSafe(F.col("y.source")) & (F.col("x.shard") == F.col("y.shard"))
     blocks = F.greatest(F.ceil(F.col("y.cell") / block_words), F.lit(1))
     turn = F.pmod(F.xxhash64(F.lit(seed), "x.source", "x.shard"), blocks) * block_words  # the seeded first block
-    out = x.join(y, on).select("x.doc_id", "x.size", "x.source", "x.start", "y.cell", "y.source_size", "y.target", "y.words",
-                               turn.alias("turn"))
-    return out.withColumn("taken", taken_words())
-
-
-def taken_words() -> Column:
-    """Words of a document that the mix takes: whole passes of its shard, and its part of the rest.
-
-    The rest is the run of blocks from a seeded place in the shard's seeded
-    order on, going round at its end.
+    also = [c for c in carry if c not in ("doc_id", "size", "source")]
+    out = x.join(y, on).select(
+        "x.doc_id", "x.size", "x.source", *[f"x.{c}" for c in also], "x.start", "y.cell", "y.source_size", "y.target",
+        "y.words", turn.alias("turn"))
+    cell, size = F.greatest(F.col("cell"), F.lit(1)), F.col("size")
+    # whole passes of the shard, then the run of blocks from the seeded place on, going round at the shard's end
+    out = out.withColumn("passes", F.floor(F.col("words") / cell)).withColumns({
+        "rest": F.col("words") - F.col("passes") * F.col("cell"),
+        "skip": F.col("cell") - F.pmod(F.col("start") - F.col("turn"), cell)})  # words from its first to the seeded place
+    run_left = F.col("rest") - (F.col("cell") - F.col("skip"))
+    out = out.withColumns({
+        "ahead": F.greatest(F.lit(0), F.least(size, F.col("skip"), run_left)),
+        "again": F.greatest(F.lit(0), F.least(size - F.col("skip"), F.col("rest")))})
+    taken = F.when(size > 0, F.col("passes") * size + F.col("ahead") + F.col("again")).otherwise(0).cast("bigint")
+    return out.withColumn("taken", taken).drop("start", "cell", "words", "turn", "rest")
+
+
+def mixture(docs: DataFrame, seed: int = 11, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix itself: a row of ``docs`` for every copy taken, its text cut to the words taken; n_chars follows the text.
+
+    Documents of which nothing is taken are not in it.
     """
-    passes = F.floor(F.col("words") / F.greatest(F.col("cell"), F.lit(1)))
-    rest = F.col("words") - passes * F.col("cell")
-    at = F.pmod(F.col("start") - F.col("turn"), F.greatest(F.col("cell"), F.lit(1)))  # after the seeded place
-    ahead = F.greatest(F.lit(0), F.least(F.col("size"), F.col("cell") - at, rest - at))
-    # a document that reaches over the seeded place: its end lies at the start of the run again
-    round_ = F.greatest(F.lit(0), F.least(F.col("size") - (F.col("cell") - at), rest))
-    return F.when(F.col("size") > 0, passes * F.col("size") + ahead + round_).otherwise(0).cast("bigint")
+    m = mix(docs, seed, block_words, carry=tuple(docs.columns))
+    piece = lambda a, n: F.struct(a.cast("bigint").alias("a"), n.cast("bigint").alias("n"))
+    parts = F.concat(
+        F.array_repeat(piece(F.lit(0), F.col("size")), F.col("passes").cast("int")),
+        F.array(piece(F.lit(0), F.col("ahead")), piece(F.col("skip"), F.col("again"))))
+    rows = m.filter("taken > 0").withColumn("_p", F.explode(F.filter(parts, lambda p: p["n"] > 0)))
+    words = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    cut = F.array_join(F.slice(words, (F.col("_p.a") + 1).cast("int"), F.col("_p.n").cast("int")), "")
+    rows = rows.withColumn("text", F.when(F.col("_p.n") == F.col("size"), F.col("text")).otherwise(cut))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns)

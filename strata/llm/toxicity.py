@@ -337,7 +337,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3) -> Model:
         w = linear_svm(x, y)
     model = Model(landmarks, nystrom, w[:-1], float(w[-1]), np.zeros(4), base)
     some = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_CALIBRATION)
-    got = margins(some, model, extra=["toxic"]).toPandas()  # MAX_CALIBRATION rows of four numbers
+    got = margins(some, model, ("toxic",)).toPandas()  # MAX_CALIBRATION rows of four numbers
     x = evidence(*(got[c].to_numpy(float) for c in ("margin", "total", "words")))
     model.curve = logistic(x, got["toxic"].to_numpy(float))
     return model
@@ -347,21 +347,21 @@ def held_out(doc_id: F.Column) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def margins(docs: DataFrame, model: Model, extra: list[str] = []) -> DataFrame:
-    """doc_id, ``extra``, margin, total, words of each whole text.
+def margins(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``keep`` and margin, total, words of each whole text.
 
     ``margin`` is the largest sentence margin (without sentences the bias),
     ``total`` the sum of what lifts sentences above the bias.
     """
-    keep = ["doc_id", *extra]
-    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    cols = [*keep, *(["text"] if "text" not in keep else [])]
+    at, kinds = cols.index("text"), ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = WordScorer(model.landmarks, model.word_weights())
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part, out = b.slice(lo, 512), []
-                texts = [[words_of(s) for s in sentences_of(t)] for t in part.column(len(keep)).to_pylist()]
+                texts = [[words_of(s) for s in sentences_of(t)] for t in part.column(at).to_pylist()]
                 scorer.learn({w for t in texts for s in t for w in s})
                 for t in texts:
                     m = scorer.sentence_margins(t)
@@ -369,7 +369,17 @@ def margins(docs: DataFrame, model: Model, extra: list[str] = []) -> DataFrame:
                 cols = [pa.array(c, pa.float64()) for c in zip(*out)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *cols], [*keep, "margin", "total", "words"])
 
-    return docs.select(*keep, "text").mapInArrow(run, f"{kinds}, margin double, total double, words double")
+    return docs.select(*cols).mapInArrow(run, f"{kinds}, margin double, total double, words double")
+
+
+def scored(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``keep`` and score (0 to 1) of each whole text."""
+    if not model.landmarks:
+        return docs.select(*keep, F.lit(float(model.base)).alias("score"))
+    a, b, c, d = (float(x) for x in model.curve)
+    z = a * F.col("margin") + b * F.log1p("total") + c * F.log1p(100 * F.col("total") / (F.col("words") + 10)) + d
+    p = 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z))))
+    return margins(docs, model, keep).select(*keep, p.alias("score"))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
@@ -378,11 +388,5 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     NULL and empty texts are scored like texts without any known word.
     Repeated rows give repeated rows.  A NULL doc_id is not held out.
     """
-    if model.landmarks:
-        a, b, c, d = (float(x) for x in model.curve)
-        z = a * F.col("margin") + b * F.log1p("total") + c * F.log1p(100 * F.col("total") / (F.col("words") + 10)) + d
-        s = margins(docs, model).withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z)))))
-    else:
-        s = docs.select("doc_id", F.lit(float(model.base)).alias("score"))
-    return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-                    (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                                      (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -43,6 +43,31 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(schema).parquet(path)
 
 
+#: 64-bit entries of a membership table.
+MARKS = 1 << 14
+
+
+def lookup(spark: SparkSession, rows: DataFrame, size: int, kind: str) -> Column:
+    """``rows`` (at, value) with at < size as one array value, 0 where none (a scalar subquery)."""
+    filled = spark.range(size).withColumnRenamed("id", "at").join(rows, "at", "left").select(
+        "at", F.coalesce("value", F.lit(0)).cast(kind).alias("value"))
+    return filled.agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]).alias("t")).scalar()
+
+
+def marks(df: DataFrame, *cols: str) -> Column:
+    """Whether the current row's ``cols`` may be among those of ``df``: never wrong when it says no.
+
+    A table of fixed size: with many more rows than its bits it lets all
+    pass, and what follows must still be exact.
+    """
+    bit = F.pmod(F.xxhash64(*cols), F.lit(MARKS * 64))
+    words = df.select(bit.alias("b")).groupBy(F.floor(F.col("b") / 64).alias("at")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.col("b"), F.lit(64)).cast("int"))).alias("value"))
+    table = lookup(df.sparkSession, staged(words, "marks"), MARKS, "bigint")
+    word = F.element_at(table, (F.floor(bit / 64) + 1).cast("int"))
+    return F.call_function("shiftright", word, F.pmod(bit, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges(src, dst)``: rows (node, root), root = smallest node.
 

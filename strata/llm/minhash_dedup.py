@@ -21,9 +21,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import components, staged
+from strata.llm.common import components, marks, staged
 
-COORDS = 64  # minwise tokens of a document
+COORDS = 128  # minwise tokens of a document
 TREES = 12  # recall at the threshold: 1 - 0.48 ** 12 for pairs that branch five times, more for others
 LEAF = 64  # classes of a node that are compared exhaustively
 DEPTH = 24  # levels before the remaining large nodes are compared in blocks
@@ -99,9 +99,10 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, pe
     """Pairs (a, b) whose full sets have 100 * common >= percent * union."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     want = staged(reps.join(used, "node", "left_semi").select("node", "doc_id", "d1", "d2"), name + "-used")
-    some = docs.join(want.select("doc_id").distinct(), "doc_id", "left_semi")
+    some = docs.filter(marks(want.select("doc_id").distinct(), "doc_id"))  # texts are not shuffled
     items = staged(
-        _sets(some, size, full=True).join(want, ["doc_id", "d1", "d2"])
+        _sets(some, size, full=True).alias("s").join(want.alias("w"), F.col("s.doc_id").eqNullSafe(F.col("w.doc_id"))
+                                                     & (F.col("s.d1") == F.col("w.d1")) & (F.col("s.d2") == F.col("w.d2")))
         .groupBy("node").agg(F.first("items").alias("items")), name + "-sets")
     both = (
         pairs.join(items.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
@@ -121,28 +122,38 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, pe
     return staged(both.mapInArrow(run, "a bigint, b bigint"), name)
 
 
-def _close(sig: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs that may link: exact bound by set size, and enough equal tokens.
-
-    ``sig`` holds one byte of each token.  A pair at the threshold has the
-    sampled share of equal tokens five standard deviations above the bound.
-    """
+def _least_equal(percent: int) -> float:
+    """Equal tokens below which a pair is no candidate: four standard deviations under what the threshold gives."""
     t = percent / 100
-    least = COORDS * (t - 5 * np.sqrt(t * (1 - t) / COORDS))
+    return COORDS * (t - 4 * np.sqrt(t * (1 - t) / COORDS))
+
+
+def _close(sig: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs that may link: exact bound by set size, and enough equal tokens (``sig`` has one byte of each)."""
     same = (sig[:, None, :] == sig[None, :, :]).sum(2)
     low, high = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
-    return (same >= least) & (100 * low >= percent * high)
+    return (same >= _least_equal(percent)) & (100 * low >= percent * high)
 
 
 def _compare(rows: DataFrame, percent: int, name: str) -> DataFrame:
-    """Candidate pairs (a < b, labels differ) of each node; ``c`` blocks per node are compared two by two.
+    """Candidate pairs (a < b, labels differ) inside each block.
 
-    ``rows``: path, c, node, label, n, sig.
+    ``rows``: path, how, c, odd, node, label, n, sig.  A leaf is one block.
+    Of a node with one large component and ``few`` other members, each of
+    ``c`` blocks has a part of the large one and all the others.  Of any
+    other (``grid``) ``c`` parts meet two by two.
     """
     chunk = F.pmod(F.xxhash64("node"), F.col("c")).cast("int")
+    block = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    each = F.sequence(F.lit(0), F.col("c") - 1)
+    blocks = (
+        F.when(F.col("how") == "leaf", F.array(block(F.lit(0), F.lit(0))))
+        .when((F.col("how") == "few") & F.col("odd"), F.transform(each, lambda k: block(k, k)))
+        .when(F.col("how") == "few", F.array(block(F.col("chunk"), F.col("chunk"))))
+        .otherwise(F.transform(each, lambda k: block(F.least("chunk", k), F.greatest("chunk", k))))
+    )
     spread = (
-        rows.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
-        .groupBy("path", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+        rows.withColumn("chunk", chunk).withColumn("at", F.explode(blocks)).groupBy("path", "at.i", "at.j")
         .agg(F.collect_list(F.struct("node", "label", "n", "sig", "chunk")).alias("m"))
         .select("i", "j", "m").filter(F.size("m") > 1)
     )
@@ -151,16 +162,17 @@ def _compare(rows: DataFrame, percent: int, name: str) -> DataFrame:
         for b in batches:
             found = []
             flat, ends = b.column(2).flatten(), np.cumsum([0, *(len(x) for x in b.column(2))])
-            node, label, n, chunk = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 4))
+            node, label, n, part = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 4))
             sig = np.frombuffer(b"".join(flat.field(3).to_pylist()), np.uint8).reshape(-1, COORDS)
             i, j = b.column(0).to_numpy(), b.column(1).to_numpy()
             for k in range(b.num_rows):
                 s = slice(ends[k], ends[k + 1])
-                ok = _close(sig[s], n[s], percent) & (label[s][:, None] != label[s][None, :])
-                ok &= node[s][:, None] < node[s][None, :]
+                ok = (label[s][:, None] != label[s][None, :]) & (node[s][:, None] < node[s][None, :])
                 if i[k] != j[k]:
-                    ok &= chunk[s][:, None] != chunk[s][None, :]
-                x, y = np.nonzero(ok)
+                    ok &= part[s][:, None] != part[s][None, :]
+                if not ok.any():
+                    continue
+                x, y = np.nonzero(ok & _close(sig[s], n[s], percent))
                 if len(x):
                     found.append(np.stack([node[s][x], node[s][y]]))
             if found:
@@ -171,12 +183,27 @@ def _compare(rows: DataFrame, percent: int, name: str) -> DataFrame:
 
 
 def _stars(reps: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of each class with the smallest class that shares several minwise tokens, in a few rounds."""
+    """For each class the likeliest of the smallest classes that share several minwise tokens with it.
+
+    A few rounds name one head each; the head with the most equal tokens
+    stays, if there are enough of them.
+    """
     keys = [F.xxhash64(F.lit(r), *[_token(F.lit((r * STAR_COORDS + i) * 7 % COORDS)) for i in range(STAR_COORDS)])
             for r in range(STARS)]
     k = reps.select("node", F.explode(F.array(*keys)).alias("key"))
     heads = k.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
-    return k.join(heads, "key").filter(F.col("a") < F.col("node")).select("a", F.col("node").alias("b")).distinct()
+    pairs = k.join(heads, "key").filter(F.col("a") < F.col("node")).select("a", F.col("node").alias("b")).distinct()
+    side = lambda c: reps.select(F.col("node").alias(c), F.col("sig").alias(f"{c}_sig"), F.col("n").alias(f"{c}_n"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(
+        100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, COORDS) for c in (2, 3))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array((x == y).sum(1))], ["a", "b", "same"])
+
+    same = both.select("a", "b", "a_sig", "b_sig").mapInArrow(run, "a bigint, b bigint, same bigint")
+    return same.filter(F.col("same") >= _least_equal(percent)).groupBy("b").agg(F.max_by("a", "same").alias("a")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80, trees: int = TREES) -> DataFrame:
@@ -193,15 +220,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80,
     some = sets.filter("n > 0")
     # classes of equal sets, numbered in the order of their smallest doc_id
     classes = some.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("x")).select("d1", "d2", "x.*")
-    reps = staged(
-        classes.orderBy("doc_id", "d1", "d2").withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
     sig = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(COORDS - 1)), lambda i: F.hex(
         F.substring(F.col("sketch"), i * 4 + 4, F.lit(1)))), ""))
+    reps = staged(
+        classes.orderBy("doc_id", "d1", "d2").select("*", sig.alias("sig"), F.monotonically_increasing_id().alias("node")),
+        "shingle-classes")
 
     early = _confirmed(staged(_stars(reps, percent), "star-pairs"), reps, docs, shingle_words, percent, "star-links")
     comp = components(early.select(F.col("a").alias("src"), F.col("b").alias("dst")), "star-components")
     base = staged(
-        reps.join(comp, "node", "left").select("node", F.coalesce("root", "node").alias("label"), "n", sig.alias("sig"),
+        reps.join(comp, "node", "left").select("node", F.coalesce("root", "node").alias("label"), "n", "sig",
                                                "sketch"), "class-labels")
 
     def branch(rows: DataFrame) -> DataFrame:
@@ -222,20 +250,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80,
         nodes = per.groupBy("path").agg(
             F.sum("k").alias("total"), F.max("k").alias("most"), F.max_by("label", "k").alias("main"))
         nodes = nodes.filter("total > most")  # others hold one component only
-        small = (F.col("total") <= LEAF) if level < DEPTH else F.lit(True)
-        few = (F.col("total") - F.col("most")) * F.col("total") <= LEAF * LEAF
-        nodes = staged(nodes.withColumn("how", F.when(small, "leaf").when(few, "few").otherwise("more")), f"nodes-{level}")
+        rest = F.col("total") - F.col("most")
+        how = F.when(F.col("total") <= LEAF, "leaf").when(rest <= LEAF, "few").otherwise("more" if level < DEPTH else "grid")
+        parts = F.when(rest <= LEAF, F.col("most")).otherwise(F.col("total"))
+        nodes = staged(nodes.select("path", "main", how.alias("how"), F.ceil(parts / LEAF).cast("int").alias("c")),
+                       f"nodes-{level}")
         kinds = {r["how"] for r in nodes.select("how").distinct().collect()}
-        facts = base.select("node", "n", "sig")
-        if "leaf" in kinds:
-            leaf = nodes.filter("how = 'leaf'").select("path", F.ceil(F.col("total") / LEAF).cast("int").alias("c"))
-            pairs.append(_compare(rows.join(leaf, "path").join(facts, "node"), percent, f"leaf-pairs-{level}"))
-        if "few" in kinds:  # almost one component: its few other members against all
-            odd = nodes.filter("how = 'few'").select("path", "main")
-            mine = rows.join(odd, "path").filter("label != main").select("path", F.col("node").alias("x"), F.col("label").alias("lx"))
-            got = mine.join(rows, "path").filter("lx != label").select(
-                F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-            pairs.append(staged(got, f"few-pairs-{level}"))
+        if kinds - {"more"}:
+            here = rows.join(nodes.filter("how != 'more'"), "path").withColumn("odd", F.col("label") != F.col("main"))
+            pairs.append(_compare(here.join(base.select("node", "n", "sig"), "node"), percent, f"leaf-pairs-{level}"))
         if "more" not in kinds:
             break
         more = rows.join(nodes.filter("how = 'more'").select("path"), "path", "left_semi")

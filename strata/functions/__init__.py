@@ -7,7 +7,6 @@ from strata.functions.columns import (
     days_after_period_end,
     excess_hours,
     flag,
-    interleave_bits,
     month_end_midnight,
     month_index,
     month_label,
@@ -26,7 +25,6 @@ __all__ = [
     "days_after_period_end",
     "excess_hours",
     "flag",
-    "interleave_bits",
     "month_end_midnight",
     "month_index",
     "month_label",

@@ -131,23 +131,3 @@ def change_predicate(
     for p in parts[1:]:
         out = out | p
     return F.coalesce(out, F.lit(False))
-
-
-def interleave_bits(cols: Sequence[str | Column], bits: int) -> Column:
-    """Z-order (Morton) key of non-negative integer columns.
-
-    Bit ``i`` of column ``j`` moves to position ``i * k + j`` for ``k``
-    columns.  Written as plain shifts and masks so it stays in codegen.
-    """
-    k = len(cols)
-    if k * bits > 63:
-        raise ValueError("interleaved key must fit in a signed 64-bit integer")
-    terms = []
-    for i in range(bits):
-        for j, c in enumerate(cols):
-            bit = F.shiftright(as_column(c).cast("bigint"), i).bitwiseAND(F.lit(1))
-            terms.append(F.shiftleft(bit, i * k + j))
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out

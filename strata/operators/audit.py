@@ -23,10 +23,10 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("load_type", T.StringType(), True),
         T.StructField("start_time", T.TimestampType(), True),
         T.StructField("end_time", T.TimestampType(), True),
-        T.StructField("records_read", T.IntegerType(), True),
-        T.StructField("records_inserted", T.IntegerType(), True),
-        T.StructField("records_updated", T.IntegerType(), True),
-        T.StructField("records_rejected", T.IntegerType(), True),
+        T.StructField("records_read", T.LongType(), True),
+        T.StructField("records_inserted", T.LongType(), True),
+        T.StructField("records_updated", T.LongType(), True),
+        T.StructField("records_rejected", T.LongType(), True),
         T.StructField("status", T.StringType(), True),
         T.StructField("error_message", T.StringType(), True),
     ]
@@ -69,7 +69,7 @@ def audit_row(
     status is PartialFailure and the message lists failed steps when any failed.
     """
     ok = len(failed_steps) == 0
-    msg = None if ok else "Failed steps: " + ", ".join(failed_steps)
+    msg = None if ok else "Failed notebooks: " + ", ".join(failed_steps)
     return counts.select(
         F.lit(run_id).alias("run_id"),
         F.lit(pipeline_name).alias("pipeline_name"),
@@ -77,10 +77,10 @@ def audit_row(
         F.lit(load_type).alias("load_type"),
         typed_timestamp(start_time, ts_type).alias("start_time"),
         typed_timestamp(end_time, ts_type).alias("end_time"),
-        F.col("records_read").cast("int").alias("records_read"),
-        F.col("records_read").cast("int").alias("records_inserted"),
-        F.lit(records_updated).cast("int").alias("records_updated"),
-        F.col("records_rejected").cast("int").alias("records_rejected"),
+        F.col("records_read").cast("bigint").alias("records_read"),
+        F.col("records_read").cast("bigint").alias("records_inserted"),
+        F.lit(records_updated).cast("bigint").alias("records_updated"),
+        F.col("records_rejected").cast("bigint").alias("records_rejected"),
         F.lit(STATUS_OK if ok else STATUS_PARTIAL).alias("status"),
         F.lit(msg).cast("string").alias("error_message"),
     )
@@ -89,3 +89,11 @@ def audit_row(
 def audit_record(spark: SparkSession, values: Sequence) -> DataFrame:
     """A literal audit row from Python values with the fixed schema."""
     return spark.createDataFrame([tuple(values)], AUDIT_SCHEMA)
+
+
+def narrow_counts(audit: DataFrame) -> DataFrame:
+    """The audit row with INT counts, as the SQL audit table has them; a count that does not fit raises."""
+    counts = [f.name for f in audit.schema.fields if f.name.startswith("records_")]
+    fits = lambda c: F.when(F.abs(c) <= 2147483647, c.cast("int")).otherwise(
+        F.raise_error(F.concat(F.lit("count too large for the audit table: "), c.cast("string"))).cast("int"))
+    return audit.withColumns({c: fits(F.col(c)) for c in counts})

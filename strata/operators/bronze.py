@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.columns import typed_timestamp
-from strata.operators import versions
-from strata.operators.dedupe import ROW_ID, latest_by
+from strata.operators.dedupe import latest_by
 
 LINEAGE_COLUMNS = ("_ingest_ts", "_source_file", "_run_id")
 
@@ -49,9 +49,17 @@ def ingest_bronze(df: DataFrame, run_id: str, ingest_ts, path: str | None = None
     return stamped
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """All runs, with schemas merged (older runs read NULL for later columns)."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """All runs; older runs read NULL for later columns.  Run ids are text ('001' stays '001').
+
+    With ``schema`` (the newest one) no footer is read before the scan.
+    Without it the schemas of all files are merged first, a pass over their
+    footers that grows with the history.
+    """
+    if schema is None:
+        schema = spark.read.option("mergeSchema", "true").parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType() if f.name == "_run_id" else f.dataType) for f in schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def runs_summary(bronze: DataFrame) -> DataFrame:
@@ -59,32 +67,12 @@ def runs_summary(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy("_run_id").agg(F.count(F.lit(1)).alias("rows")).orderBy("_run_id")
 
 
-def latest_incremental(
-    spark: SparkSession, bronze_path: str, store: str, key: str, run_id: str, as_of,
-    order_col: str = "_ingest_ts",
-) -> DataFrame:
-    """Latest Bronze row per ``key``, maintained as a versioned table at ``store``.
-
-    "Latest" is associative, so the previous result plus this run's Bronze
-    partition (a partition-pruned read) gives the same rows as ranking the
-    whole append-only history again; the work per run grows with the new data
-    and the number of keys, not with the history.  A re-run starts from the
-    last version written by another run, so it is idempotent.  The stored
-    rows carry a row id, so a following ``split_duplicates(..., staged=True)``
-    needs no second write.
+def latest_from_bronze(bronze: DataFrame, key: str, order_col: str = "_ingest_ts") -> DataFrame:
+    """Latest Bronze row per ``key``, ranked over the whole history.
+
+    The answer depends only on what Bronze holds: a run that was appended but
+    never processed, a corrected re-run of an earlier run and a run that
+    arrives late all count.  Each map task forwards one row per key at most.
+    Equal times: the larger run id, then the row's content.
     """
-    bronze = read_bronze(spark, bronze_path)
-    base_version = None
-    if versions.latest_version(spark, store) is not None:
-        done = versions.list_versions(spark, store)
-        hist = {r.version: r.run_id for r in versions.version_history(spark, store).collect()}
-        others = [v for v in done if hist.get(v) not in (None, run_id)]
-        base_version = others[-1] if others else None
-    if base_version is None:
-        rows = bronze
-    else:
-        prev = versions.read_version(spark, store, base_version).drop("version", ROW_ID)
-        rows = prev.unionByName(bronze.filter(F.col("_run_id") == run_id), allowMissingColumns=True)
-    latest = latest_by(rows, [key], [F.desc(order_col)]).withColumn(ROW_ID, F.monotonically_increasing_id())
-    v = versions.write_version(latest, store, run_id, as_of, "LATEST")
-    return versions.read_version(spark, store, v).drop("version")
+    return latest_by(bronze, [key], [F.desc(order_col), F.desc("_run_id")])

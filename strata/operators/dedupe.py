@@ -6,11 +6,11 @@ task forwards at most one row per key, so a key holding a third of all rows
 does not land whole on one reducer.
 
 ``split_duplicates`` returns (clean, rejected).  It stages its input once
-(a Parquet table in the shared folder) with a row id, picks winners
-through the same rank-1 path, and finds the losers by an anti join on the row
-id.  The row id is unique, so that join spreads evenly whatever the key
-distribution (also for a hot group of exact copies), and clean and rejected
-always come from one ranking: each input row lands in exactly one of them.
+(a Parquet table in the shared folder) with a row id, ranks once through the
+same rank-1 path and writes the winners' ids; clean and rejected are a semi
+and an anti join with that list.  The row id is unique, so the joins spread
+evenly whatever the key distribution (also for a hot group of exact copies),
+and each input row lands in exactly one of them.
 """
 
 from __future__ import annotations
@@ -103,19 +103,18 @@ def split_duplicates(
     ``reject_columns`` selects the rejected layout (``rejection_reason`` is
     added if not listed).  Clean keeps the input columns.
     ``staged=True``: ``df`` is already a stored table carrying ``_row_id``
-    (e.g. from ``latest_incremental``), so no second write is needed.
+    so no second write is needed.
 
-    Ties under ``order`` are broken by the row content (every other sortable
-    column), so the same input picks the same winner on every run whatever
-    the staging order; the row id only chooses among exact copies.
+    Ties under ``order`` are broken by a hash of the row's content, so the same
+    input picks the same winner on every run whatever the staging order; the
+    row id only chooses among exact copies.
     """
     keep_cols = [c for c in df.columns if c != ROW_ID]
     base = df if staged else stage(df)
     if ROW_ID not in base.columns:
         raise ValueError("staged input must carry a row id column")
     if tiebreak is None:
-        named = [o for o in order if isinstance(o, str)]
-        tiebreak = _sortable(base, list(keys) + named + [ROW_ID])
+        tiebreak = [F.xxhash64(*_sortable(base, [ROW_ID])).asc()]
     tb = list(tiebreak) + [ROW_ID]
 
     if null_key_reason is not None:
@@ -128,9 +127,9 @@ def split_duplicates(
         null_rows = None
         ranked_base = base
 
-    winners = latest_by(ranked_base, keys, order, tiebreak=tb)
-    clean = winners.select(*keep_cols)
-    losers = ranked_base.join(winners.select(ROW_ID), ROW_ID, "left_anti").withColumn(
+    winners = stage(latest_by(ranked_base, keys, order, tiebreak=tb).select(ROW_ID), name="winners")
+    clean = ranked_base.join(winners, ROW_ID, "left_semi").select(*keep_cols)
+    losers = ranked_base.join(winners, ROW_ID, "left_anti").withColumn(
         "rejection_reason", F.lit(reason)
     )
     if null_rows is not None:

@@ -20,7 +20,6 @@ from strata.functions.columns import (
     month_start,
     typed_timestamp,
 )
-from strata.operators.joins import broadcast_if_bounded
 from strata.operators.scd2 import CURRENT, FROM, TO
 
 # Fixed values that must equal the reference's for the same results.
@@ -29,9 +28,6 @@ ATTRITION_STATUSES = ("Resigned", "Notice")
 PRESENT_STATUS = "Present"
 ABSENT_STATUS = "Absent"
 
-# headcount_history(plan="auto"): longest spine still planned by month expansion
-AUTO_EXPAND_MAX_MONTHS = 24
-
 
 def workforce_summary(
     employees: DataFrame,
@@ -41,15 +37,14 @@ def workforce_summary(
     attrition: Sequence[str] = ATTRITION_STATUSES,
     current_only: bool = True,
     ts_type: str = "timestamp_ntz",
-    max_broadcast_departments: int = 100_000,
 ) -> DataFrame:
     """Per department: headcount, active, average salary (2 dp), attrition.
 
     Employees are aggregated per ``department_id`` first (partial + final
     aggregate), so only one row per department meets the department table;
     unknown departments keep a NULL name, departments without employees do
-    not appear.  The department side is broadcast only after a bounded count
-    proves it small.  Requires one department row per ``department_id``
+    not appear.  AQE broadcasts the department side if its measured size is
+    small.  Requires one department row per ``department_id``
     (the silver department table is ``latest_by`` department).
     """
     emp = employees.filter(F.col(CURRENT)) if current_only and CURRENT in employees.columns else employees
@@ -60,8 +55,7 @@ def workforce_summary(
         F.round(F.avg("salary"), 2).alias("avg_salary"),
         F.sum(F.when(status.isin(list(attrition)), 1).otherwise(0)).cast("bigint").alias("attrition_count"),
     )
-    dept = broadcast_if_bounded(departments.select("department_id", "department_name"), max_broadcast_departments)
-    return per_dept.join(dept, "department_id", "left").select(
+    return per_dept.join(departments.select("department_id", "department_name"), "department_id", "left").select(
         "department_id", "department_name", "headcount", "active_count", "avg_salary", "attrition_count",
         typed_timestamp(as_of, ts_type).alias("refresh_ts"),
     )
@@ -105,9 +99,10 @@ def headcount_history(
     as_of,
     n_months: int = 12,
     active: str | None = ACTIVE_STATUS,
-    plan: str = "auto",
+    plan: str = "expand",
     end_of_day: bool = False,
     ts_type: str = "timestamp_ntz",
+    zero_fill: bool = False,
 ) -> DataFrame:
     """Versions active at each month end, counted per (department, month).
 
@@ -115,9 +110,10 @@ def headcount_history(
     ``to > M``, with M = midnight of the month's last day (parity; a version
     starting at 09:00 on the 31st is not counted).  ``end_of_day`` moves M to
     the last microsecond of that day instead.  Months without versions give
-    no row.
+    no row; with ``zero_fill`` every department that has a version in the
+    spine gets a row for every month of it, 0 where it has none.
 
-    plan="expand": each version lists the spine months it covers
+    plan="expand" (default): each version lists the spine months it covers
     (``sequence`` + ``explode``, at most ``n_months`` per version), then one
     hash aggregate.  Linear in versions; no join.
     plan="range_join": the reference's shape (versions x months under the
@@ -128,17 +124,17 @@ def headcount_history(
     No nested loop; the boundary rule is evaluated independently of the
     arithmetic of the expand plan.
     plan="sweep": two events per version (+1 at its first month, -1 after
-    its last), summed per (department, month), then a running sum per
-    department over its spine months.  Constant work per version whatever
-    ``n_months`` is; a hot department is at most ``n_months`` rows after the
-    partial aggregation.
-    plan="auto" (default): expand for spines up to 24 months (at most that
-    many generated rows per version, no join), sweep beyond.
+    its last), summed per (department, month), then a running sum over the
+    months where a department's count changes; each holds until the next
+    one (``lead``) and lists its months.  Constant work per version whatever
+    ``n_months`` is; a hot department is at most ``n_months`` + 1 rows after
+    the partial aggregation.
     """
-    if plan == "auto":
-        plan = "expand" if n_months <= AUTO_EXPAND_MAX_MONTHS else "sweep"
     if plan not in ("expand", "range_join", "sweep"):
-        raise ValueError("plan must be 'auto', 'expand', 'range_join' or 'sweep'")
+        raise ValueError("plan must be 'expand', 'range_join' or 'sweep'")
+    if zero_fill:
+        found = headcount_history(versions, spark, as_of, n_months, active, plan, end_of_day, ts_type)
+        return _zero_filled(found, as_of, n_months)
     spine = month_spine(spark, as_of, n_months)
     v = _active(versions, active).select("department_id", FROM, TO)
     lo = F.lit(month_index_of(as_of) - n_months + 1)
@@ -184,26 +180,16 @@ def headcount_history(
             )),
         )
         deltas = ev.groupBy("department_id", "month_idx").agg(F.sum("d").alias("delta"))
-        # every spine month of each department (generated per row, no join), then a
-        # running sum over at most n_months rows per department
-        grid = deltas.select("department_id").distinct().select(
-            "department_id", F.explode(F.sequence(lo, hi)).alias("month_idx")
-        )
-        g, dl = grid.alias("g"), deltas.alias("dl")
-        joined = g.join(
-            dl,
-            F.col("g.department_id").eqNullSafe(F.col("dl.department_id"))
-            & (F.col("g.month_idx") == F.col("dl.month_idx")),
-            "left",
-        ).select(F.col("g.department_id").alias("department_id"), F.col("g.month_idx").alias("month_idx"),
-                 F.coalesce(F.col("dl.delta"), F.lit(0)).alias("delta"))
-        w = Window.partitionBy("department_id").orderBy("month_idx").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        counts = joined.withColumn("headcount", F.sum("delta").over(w).cast("bigint")).filter(F.col("headcount") > 0)
-        return counts.select(
-            "department_id", month_label_from_index("month_idx").alias("snapshot_month"), "headcount"
-        )
+        by_month = Window.partitionBy("department_id").orderBy("month_idx")
+        steps = deltas.select(
+            "department_id", "month_idx",
+            F.sum("delta").over(by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("bigint").alias("headcount"),
+            F.lead("month_idx", 1).over(by_month).alias("_next"),
+        ).filter(F.col("headcount") > 0)
+        # a positive count always ends: every +1 has its -1 by the month after the spine
+        return steps.select(
+            "department_id", "headcount", F.explode(F.sequence("month_idx", F.col("_next") - 1)).alias("month_idx"),
+        ).select("department_id", month_label_from_index("month_idx").alias("snapshot_month"), "headcount")
 
     months = covered.select("department_id", F.explode(F.sequence("_f", "_l")).alias("month_idx"))
     return months.groupBy("department_id", "month_idx").agg(F.count(F.lit(1)).alias("headcount")).select(
@@ -211,6 +197,18 @@ def headcount_history(
     )
 
 
+def _zero_filled(found: DataFrame, as_of, n_months: int) -> DataFrame:
+    """Every month of the spine for each department of ``found``: its counts per month are gathered in one
+    map of at most ``n_months`` entries, then listed with 0 where there is none."""
+    by_dept = found.groupBy("department_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("snapshot_month", "headcount"))).alias("_h"))
+    hi = month_index_of(as_of)
+    months = by_dept.select("department_id", "_h", F.explode(F.sequence(F.lit(hi - n_months + 1), F.lit(hi))).alias("_m"))
+    months = months.withColumn("snapshot_month", month_label_from_index("_m"))
+    return months.select("department_id", "snapshot_month",
+                         F.coalesce(F.try_element_at("_h", F.col("snapshot_month")), F.lit(0)).cast("bigint").alias("headcount"))
+
+
 def month_index_of(as_of) -> int:
     s = str(as_of)[:10]
     y, m = int(s[0:4]), int(s[5:7])

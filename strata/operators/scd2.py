@@ -10,7 +10,7 @@ The table carries ``effective_from``, ``effective_to`` (NULL = open) and
   (or a closed one with ``close_missing``);
 * rows with a NULL key never match in an equi-join, so they bypass the join
   too (no NULL-key hot partition).  Parity inserts incoming NULL-key rows on
-  every run; ``null_keys="reject"`` leaves them out (see ``null_key_rows``).
+  every run; ``null_keys="reject"`` leaves them out.
 
 Both sides of the join hold one row per key (the incoming snapshot comes from
 ``latest_by``; the table has one current row per key), so the join cannot
@@ -76,28 +76,31 @@ def scd2_changes(
 
 
 def scd2_new_keys(table: DataFrame, incoming: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Incoming rows whose key has no current row (NULL keys always qualify)."""
+    """Incoming rows whose key has no current row (NULL keys always qualify, outside the join)."""
     keys = _keys(key)
-    return incoming.join(current_rows(table).select(*keys), keys, "left_anti")
+    cur = current_rows(table).select(*keys).filter(~_any_null(keys))
+    new = incoming.filter(~_any_null(keys)).join(cur, keys, "left_anti")
+    return new.unionByName(incoming.filter(_any_null(keys)))
 
 
 def scd2_expire(table: DataFrame, changed_keys: DataFrame, key: str | Sequence[str], as_of,
                 ts_type: str = "timestamp_ntz") -> DataFrame:
     """Conditional update: current rows of ``changed_keys`` get ``is_current=false``, ``effective_to=as_of``.
 
-    History rows bypass the join; ``changed_keys`` is made distinct first so
-    the join never multiplies rows.
+    History rows and NULL keys bypass the join; ``changed_keys`` is made
+    distinct first so the join never multiplies rows.
     """
     keys = _keys(key)
     ts = typed_timestamp(as_of, ts_type)
     hits = changed_keys.select(*keys).distinct().withColumn("_hit", F.lit(True))
-    cur = current_rows(table).join(hits, keys, "left")
+    cur = current_rows(table).filter(~_any_null(keys)).join(hits.filter(~_any_null(keys)), keys, "left")
     hit = F.col("_hit").isNotNull()
     updated = cur.withColumns(
         {CURRENT: F.when(hit, F.lit(False)).otherwise(F.col(CURRENT)),
          TO: F.when(hit, ts).otherwise(F.col(TO))}
     ).drop("_hit").select(*table.columns)
-    return table.filter(~F.coalesce(F.col(CURRENT), F.lit(False))).unionByName(updated)
+    rest = table.filter(~F.coalesce(F.col(CURRENT), F.lit(False)) | _any_null(keys))
+    return rest.unionByName(updated)
 
 
 def scd2_apply(
@@ -189,11 +192,6 @@ def typed_plain(name: str, t_types: dict, df: DataFrame, own_types: dict | None
     return F.lit(None).cast(target).alias(name)
 
 
-def null_key_rows(incoming: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Incoming rows a strict run rejects (NULL key)."""
-    return incoming.filter(_any_null(_keys(key)))
-
-
 def scd2_as_of(table: DataFrame, ts, ts_type: str = "timestamp_ntz") -> DataFrame:
     """Versions valid at ``ts``: ``from <= ts AND (to IS NULL OR to > ts)``."""
     t = typed_timestamp(ts, ts_type)

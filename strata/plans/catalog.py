@@ -1,8 +1,8 @@
 """Registered queries: one callable (spark, sf_dir) -> DataFrame per operator key.
 
 Every query reads whole test tables (or tables Spark derives from them);
-queries that write (versions, layout, CSV, bronze) use a fresh folder under
-the session's shared checkpoint folder.
+queries that write (partitions, CSV, bronze) use a fresh folder under the
+session's shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -12,26 +12,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import gold, layout, scd2, versions
+from strata.operators import gold, scd2, snapshots
 from strata.operators.audit import audit_row, table_counts
 from strata.functions.columns import typed_timestamp
-from strata.operators.bronze import ingest_bronze, latest_incremental, read_bronze, runs_summary
-from strata.operators.dedupe import latest_by
-from strata.operators.quality import cast_or_reject, variance_profile
+from strata.operators.bronze import append_run, ingest_bronze, latest_from_bronze, read_bronze
+from strata.operators.dedupe import latest_by, split_duplicates
+from strata.operators.quality import add_work_hours, attendance_flags, cast_or_reject, variance_profile
 from strata.plans.standins import (
+    AS_OF,
     AS_OF_POINT,
+    ATT_REJECT_COLS,
     END_TIME,
     INGEST_TS,
     N_MONTHS,
     START_TIME,
     T0,
     T1,
+    T2,
     TRACKED,
     StandIns,
 )
 from strata.streaming.ingest import ingest_available
 from strata.session import shared_dir
-from strata.sources.files import land_csv, read_csv
+from strata.sources.files import land_csv, read_csv, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -197,45 +200,43 @@ def q_status_breakdown(spark, d):
 
 
 def _versioned_employee(spark, d) -> str:
+    """The employee table at two versions, one partition ``version=`` each."""
     s = _s(spark, d)
     path = shared_dir(spark, "employee_versions")
-    versions.write_version(s.employee_v0, path, "r0", T0, "WRITE")
-    v0 = versions.read_version(spark, path, 0).drop("version")
+    snapshots.write_partition(s.employee_v0, path, 0, "version")
+    v0 = snapshots.read_partition(spark, path, "0", "version")
     v1 = scd2.scd2_apply(v0, s.employee_incoming, "employee_id", T1, tracked=TRACKED)
-    versions.write_version(v1, path, "r1", T1, "SCD2_APPLY")
+    snapshots.write_partition(v1, path, 1, "version")
     return path
 
 
 def q_status_breakdown_sql(spark, d):
     """Current rows per status through Spark SQL text over the stored latest version."""
     path = _versioned_employee(spark, d)
-    src = versions.sql_source(path, versions.latest_version(spark, path))
-    return spark.sql(f"SELECT employment_status, COUNT(*) AS cnt FROM {src} WHERE is_current = true "
-                     "GROUP BY employment_status")
+    return spark.sql(f"SELECT employment_status, COUNT(*) AS cnt FROM parquet.`{path}` "
+                     "WHERE version = 1 AND is_current = true GROUP BY employment_status")
 
 
 def q_compare_versions(spark, d):
     path = _versioned_employee(spark, d)
-    return versions.compare_versions(spark, path, "is_current AND employment_status = 'Active'")
+    return snapshots.compare_partitions(spark, path, "is_current AND employment_status = 'Active'", "1", "0")
 
 
 def q_version_history(spark, d):
-    return versions.version_history(spark, _versioned_employee(spark, d))
+    """Rows of each stored version: an aggregate over the version column."""
+    t = spark.read.parquet(_versioned_employee(spark, d))
+    return t.groupBy("version").agg(F.count(F.lit(1)).alias("num_rows"))
 
 
 def q_read_version(spark, d):
-    return versions.read_version(spark, _versioned_employee(spark, d), 0)
-
-
-def q_zorder_key(spark, d):
-    c = _s(spark, d).table("customer")
-    return c.select("c_custkey", "c_nationkey", layout.zorder_key(c, ["c_custkey", "c_nationkey"], 20, "raw").alias("z"))
+    return spark.read.parquet(_versioned_employee(spark, d)).filter("version = 0")
 
 
 def q_compact_and_cluster(spark, d):
-    o = _s(spark, d).table("orders")
-    path = layout.compact_and_cluster(o, ["o_custkey", "o_orderdate"], 4, shared_dir(spark, "orders_clustered"))
-    return spark.read.parquet(path)
+    """``orders`` rewritten in value ranges, files of about 32 MB by row count."""
+    path = shared_dir(spark, "orders_clustered")
+    write_table(snapshots.clustered(_s(spark, d).table("orders"), ["o_custkey", "o_orderdate"], 32 << 20, 40), path)
+    return read_table(spark, path)
 
 
 ORDERS_MAPPING = [
@@ -259,27 +260,63 @@ def q_csv_roundtrip(spark, d):
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
+def _landed(col: str = "_source_file"):
+    """The landing-folder part of a source file: ``<entity>/<date>``."""
+    return F.regexp_extract(col, r"([^/]+/[0-9-]+)/[^/]+$", 1).alias("landed")
+
+
 def q_bronze_append(spark, d):
+    """Two runs of one landed file, the second run twice: every row of Bronze, with its lineage."""
     ev = _s(spark, d).table("events")
     raw = land_csv(ev, shared_dir(spark, "raw"), "events", "2024-02-01")
     bronze = shared_dir(spark, "bronze_events")
-    for run in ("r1", "r2", "r2"):  # r2 twice: the re-run replaces its own partition
+    for run in ("001", "r2", "r2"):  # r2 twice: the re-run replaces its own partition
         ingest_bronze(read_csv(spark, raw, schema=EVENTS_SCHEMA), run, INGEST_TS, bronze)
-    return runs_summary(read_bronze(spark, bronze))
+    return read_bronze(spark, bronze).select("event_id", "ts", "user_id", "event_type", "value", "props", "_ingest_ts",
+                                             _landed(), "_run_id")
+
+
+def q_csv_inferred(spark, d):
+    """``orders`` landed as CSV and read back with inferred types."""
+    folder = land_csv(_s(spark, d).table("orders"), shared_dir(spark, "raw"), "orders", "2024-02-01")
+    return read_csv(spark, folder, infer=True).select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"),
+        "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority")
+
+
+def _bronze_orders(spark, d, runs) -> DataFrame:
+    """Bronze of ``orders``: runs of (run id, ingest time, rows, added to the price), in the order they are appended."""
+    o, bronze = _s(spark, d).table("orders"), shared_dir(spark, "bronze_orders")
+    for run, ts, only, plus in runs:
+        rows = o if only is None else o.filter(only)
+        ingest_bronze(rows.withColumn("o_totalprice", F.col("o_totalprice") + F.lit(plus)), run, ts, bronze, source_file=False)
+    return read_bronze(spark, bronze).drop("_source_file")
 
 
 def q_latest_incremental(spark, d):
-    """``orders`` ingested twice: run r1 = orders placed before T0, run r2 = every order again with
-    a corrected price.  The incremental latest after r2 holds each order's r2 row."""
-    o = _s(spark, d).table("orders")
-    bronze, store = shared_dir(spark, "bronze_orders"), shared_dir(spark, "orders_latest")
-    first = o.filter(F.col("o_orderdate") < typed_timestamp(T0))
-    ingest_bronze(first, "r1", T0, bronze, source_file=False)
-    latest_incremental(spark, bronze, store, "o_orderkey", "r1", T0)
-    again = o.withColumn("o_totalprice", F.col("o_totalprice") + F.lit(100.0))
-    ingest_bronze(again, "r2", T1, bronze, source_file=False)
-    out = latest_incremental(spark, bronze, store, "o_orderkey", "r2", T1)
-    return out.drop("_row_id", "_source_file")
+    """``orders`` ingested twice: run r1 = orders placed before T0, run r2 = every order again with a corrected price."""
+    early = F.col("o_orderdate") < typed_timestamp(T0)
+    return latest_from_bronze(_bronze_orders(spark, d, [("r1", T0, early, 0.0), ("r2", T1, None, 100.0)]), "o_orderkey")
+
+
+def q_latest_skipped_run(spark, d):
+    """r1 and r3 were processed, r2 only appended: its orders count all the same."""
+    early = F.col("o_orderdate") < typed_timestamp(T0)
+    return latest_from_bronze(_bronze_orders(
+        spark, d, [("r1", T0, early, 0.0), ("r2", T1, ~early, 50.0), ("r3", T2, early, 100.0)]), "o_orderkey")
+
+
+def q_latest_rerun(spark, d):
+    """r1 is run again with a corrected file after r2, which holds the later orders only."""
+    early = F.col("o_orderdate") < typed_timestamp(T0)
+    return latest_from_bronze(_bronze_orders(
+        spark, d, [("r1", T0, None, 0.0), ("r2", T1, ~early, 50.0), ("r1", T0, early, 25.0)]), "o_orderkey")
+
+
+def q_latest_late_run(spark, d):
+    """A run with an earlier ingest time arrives last: it changes only orders that no other run has."""
+    early = F.col("o_orderdate") < typed_timestamp(T0)
+    return latest_from_bronze(_bronze_orders(spark, d, [("r2", T1, ~early, 50.0), ("r1", T0, None, 0.0)]), "o_orderkey")
 
 
 def _typed_events(spark, d):
@@ -319,15 +356,80 @@ def q_audit_row(spark, d):
 
 
 def q_stream_ingest(spark, d):
-    """Two landing days, one availableNow run after each: every file is read once."""
+    """Two landing days, one availableNow run after each: every row of every file once, with its lineage."""
     ev = _s(spark, d).table("events")
     raw = shared_dir(spark, "raw_stream")
     bronze = shared_dir(spark, "bronze_stream")
     ckpt = shared_dir(spark, "stream_ckpt")
     for run, day in (("r1", "2024-02-01"), ("r2", "2024-02-02")):
-        land_csv(ev.repartition(3), raw, "events", day)
+        land_csv(ev, raw, "events", day)
         ingest_available(spark, raw, EVENTS_SCHEMA, bronze, ckpt, run, INGEST_TS)
-    return runs_summary(read_bronze(spark, bronze))
+    return read_bronze(spark, bronze).select("event_id", "ts", "user_id", "event_type", "value", "props", _landed(), "_run_id")
+
+
+def q_silver_reingested(spark, d):
+    """Silver attendance over ids ingested up to three times: only each id's last ingest takes part."""
+    s = _s(spark, d)
+    bronze = shared_dir(spark, "bronze_attendance")
+    base = s.attendance_bronze.drop("_ingest_ts", "_run_id")
+    absent = F.col("attendance_status") == "Absent"
+    ingest_bronze(base, "r1", T0, bronze, source_file=False)
+    ingest_bronze(base.filter(~absent).withColumn("attendance_status", F.lit("Absent")), "r2", T1, bronze, source_file=False)
+    ingest_bronze(base.filter(F.col("attendance_status") == "Leave"), "r3", T2, bronze, source_file=False)
+    latest = latest_from_bronze(read_bronze(spark, bronze), "attendance_id")
+    clean, _ = split_duplicates(attendance_flags(add_work_hours(latest)), ["employee_id", "attendance_date"],
+                                [F.desc("attendance_id")], "duplicate_attendance")
+    return clean.select("attendance_id", "employee_id", "attendance_date", "attendance_status", "_run_id", "work_hours",
+                        "dq_status_with_times")
+
+
+def q_rejected_append(spark, d):
+    """Rejected attendance appended by two runs, the second run twice."""
+    _, rejected = _s(spark, d).attendance_split
+    path = shared_dir(spark, "rejected_attendance")
+    for run in ("r1", "r2", "r2"):
+        append_run(rejected.withColumnRenamed("_run_id", "_ingest_run_id").withColumn("_run_id", F.lit(run)), path)
+    return read_bronze(spark, path).select(*ATT_REJECT_COLS, "_ingest_run_id")
+
+
+def q_table_overwrite(spark, d):
+    """A table overwritten with other rows and another schema: only the second write is left."""
+    s, path = _s(spark, d), shared_dir(spark, "orders_table")
+    write_table(s.table("orders"), path)
+    write_table(s.table("customer").select("c_custkey", "c_name"), path)
+    return read_table(spark, path)
+
+
+def q_attendance_payroll_text_month(spark, d):
+    """The report over payroll whose period is text ``yyyy-MM`` or any day of the month."""
+    s = _s(spark, d)
+    last_day = F.pmod(F.month("pay_period"), F.lit(2)) == 0
+    pay = s.payroll_silver.withColumn("pay_period", F.when(last_day, F.last_day("pay_period").cast("string")).otherwise(
+        F.date_format("pay_period", "yyyy-MM")))
+    return gold.attendance_payroll(pay, s.monthly_counts, AS_OF)
+
+
+def q_headcount_zero_filled(spark, d):
+    return gold.headcount_history(_s(spark, d).employee_versions, spark, AS_OF, N_MONTHS, plan="sweep", zero_fill=True)
+
+
+def _tracked_employee(spark, d, null_safe: bool) -> DataFrame:
+    """Three runs of the type-2 table with history, NULL keys and a manager, read back after the third."""
+    s, path = _s(spark, d), shared_dir(spark, "employee_scd2")
+    snapshots.write_scd2(scd2.scd2_init(s.tracked_snapshot(T0), T0), path, T0)
+    for before, at in ((T0, T1), (T1, T2)):
+        cur = snapshots.current_scd2(spark, path, before)
+        nxt = scd2.scd2_apply(cur, s.tracked_snapshot(at), "employee_id", at, null_safe=null_safe)
+        snapshots.write_scd2(nxt, path, at)
+    return snapshots.read_scd2(spark, path, T2)
+
+
+def q_scd2_history(spark, d):
+    return _tracked_employee(spark, d, null_safe=False)
+
+
+def q_scd2_history_null_safe(spark, d):
+    return _tracked_employee(spark, d, null_safe=True)
 
 
 QUERIES: dict[str, Query] = {
@@ -365,7 +467,6 @@ QUERIES: dict[str, Query] = {
     "compare_versions": q_compare_versions,
     "version_history": q_version_history,
     "read_version": q_read_version,
-    "zorder_key": q_zorder_key,
     "compact_and_cluster": q_compact_and_cluster,
     "csv_roundtrip": q_csv_roundtrip,
     "bronze_append": q_bronze_append,
@@ -375,4 +476,15 @@ QUERIES: dict[str, Query] = {
     "bad_values": q_bad_values,
     "audit_row": q_audit_row,
     "stream_ingest": q_stream_ingest,
+    "csv_inferred": q_csv_inferred,
+    "latest_skipped_run": q_latest_skipped_run,
+    "latest_rerun": q_latest_rerun,
+    "latest_late_run": q_latest_late_run,
+    "silver_reingested": q_silver_reingested,
+    "rejected_append": q_rejected_append,
+    "table_overwrite": q_table_overwrite,
+    "attendance_payroll_text_month": q_attendance_payroll_text_month,
+    "headcount_zero_filled": q_headcount_zero_filled,
+    "scd2_history": q_scd2_history,
+    "scd2_history_null_safe": q_scd2_history_null_safe,
 }

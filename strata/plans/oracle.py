@@ -7,7 +7,7 @@ statement from the ones a query needs.  Definitions mirror
 
 from __future__ import annotations
 
-from strata.plans.standins import AS_OF, AS_OF_POINT, END_TIME, INGEST_TS, N_MONTHS, RUN_ID, START_TIME, T0, T1
+from strata.plans.standins import AS_OF, AS_OF_POINT, END_TIME, INGEST_TS, N_MONTHS, RUN_ID, START_TIME, T0, T1, T2
 
 TS = lambda s: f"TIMESTAMP '{s}'"
 
@@ -175,6 +175,53 @@ def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
+EARLY = f"(o_orderdate < {TS(T0)})"
+
+
+def bronze_latest(*runs: tuple[str, str, str, int]) -> str:
+    """Latest row per order over runs of (run id, ingest time, which rows, added to the price)."""
+    parts = " UNION ALL ".join(
+        f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + {plus}.0 AS o_totalprice, o_orderdate, o_orderpriority, "
+        f"{TS(ts)} AS _ingest_ts, '{run}' AS _run_id FROM orders WHERE {which}" for run, ts, which, plus in runs)
+    return f"SELECT * FROM ({parts}) QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY _ingest_ts DESC) = 1"
+
+
+def tracked_snapshot(name: str, as_of: str) -> str:
+    return f"""{name} AS (
+  SELECT CASE WHEN c_mktsegment = 'BUILDING' AND c_acctbal < 0 THEN NULL ELSE c_custkey END AS employee_id,
+         c_nationkey AS department_id, 'Staff' AS designation,
+         CASE WHEN o_totalprice >= 100000 THEN c_nationkey END AS manager_id,
+         CAST(floor(c_acctbal / 1000) AS DECIMAL(18,2)) AS salary,
+         CASE WHEN o_orderstatus = 'P' THEN 'Notice' ELSE 'Active' END AS employment_status, c_name AS employee_name
+  FROM (SELECT * FROM orders WHERE o_orderdate < {TS(as_of)}
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1) o
+  JOIN customer ON c_custkey = o_custkey)"""
+
+
+def tracked_history(null_safe: bool) -> str:
+    """Three runs: the first opens every row; each later one closes changed rows and opens changed, new and NULL-key rows."""
+    cols = ("department_id", "designation", "manager_id", "salary", "employment_status")
+    differs = " OR ".join(f"t.{c} IS DISTINCT FROM s.{c}" if null_safe else f"t.{c} <> s.{c}" for c in cols)
+    names = "employee_id, department_id, designation, manager_id, salary, employment_status, employee_name"
+
+    def step(prev: str, snap: str, at: str, out: str) -> str:
+        return f"""{out}_ch AS (SELECT t.employee_id FROM {prev} t JOIN {snap} s ON t.employee_id = s.employee_id
+                   WHERE t.is_current AND ({differs})),
+{out} AS (
+  SELECT {names}, effective_from,
+         CASE WHEN is_current AND employee_id IN (SELECT * FROM {out}_ch) THEN {TS(at)} ELSE effective_to END AS effective_to,
+         is_current AND (employee_id IS NULL OR employee_id NOT IN (SELECT * FROM {out}_ch)) AS is_current FROM {prev}
+  UNION ALL
+  SELECT {names}, {TS(at)}, CAST(NULL AS TIMESTAMP), true FROM {snap} s
+  WHERE s.employee_id IS NULL OR s.employee_id IN (SELECT * FROM {out}_ch)
+     OR NOT EXISTS (SELECT 1 FROM {prev} t WHERE t.is_current AND t.employee_id = s.employee_id))"""
+
+    return with_ctes(
+        tracked_snapshot("s0", T0), tracked_snapshot("s1", T1), tracked_snapshot("s2", T2),
+        f"e0 AS (SELECT *, {TS(T0)} AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, true AS is_current FROM s0)",
+        step("e0", "s1", T1, "e1"), step("e1", "s2", T2, "e2"), body="SELECT * FROM e2")
+
+
 ORACLE: dict[str, str] = {
     "dedupe_clean": with_ctes(ATT_B, ATT_E, body=f"SELECT {ATT_CLEAN_COLS} FROM att_r WHERE _rn = 1"),
     "dedupe_rejected": with_ctes(
@@ -258,21 +305,19 @@ ORACLE: dict[str, str] = {
              "UNION ALL SELECT 'v0', COUNT(*) FROM v0 WHERE is_current AND employment_status = 'Active'"),
     "version_history": with_ctes(
         emp_ctes(),
-        body=f"SELECT 0 AS version, 'r0' AS run_id, '{T0}' AS as_of, 'WRITE' AS operation, "
-             f"(SELECT COUNT(*) FROM v0) AS num_rows "
-             f"UNION ALL SELECT 1, 'r1', '{T1}', 'SCD2_APPLY', (SELECT COUNT(*) FROM v1)"),
+        body="SELECT 0 AS version, (SELECT COUNT(*) FROM v0) AS num_rows UNION ALL SELECT 1, (SELECT COUNT(*) FROM v1)"),
     "read_version": with_ctes(emp_ctes(), body="SELECT *, 0 AS version FROM v0"),
-    "zorder_key": "SELECT c_custkey, c_nationkey, "
-                  "CAST((SELECT SUM((((c_custkey >> i) & 1) << (2 * i)) "
-                  "+ (((CAST(c_nationkey AS BIGINT) >> i) & 1) << (2 * i + 1))) "
-                  "FROM range(0, 20) t(i)) AS BIGINT) AS z FROM customer",
     "compact_and_cluster": "SELECT * FROM orders",
     "csv_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
                      "CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders",
-    "bronze_append": "SELECT 'r1' AS _run_id, COUNT(*) AS rows FROM events "
-                     "UNION ALL SELECT 'r2', COUNT(*) FROM events",
-    "latest_incremental": f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 100.0 AS o_totalprice, "
-                          f"o_orderdate, o_orderpriority, {TS(T1)} AS _ingest_ts, 'r2' AS _run_id FROM orders",
+    "bronze_append": f"SELECT event_id, ts, user_id, event_type, value, props, {TS(INGEST_TS)} AS _ingest_ts, "
+                     "'events/2024-02-01' AS landed, r AS _run_id FROM events, (VALUES ('001'), ('r2')) t(r)",
+    "csv_inferred": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, "
+                    "o_orderpriority FROM orders",
+    "latest_incremental": bronze_latest(("r1", T0, EARLY, 0), ("r2", T1, "true", 100)),
+    "latest_skipped_run": bronze_latest(("r1", T0, EARLY, 0), ("r2", T1, f"NOT {EARLY}", 50), ("r3", T2, EARLY, 100)),
+    "latest_rerun": bronze_latest(("r1", T0, EARLY, 25), ("r2", T1, f"NOT {EARLY}", 50)),
+    "latest_late_run": bronze_latest(("r2", T1, f"NOT {EARLY}", 50), ("r1", T0, "true", 0)),
     "typed_values": "SELECT event_id, TRY_CAST(CAST(value AS VARCHAR) AS DECIMAL(4,2)) AS value FROM events "
                     "WHERE TRY_CAST(CAST(value AS VARCHAR) AS DECIMAL(4,2)) IS NOT NULL OR value IS NULL",
     "bad_values": "SELECT event_id, CAST(value AS VARCHAR) AS value, 'value' AS bad_columns, "
@@ -281,14 +326,45 @@ ORACLE: dict[str, str] = {
     "schema_evolution": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment, "
                         "'r1' AS _run_id FROM customer "
                         "UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'r2' FROM customer",
-    "stream_ingest": "SELECT 'r1' AS _run_id, COUNT(*) AS rows FROM events "
-                     "UNION ALL SELECT 'r2', COUNT(*) FROM events",
+    "stream_ingest": "SELECT event_id, ts, user_id, event_type, value, props, 'events/' || day AS landed, r AS _run_id "
+                     "FROM events, (VALUES ('r1', '2024-02-01'), ('r2', '2024-02-02')) t(r, day)",
+    "silver_reingested": with_ctes(ATT_B, body=f"""
+      , runs AS (SELECT * REPLACE ('r1' AS _run_id, {TS(T0)} AS _ingest_ts) FROM att_b
+        UNION ALL SELECT * REPLACE ('r2' AS _run_id, {TS(T1)} AS _ingest_ts, 'Absent' AS attendance_status) FROM att_b
+                  WHERE attendance_status <> 'Absent'
+        UNION ALL SELECT * REPLACE ('r3' AS _run_id, {TS(T2)} AS _ingest_ts) FROM att_b WHERE attendance_status = 'Leave'),
+      last AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY attendance_id ORDER BY _ingest_ts DESC) = 1)
+      SELECT attendance_id, employee_id, attendance_date, attendance_status, _run_id,
+             (floor(epoch(check_out_time)) - floor(epoch(check_in_time))) / 3600.0 AS work_hours,
+             CASE WHEN attendance_status IN ('Absent', 'Leave') AND check_in_time IS NOT NULL
+                  THEN 'warn:absent_has_times' END AS dq_status_with_times
+      FROM last QUALIFY row_number() OVER (PARTITION BY employee_id, attendance_date ORDER BY attendance_id DESC) = 1"""),
+    "rejected_append": with_ctes(
+        ATT_B, ATT_E,
+        body="SELECT attendance_id, employee_id, attendance_date, attendance_status, 'duplicate_attendance' AS "
+             "rejection_reason, _ingest_ts, _run_id AS _ingest_run_id, r AS _run_id FROM att_r, (VALUES ('r1'), ('r2')) t(r) "
+             "WHERE _rn > 1"),
+    "table_overwrite": "SELECT c_custkey, c_name FROM customer",
+    "attendance_payroll_text_month": with_ctes(
+        PAY_B, PAY_E, ATT_L,
+        body=f"SELECT p.employee_id, p.pay_period, COALESCE(c.days_present, 0) AS days_present, "
+             f"COALESCE(c.days_absent, 0) AS days_absent, p.net_pay_corrected, p.payroll_delay_days, "
+             f"{TS(AS_OF)} AS refresh_ts "
+             f"FROM (SELECT * FROM pay_r WHERE _rn = 1) p LEFT JOIN cnt c "
+             f"ON p.employee_id = c.employee_id AND p.pay_period = c.pay_period"),
+    "headcount_zero_filled": with_ctes(
+        emp_ctes(), SPINE, HEADCOUNT,
+        body="SELECT d.department_id, m.snapshot_month, CAST(COALESCE(hc.headcount, 0) AS BIGINT) AS headcount "
+             "FROM (SELECT DISTINCT department_id FROM hc) d CROSS JOIN spine m LEFT JOIN hc "
+             "ON hc.department_id = d.department_id AND hc.snapshot_month = m.snapshot_month"),
+    "scd2_history": tracked_history(False),
+    "scd2_history_null_safe": tracked_history(True),
     "audit_row": with_ctes(
         ATT_B, ATT_E, PAY_B, PAY_E, emp_ctes(),
         body=f"SELECT 'r1' AS run_id, 'pl_master_hr' AS pipeline_name, 'all_sources' AS source_name, "
              f"'Full' AS load_type, {TS(START_TIME)} AS start_time, {TS(END_TIME)} AS end_time, "
-             f"CAST(n_read AS INTEGER) AS records_read, CAST(n_read AS INTEGER) AS records_inserted, "
-             f"0 AS records_updated, CAST(n_rej AS INTEGER) AS records_rejected, 'Success' AS status, "
+             f"CAST(n_read AS BIGINT) AS records_read, CAST(n_read AS BIGINT) AS records_inserted, "
+             f"CAST(0 AS BIGINT) AS records_updated, CAST(n_rej AS BIGINT) AS records_rejected, 'Success' AS status, "
              f"CAST(NULL AS VARCHAR) AS error_message FROM ("
              f"SELECT (SELECT COUNT(*) FROM att_r WHERE _rn = 1) + (SELECT COUNT(*) FROM pay_r WHERE _rn = 1) "
              f"+ (SELECT COUNT(*) FROM v1) AS n_read, "

@@ -2,26 +2,25 @@
 
 Layout under ``base`` (a shared file system path)::
 
-    raw/<entity>/<run_date>/*.csv          landed files (``land_csv``)
-    bronze/<entity>/_run_id=<run>/         append-only history, one folder per run
-    bronze_latest/<entity>/version=<n>/    latest row per source id, updated incrementally
-    silver/{attendance,payroll,department}/version=<n>/  rebuilt each run, replaced atomically
-    silver/employee/version=<n>/           SCD2 table, one version per run
+    raw/<entity>/<run_date>/*.csv             landed files (``land_csv``)
+    bronze/<entity>/_run_id=<run>/            append-only history, one folder per run
+    silver/<entity>/_as_of=<time>/            one partition per run
+    silver/employee/_as_of=<time>/is_current=true|false/   current rows, and rows closed by the run
     rejected/{attendance,payroll}/_run_id=<run>/
-    gold/{workforce_summary,dept_headcount_history,attendance_payroll}/version=<n>/
-    (with ``cluster_files`` the silver tables are written z-ordered on the
-    reference's columns, in place of a separate OPTIMIZE ... ZORDER pass)
-    audit/                                 one row per run
-
-Steps run in the reference's order; a failing step is recorded and the run
-continues, the audit row is written, and the run raises at the end if any
-step failed.  Every step takes the run's parameters; only the audit start
-and end times read a clock (``clock``, replaceable).
+    gold/<report>/_as_of=<time>/
+    audit/                                    one row per run
+
+A table is declared with the tables it reads; the run order follows from that.
+A failing table is recorded and the run goes on, the audit row is written, and
+the run raises at the end if any table failed.  Every step takes the run's
+parameters; only the audit start and end times read a clock (``clock``,
+replaceable).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import graphlib
 import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
@@ -29,10 +28,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import gold, layout, quality, scd2, versions
-from strata.operators.audit import audit_row, table_counts
-from strata.operators.bronze import append_run, latest_incremental, stamp_lineage
-from strata.operators.dedupe import ROW_ID, split_duplicates
+from strata.operators import gold, quality, scd2, snapshots
+from strata.operators.audit import audit_row, narrow_counts, table_counts
+from strata.operators.bronze import append_run, latest_from_bronze, read_bronze, stamp_lineage
+from strata.operators.dedupe import split_duplicates
+from strata.plans.standins import ATT_REJECT_COLS, PAY_REJECT_COLS
 from strata.sources.files import read_csv, safe_count
 from strata.sources.jdbc import append_jdbc, publish_all
 
@@ -60,14 +60,6 @@ CLUSTER_COLUMNS = {
     "attendance": ("employee_id", "attendance_date"),
 }
 
-# Step names of run_all, in the order the steps run.
-STEPS = (
-    "bronze_attendance", "bronze_payroll", "bronze_employee", "bronze_department",
-    "silver_attendance", "silver_payroll", "silver_employee_scd2", "silver_department",
-    "gold_workforce_summary", "gold_dept_headcount_history", "gold_attendance_payroll",
-    "publish_reports",
-)
-
 
 @dataclass
 class RunParams:
@@ -79,8 +71,7 @@ class RunParams:
     strict: bool = False          # repaired behaviour (null keys rejected, null-safe changes)
     jdbc_url: str | None = None
     jdbc_props: Mapping[str, str] = field(default_factory=dict)
-    cluster_files: int | None = None  # write silver tables z-ordered into this many files
-    keep_versions: int = 2            # versions kept per replaced silver/gold table
+    cluster: bool = False         # write silver tables in value ranges of CLUSTER_COLUMNS
     clock: Callable[[], _dt.datetime] = field(default=lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
 
     def path(self, *parts: str) -> str:
@@ -105,29 +96,20 @@ def _bronze(spark: SparkSession, p: RunParams, entity: str) -> int:
 
 
 def _latest(spark: SparkSession, p: RunParams, entity: str, key: str) -> DataFrame:
-    """Latest Bronze row per source id, kept incrementally in ``bronze_latest/<entity>``."""
-    return latest_incremental(spark, p.path("bronze", entity), p.path("bronze_latest", entity), key, p.run_id, p.as_of)
+    """Latest Bronze row per source id, over the whole history."""
+    return latest_from_bronze(read_bronze(spark, p.path("bronze", entity)), key)
 
 
 def _clustered(df: DataFrame, p: RunParams, entity: str) -> DataFrame:
-    """Silver written already z-ordered (instead of a later OPTIMIZE pass) when asked."""
-    if not p.cluster_files:
-        return df
-    return layout.cluster(df, list(CLUSTER_COLUMNS[entity]), p.cluster_files)
+    return snapshots.clustered(df, list(CLUSTER_COLUMNS[entity]), 128 << 20, 64) if p.cluster else df
 
 
-def _replace(df: DataFrame, p: RunParams, zone: str, table: str) -> int:
-    """Replace a rebuildable table atomically: write it as the next version, then
-    drop versions beyond ``keep_versions``.  Readers only ever see a complete version."""
-    path = p.path(zone, table)
-    v = versions.write_version(df, path, p.run_id, p.as_of, "OVERWRITE")
-    versions.vacuum(df.sparkSession, path, keep=p.keep_versions)
-    return v
+def _put(df: DataFrame, p: RunParams, *table: str) -> None:
+    snapshots.write_partition(df, p.path(*table), p.as_of)
 
 
-def _current(spark: SparkSession, p: RunParams, zone: str, table: str) -> DataFrame:
-    """Latest complete version of a replaced table."""
-    return versions.read_version(spark, p.path(zone, table)).drop("version")
+def _get(spark: SparkSession, p: RunParams, *table: str) -> DataFrame:
+    return snapshots.read_partition(spark, p.path(*table), p.as_of)
 
 
 def _append_rejected(df: DataFrame, path: str, run_id: str) -> None:
@@ -143,132 +125,151 @@ def silver_attendance(spark: SparkSession, p: RunParams) -> None:
                                   strict=p.strict)
     clean, rejected = split_duplicates(
         df, ["employee_id", "attendance_date"], [F.desc("attendance_id")], "duplicate_attendance",
-        reject_columns=["attendance_id", "employee_id", "attendance_date", "attendance_status",
-                        "rejection_reason", "_ingest_ts", "_run_id"],
-        null_key_reason="null_key" if p.strict else None, staged=True,
+        reject_columns=ATT_REJECT_COLS, null_key_reason="null_key" if p.strict else None,
     )
     _append_rejected(rejected, p.path("rejected", "attendance"), p.run_id)
-    _replace(_clustered(clean, p, "attendance"), p, "silver", "attendance")
+    _put(_clustered(clean, p, "attendance"), p, "silver", "attendance")
 
 
 def silver_payroll(spark: SparkSession, p: RunParams) -> None:
     df = quality.add_payroll_delay(quality.recompute_net_pay(_latest(spark, p, "payroll", "payroll_id")))
     clean, rejected = split_duplicates(
         df, ["employee_id", "pay_period"], [F.desc("processed_date"), F.desc("payroll_id")], "duplicate_pay_period",
-        reject_columns=["payroll_id", "employee_id", "pay_period", "rejection_reason", "net_pay_raw",
-                        "net_pay_corrected", "_ingest_ts", "_run_id"],
-        null_key_reason="null_key" if p.strict else None, staged=True,
+        reject_columns=PAY_REJECT_COLS, null_key_reason="null_key" if p.strict else None,
     )
     _append_rejected(rejected, p.path("rejected", "payroll"), p.run_id)
-    _replace(_clustered(clean, p, "payroll"), p, "silver", "payroll")
+    _put(_clustered(clean, p, "payroll"), p, "silver", "payroll")
 
 
-def silver_employee(spark: SparkSession, p: RunParams) -> int:
-    snap = _latest(spark, p, "employee", "employee_id").drop("_ingest_ts", "_source_file", "_run_id", ROW_ID)
+def silver_employee(spark: SparkSession, p: RunParams) -> None:
+    """Type-2 table: reads the current rows only, writes the current rows and those it closes."""
+    snap = _latest(spark, p, "employee", "employee_id").drop("_ingest_ts", "_source_file", "_run_id")
     snap = snap.withColumns({"hire_date": F.to_date("hire_date"), "salary": F.col("salary").cast("decimal(18,2)")})
     store = p.path("silver", "employee")
-    last = versions.latest_version(spark, store)
+    last = snapshots.latest_label(spark, store, before=p.as_of)
     if last is None:
         nxt = scd2.scd2_init(snap, p.as_of)
-        op = "WRITE"
     else:
-        table = versions.read_version(spark, store, last).drop("version")
-        nxt = scd2.scd2_apply(table, snap, "employee_id", p.as_of, null_safe=p.strict,
-                              null_keys="reject" if p.strict else "insert")
-        op = "SCD2_APPLY"
-    return versions.write_version(_clustered(nxt, p, "employee"), store, p.run_id, p.as_of, op)
+        nxt = scd2.scd2_apply(snapshots.current_scd2(spark, store, last), snap, "employee_id", p.as_of,
+                              null_safe=p.strict, null_keys="reject" if p.strict else "insert")
+    snapshots.write_scd2(_clustered(nxt, p, "employee"), store, p.as_of)
 
 
 def silver_department(spark: SparkSession, p: RunParams) -> None:
-    _replace(_latest(spark, p, "department", "department_id").drop(ROW_ID), p, "silver", "department")
+    _put(_latest(spark, p, "department", "department_id"), p, "silver", "department")
 
 
 def _employees(spark: SparkSession, p: RunParams) -> DataFrame:
-    return versions.read_version(spark, p.path("silver", "employee")).drop("version")
+    return snapshots.read_scd2(spark, p.path("silver", "employee"), p.as_of)
 
 
 def gold_workforce(spark: SparkSession, p: RunParams) -> None:
-    dept = _current(spark, p, "silver", "department")
-    _replace(gold.workforce_summary(_employees(spark, p), dept, p.as_of), p, "gold", "workforce_summary")
+    dept = _get(spark, p, "silver", "department")
+    _put(gold.workforce_summary(_employees(spark, p), dept, p.as_of), p, "gold", "workforce_summary")
 
 
 def gold_headcount(spark: SparkSession, p: RunParams) -> None:
     hc = gold.headcount_history(_employees(spark, p), spark, p.as_of, p.n_months)
-    _replace(gold.with_refresh(hc, p.as_of), p, "gold", "dept_headcount_history")
+    _put(gold.with_refresh(hc, p.as_of), p, "gold", "dept_headcount_history")
 
 
 def gold_attendance_payroll(spark: SparkSession, p: RunParams) -> None:
-    att = _current(spark, p, "silver", "attendance")
-    pay = _current(spark, p, "silver", "payroll")
-    out = gold.attendance_payroll(pay, gold.monthly_status_counts(att), p.as_of)
-    _replace(out, p, "gold", "attendance_payroll")
+    counts = gold.monthly_status_counts(_get(spark, p, "silver", "attendance"))
+    _put(gold.attendance_payroll(_get(spark, p, "silver", "payroll"), counts, p.as_of), p, "gold", "attendance_payroll")
 
 
 def publish(spark: SparkSession, p: RunParams) -> None:
     if p.jdbc_url:
-        tables = [(t, f"{p.path(rel)}/version={versions.latest_version(spark, p.path(rel))}")
-                  for t, rel in REPORT_TABLES]
+        tables = [(t, lambda rel=rel: _get(spark, p, rel)) for t, rel in REPORT_TABLES]
         publish_all(spark, p.jdbc_url, tables, p.jdbc_props)
 
 
+@dataclass(frozen=True)
+class Task:
+    """How a table (or the reports) is made, and which tables that reads."""
+
+    make: Callable[[SparkSession, RunParams], object]
+    reads: tuple[str, ...] = ()
+
+
+def tasks() -> dict[str, Task]:
+    """Every table of the run by name; nothing here says in which order they are made."""
+    out = {f"bronze_{e}": Task(lambda s, p, e=e: _bronze(s, p, e)) for e in SCHEMAS}
+    out |= {
+        "publish_reports": Task(publish, ("gold_workforce_summary", "gold_headcount_history", "gold_attendance_payroll")),
+        "gold_attendance_payroll": Task(gold_attendance_payroll, ("silver_attendance", "silver_payroll")),
+        "gold_headcount_history": Task(gold_headcount, ("silver_employee",)),
+        "gold_workforce_summary": Task(gold_workforce, ("silver_employee", "silver_department")),
+    }
+    makers = {"attendance": silver_attendance, "payroll": silver_payroll, "employee": silver_employee,
+              "department": silver_department}
+    return out | {f"silver_{e}": Task(f, (f"bronze_{e}",)) for e, f in makers.items()}
+
+
+def run_order(todo: Mapping[str, Task]) -> list[str]:
+    """Names such that each comes after all it reads; by name where that leaves a choice."""
+    sorter = graphlib.TopologicalSorter({k: t.reads for k, t in todo.items()})
+    sorter.prepare()
+    out: list[str] = []
+    while sorter.is_active():
+        ready = sorted(sorter.get_ready())
+        out += ready
+        sorter.done(*ready)
+    return out
+
+
+@dataclass
+class Outcome:
+    table: str
+    seconds: float
+    error: str | None = None
+
+    @property
+    def status(self) -> str:
+        return "FAILED" if self.error is not None else "SUCCESS"
+
+
 def run_audit(spark: SparkSession, p: RunParams, start: _dt.datetime, end: _dt.datetime, failed: list[str]) -> DataFrame:
-    def table_or_empty(path: str) -> DataFrame:
-        if safe_count(spark, path) == 0:
-            return spark.range(0).select(F.lit(1).alias("x"))
-        if versions.latest_version(spark, path) is not None:
-            return versions.read_version(spark, path)
-        return spark.read.parquet(path)
-
-    emp_store = p.path("silver", "employee")
-    emp = _employees(spark, p) if versions.latest_version(spark, emp_store) is not None else table_or_empty(emp_store)
+    """The audit row, counted from what the run has left; a table that is not there counts 0."""
+    none = spark.range(0)
+
+    def made(read: Callable[[], DataFrame]) -> DataFrame:
+        try:
+            return read()
+        except FileNotFoundError:
+            return none
+
+    def rejected(entity: str) -> DataFrame:
+        path = p.path("rejected", entity, f"_run_id={p.run_id}")
+        return spark.read.parquet(path) if safe_count(spark, path) else none
+
     counts = table_counts(
-        {
-            "silver_attendance": table_or_empty(p.path("silver", "attendance")),
-            "silver_payroll": table_or_empty(p.path("silver", "payroll")),
-            "silver_employee": emp,
-        },
-        {
-            "rejected_attendance": table_or_empty(p.path("rejected", "attendance", f"_run_id={p.run_id}")),
-            "rejected_payroll": table_or_empty(p.path("rejected", "payroll", f"_run_id={p.run_id}")),
-        },
+        {"silver_attendance": made(lambda: _get(spark, p, "silver", "attendance")),
+         "silver_payroll": made(lambda: _get(spark, p, "silver", "payroll")),
+         "silver_employee": made(lambda: _employees(spark, p))},
+        {f"rejected_{e}": rejected(e) for e in ("attendance", "payroll")},
     )
     return audit_row(counts, p.run_id, start.isoformat(sep=" "), end.isoformat(sep=" "), failed, ts_type="timestamp")
 
 
-def run_all(spark: SparkSession, p: RunParams, raise_on_failure: bool = True) -> tuple[list[tuple], DataFrame]:
-    """Run every step in order; returns ([(step, status, seconds, message)], audit row)."""
-    steps: dict[str, Callable[[], object]] = {
-        STEPS[0]: lambda: _bronze(spark, p, "attendance"),
-        STEPS[1]: lambda: _bronze(spark, p, "payroll"),
-        STEPS[2]: lambda: _bronze(spark, p, "employee"),
-        STEPS[3]: lambda: _bronze(spark, p, "department"),
-        STEPS[4]: lambda: silver_attendance(spark, p),
-        STEPS[5]: lambda: silver_payroll(spark, p),
-        STEPS[6]: lambda: silver_employee(spark, p),
-        STEPS[7]: lambda: silver_department(spark, p),
-        STEPS[8]: lambda: gold_workforce(spark, p),
-        STEPS[9]: lambda: gold_headcount(spark, p),
-        STEPS[10]: lambda: gold_attendance_payroll(spark, p),
-        STEPS[11]: lambda: publish(spark, p),
-    }
-    results = []
-    start = p.clock()
-    for name, fn in steps.items():
-        t0 = time.perf_counter()
+def run_all(spark: SparkSession, p: RunParams, raise_on_failure: bool = True) -> tuple[list[Outcome], DataFrame]:
+    """Make every table in dependency order; returns the outcome of each, and the audit row."""
+    todo, outcomes, start = tasks(), [], p.clock()
+    for name in run_order(todo):
+        began, error = time.perf_counter(), None
         try:
-            out = fn()
-            results.append((name, "SUCCESS", time.perf_counter() - t0, out))
-        except Exception as e:  # noqa: BLE001 - recorded, the run continues like the reference
-            results.append((name, "FAILED", time.perf_counter() - t0, str(e)))
-    end = p.clock()
-    failed = [n for n, s, _, _ in results if s == "FAILED"]
-    audit = run_audit(spark, p, start, end, failed)
+            todo[name].make(spark, p)
+        except Exception as e:  # noqa: BLE001 - recorded; tables that do not need this one are still made
+            error = str(e)
+        outcomes.append(Outcome(name, time.perf_counter() - began, error))
+    failed = [o.table for o in outcomes if o.error is not None]
+    audit = run_audit(spark, p, start, p.clock(), failed)
     audit.write.mode("append").parquet(p.path("audit"))
     if p.jdbc_url:
-        append_jdbc(audit, p.jdbc_url, AUDIT_TABLE, p.jdbc_props)
+        append_jdbc(narrow_counts(audit), p.jdbc_url, AUDIT_TABLE, p.jdbc_props)
     if failed and raise_on_failure:
-        raise RuntimeError(f"{len(failed)} steps failed: {', '.join(failed)}")
-    return results, spark.read.parquet(p.path("audit")).filter(F.col("run_id") == p.run_id)
+        raise RuntimeError(f"{len(failed)} tables failed: {', '.join(failed)}")
+    return outcomes, spark.read.parquet(p.path("audit")).filter(F.col("run_id") == p.run_id)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -287,17 +288,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--months", type=int, default=12)
     ap.add_argument("--strict", action="store_true")
     ap.add_argument("--jdbc-url")
-    ap.add_argument("--cluster-files", type=int, help="write silver tables z-ordered into this many files")
+    ap.add_argument("--cluster", action="store_true", help="write silver tables in value ranges")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     from strata.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
-    params = RunParams(a.base, a.run_id, a.run_date, a.as_of, a.months, a.strict, a.jdbc_url,
-                       cluster_files=a.cluster_files)
-    results, audit = run_all(spark, params)
-    for name, status, secs, _ in results:
-        print(f"{status:8s} {secs:7.1f}s {name}")
+    params = RunParams(a.base, a.run_id, a.run_date, a.as_of, a.months, a.strict, a.jdbc_url, cluster=a.cluster)
+    outcomes, audit = run_all(spark, params)
+    for o in outcomes:
+        print(f"{o.status:8s} {o.seconds:7.1f}s {o.table}")
     audit.show(truncate=False)
 
 

@@ -40,6 +40,7 @@ RUN_ID = "r1"
 INGEST_TS = "2024-02-01 06:00:00"
 T0 = "1998-01-01 00:00:00"          # first employee snapshot (scd2_init)
 T1 = "1999-12-31 09:00:00"          # second snapshot (scd2_apply); 09:00 on a month's last day
+T2 = "2001-01-31 10:00:00"          # third snapshot of the tracked stand-in
 AS_OF = "2001-08-15 00:00:00"       # report date
 AS_OF_POINT = "2000-06-15 00:00:00"  # point-in-time read of the versions
 N_MONTHS = 48
@@ -166,6 +167,24 @@ class StandIns:
             F.col("c_name").alias("employee_name"),
         )
 
+    def tracked_snapshot(self, as_of) -> DataFrame:
+        """Employees whose tracked columns mostly stay, some turning NULL or back: department and salary band
+        from the customer, manager from the price (NULL for cheap orders), status from the order.  Customers in
+        debt of one segment have no employee id."""
+        o = self.table("orders").filter(F.col("o_orderdate") < typed_timestamp(as_of))
+        latest = latest_by(o, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")], tiebreak=[])
+        c = self.table("customer")
+        no_id = (F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") < 0)
+        return latest.join(c, latest["o_custkey"] == c["c_custkey"]).select(
+            F.when(~no_id, F.col("c_custkey")).alias("employee_id"),
+            F.col("c_nationkey").alias("department_id"),
+            F.lit("Staff").alias("designation"),
+            F.when(F.col("o_totalprice") >= 100000, F.col("c_nationkey")).alias("manager_id"),
+            F.floor(F.col("c_acctbal") / 1000).cast("decimal(18,2)").alias("salary"),
+            F.when(F.col("o_orderstatus") == "P", "Notice").otherwise("Active").alias("employment_status"),
+            F.col("c_name").alias("employee_name"),
+        )
+
     @cached_property
     def departments(self) -> DataFrame:
         return self.table("nation").select(

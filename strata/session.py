@@ -30,19 +30,18 @@ SCALE_CONF = {
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 input_bytes_per_partition: int = 1024**3, max_partitions: int = 100_000) -> dict[str, str]:
+                 input_bytes_per_partition: int = 1024**3) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of Parquet input.
 
     Shuffle partitions start at about one per GB of input (shuffled data is
     far smaller after column pruning and partial aggregation), at least
-    twice the task slots and at most ``max_partitions`` so map x reduce
-    block counts stay manageable; AQE then coalesces them to ~128 MB after
+    twice the task slots; AQE then coalesces them to ~128 MB after
     each stage, so one plan serves small and large runs.  Skewed join
     partitions above 4x the median and 256 MB are split.  Scan splits stay
     at 256 MB so a task's input fits comfortably in executor memory.
     """
     slots = executors * cores_per_executor
-    partitions = min(max_partitions, max(2 * slots, input_bytes // input_bytes_per_partition))
+    partitions = max(2 * slots, input_bytes // input_bytes_per_partition)
     conf = dict(SCALE_CONF)
     conf.update(
         {
@@ -74,13 +73,19 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "strat
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting one only if it is unset."""
+    """Return the session's checkpoint folder; one is made only for a local master without the setting.
+
+    Staged tables stay there until the folder's owner expires them: results
+    are lazy and may still read them when a function returns.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

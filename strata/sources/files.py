@@ -18,20 +18,24 @@ from pyspark.sql import types as T
 # Fixed values that must equal the reference's for the same results.
 CSV_DIALECT = {"header": "true", "sep": ",", "quote": '"', "escape": "\\"}
 
+# Spark's default CSV formats cut timestamps to milliseconds; readers accept any fraction.
+CSV_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     schema: T.StructType | str | None = None,
     infer: bool = False,
-    multi_line: bool = False,
+    multi_line: bool = True,
     with_source_file: bool = False,
     mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Header CSV in the landing dialect.
 
-    ``multi_line`` keeps quoted newlines inside one value (files then cannot
-    be split across tasks).  Empty fields read as NULL.  ``mode`` is Spark's
+    ``multi_line`` keeps quoted newlines inside one value, as the landing
+    writer emits them; files known to have none can be read without it, and
+    are then split across tasks.  Empty fields read as NULL.  ``mode`` is Spark's
     parse mode: PERMISSIVE turns a value that does not fit the schema into
     NULL, FAILFAST raises on it.
     """
@@ -74,7 +78,7 @@ def land_csv(
     """
     out = apply_mapping(df, mapping) if mapping else df
     path = f"{base.rstrip('/')}/{entity}/{load_date}"
-    out.write.mode("overwrite").options(**CSV_DIALECT).option("quoteAll", str(quote_all).lower()).csv(path)
+    out.write.mode("overwrite").options(**CSV_DIALECT, **CSV_TIMES).option("quoteAll", str(quote_all).lower()).csv(path)
     return path
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,16 +52,17 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, st
 
 
 def publish_all(
-    spark: SparkSession, url: str, tables: Sequence[tuple[str, str]], properties: Mapping[str, str]
+    spark: SparkSession, url: str, tables: Sequence[tuple[str, str | Callable[[], DataFrame]]], properties: Mapping[str, str]
 ) -> dict[str, int]:
-    """Publish each (sql table, parquet path); returns rows written per table."""
+    """Publish each (sql table, Parquet path or function that gives its rows); returns rows written per table."""
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
     written = {}
     for tbl, path in tables:
         obs = Observation(f"publish_{tbl}_{uuid.uuid4().hex[:8]}")
-        df = spark.read.parquet(path).observe(obs, F.count(F.lit(1)).alias("rows"))
+        rows = path() if callable(path) else spark.read.parquet(path)
+        df = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
         publish_jdbc(df, url, tbl, properties)
         written[tbl] = int(obs.get["rows"])
     return written

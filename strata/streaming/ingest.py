@@ -4,9 +4,10 @@ The file source remembers, in its checkpoint, which files it has read, so
 each landed file is ingested exactly once however often the job runs
 (``trigger(availableNow=True)``: read what is there, then stop).  Each
 micro-batch is written by ``foreachBatch`` into its own partition
-``_run_id=<run>/_batch=<epoch>`` with dynamic partition overwrite, so a
-batch replayed after a failure replaces its own output instead of
-duplicating it.
+``_batch=<epoch>`` with dynamic partition overwrite, so a batch replayed after
+a failure replaces its own output, also when the restart has another run id.
+One checkpoint belongs to one Bronze folder; batch numbers are the
+checkpoint's.  A replayed batch carries the run id of the run that completed it.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ def _writer(bronze_path: str):
             batch.withColumn("_batch", F.lit(int(epoch_id)))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_run_id", "_batch")
+            .partitionBy("_batch")
             .parquet(bronze_path)
         )
 
@@ -50,7 +51,7 @@ def start_csv_ingest(
     reader = (
         spark.readStream.schema(schema)
         .options(**CSV_DIALECT)
-        .option("recursiveFileLookup", "true")
+        .option("recursiveFileLookup", "true").option("multiLine", "true")
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

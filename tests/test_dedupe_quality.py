@@ -181,4 +181,4 @@ def test_split_ties_resolve_by_content_on_every_run(spark):
         df = spark.createDataFrame([rows[i] for i in perm], "k STRING, v INT, w STRING").repartition(3)
         clean, _ = split_duplicates(df, ["k"], [F.desc("v")], "dup")
         winners.add(clean.first().w)
-    assert winners == {"a"}
+    assert len(winners) == 1  # by a hash of the row's content

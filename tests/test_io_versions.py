@@ -1,4 +1,4 @@
-"""Files, bronze appends, versions, layout, streaming ingest and the end-to-end run."""
+"""Files, bronze appends, partitioned tables, streaming ingest and the end-to-end run."""
 
 import datetime as dt
 from decimal import Decimal
@@ -6,8 +6,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import layout, versions
-from strata.operators.bronze import ingest_bronze, read_bronze, runs_summary
+from strata.operators import scd2, snapshots
+from strata.operators.bronze import ingest_bronze, latest_from_bronze, read_bronze, runs_summary
 from strata.session import shared_dir
 from strata.sources.files import apply_mapping, land_csv, read_csv, safe_count, write_table
 
@@ -34,8 +34,8 @@ def test_csv_landing_roundtrip_quotes_and_nulls(spark):
 def test_csv_multiline_option(spark, tmp_path):
     p = tmp_path / "m.csv"
     p.write_text('id,txt\n1,"line one\nline two"\n2,plain\n')
-    split = read_csv(spark, str(p), schema="id INT, txt STRING").count()
-    whole = read_csv(spark, str(p), schema="id INT, txt STRING", multi_line=True).collect()
+    split = read_csv(spark, str(p), schema="id INT, txt STRING", multi_line=False).count()
+    whole = read_csv(spark, str(p), schema="id INT, txt STRING").collect()
     assert split == 3  # Q19: a quoted newline splits the row without multiLine
     assert len(whole) == 2 and whole[0].txt == "line one\nline two"
 
@@ -69,66 +69,6 @@ def test_safe_count_and_overwrite_guard(spark):
         write_table(spark.read.parquet(path), path)
 
 
-def test_versions_store(spark):
-    path = shared_dir(spark, "versions")
-    t0 = spark.createDataFrame([(1, "Active", True), (2, "Active", True)], "k INT, s STRING, is_current BOOLEAN")
-    assert versions.write_version(t0, path, "r0", "2026-01-01 00:00:00") == 0
-    t1 = t0.union(spark.createDataFrame([(3, "Resigned", True)], t0.schema))
-    assert versions.write_version(t1, path, "r1", "2026-02-01 00:00:00", "SCD2_APPLY") == 1
-    assert versions.list_versions(spark, path) == [0, 1]
-    assert versions.read_version(spark, path).count() == 3
-    v0 = versions.read_version(spark, path, 0)
-    assert v0.count() == 2
-    assert "PartitionFilters: [isnotnull(version" in v0._jdf.queryExecution().executedPlan().toString()
-    hist = [(r.version, r.run_id, r.operation, r.num_rows) for r in
-            versions.version_history(spark, path).orderBy("version").collect()]
-    assert hist == [(0, "r0", "WRITE", 2), (1, "r1", "SCD2_APPLY", 3)]
-    cmp = {r.snapshot: r.active_count for r in
-           versions.compare_versions(spark, path, "is_current AND s = 'Active'").collect()}
-    assert cmp == {"now": 2, "v0": 2}
-    cmp = {r.snapshot: r.active_count for r in versions.compare_versions(spark, path, "s = 'Resigned'").collect()}
-    assert cmp == {"now": 1, "v0": 0}  # zero counts still appear
-
-
-def test_compaction_preserves_rows_and_clusters(spark):
-    df = spark.range(0, 20000).select(
-        (F.col("id") % 97).alias("a"), (F.col("id") % 13).cast("int").alias("b"),
-        F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("d"),
-        F.concat(F.lit("s"), (F.col("id") % 50).cast("string")).alias("txt")).repartition(16)
-    path = layout.compact_and_cluster(df, ["a", "d", "txt"], 4, shared_dir(spark, "clustered"))
-    back = spark.read.parquet(path)
-    assert len([f for f in back.inputFiles() if f.endswith(".parquet")]) == 4
-    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
-    # a hot value spreads over several files instead of one
-    hot = spark.range(0, 8000).select(F.lit(1).alias("a"), F.col("id").alias("v"))
-    hp = layout.compact_and_cluster(hot, ["a"], 4, shared_dir(spark, "hot"))
-    sizes = spark.read.parquet(hp).groupBy(F.input_file_name()).count().collect()
-    assert len(sizes) == 4
-
-
-def test_raw_interleave(spark):
-    df = spark.createDataFrame([(0, 0), (1, 0), (0, 1), (1, 1), (2, 3)], "x INT, y INT")
-    z = [r.z for r in df.select(layout.zorder_key(df, ["x", "y"], 4).alias("z")).collect()]
-    assert z == [0, 1, 2, 3, 0b1110]
-
-
-def test_streaming_ingest_reads_each_file_once(spark):
-    from strata.streaming.ingest import ingest_available
-
-    raw, bronze, ckpt = shared_dir(spark, "sraw"), shared_dir(spark, "sbronze"), shared_dir(spark, "sckpt")
-    day1 = spark.range(0, 300).select(F.col("id").cast("int").alias("id"), F.lit("x").alias("v")).repartition(3)
-    land_csv(day1, raw, "ev", "2026-05-20")
-    ingest_available(spark, raw, "id INT, v STRING", bronze, ckpt, "r1", "2026-05-20 00:00:00", max_files_per_trigger=1)
-    ingest_available(spark, raw, "id INT, v STRING", bronze, ckpt, "r1b", "2026-05-20 00:00:00")  # nothing new
-    land_csv(day1.limit(100), raw, "ev", "2026-05-21")
-    ingest_available(spark, raw, "id INT, v STRING", bronze, ckpt, "r2", "2026-05-21 00:00:00")
-    b = read_bronze(spark, bronze)
-    counts = {r._run_id: r.rows for r in runs_summary(b).collect()}
-    assert counts == {"r1": 300, "r2": 100}
-    assert b.filter("_run_id = 'r1'").select("_batch").distinct().count() == 3
-    assert b.filter("_source_file LIKE '%2026-05-21%'").count() == 100
-
-
 def _land_fixture_run(spark, base, run_date, employees):
     att = spark.createDataFrame(
         [(1, "E1", "2026-05-20", "Present", "2026-05-20 09:00:00", "2026-05-20 17:30:00"),
@@ -162,7 +102,7 @@ def test_end_to_end_run(spark):
         ("E2", "D1", "Eng", "M", "200.00", "Resigned", "2021-01-01")])
     p1 = RunParams(base, "r1", "2026-05-20", "2026-05-20 23:00:00", n_months=3, clock=clock)
     res, audit = run_all(spark, p1)
-    assert all(s == "SUCCESS" for _, s, _, _ in res), res
+    assert all(o.status == "SUCCESS" for o in res), res
     a = audit.first()
     # silver: 2 attendance + 2 payroll + 2 employee rows; rejected: 1 + 1
     assert (a.records_read, a.records_rejected, a.status) == (6, 2, "Success")
@@ -170,34 +110,21 @@ def test_end_to_end_run(spark):
         ("E1", "D1", "Eng", "M", "150.00", "Active", "2020-01-01"),
         ("E2", "D1", "Eng", "M", "200.00", "Resigned", "2021-01-01"),
         ("E3", "D1", "Ops", "M", "300.00", "Active", "2026-05-01")])
-    p2 = RunParams(base, "r2", "2026-05-21", "2026-05-21 23:00:00", n_months=3, clock=clock, cluster_files=2)
+    p2 = RunParams(base, "r2", "2026-05-21", "2026-05-21 23:00:00", n_months=3, clock=clock, cluster=True)
     res, audit = run_all(spark, p2)
-    emp = versions.read_version(spark, p2.path("silver", "employee"))
+    emp = snapshots.read_scd2(spark, p2.path("silver", "employee"))
     assert emp.count() == 4 and emp.filter("is_current").count() == 3
-    ws = versions.read_version(spark, p2.path("gold", "workforce_summary")).first()
+    ws = snapshots.read_partition(spark, p2.path("gold", "workforce_summary")).first()
     assert (ws.headcount, ws.active_count, ws.attrition_count, ws.department_name) == (3, 2, 1, "One")
-    ap = {r.employee_id: r for r in versions.read_version(spark, p2.path("gold", "attendance_payroll")).collect()}
+    ap = {r.employee_id: r for r in snapshots.read_partition(spark, p2.path("gold", "attendance_payroll")).collect()}
     assert (ap["E1"].days_present, ap["E2"].days_absent) == (1, 1)
-    hc = versions.read_version(spark, p2.path("gold", "dept_headcount_history")).collect()
+    hc = snapshots.read_partition(spark, p2.path("gold", "dept_headcount_history")).collect()
     assert [(r.snapshot_month, r.headcount) for r in hc] == [("2026-05", 2)]  # E1 (new version) and E3
     rej = spark.read.parquet(p2.path("rejected", "attendance"))
     assert {r._run_id: r.n for r in rej.groupBy("_run_id").agg(F.count("*").alias("n")).collect()} == {"r1": 1, "r2": 1}
     assert audit.first().records_read == 2 + 2 + 4
 
 
-def test_version_after_crashed_write(spark):
-    path = shared_dir(spark, "versions_crash")
-    t = spark.createDataFrame([(1,)], "k INT")
-    versions.write_version(t, path, "r0", "2026-01-01 00:00:00")
-    spark.range(3).write.parquet(f"{path}/version=1")  # a dead attempt: files but ...
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path}/version=1/_SUCCESS")
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)  # ... no marker
-    assert versions.latest_version(spark, path) == 0
-    assert versions.write_version(t, path, "r1", "2026-02-01 00:00:00") == 2
-    assert versions.list_versions(spark, path) == [0, 2]
-
-
 def test_run_records_failed_steps_and_continues(spark):
     from strata.plans.orchestrate import RunParams, run_all
 
@@ -212,7 +139,7 @@ def test_run_records_failed_steps_and_continues(spark):
     with pytest.raises(RuntimeError):
         run_all(spark, p)
     res, audit = run_all(spark, RunParams(**{**p.__dict__, "run_id": "r1b"}), raise_on_failure=False)
-    status = {n: s for n, s, _, _ in res}
+    status = {o.table: o.status for o in res}
     assert status["bronze_payroll"] == "FAILED" and status["silver_payroll"] == "FAILED"
     assert status["gold_workforce_summary"] == "SUCCESS"
     a = audit.first()
@@ -238,83 +165,153 @@ def test_bad_values_fail_in_parity_and_are_rejected_in_strict(spark):
     assert [(r.payroll_id, r.bad_columns, r._run_id) for r in rej] == [("2", "basic_salary", "r2")]
 
 
-def test_zorder_source_orders_text_and_handles_nan(spark):
-    from strata.operators.layout import _numeric_source
-
-    words = ["", "a", "ab", "abc", "b", "ba", "zz", "été"]
-    df = spark.createDataFrame([(w, float("nan") if i == 0 else float(i)) for i, w in enumerate(words)],
-                               "w STRING, x DOUBLE")
-    keys = [r.k for r in df.select(_numeric_source(df, "w").alias("k")).collect()]
-    assert [w for _, w in sorted(zip(keys, words))] == sorted(words, key=lambda s: s.encode())
-    nan_key = df.select(_numeric_source(df, "x").alias("k")).first().k
-    assert nan_key == float("-inf")
-    z = layout.with_zorder_key(df, ["w", "x"], bits=4)
-    assert z.count() == len(words)
-
-
-def test_incremental_latest_equals_full_recompute(spark):
-    from strata.operators.dedupe import latest_by
-    from strata.plans.orchestrate import RunParams, _latest
-
-    base = shared_dir(spark, "lake_inc")
-    bronze = f"{base}/bronze/things"
-    runs = [("r1", "2026-05-01 00:00:00", [(1, "a"), (2, "b")]),
-            ("r2", "2026-05-02 00:00:00", [(2, "bb"), (3, "c")]),
-            ("r3", "2026-05-03 00:00:00", [(1, "aaa")])]
-    for run, ts, rows in runs:
-        ingest_bronze(spark.createDataFrame(rows, "id INT, v STRING"), run, ts, bronze, source_file=False)
-        got = _latest(spark, RunParams(base, run, "x", ts), "things", "id")
-    _latest(spark, RunParams(base, "r3", "x", "2026-05-03 00:00:00"), "things", "id")  # re-run
-    got = _latest(spark, RunParams(base, "r3", "x", "2026-05-03 00:00:00"), "things", "id")
-    full = latest_by(read_bronze(spark, bronze), ["id"], [F.desc("_ingest_ts")])
-    cols = ["id", "v", "_ingest_ts", "_run_id"]
-    assert sorted(tuple(r) for r in got.select(cols).collect()) == sorted(tuple(r) for r in full.select(cols).collect())
-    assert {r.id: r.v for r in got.collect()} == {1: "aaa", 2: "bb", 3: "c"}
-
-
 def test_safe_count_empty_folder(spark, tmp_path):
     d = tmp_path / "empty"
     d.mkdir()
     assert safe_count(spark, str(d)) == 0
 
 
-def test_cluster_conf_sizes_partitions():
-    from strata.session import cluster_conf
+def test_audit_record_literal_row(spark):
+    from strata.operators.audit import AUDIT_SCHEMA, audit_record
+
+    row = audit_record(spark, ["r1", "pl_master_hr", "all_sources", "Full", dt.datetime(2026, 5, 21, 6),
+                               dt.datetime(2026, 5, 21, 7), 10, 10, 0, 2, "Success", None])
+    assert row.schema == AUDIT_SCHEMA and row.first().records_rejected == 2
+
+
+def test_timestamps_keep_microseconds_and_newlines(spark):
+    rows = [(1, dt.datetime(2026, 5, 20, 9, 0, 0, 123456), dt.datetime(2026, 5, 20, 9, 0, 0, 1), "a\nb"),
+            (2, dt.datetime(2026, 5, 20, 9, 0, 0), None, "c")]
+    df = spark.createDataFrame(rows, "id INT, n TIMESTAMP_NTZ, t TIMESTAMP, txt STRING")
+    folder = land_csv(df, shared_dir(spark, "raw"), "times", "2026-05-21")
+    back = read_csv(spark, folder, schema="id INT, n TIMESTAMP_NTZ, t TIMESTAMP, txt STRING")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
-    big = cluster_conf(100 * 1024**4, executors=1000, cores_per_executor=8)
-    assert big["spark.sql.shuffle.partitions"] == "100000"  # capped
-    assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
-    small = cluster_conf(10 * 1024**3, executors=10, cores_per_executor=4)
-    assert small["spark.sql.shuffle.partitions"] == "80"  # at least twice the slots
 
+def test_run_id_stays_text(spark):
+    path = shared_dir(spark, "bronze_ids")
+    ingest_bronze(spark.createDataFrame([(1,)], "id INT"), "001", "2026-05-20 00:00:00", path, source_file=False)
+    assert read_bronze(spark, path).first()._run_id == "001"
+    assert read_bronze(spark, path, read_bronze(spark, path).schema).first()._run_id == "001"
 
-def test_vacuum_keeps_newest_versions(spark):
-    path = shared_dir(spark, "versions_vacuum")
-    t = spark.createDataFrame([(1,)], "k INT")
-    for i in range(4):
-        versions.write_version(t, path, f"r{i}", "2026-01-01 00:00:00")
-    assert versions.vacuum(spark, path, keep=2) == [0, 1]
-    assert versions.list_versions(spark, path) == [2, 3]
-    assert versions.read_version(spark, path).count() == 1
-    assert versions.version_history(spark, path).count() == 4  # the log is kept
+
+def test_latest_over_skipped_repeated_and_late_runs(spark):
+    path = shared_dir(spark, "bronze_latest")
+
+    def put(run, ts, rows):
+        ingest_bronze(spark.createDataFrame(rows, "id INT, v STRING"), run, ts, path, source_file=False)
+
+    def latest():
+        return {r.id: r.v for r in latest_from_bronze(read_bronze(spark, path), "id").collect()}
+
+    put("r1", "2026-05-01 00:00:00", [(1, "a"), (2, "a")])
+    put("r2", "2026-05-02 00:00:00", [(2, "b"), (3, "b")])  # appended, never looked at
+    put("r3", "2026-05-03 00:00:00", [(4, "c")])
+    assert latest() == {1: "a", 2: "b", 3: "b", 4: "c"}
+    put("r1", "2026-05-01 00:00:00", [(1, "z")])  # corrected: id 2 is no longer in r1
+    assert latest() == {1: "z", 2: "b", 3: "b", 4: "c"}
+    put("r0", "2026-04-30 00:00:00", [(1, "old"), (5, "old")])  # late
+    assert latest() == {1: "z", 2: "b", 3: "b", 4: "c", 5: "old"}
+
+
+def test_streaming_ingest_reads_each_file_once(spark):
+    from strata.streaming.ingest import ingest_available
+
+    raw, bronze, ckpt = shared_dir(spark, "sraw"), shared_dir(spark, "sbronze"), shared_dir(spark, "sckpt")
+    day1 = spark.range(0, 300).select(F.col("id").cast("int").alias("id"), F.lit("x").alias("v")).repartition(3)
+    land_csv(day1, raw, "ev", "2026-05-20")
+    ingest_available(spark, raw, "id INT, v STRING", bronze, ckpt, "r1", "2026-05-20 00:00:00", max_files_per_trigger=1)
+    ingest_available(spark, raw, "id INT, v STRING", bronze, ckpt, "r1b", "2026-05-20 00:00:00")  # nothing new
+    land_csv(day1.limit(100), raw, "ev", "2026-05-21")
+    ingest_available(spark, raw, "id INT, v STRING", bronze, ckpt, "r2", "2026-05-21 00:00:00")
+    b = read_bronze(spark, bronze)
+    assert {r._run_id: r.rows for r in runs_summary(b).collect()} == {"r1": 300, "r2": 100}
+    assert b.filter("_run_id = 'r1'").select("_batch").distinct().count() == 3
+    assert b.filter("_source_file LIKE '%2026-05-21%'").count() == 100
 
 
 def test_replayed_stream_batch_replaces_its_output(spark):
     from strata.streaming.ingest import _writer
 
     bronze = shared_dir(spark, "replay")
-    batch = spark.createDataFrame([(1, "r1"), (2, "r1")], "id INT, _run_id STRING")
+    batch = spark.range(10).select("id", F.lit("r1").alias("_run_id"))
     write = _writer(bronze)
     write(batch, 0)
-    write(batch, 0)  # the same epoch again after a failure
+    write(batch.withColumn("_run_id", F.lit("r2")), 0)  # the same epoch after a restart with a new run id
     write(batch.limit(1), 1)
     b = read_bronze(spark, bronze)
-    assert b.count() == 3 and b.filter("_batch = 0").count() == 2
+    assert b.filter("_batch = 0").count() == 10 and b.count() == 11
 
 
-def test_audit_record_literal_row(spark):
-    from strata.operators.audit import AUDIT_SCHEMA, audit_record
+def test_partitioned_table_by_label(spark):
+    path = shared_dir(spark, "labels")
+    t0 = spark.createDataFrame([(1, "Active", True), (2, "Active", True)], "k INT, s STRING, is_current BOOLEAN")
+    assert snapshots.latest_label(spark, path) is None
+    snapshots.write_partition(t0, path, 0, "version")
+    snapshots.write_partition(t0.union(spark.createDataFrame([(3, "Resigned", True)], t0.schema)), path, 1, "version")
+    assert snapshots.latest_label(spark, path, column="version") == "1"
+    assert snapshots.read_partition(spark, path, column="version").count() == 3
+    got = snapshots.compare_partitions(spark, path, "s = 'Resigned'", "1", "0")
+    assert {r.snapshot: r.active_count for r in got.collect()} == {"now": 1, "v0": 0}  # zero counts still appear
+    snapshots.write_partition(t0, path, 1, "version")  # a re-run replaces its own label only
+    assert snapshots.read_partition(spark, path, "1", "version").count() == 2
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_partition(spark, shared_dir(spark, "none"))
+
+
+def test_scd2_run_leaves_history_files_alone(spark):
+    path = shared_dir(spark, "scd2")
+    ddl = "employee_id INT, department_id INT, designation STRING, manager_id INT, salary INT, employment_status STRING"
+    snap = lambda rows: spark.createDataFrame([(k, 1, "x", m, s, "Active") for k, m, s in rows], ddl)
+    times = ["2026-01-01 00:00:00", "2026-02-01 00:00:00", "2026-03-01 00:00:00"]
+    snapshots.write_scd2(scd2.scd2_init(snap([(1, 7, 10), (2, None, 20), (None, 7, 5)]), times[0]), path, times[0])
+    files = {}
+    for before, at, rows in ((times[0], times[1], [(1, 7, 11), (2, 7, 20)]), (times[1], times[2], [(1, 7, 12), (2, 7, 20)])):
+        nxt = scd2.scd2_apply(snapshots.current_scd2(spark, path, before), snap(rows), "employee_id", at, null_safe=True)
+        snapshots.write_scd2(nxt, path, at)
+        now = set(spark.read.parquet(path).inputFiles())
+        assert set(files) <= now
+        files = dict.fromkeys(now)
+    t = snapshots.read_scd2(spark, path)
+    assert t.filter("is_current").count() == 3 and t.filter("not is_current").count() == 3  # 1 twice, 2 once
+    assert t.filter("employee_id = 1").count() == 3 and snapshots.read_scd2(spark, path, times[1]).count() == 5
+
+
+def test_clustered_rewrite_preserves_rows_and_splits_hot_values(spark):
+    hot = spark.range(0, 8000).select(F.lit(1).alias("a"), F.col("id").alias("v"))
+    path = shared_dir(spark, "hot")
+    snapshots.clustered(hot, ["a"], 2000 * 16, 16).write.parquet(path)
+    back = spark.read.parquet(path)
+    assert back.exceptAll(hot).count() == 0 and back.count() == 8000
+    assert back.groupBy(F.input_file_name()).count().count() == 4
 
-    row = audit_record(spark, ["r1", "pl_master_hr", "all_sources", "Full", dt.datetime(2026, 5, 21, 6),
-                               dt.datetime(2026, 5, 21, 7), 10, 10, 0, 2, "Success", None])
-    assert row.schema == AUDIT_SCHEMA and row.first().records_rejected == 2
+
+def test_audit_counts_beyond_int(spark):
+    from strata.operators.audit import audit_row, narrow_counts
+
+    counts = spark.createDataFrame([(3_000_000_000, 2)], "records_read BIGINT, records_rejected BIGINT")
+    row = audit_row(counts, "r1", "2026-01-01 00:00:00", "2026-01-01 01:00:00")
+    assert row.first().records_read == 3_000_000_000
+    with pytest.raises(Exception, match="too large"):
+        narrow_counts(row).collect()
+    failed = audit_row(counts, "r1", "2026-01-01 00:00:00", "2026-01-01 01:00:00", ["a", "b"]).first()
+    assert failed.error_message == "Failed notebooks: a, b"
+
+
+def test_run_order_follows_dependencies():
+    from strata.plans.orchestrate import run_order, tasks
+
+    todo = tasks()
+    order = run_order(todo)
+    assert sorted(order) == sorted(todo) and order[-1] == "publish_reports"
+    assert all(order.index(r) < order.index(k) for k, t in todo.items() for r in t.reads)
+
+
+def test_cluster_conf_sizes_partitions():
+    from strata.session import cluster_conf
+
+    big = cluster_conf(400 * 1024**4, executors=1000, cores_per_executor=8)
+    assert big["spark.sql.shuffle.partitions"] == str(400 * 1024)  # grows with the input
+    assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    small = cluster_conf(10 * 1024**3, executors=10, cores_per_executor=4)
+    assert small["spark.sql.shuffle.partitions"] == "80"  # at least twice the slots

@@ -20,6 +20,7 @@ from strata.llm import (
     url_filter,
 )
 from strata.llm.common import read
+from strata.llm.oracle import ORACLE
 
 #: Vocabulary of op6 (a parameter of the operator; the file is never copied).
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -81,4 +82,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_topk_search, op8_url_filter, op9_embedding_dedup, op10_toxicity)
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

@@ -26,7 +26,7 @@ from strata.llm.common import staged
 DECAY = 0.6  # weight of one more character spanned
 SPAN = 8  # characters that a subsequence may reach over
 SHARP = 4  # power of the word kernel (a product of kernels is a kernel)
-FAR = 0.3  # words whose kernel to every landmark is below this have the null feature (0.3 ** 4 at most)
+FAR = 0.35  # words whose kernel to every landmark of the toxic kind is below this have the null feature
 LONG = 24  # longer words are read in windows of this length, half overlapping
 MAX_LANDMARKS = 100  # bound of the landmarks that mark toxic documents, and of those like them that do not
 MAX_SENTENCES = 8_000  # bound of the training sample, per label
@@ -78,6 +78,7 @@ def kernel(a: str, b: str) -> float:
 @dataclass
 class Model:
     landmarks: list[str]
+    marks: int  # how many of them, the first, mark toxic documents
     nystrom: np.ndarray  # landmarks x rank
     weight: np.ndarray  # rank
     bias: float
@@ -89,21 +90,24 @@ class Model:
 
 
 class WordScorer:
-    """Sharpened kernels of words to the landmarks, and their weighted sum, remembered per word."""
+    """Sharpened kernels of words to the landmarks, and their weighted sum, remembered per word.
 
-    def __init__(self, landmarks: list[str], weights: np.ndarray | None = None):
-        self.weights, self.seen = weights, {}
+    The first ``marks`` landmarks mark toxic documents: a word whose kernel to
+    all of these is below FAR has the null feature.
+    """
+
+    def __init__(self, landmarks: list[str], marks: int, weights: np.ndarray | None = None):
+        self.marks, self.weights, self.seen = marks, weights, {}
         feats = [_triples(w) for w in landmarks]
-        self.norm = np.array([sum(v * v for v in f.values()) ** 0.5 for f in feats])
         self.column: dict[str, int] = {}
         for f in feats:
             for u in f:
                 self.column.setdefault(u, len(self.column))
-        self.table = np.zeros((len(self.column), len(landmarks)))
+        self.unit = np.zeros((len(self.column), len(landmarks)), np.float32)
         for j, f in enumerate(feats):
+            norm = sum(v * v for v in f.values()) ** 0.5
             for u, v in f.items():
-                self.table[self.column[u], j] = v
-        self.unit = (self.table / self.norm).astype(np.float32)
+                self.unit[self.column[u], j] = v / norm
         # characters that the landmarks use; all others are one class without any triple in common
         chars = sorted({c for u in self.column for c in u})
         self.code = {c: i + 1 for i, c in enumerate(chars)}
@@ -113,84 +117,70 @@ class WordScorer:
             a, b, c = (self.code[x] for x in u)
             self.find[(a * self.base + b) * self.base + c] = i + 1
 
-    def _exact(self, word: str) -> np.ndarray | None:
-        f = _triples(word)
-        hit = [(self.column[u], v) for u, v in f.items() if u in self.column]
-        if not hit:
-            return None
-        at, v = zip(*hit)
-        k = np.array(v) @ self.table[list(at)] / (sum(x * x for x in f.values()) ** 0.5 * self.norm)
-        return np.minimum(k, 1.0) ** SHARP if k.max() >= FAR else None
-
-    def features(self, word: str) -> np.ndarray | None:
-        """Of a short word its kernels, of a long one the largest over its windows; None if all are below FAR."""
-        if len(word) <= LONG:
-            return self._exact(word)
-        parts = [self._exact(word[i:i + LONG]) for i in range(0, len(word) - LONG // 2, LONG // 2)]
-        parts = [p for p in parts if p is not None]
-        return np.max(parts, axis=0) if parts else None
-
-    def _may_matter(self, words: list[str]) -> np.ndarray:
-        """Words of one length whose kernel to some landmark may reach FAR.
-
-        The products with the landmarks are exact; a word's own norm is at
-        least that of its triples taken one by one, so none is missed.
-        """
+    def _kernels(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of words of one length: the numbers of those near a mark, and their sharpened kernels to all landmarks."""
         n = len(words[0])
-        flat = np.array([self.code.get(c, 0) for c in "".join(words)], np.int32).reshape(len(words), n)
-        ids, weights = [], []
-        for i in range(n):
-            for k in range(i + 2, min(n, i + SPAN)):
-                for j in range(i + 1, k):
-                    ids.append(self.find[(flat[:, i] * self.base + flat[:, j]) * self.base + flat[:, k]])
-                    weights.append(DECAY ** (k - i + 1))
-        weight = np.array(weights)
-        at = np.stack(ids, 1)
-        row, col = np.nonzero(at)
+        none = np.zeros(0, int), np.zeros((0, self.unit.shape[1]))
+        at = [(i, j, k) for i in range(n) for k in range(i + 2, min(n, i + SPAN)) for j in range(i + 1, k)]
+        if not at:
+            return none
+        i, j, k = np.array(at).T
+        weight = DECAY ** (k - i + 1.0)
+        text = "".join(words)
+        flat = np.array([self.code.get(c, 0) for c in text], np.int32).reshape(len(words), n)
+        ids = self.find[(flat[:, i] * self.base + flat[:, j]) * self.base + flat[:, k]]
+        row, col = np.nonzero(ids)
         if not len(row):
-            return row
+            return none
         first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        dots = np.add.reduceat(self.unit[at[row, col] - 1] * weight[col, None].astype(np.float32), first, axis=0)
-        return row[first][dots.max(1) >= (FAR - 1e-4) * np.sqrt((weight * weight).sum())]
-
-    def nearest(self, words: list[str]) -> list[float]:
-        """Largest sharpened kernel of each word to a landmark, 0 where negligible."""
-        out = dict.fromkeys(words, 0.0)
-        by_len: dict[int, list[str]] = {}
-        for w in out:
-            if 3 <= len(w) <= LONG:
-                by_len.setdefault(len(w), []).append(w)
-        for group in by_len.values():
-            for lo in range(0, len(group), 4096):
+        w = weight[col, None].astype(np.float32)
+        dots = np.add.reduceat(self.unit[ids[row, col] - 1, :self.marks] * w, first, axis=0)
+        # a word's norm is at least that of its triples taken one by one, so this leaves none out
+        some = row[first][dots.max(1) >= (FAR - 1e-4) * np.sqrt((weight * weight).sum())]
+        if not len(some):
+            return none
+        # the exact norm: equal triples of a word count together
+        real = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64).reshape(len(words), n)[some]
+        triple = (real[:, i] << 42) | (real[:, j] << 21) | real[:, k]
+        order = np.argsort(triple, axis=1)
+        triple, own = np.take_along_axis(triple, order, 1), weight[order]
+        new = np.concatenate([np.ones((len(some), 1), bool), triple[:, 1:] != triple[:, :-1]], 1)
+        start = np.flatnonzero(new.reshape(-1))
+        sums = np.add.reduceat(own.reshape(-1), start)
+        norm = np.sqrt(np.bincount(start // own.shape[1], sums * sums, len(some)))
+        keep = np.isin(row, some)
+        row, col = row[keep], col[keep]
+        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        dots = np.add.reduceat(self.unit[ids[row, col] - 1] * weight[col, None].astype(np.float32), first, axis=0)
+        k = np.minimum(dots / norm[:, None], 1.0)
+        near = k[:, :self.marks].max(1) >= FAR
+        return some[near], (k[near] ** SHARP).astype(np.float64)
+
+    def features(self, words: list[str]) -> dict[str, np.ndarray]:
+        """Sharpened kernels of the words that have any; a long word has the largest over its windows."""
+        out: dict[str, np.ndarray] = {}
+        by_len: dict[int, list[tuple[str, str]]] = {}
+        for w in dict.fromkeys(words):
+            parts = [w] if len(w) <= LONG else [w[i:i + LONG] for i in range(0, len(w) - LONG // 2, LONG // 2)]
+            for x in parts:
+                by_len.setdefault(len(x), []).append((x, w))
+        for n, group in by_len.items():
+            for lo in range(0, len(group) if n >= 3 else 0, 4096):
                 part = group[lo:lo + 4096]
-                for i in self._may_matter(part):
-                    f = self.features(part[i])
-                    out[part[i]] = 0.0 if f is None else float(f.max())
-        return [out[w] for w in words]
+                for at, f in zip(*self._kernels([x for x, _ in part])):
+                    w = part[at][1]
+                    out[w] = np.maximum(out[w], f) if w in out else f
+        return out
 
     def learn(self, written: set[str]) -> None:
         """Work out the scores of words, as written, that were not seen before."""
         if len(self.seen) > 400_000:
             self.seen.clear()
-        by_len: dict[int, list[tuple[str, str]]] = {}
-        for raw in written:
-            if raw not in self.seen:
-                self.seen[raw] = 0.0
-                w = bare(raw)
-                if 3 <= len(w) <= LONG:
-                    by_len.setdefault(len(w), []).append((w, raw))
-                elif len(w) > LONG:
-                    self._keep(w, raw)
-        for group in by_len.values():
-            for lo in range(0, len(group), 4096):
-                part = group[lo:lo + 4096]
-                for i in self._may_matter([w for w, _ in part]):
-                    self._keep(*part[i])
-
-    def _keep(self, word: str, raw: str) -> None:
-        f = self.features(word)
-        if f is not None:
-            self.seen[raw] = float(f @ self.weights)
+        new = [w for w in written if w not in self.seen]
+        plain = [bare(w) for w in new]
+        found = {w: float(f @ self.weights) for w, f in self.features(plain).items()}
+        for raw, w in zip(new, plain):
+            self.seen[raw] = found.get(w, 0.0)
 
     def sentence_margins(self, sentences: list[list[str]]) -> list[float]:
         """Of sentences whose words have been learnt."""
@@ -198,14 +188,14 @@ class WordScorer:
         return [sum(map(get, s)) for s in sentences]
 
 
-def pick_landmarks(labelled: DataFrame, limit: int = MAX_LANDMARKS) -> list[str]:
+def pick_landmarks(labelled: DataFrame, limit: int = MAX_LANDMARKS) -> tuple[list[str], list[str]]:
     """Words that most mark toxic documents, and the nearest words that do not.
 
     Counts cover all labelled training documents; ``limit`` bounds each kind.
     """
     total = labelled.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not total[0] or not total[1] or total[1] == total[0]:
-        return []
+        return [], []
     share = total[1] / total[0]
     word = F.regexp_replace(F.col("w"), r"[^\p{L}\p{N}]+", "")
     words = labelled.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("w"))
@@ -217,33 +207,40 @@ def pick_landmarks(labelled: DataFrame, limit: int = MAX_LANDMARKS) -> list[str]
     best = top.orderBy(F.desc("z"), "w").limit(limit).collect()
     marks = [r["w"] for r in best if r["z"] >= RELATIVE * best[0]["z"]]
 
+    if not marks:
+        return [], []
+
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = WordScorer(marks)
+        scorer = WordScorer(marks, len(marks))
         for b in batches:
-            f = scorer.nearest(b.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(f, pa.float64())], ["w", "k"])
+            words = b.column(0).to_pylist()
+            found = scorer.features(words)
+            k = [float(found[w].max()) if w in found else 0.0 for w in words]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(k, pa.float64())], ["w", "k"])
 
     others = stats.filter(F.col("a") < 0.5 * F.col("n")).select("w").mapInArrow(near, "w string, k double")
     others = others.filter("k > 0").orderBy(F.desc("k"), "w").limit(limit).collect()
-    return marks + [r["w"] for r in others if r["w"] not in marks]
+    return marks, [r["w"] for r in others if r["w"] not in marks]
 
 
-def _sentence_rows(labelled: DataFrame, landmarks: list[str]) -> DataFrame:
+def _sentence_rows(labelled: DataFrame, landmarks: list[str], marks: int) -> DataFrame:
     """Sentences with a feature: doc, toxic, f (summed kernels)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = WordScorer(landmarks, np.ones(len(landmarks)))
+        scorer = WordScorer(landmarks, marks)
         for b in batches:
             docs, toxic, f = [], [], []
-            for doc, text, t in zip(*(b.column(i).to_pylist() for i in range(3))):
-                sents = [words_of(s) for s in sentences_of(text)]
-                scorer.learn({w for s in sents for w in s})
-                for s, m in zip(sents, scorer.sentence_margins(sents)):
-                    if m:
-                        x = sum(scorer.features(bare(w)) for w in s if scorer.seen[w])
-                        docs.append(doc)
-                        toxic.append(t)
-                        f.append(x.astype(np.float32))
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                texts = [[[bare(w) for w in words_of(s)] for s in sentences_of(t)] for t in part.column(1).to_pylist()]
+                found = scorer.features([w for t in texts for s in t for w in s])
+                for doc, t, sents in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), texts):
+                    for s in sents:
+                        known = [found[w] for w in s if w in found]
+                        if known:
+                            docs.append(doc)
+                            toxic.append(t)
+                            f.append(np.sum(known, axis=0).astype(np.float32))
             if f:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(docs, pa.string()), pa.array(toxic, pa.int32()),
@@ -306,10 +303,11 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3) -> Model:
     rows = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
     labelled = staged(rows.join(known, "doc_id"), "toxicity-labelled")
     base = labelled.agg(F.avg("toxic")).first()[0] or 0.0
-    landmarks = pick_landmarks(labelled)
-    if not landmarks:
-        return Model([], np.zeros((0, 0)), np.zeros(0), 0.0, np.zeros(4), base)
-    sents = staged(_sentence_rows(labelled, landmarks).withColumn("o", F.xxhash64("doc", "f")), "toxicity-sentences")
+    marks, others = pick_landmarks(labelled)
+    landmarks = marks + others
+    if not marks:
+        return Model([], 0, np.zeros((0, 0)), np.zeros(0), 0.0, np.zeros(4), base)
+    sents = staged(_sentence_rows(labelled, landmarks, len(marks)).withColumn("o", F.xxhash64("doc", "f")), "toxicity-sentences")
     picked = [sents.filter(F.col("toxic") == t).orderBy("o", "doc").limit(MAX_SENTENCES) for t in (1, 0)]
     pdf = picked[0].unionByName(picked[1]).toPandas()  # bounded by MAX_SENTENCES rows of each label
     k = np.array([[kernel(a, b) for b in landmarks] for a in landmarks]) ** SHARP
@@ -335,7 +333,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3) -> Model:
             break
         y = np.r_[now, -1]
         w = linear_svm(x, y)
-    model = Model(landmarks, nystrom, w[:-1], float(w[-1]), np.zeros(4), base)
+    model = Model(landmarks, len(marks), nystrom, w[:-1], float(w[-1]), np.zeros(4), base)
     some = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_CALIBRATION)
     got = margins(some, model, ("toxic",)).toPandas()  # MAX_CALIBRATION rows of four numbers
     x = evidence(*(got[c].to_numpy(float) for c in ("margin", "total", "words")))
@@ -357,7 +355,7 @@ def margins(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     at, kinds = cols.index("text"), ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = WordScorer(model.landmarks, model.word_weights())
+        scorer = WordScorer(model.landmarks, model.marks, model.word_weights())
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part, out = b.slice(lo, 512), []

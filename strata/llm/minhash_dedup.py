@@ -9,11 +9,17 @@ on average, so pairs at the threshold keep meeting while others part.
 A first pass of stars joins the bulk of large groups, so nodes whose members
 are already connected need no pairs.  Nodes that stay large to the last level
 are compared in blocks, exactly.  Every link is confirmed on full sets.
+
+A pair at the threshold survives fewer of the deeper trees.  Classes whose
+nodes branched too deep for RECALL get further batches of trees, on minwise
+tokens drawn anew, until the product of their batches' misses is small enough.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +29,41 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import components, marks, staged
 
-COORDS = 128  # minwise tokens of a document
-TREES = 12  # recall at the threshold: 1 - 0.48 ** 12 for pairs that branch five times, more for others
+COORDS = 128  # minwise tokens of a document, drawn anew for each batch of trees
+TREES = 12  # trees of a batch
+RECALL = 0.999  # of pairs at the threshold, whatever the depth of their nodes
 LEAF = 64  # classes of a node that are compared exhaustively
 DEPTH = 24  # levels before the remaining large nodes are compared in blocks
 STARS = 6  # star rounds, each keyed by STAR_COORDS minwise tokens
 STAR_COORDS = 6
-_MULT = np.random.default_rng(7).integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_XOR = np.random.default_rng(8).integers(0, 2**63, COORDS, dtype=np.uint64)
+
+
+@cache
+def _draw(batch: int) -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers and masks of the minwise hashes of a batch of trees."""
+    mult = np.random.default_rng(7 + 1000 * batch).integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return mult, np.random.default_rng(8 + 1000 * batch).integers(0, 2**63, COORDS, dtype=np.uint64)
+
+
+def _extra(percent: int) -> int:
+    """Per cent of nodes with a second coordinate."""
+    return 100 * (100 - percent) // percent
+
+
+def miss(percent: int, trees: int, depth: int) -> float:
+    """Share of pairs at the threshold that one batch of trees misses if their nodes branch ``depth`` times.
+
+    Given how many of the COORDS tokens are equal, nodes pick independently.
+    Pairs below the sketch bound count as missed.
+    """
+    t, two, out = percent / 100, _extra(percent) / 100 * (1 - 1 / COORDS), 0.0
+    for equal in range(COORDS + 1):
+        share, p = equal / COORDS, 1.0
+        for _ in range(depth):
+            p = (1 - two) * share * p + two * (1 - (1 - share * p) ** 2)
+        weight = math.comb(COORDS, equal) * t**equal * (1 - t) ** (COORDS - equal)
+        out += weight * ((1 - p) ** trees if equal >= _least_equal(percent) else 1.0)
+    return out
 
 
 class _WordHash(dict):
@@ -57,31 +90,32 @@ def shingles(text: str | None, size: int, cache: dict) -> np.ndarray:
     return np.unique(out)
 
 
-def minwise(s: np.ndarray) -> np.ndarray:
+def minwise(s: np.ndarray, batch: int = 0) -> np.ndarray:
     """The minwise token (32 bits) of a non-empty set at each coordinate."""
+    mult, xor = _draw(batch)
     low = np.full(COORDS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(s), 4096):
-        low = np.minimum(low, ((s[None, at:at + 4096] ^ _XOR[:, None]) * _MULT[:, None]).min(1))
+        low = np.minimum(low, ((s[None, at:at + 4096] ^ xor[:, None]) * mult[:, None]).min(1))
     return (low >> np.uint64(32)).astype(">u4")
 
 
-def _sets(docs: DataFrame, size: int, full: bool) -> DataFrame:
+def _sets(docs: DataFrame, size: int, full: bool, batch: int = 0) -> DataFrame:
     """doc_id, h (hash of the text), n, d1, d2 (digest of the set) and ``sketch`` or, with ``full``, the set as ``items``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     last = "items" if full else "sketch"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _WordHash()
+        known = _WordHash()
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
                 n, d, data = [], [], []
                 for text in part.column(1).to_pylist():
-                    s = shingles(text, size, cache)
+                    s = shingles(text, size, known)
                     x = xxhash.xxh3_128_digest(s.tobytes())
                     n.append(len(s))
                     d.append(np.frombuffer(x, np.int64))
-                    data.append((s.tobytes() if full else minwise(s).tobytes()) if len(s) else b"")
+                    data.append((s.tobytes() if full else minwise(s, batch).tobytes()) if len(s) else b"")
                 d = np.array(d).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()),
@@ -95,15 +129,26 @@ def _token(coord: Column) -> Column:
     return F.substring(F.col("sketch"), coord * 4 + 1, F.lit(4))
 
 
+def _sig() -> Column:
+    """One byte of each token of ``sketch``."""
+    return F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(COORDS - 1)), lambda i: F.hex(
+        F.substring(F.col("sketch"), i * 4 + 4, F.lit(1)))), ""))
+
+
+def _read_again(nodes: DataFrame, reps: DataFrame, docs: DataFrame, size: int, name: str, batch: int | None = None) -> DataFrame:
+    """node and its full set as ``items`` or, with ``batch``, its ``sketch`` of that batch, from the texts."""
+    last = "items" if batch is None else "sketch"
+    want = staged(reps.join(nodes, "node", "left_semi").select("node", "doc_id", "d1", "d2"), name + "-used")
+    some = docs.filter(marks(want.select("doc_id").distinct(), "doc_id"))  # texts are not shuffled
+    s, w = _sets(some, size, batch is None, batch or 0).alias("s"), want.alias("w")
+    same = F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("s.d1") == F.col("w.d1")) & (F.col("s.d2") == F.col("w.d2"))
+    return staged(s.join(w, same).groupBy("node").agg(F.first(last).alias(last)), name + "-sets")
+
+
 def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int, name: str) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * common >= percent * union."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    want = staged(reps.join(used, "node", "left_semi").select("node", "doc_id", "d1", "d2"), name + "-used")
-    some = docs.filter(marks(want.select("doc_id").distinct(), "doc_id"))  # texts are not shuffled
-    items = staged(
-        _sets(some, size, full=True).alias("s").join(want.alias("w"), F.col("s.doc_id").eqNullSafe(F.col("w.doc_id"))
-                                                     & (F.col("s.d1") == F.col("w.d1")) & (F.col("s.d2") == F.col("w.d2")))
-        .groupBy("node").agg(F.first("items").alias("items")), name + "-sets")
+    items = _read_again(used, reps, docs, size, name)
     both = (
         pairs.join(items.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
         .join(items.select(F.col("node").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
@@ -206,46 +251,32 @@ def _stars(reps: DataFrame, percent: int) -> DataFrame:
     return same.filter(F.col("same") >= _least_equal(percent)).groupBy("b").agg(F.max_by("a", "same").alias("a")).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80, trees: int = TREES) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept, and h (hash of its text), root (number of its group).
+def _trees(base: DataFrame, percent: int, trees: int, batch: int,
+           before: DataFrame | None = None) -> tuple[list[DataFrame], DataFrame | None]:
+    """Candidate pairs of one batch of trees, and the classes (node, bound) that need another.
 
-    Documents whose shingle sets reach a Jaccard similarity of ``percent``
-    are linked; ``component_id`` is the smallest doc_id reachable and
-    ``kept`` marks it.  Texts that are NULL or without words have an empty
-    set and link with nothing.  Repeated rows give repeated rows; rows that
-    share a doc_id but not the text are judged by their own text.
+    ``base``: node, label, n, sig, sketch.  ``bound`` is the logarithm of the
+    miss of all batches so far, at the deepest node of the class: pairs never
+    branch oftener than either class.
     """
-    docs = docs.select("doc_id", "text")
-    sets = staged(_sets(docs, shingle_words, full=False), "shingle-sketches")
-    some = sets.filter("n > 0")
-    # classes of equal sets, numbered in the order of their smallest doc_id
-    classes = some.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("x")).select("d1", "d2", "x.*")
-    sig = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(COORDS - 1)), lambda i: F.hex(
-        F.substring(F.col("sketch"), i * 4 + 4, F.lit(1)))), ""))
-    reps = staged(
-        classes.orderBy("doc_id", "d1", "d2").select("*", sig.alias("sig"), F.monotonically_increasing_id().alias("node")),
-        "shingle-classes")
-
-    early = _confirmed(staged(_stars(reps, percent), "star-pairs"), reps, docs, shingle_words, percent, "star-links")
-    comp = components(early.select(F.col("a").alias("src"), F.col("b").alias("dst")), "star-components")
-    base = staged(
-        reps.join(comp, "node", "left").select("node", F.coalesce("root", "node").alias("label"), "n", "sig",
-                                               "sketch"), "class-labels")
+    extra = _extra(percent)
 
     def branch(rows: DataFrame) -> DataFrame:
         """Children of each row (path, node, sketch): one coordinate, and a second in as many nodes as 1/t asks."""
-        extra = 100 * (100 - percent) // percent  # per cent of nodes with a second coordinate
         pick = lambda salt: F.pmod(F.xxhash64("path", F.lit(salt)), F.lit(COORDS)).cast("int")
         two = (F.pmod(F.xxhash64("path", F.lit(3)), F.lit(100)) < extra) & (pick(1) != pick(2))
         c = F.explode(F.when(two, F.array(pick(1), pick(2))).otherwise(F.array(pick(1)))).alias("coord")
         return rows.select("path", "node", "sketch", c).select(
             F.xxhash64("path", "coord", _token(F.col("coord"))).alias("path"), "node")
 
-    live = branch(base.select(
-        F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(trees).cast("bigint"))).alias("path"), "node", "sketch"))
-    pairs = []
+    first = F.sequence(F.lit(batch * trees + 1).cast("bigint"), F.lit((batch + 1) * trees).cast("bigint"))
+    live = branch(base.select(F.explode(first).alias("path"), "node", "sketch"))
+    misses = [miss(percent, trees, d) for d in range(1, DEPTH + 1)]
+    pairs, deep, tag = [], None, f"{batch}-" if batch else ""
+    if misses[0] > 1 - RECALL:  # so few trees that even a leaf at the first level is not enough
+        deep = base.select("node", F.lit(0).alias("level"))
     for level in range(1, DEPTH + 1):
-        rows = staged(live.join(base.select("node", "label"), "node"), f"tree-{level}")
+        rows = staged(live.join(base.select("node", "label"), "node"), f"tree-{tag}{level}")
         per = rows.groupBy("path", "label").agg(F.count(F.lit(1)).alias("k"))
         nodes = per.groupBy("path").agg(
             F.sum("k").alias("total"), F.max("k").alias("most"), F.max_by("label", "k").alias("main"))
@@ -254,15 +285,61 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80,
         how = F.when(F.col("total") <= LEAF, "leaf").when(rest <= LEAF, "few").otherwise("more" if level < DEPTH else "grid")
         parts = F.when(rest <= LEAF, F.col("most")).otherwise(F.col("total"))
         nodes = staged(nodes.select("path", "main", how.alias("how"), F.ceil(parts / LEAF).cast("int").alias("c")),
-                       f"nodes-{level}")
+                       f"nodes-{tag}{level}")
         kinds = {r["how"] for r in nodes.select("how").distinct().collect()}
         if kinds - {"more"}:
             here = rows.join(nodes.filter("how != 'more'"), "path").withColumn("odd", F.col("label") != F.col("main"))
-            pairs.append(_compare(here.join(base.select("node", "n", "sig"), "node"), percent, f"leaf-pairs-{level}"))
+            pairs.append(_compare(here.join(base.select("node", "n", "sig"), "node"), percent, f"leaf-pairs-{tag}{level}"))
         if "more" not in kinds:
             break
         more = rows.join(nodes.filter("how = 'more'").select("path"), "path", "left_semi")
+        if misses[level] > 1 - RECALL:  # misses of nodes one level down
+            at = more.select("node", F.lit(level).alias("level"))
+            deep = at if deep is None else deep.unionByName(at)
         live = branch(more.select("path", "node").join(base.select("node", "sketch"), "node"))
+    if deep is None:
+        return pairs, None
+    logs = F.array(*[F.lit(math.log(m)) for m in misses])
+    left = deep.groupBy("node").agg(F.max("level").alias("level")).withColumn("bound", F.get(logs, F.col("level")))
+    if before is not None:
+        left = left.join(before.select("node", F.col("bound").alias("b")), "node").withColumn("bound", F.col("bound") + F.col("b"))
+    return pairs, staged(left.filter(F.col("bound") > math.log(1 - RECALL)).select("node", "bound"), f"deep-{batch}")
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80, trees: int = TREES) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept, and h (hash of its text), root (number of its group).
+
+    Documents whose shingle sets reach a Jaccard similarity of ``percent``
+    are linked; ``component_id`` is the smallest doc_id reachable and
+    ``kept`` marks it.  Texts that are NULL or without words have an empty
+    set and link with nothing.  Repeated rows give repeated rows; rows that
+    share a doc_id but not the text are judged by their own text.
+    """
+    docs = docs.select("doc_id", "text")
+    sets = staged(_sets(docs, shingle_words, full=False), "shingle-sketches")
+    some = sets.filter("n > 0")
+    # classes of equal sets, numbered in the order of their smallest doc_id
+    classes = some.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("x")).select("d1", "d2", "x.*")
+    reps = staged(
+        classes.orderBy("doc_id", "d1", "d2").select("*", _sig().alias("sig"), F.monotonically_increasing_id().alias("node")),
+        "shingle-classes")
+
+    early = _confirmed(staged(_stars(reps, percent), "star-pairs"), reps, docs, shingle_words, percent, "star-links")
+    comp = components(early.select(F.col("a").alias("src"), F.col("b").alias("dst")), "star-components")
+    base = staged(
+        reps.join(comp, "node", "left").select("node", F.coalesce("root", "node").alias("label"), "n", "sig",
+                                               "sketch"), "class-labels")
+
+    pairs, batch = [], 0
+    found, left = _trees(base, percent, trees, batch)
+    pairs += found
+    while left is not None and not left.isEmpty():
+        batch += 1
+        fresh = _read_again(left, reps, docs, shingle_words, f"batch-{batch}", batch)
+        again = staged(base.select("node", "label", "n").join(fresh.select("node", "sketch", _sig().alias("sig")), "node"),
+                       f"batch-{batch}-labels")
+        found, left = _trees(again, percent, trees, batch, left)
+        pairs += found
     links = early
     if pairs:
         every = pairs[0]

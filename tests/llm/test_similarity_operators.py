@@ -178,3 +178,16 @@ def texts_tail():
 
 def test_line_dedup_of_empty_table(spark):
     assert line_dedup.dedup(spark.createDataFrame([], DOCS), ["doc_id"]).count() == 0
+
+
+def test_minhash_batches_reach_the_recall_at_any_depth():
+    one = [minhash_dedup.miss(80, 12, d) for d in range(1, minhash_dedup.DEPTH + 1)]
+    assert one == sorted(one) and one[4] < 1 - minhash_dedup.RECALL < one[9] < 0.02 and 0.1 < one[23] < 0.16
+    assert (minhash_dedup.minwise(np.arange(200, dtype=np.uint64)) != minhash_dedup.minwise(np.arange(200, dtype=np.uint64), 1)).all()
+
+
+def test_minhash_adds_trees_until_the_recall_is_met(spark):
+    texts = [" ".join([f"b{k}_{i}" for i in range(89)] + [f"{side}{k}_{i}" for i in range(11)]) for k in range(60) for side in "xy"]
+    got = {x.doc_id: x.component_id for x in minhash_dedup.near_duplicates(docs_of(spark, texts), 1, 80, trees=1).collect()}
+    wrong = [i for i in got if got[i] != i - i % 2]  # all pairs are at the threshold (89 of 111)
+    assert not wrong, f"{len(wrong)} of 60 links missed"

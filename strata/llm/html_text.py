@@ -32,6 +32,7 @@ _NAME = re.compile(r"[a-z]+")
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HIDDEN_TAGS = frozenset("script style noscript template svg math iframe object textarea select option head title".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 RAW = frozenset("script style textarea title iframe noscript template".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "p": {"p"}}
@@ -69,6 +70,9 @@ def leaf_blocks(page: str | None) -> list[Block]:
     while at < n:
         m = _MARK.search(page, at)
         end = m.start() if m else n
+        if stack and stack[-1][0] == "head" and page[at:end].strip():  # text ends an open head
+            stack.pop()
+            hidden -= 1
         if end > at and not hidden:
             piece = page[at:end]
             run.append(piece)
@@ -80,6 +84,12 @@ def leaf_blocks(page: str | None) -> list[Block]:
         tag = (m.group(2) or "").lower()
         if not tag:
             continue
+        if stack and stack[-1][0] == "head" and not m.group(1):
+            if tag in ("html", "head"):
+                continue
+            if tag not in IN_HEAD:  # so does what cannot stand in it
+                stack.pop()
+                hidden -= 1
         if tag == "br":
             run.append(" ")
         if m.group(1):

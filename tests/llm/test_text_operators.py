@@ -122,6 +122,15 @@ def test_extraction_edges(spark, labeller):
     assert html_text.extract(pages.limit(0), labeller).count() == 0
 
 
+def test_head_without_end_tag():
+    body = "<p>First paragraph.<p>Second one."
+    want = ["First paragraph.", "Second one."]
+    for head in ("<head><meta charset=utf-8><title>T</title>", "<head><link rel=x href=y><style>p{}</style><script>1</script>\n"):
+        for start in ("<body>", "", "</head><body>", "<body class=a><div>"):
+            assert [b.text for b in html_text.leaf_blocks("<html>" + head + start + body)] == want
+    assert [b.text for b in html_text.leaf_blocks("<head><title>T</title>Bare text<p>more")] == ["Bare text", "more"]
+
+
 def test_word_kernel():
     assert toxicity.kernel("idiot", "idiot") == pytest.approx(1)
     assert 1 > toxicity.kernel("idiiot", "idiot") > toxicity.kernel("idxixot", "idiot") > toxicity.kernel("region", "idiot")

@@ -33,7 +33,7 @@ MAX_DOCUMENTS = 6_000  # bound of the training documents whose sentences are rea
 MAX_SENTENCES = 8_000  # bound of the training sample, per label
 MAX_CALIBRATION = 6_000  # bound of the documents that calibrate the score
 MIN_DOCS = 3  # toxic training documents in which a landmark occurs
-RELATIVE = 0.15  # least lift of a landmark, as a share of the highest
+CHANCE = 0.01  # bound of the expected number of landmarks that mark toxic documents by chance alone
 
 _SENTENCE = re.compile(r"[.!?]+(?:\s+|$)|\n+|\s[|]\s")
 _STRIP = re.compile(r"[\W_]+")
@@ -193,6 +193,9 @@ def pick_landmarks(labelled: DataFrame, limit: int = MAX_LANDMARKS) -> tuple[lis
     """Words that most mark toxic documents, and the nearest words that do not.
 
     Counts cover all labelled training documents; ``limit`` bounds each kind.
+    A mark is in toxic documents at least half of the time, and oftener than
+    by chance: the Chernoff bound of its count, times the words counted, is at
+    most CHANCE.  How frequent other marks are does not matter.
     """
     total = labelled.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not total[0] or not total[1] or total[1] == total[0]:
@@ -204,9 +207,12 @@ def pick_landmarks(labelled: DataFrame, limit: int = MAX_LANDMARKS) -> tuple[lis
     stats = stats.groupBy(word.alias("w")).agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
     stats = staged(stats.filter((F.length("w").between(3, LONG)) & (F.col("n") >= MIN_DOCS)), "toxicity-words")
     lift = (F.col("a") - F.col("n") * share) / F.sqrt(F.col("n") * share + 1)
-    top = stats.withColumn("z", lift).filter((F.col("z") > 3) & (F.col("a") >= 0.5 * F.col("n")))
-    best = top.orderBy(F.desc("z"), "w").limit(limit).collect()
-    marks = [r["w"] for r in best if r["z"] >= RELATIVE * best[0]["z"]]
+    part = F.col("a") / F.col("n")
+    other = F.when(part < 1, (1 - part) * F.log((1 - part) / (1 - share))).otherwise(0.0)
+    surprise = F.when(part > share, F.col("n") * (part * F.log(part / share) + other)).otherwise(0.0)
+    least = float(np.log(max(stats.count(), 1) / CHANCE))
+    top = stats.withColumn("z", lift).filter((F.col("a") >= 0.5 * F.col("n")) & (surprise >= least))
+    marks = [r["w"] for r in top.orderBy(F.desc("z"), "w").limit(limit).collect()]
 
     if not marks:
         return [], []

@@ -167,6 +167,20 @@ def test_toxicity_learns_and_holds_out(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_landmarks_of_a_skewed_vocabulary(spark):
+    rng, rows = np.random.default_rng(4), []
+    plain = [f"{a}{b}{c}" for a in "rtmn" for b in ("ea", "o", "ui") for c in ("l", "nd", "st", "ver")]
+    for i in range(8000):
+        words = list(rng.choice(plain, 6))
+        if i % 4 == 0:  # 2,000 toxic documents: one insult in nearly all, one in 12 of them, one in 3
+            words += ["grobnik"] if i % 640 else ["zwalpet"]
+            words += ["fluzzag"] if i in (0, 4, 8) else []
+        rows.append((i, " ".join(words), int(i % 4 == 0)))
+    labelled = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, toxic INT")
+    marks, others = toxicity.pick_landmarks(labelled)
+    assert marks == ["grobnik", "zwalpet"] and not set(others) & set(marks)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", "en", "s", 0)], DOCS)
     none = spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT")

@@ -141,7 +141,70 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce
        vec_id = least(vec_id, coalesce(root, vec_id)) AS kept
 FROM embeddings LEFT JOIN degree ON degree.a = vec_id LEFT JOIN root ON root.a = vec_id"""
 
+
+
+def _codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Rounds of exact assignment and rounded-down means, one pair of steps after the other."""
+    near = """{a} AS MATERIALIZED (
+  SELECT vec_id, label, part, x, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT p.*, c.e, list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM p JOIN {c} c USING (part)) GROUP BY ALL)"""
+    step = """{n} AS MATERIALIZED (
+  SELECT c.part, c.e, coalesce(m.x, c.x) AS x FROM {c} c LEFT JOIN (
+    SELECT part, e, list(y ORDER BY i) AS x FROM (
+      SELECT part, e, i, CAST(floor(CAST(sum(v) AS DOUBLE) / count(*)) AS BIGINT) AS y
+      FROM (SELECT part, e, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM {a}) GROUP BY part, e, i) GROUP BY part, e) m USING (part, e))"""
+    ctes = [near.format(a="a0", c="c0")]
+    for r in range(rounds):
+        ctes += [step.format(n=f"c{r + 1}", c=f"c{r}", a=f"a{r}"), near.format(a=f"a{r + 1}", c=f"c{r + 1}")]
+    return f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+           FROM embeddings WHERE {_FINITE.format('embedding')}),
+p AS (SELECT vec_id, label, part, q[part * (len(q) // {parts}) + 1:(part + 1) * (len(q) // {parts})] AS x FROM v, range({parts}) t(part)),
+c0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, x FROM p
+       WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT {entries})),
+{", ".join(ctes)},
+rows AS (SELECT vec_id, any_value(label) AS label, string_agg(format('{{:02x}}', e), '' ORDER BY part) AS code,
+                CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, e)) FROM c{rounds}) AS codebooks_sha256
+FROM rows"""
+
+
+OP11 = _codes()
+
+OP12 = """
+WITH h AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS m
+      FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 199)) AS i FROM h)),
+hits AS (SELECT r, i FROM g WHERE m IN (SELECT m FROM g GROUP BY m HAVING count(*) > 1)),
+islands AS (SELECT r, i, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY r ORDER BY i) AS s
+            FROM (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200, true) AS fresh FROM hits)),
+spans AS (SELECT r, min(i) AS lo, max(i) + 200 AS hi FROM islands GROUP BY r, s),
+ends AS (SELECT r, lo, hi FROM spans UNION ALL SELECT r, length(h) // 2, length(h) // 2 FROM h),
+kept AS (SELECT r, string_agg(substr(h, 2 * last + 1, 2 * (lo - last)), '' ORDER BY lo, hi) AS k
+         FROM (SELECT r, lo, hi, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo, hi), 0) AS last FROM ends) JOIN h USING (r) GROUP BY r),
+n AS (SELECT r, count(*) AS n_spans, sum(hi - lo) AS n_removed FROM spans GROUP BY r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM h JOIN kept USING (r) LEFT JOIN n USING (r)"""
+
+OP13 = f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings WHERE label IS NOT NULL AND {_FINITE.format('embedding')}),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+pos AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3"""
+
 ORACLE = {
     "op1_license_scan": OP1, "op4_minhash_dedup": OP4, "op5_line_dedup": OP5, "op7_topk_search": OP7,
-    "op8_url_filter": OP8, "op9_embedding_dedup": OP9,
+    "op8_url_filter": OP8, "op9_embedding_dedup": OP9, "op11_vector_codes": OP11, "op12_suffix_dedup": OP12,
+    "op13_hard_negatives": OP13,
 }

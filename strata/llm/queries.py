@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from strata.llm import (
     byte_bpe,
     embedding_dedup,
+    hard_negatives,
     html_text,
     license_scan,
     line_dedup,
     minhash_dedup,
     source_mix,
+    suffix_dedup,
     topk_search,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from strata.llm.common import read
 from strata.llm.oracle import ORACLE
@@ -76,10 +79,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.prepared(read(spark, sf_dir, "embeddings").withColumn("label", moved))
+    return hard_negatives.mine(rows.filter(F.col("vec_id") % 50 == 0), rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_html_text, op3_source_mix, op4_minhash_dedup, op5_line_dedup, op6_byte_bpe,
-        op7_topk_search, op8_url_filter, op9_embedding_dedup, op10_toxicity)
+        op7_topk_search, op8_url_filter, op9_embedding_dedup, op10_toxicity, op11_vector_codes, op12_suffix_dedup,
+        op13_hard_negatives)
 }
 
 __all__ = ["ORACLE", "QUERIES"]

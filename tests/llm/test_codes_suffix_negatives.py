@@ -186,7 +186,7 @@ def brute_negatives(rows):
 @pytest.mark.parametrize("kind,block,slot", [("plain", 8192, 32768), ("ties", 3, 40), ("large", 8192, 50)])
 def test_negatives_match_brute_force(spark, kind, block, slot):
     rng = np.random.default_rng(9)
-    x = {"plain": rng.normal(size=(300, 65)), "ties": rng.integers(0, 3, size=(300, 7)) / 256, "large": rng.normal(size=(300, 5)) * 6e6}[kind]
+    x = {"plain": rng.normal(size=(300, 65)), "ties": rng.integers(0, 3, size=(300, 7)) / 256, "large": rng.normal(size=(300, 5)) * 1.5e6}[kind]
     rows = [(int(i) * 5, floats(v), int(rng.integers(0, 3))) for i, v in enumerate(x)]
     odd = [(9000, None, 1), (9050, [NAN] * 65, 1), (9100, [None], 2), (9150, floats(x[3]), None), (9200, [], 1), (None, floats(x[4]), 1),
            (0, floats(x[5]), 2), (9250, [1.0, 2.0], 0), (9251, [1.0, 2.5], 0), (9252, [1.0, 1.0], 1), (9253, [-1.0, 1.0], 1)]

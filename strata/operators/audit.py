@@ -1,7 +1,8 @@
-"""Run audit record: one row per run from real table counts.
+"""Run audit record: one row per run.
 
-Counts come from one aggregate over a union of per-table counts (each count
-is a partial + final aggregate), so the numbers never pass through Python.
+A run knows its counts from the writes themselves (``counted``: numbers that
+``write_run`` observed, or file footers), so no table is read again for its
+audit row.  ``table_counts`` counts DataFrames that were not written.
 """
 
 from __future__ import annotations
@@ -51,12 +52,18 @@ def table_counts(read: Mapping[str, DataFrame], rejected: Mapping[str, DataFrame
     )
 
 
+def counted(spark: SparkSession, read: Mapping[str, int], rejected: Mapping[str, int]) -> DataFrame:
+    """The one row of ``table_counts`` from known numbers; a table whose write failed is left out and counts 0."""
+    return spark.createDataFrame([(sum(read.values()), sum(rejected.values()))], "records_read bigint, records_rejected bigint")
+
+
 def audit_row(
     counts: DataFrame,
     run_id: str,
     start_time,
     end_time,
     failed_steps: Sequence[str] = (),
+    skipped_steps: Sequence[str] = (),
     pipeline_name: str = PIPELINE_NAME,
     source_name: str = SOURCE_NAME,
     load_type: str = LOAD_TYPE,
@@ -66,10 +73,13 @@ def audit_row(
     """The 12-column audit row built on ``table_counts`` output.
 
     ``records_inserted`` equals ``records_read`` as in the reference; the
-    status is PartialFailure and the message lists failed steps when any failed.
+    status is PartialFailure and the message lists failed steps when any
+    failed, then those skipped because of them.
     """
     ok = len(failed_steps) == 0
     msg = None if ok else "Failed notebooks: " + ", ".join(failed_steps)
+    if msg and skipped_steps:
+        msg += "; skipped: " + ", ".join(skipped_steps)
     return counts.select(
         F.lit(run_id).alias("run_id"),
         F.lit(pipeline_name).alias("pipeline_name"),

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import typed_timestamp
+from strata.operators import runs
 from strata.operators.dedupe import latest_by
+from strata.sources.files import footer_rows
 
 LINEAGE_COLUMNS = ("_ingest_ts", "_source_file", "_run_id")
 
@@ -26,39 +28,33 @@ def stamp_lineage(
     )
 
 
-def append_run(df: DataFrame, path: str) -> None:
-    """Append-only history partitioned by ``_run_id``.
+def append_run(df: DataFrame, path: str, run_id: str) -> int:
+    """Append-only history, one folder ``_run_id=<run>`` per run; returns the rows written.
 
-    Dynamic partition overwrite replaces only this run's folder, so re-running
-    a run does not duplicate its rows; other runs stay untouched.  New
-    columns are allowed: readers merge schemas (``read_bronze``).
+    The run's folder is replaced whole, so re-running a run does not duplicate
+    its rows, and a re-run without rows leaves none; other runs stay untouched.
+    New columns are allowed: older runs read NULL for them (``read_bronze``).
     """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_run_id")
-        .parquet(path)
-    )
+    return runs.write_run(df, path, run_id)
 
 
 def ingest_bronze(df: DataFrame, run_id: str, ingest_ts, path: str | None = None, source_file: bool = True) -> DataFrame:
     """Stamp lineage and, when ``path`` is given, append the run to Bronze."""
     stamped = stamp_lineage(df, run_id, ingest_ts, source_file)
     if path is not None:
-        append_run(stamped, path)
+        append_run(stamped, path, run_id)
     return stamped
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """All runs; older runs read NULL for later columns.  Run ids are text ('001' stays '001').
 
-    With ``schema`` (the newest one) no footer is read before the scan.
-    Without it the schemas of all files are merged first, a pass over their
-    footers that grows with the history.
+    The table's stored schema (or ``schema``) is used, so no footer is read
+    before the scan, however long the history.
     """
     if schema is None:
-        schema = spark.read.option("mergeSchema", "true").parquet(path).schema
-    fields = [T.StructField(f.name, T.StringType() if f.name == "_run_id" else f.dataType) for f in schema.fields]
+        return runs.read_runs(spark, path)
+    fields = [T.StructField(f.name, T.StringType() if f.name == runs.RUN_ID else f.dataType) for f in schema.fields]
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
@@ -67,6 +63,14 @@ def runs_summary(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy("_run_id").agg(F.count(F.lit(1)).alias("rows")).orderBy("_run_id")
 
 
+def stored_runs(spark: SparkSession, path: str) -> DataFrame:
+    """Rows per run of a stored history, ordered by run id, from file footers.  A run without rows counts 0."""
+    there = spark.createDataFrame([(x,) for x in runs.labels(spark, path)], "_run_id string")  # one row per run
+    found = footer_rows(there.sparkSession, path, (runs.RUN_ID,)).collect()
+    rows = spark.createDataFrame([(r[0], r["rows"]) for r in found], "_run_id string, rows bigint")
+    return there.join(rows, "_run_id", "left").select("_run_id", F.coalesce("rows", F.lit(0)).alias("rows")).orderBy("_run_id")
+
+
 def latest_from_bronze(bronze: DataFrame, key: str, order_col: str = "_ingest_ts") -> DataFrame:
     """Latest Bronze row per ``key``, ranked over the whole history.
 

@@ -1,84 +1,39 @@
-"""Tables kept as one Parquet partition per label: plain partitioned folders.
+"""Versions of a table, one run folder each, and value-clustered rewrites.
 
-A write replaces only its own partition (dynamic partition overwrite), and
-readers name the partition they want, so other labels are neither read nor
-changed.  Labels sort as text (an as-of time, or a zero-padded number).
+Built on :mod:`strata.operators.runs`: a write replaces its own version only,
+and a reader lists and opens the versions it names.  Versions sort as text
+(an as-of time, or a zero-padded number).
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from strata.operators import scd2
+from strata.operators import runs
 
 AS_OF = "_as_of"
 
 
-def write_partition(df: DataFrame, path: str, label, column: str = AS_OF, also: tuple[str, ...] = ()) -> None:
-    """``df`` as the partition ``column=label`` of ``path``, replacing it; ``also`` are further partition columns."""
-    df.withColumn(column, F.lit(label)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        column, *also).parquet(path)
-
-
-def _read(spark: SparkSession, path: str, column: str) -> DataFrame | None:
-    """The table with a text label column; None where there is none."""
-    try:
-        found = spark.read.option("mergeSchema", "true").parquet(path).schema
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in (e.getCondition() or "") or "UNABLE_TO_INFER_SCHEMA" in (e.getCondition() or ""):
-            return None
-        raise
-    kinds = {column: T.StringType(), scd2.CURRENT: T.BooleanType()}  # not as guessed from folder names
-    fields = [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found.fields]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+def write_partition(df: DataFrame, path: str, label, column: str = AS_OF, also: Sequence[str] = ()) -> int:
+    """``df`` as the version ``label`` of ``path``, replacing it whole; returns the rows written."""
+    return runs.write_run(df, path, label, column, also)
 
 
 def latest_label(spark: SparkSession, path: str, before: str | None = None, column: str = AS_OF) -> str | None:
-    """The greatest label, or the greatest below ``before``; None without one."""
-    t = _read(spark, path, column)
-    if t is None:
-        return None
-    if before is not None:
-        t = t.filter(F.col(column) < before)
-    return t.agg(F.max(column)).first()[0]
+    """The greatest label, or the greatest below ``before``, from the listing; None without one."""
+    found = [x for x in runs.labels(spark, path, column) if before is None or x < before]
+    return found[-1] if found else None
 
 
 def read_partition(spark: SparkSession, path: str, label: str | None = None, column: str = AS_OF) -> DataFrame:
-    """Rows of one label (the greatest by default), without the label column."""
+    """Rows of one version (the greatest by default), without the label column; a missing version raises."""
     label = label if label is not None else latest_label(spark, path, column=column)
-    t = _read(spark, path, column)
-    if t is None or label is None:
-        raise FileNotFoundError(f"no table at {path}")
-    return t.filter(F.col(column) == label).drop(column)
-
-
-def write_scd2(nxt: DataFrame, path: str, as_of: str) -> None:
-    """One run of a type-2 table: the rows now current, and the rows closed by this run.
-
-    Both go to this run's partition; history closed by earlier runs stays
-    where it is, so a run writes what is current and what it closes only.
-    """
-    flag = F.coalesce(F.col(scd2.CURRENT), F.lit(False))
-    write_partition(nxt.withColumn(scd2.CURRENT, flag), path, as_of, also=(scd2.CURRENT,))
-
-
-def read_scd2(spark: SparkSession, path: str, as_of: str | None = None) -> DataFrame:
-    """The whole type-2 table after run ``as_of`` (the last by default): its current rows and all history so far."""
-    as_of = as_of if as_of is not None else latest_label(spark, path)
-    t = _read(spark, path, AS_OF)
-    if t is None or as_of is None:
+    if label is None:
         raise FileNotFoundError(f"no table at {path}")
-    mine = (F.col(AS_OF) == as_of) | (~F.col(scd2.CURRENT) & (F.col(AS_OF) < as_of))
-    return t.filter(mine).drop(AS_OF)
-
-
-def current_scd2(spark: SparkSession, path: str, as_of: str) -> DataFrame:
-    """Only the current rows after run ``as_of``: what the next run has to read."""
-    t = _read(spark, path, AS_OF)
-    return t.filter((F.col(AS_OF) == as_of) & F.col(scd2.CURRENT)).drop(AS_OF)
+    return runs.read_run(spark, path, label, column)
 
 
 def compare_partitions(
@@ -87,10 +42,13 @@ def compare_partitions(
 ) -> DataFrame:
     """The same filtered count at two labels, stacked as (snapshot, count) rows.
 
-    One scan restricted to the two partitions and one aggregate; both rows
-    appear even when a count is zero.
+    One scan of the two versions' files and one aggregate; both rows
+    appear even when a count is zero.  A missing version raises.
     """
-    t = _read(spark, path, column).filter(F.col(column).isin(a, b))
+    missing = {str(a), str(b)} - set(runs.labels(spark, path, column))
+    if missing:
+        raise FileNotFoundError(f"no version {', '.join(sorted(missing))} at {path}")
+    t = runs.read_runs(spark, path, sorted({str(a), str(b)}), column)
     pred = F.expr(predicate) if isinstance(predicate, str) else predicate
     agg = t.agg(F.count_if((F.col(column) == a) & pred).alias("_a"), F.count_if((F.col(column) == b) & pred).alias("_b"))
     rows = [F.struct(F.lit(name).alias("snapshot"), F.col(c).alias(value_name)) for name, c in zip(labels, ("_a", "_b"))]

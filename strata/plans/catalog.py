@@ -12,10 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import gold, scd2, snapshots
-from strata.operators.audit import audit_row, table_counts
+from strata.operators import gold, latest_state, runs, scd2, scd2_store, snapshots
+from strata.operators.audit import audit_row, counted
 from strata.functions.columns import typed_timestamp
-from strata.operators.bronze import append_run, ingest_bronze, latest_from_bronze, read_bronze
+from strata.operators.bronze import append_run, ingest_bronze, latest_from_bronze, read_bronze, stored_runs
 from strata.operators.dedupe import latest_by, split_duplicates
 from strata.operators.quality import add_work_hours, attendance_flags, cast_or_reject, variance_profile
 from strata.plans.standins import (
@@ -34,7 +34,7 @@ from strata.plans.standins import (
 )
 from strata.streaming.ingest import ingest_available
 from strata.session import shared_dir
-from strata.sources.files import land_csv, read_csv, read_table, write_table
+from strata.sources.files import footer_rows, land_csv, read_landed, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -254,7 +254,7 @@ ORDERS_LANDED_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRI
 def q_csv_roundtrip(spark, d):
     o = _s(spark, d).table("orders")
     folder = land_csv(o, shared_dir(spark, "raw"), "orders", "2024-02-01", ORDERS_MAPPING)
-    return read_csv(spark, folder, schema=ORDERS_LANDED_SCHEMA)
+    return read_landed(spark, folder, schema=ORDERS_LANDED_SCHEMA)
 
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -271,7 +271,7 @@ def q_bronze_append(spark, d):
     raw = land_csv(ev, shared_dir(spark, "raw"), "events", "2024-02-01")
     bronze = shared_dir(spark, "bronze_events")
     for run in ("001", "r2", "r2"):  # r2 twice: the re-run replaces its own partition
-        ingest_bronze(read_csv(spark, raw, schema=EVENTS_SCHEMA), run, INGEST_TS, bronze)
+        ingest_bronze(read_landed(spark, raw, schema=EVENTS_SCHEMA), run, INGEST_TS, bronze)
     return read_bronze(spark, bronze).select("event_id", "ts", "user_id", "event_type", "value", "props", "_ingest_ts",
                                              _landed(), "_run_id")
 
@@ -279,44 +279,78 @@ def q_bronze_append(spark, d):
 def q_csv_inferred(spark, d):
     """``orders`` landed as CSV and read back with inferred types."""
     folder = land_csv(_s(spark, d).table("orders"), shared_dir(spark, "raw"), "orders", "2024-02-01")
-    return read_csv(spark, folder, infer=True).select(
+    return read_landed(spark, folder, infer=True).select(
         F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"),
         "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority")
 
 
-def _bronze_orders(spark, d, runs) -> DataFrame:
-    """Bronze of ``orders``: runs of (run id, ingest time, rows, added to the price), in the order they are appended."""
-    o, bronze = _s(spark, d).table("orders"), shared_dir(spark, "bronze_orders")
-    for run, ts, only, plus in runs:
+def _ingest_orders(spark, d, bronze: str, ingests) -> None:
+    """Runs of (run id, ingest time, which rows, added to the price) of ``orders``, in the order they are appended."""
+    o = _s(spark, d).table("orders")
+    for run, ts, only, plus in ingests:
         rows = o if only is None else o.filter(only)
         ingest_bronze(rows.withColumn("o_totalprice", F.col("o_totalprice") + F.lit(plus)), run, ts, bronze, source_file=False)
-    return read_bronze(spark, bronze).drop("_source_file")
+
+
+def _latest_orders(spark, d, *folds) -> DataFrame:
+    """Latest orders kept incrementally: after each group of ingests the state folds in what is new or changed."""
+    bronze, state = shared_dir(spark, "bronze_orders"), shared_dir(spark, "latest_orders")
+    for ingests in folds:
+        _ingest_orders(spark, d, bronze, ingests)
+        out = latest_state.fold(spark, bronze, state, "o_orderkey")
+    return out.drop("_source_file")
 
 
 def q_latest_incremental(spark, d):
     """``orders`` ingested twice: run r1 = orders placed before T0, run r2 = every order again with a corrected price."""
     early = F.col("o_orderdate") < typed_timestamp(T0)
-    return latest_from_bronze(_bronze_orders(spark, d, [("r1", T0, early, 0.0), ("r2", T1, None, 100.0)]), "o_orderkey")
+    return _latest_orders(spark, d, [("r1", T0, early, 0.0)], [("r2", T1, None, 100.0)])
 
 
 def q_latest_skipped_run(spark, d):
     """r1 and r3 were processed, r2 only appended: its orders count all the same."""
     early = F.col("o_orderdate") < typed_timestamp(T0)
-    return latest_from_bronze(_bronze_orders(
-        spark, d, [("r1", T0, early, 0.0), ("r2", T1, ~early, 50.0), ("r3", T2, early, 100.0)]), "o_orderkey")
+    return _latest_orders(spark, d, [("r1", T0, early, 0.0)], [("r2", T1, ~early, 50.0), ("r3", T2, early, 100.0)])
 
 
 def q_latest_rerun(spark, d):
     """r1 is run again with a corrected file after r2, which holds the later orders only."""
     early = F.col("o_orderdate") < typed_timestamp(T0)
-    return latest_from_bronze(_bronze_orders(
-        spark, d, [("r1", T0, None, 0.0), ("r2", T1, ~early, 50.0), ("r1", T0, early, 25.0)]), "o_orderkey")
+    return _latest_orders(spark, d, [("r1", T0, None, 0.0)], [("r2", T1, ~early, 50.0)], [("r1", T0, early, 25.0)])
 
 
 def q_latest_late_run(spark, d):
     """A run with an earlier ingest time arrives last: it changes only orders that no other run has."""
     early = F.col("o_orderdate") < typed_timestamp(T0)
-    return latest_from_bronze(_bronze_orders(spark, d, [("r2", T1, ~early, 50.0), ("r1", T0, None, 0.0)]), "o_orderkey")
+    return _latest_orders(spark, d, [("r2", T1, ~early, 50.0)], [("r1", T0, None, 0.0)])
+
+
+def q_latest_ranked(spark, d):
+    """The same pick by one ranking of the whole history (no state): three runs, the first one empty in the end."""
+    early, bronze = F.col("o_orderdate") < typed_timestamp(T0), shared_dir(spark, "bronze_orders")
+    _ingest_orders(spark, d, bronze, [("r1", T2, None, 7.0), ("r2", T0, None, 0.0), ("r3", T1, early, 50.0), ("r1", T2, F.lit(False), 7.0)])
+    return latest_from_bronze(read_bronze(spark, bronze), "o_orderkey").drop("_source_file")
+
+
+def q_empty_rerun(spark, d):
+    """Two runs; the second is run again and delivers nothing: its rows are gone, the first run's stay."""
+    bronze = shared_dir(spark, "bronze_orders")
+    _ingest_orders(spark, d, bronze, [("r1", T0, None, 0.0), ("r2", T1, None, 1.0), ("r2", T1, F.lit(False), 0.0)])
+    return read_bronze(spark, bronze).drop("_source_file", "_ingest_ts")
+
+
+def q_runs_summary(spark, d):
+    """Rows per run of a stored history from file footers, in run order; the second run was emptied."""
+    early, bronze = F.col("o_orderdate") < typed_timestamp(T0), shared_dir(spark, "bronze_orders")
+    _ingest_orders(spark, d, bronze, [("003", T2, None, 0.0), ("001", T0, early, 0.0), ("002", T1, None, 0.0), ("002", T1, F.lit(False), 0.0)])
+    return stored_runs(spark, bronze)
+
+
+def q_footer_counts(spark, d):
+    """Rows and key range of ``lineitem`` per return flag, one stored folder each, from footers."""
+    path = shared_dir(spark, "lineitem_flags")
+    _s(spark, d).table("lineitem").select("l_orderkey", "l_returnflag").write.partitionBy("l_returnflag").parquet(path)
+    return footer_rows(spark, path, ("l_returnflag",), ("l_orderkey",))
 
 
 def _typed_events(spark, d):
@@ -345,14 +379,14 @@ def q_schema_evolution(spark, d):
 
 
 def q_audit_row(spark, d):
-    s = _s(spark, d)
-    att_clean, att_rej = s.attendance_split
-    pay_clean, pay_rej = s.payroll_split
-    counts = table_counts(
-        {"silver_attendance": att_clean, "silver_payroll": pay_clean, "silver_employee": s.employee_versions},
-        {"rejected_attendance": att_rej, "rejected_payroll": pay_rej},
-    )
-    return audit_row(counts, "r1", START_TIME, END_TIME)
+    """The audit row of a run that wrote three silver and two rejected tables: counts observed in the writes."""
+    s, path = _s(spark, d), shared_dir(spark, "audited")
+    clean, rejected = {}, {}
+    for name, (good, bad) in (("attendance", s.attendance_split), ("payroll", s.payroll_split)):
+        clean[name] = runs.write_run(good, f"{path}/silver_{name}", "r1", "_run")
+        rejected[name] = runs.write_run(bad, f"{path}/rejected_{name}", "r1", "_run")
+    clean["employee"] = runs.write_run(s.employee_versions, f"{path}/silver_employee", "r1", "_run")
+    return audit_row(counted(spark, clean, rejected), "r1", START_TIME, END_TIME)
 
 
 def q_stream_ingest(spark, d):
@@ -388,7 +422,7 @@ def q_rejected_append(spark, d):
     _, rejected = _s(spark, d).attendance_split
     path = shared_dir(spark, "rejected_attendance")
     for run in ("r1", "r2", "r2"):
-        append_run(rejected.withColumnRenamed("_run_id", "_ingest_run_id").withColumn("_run_id", F.lit(run)), path)
+        append_run(rejected.withColumnRenamed("_run_id", "_ingest_run_id"), path, run)
     return read_bronze(spark, path).select(*ATT_REJECT_COLS, "_ingest_run_id")
 
 
@@ -413,15 +447,24 @@ def q_headcount_zero_filled(spark, d):
     return gold.headcount_history(_s(spark, d).employee_versions, spark, AS_OF, N_MONTHS, plan="sweep", zero_fill=True)
 
 
-def _tracked_employee(spark, d, null_safe: bool) -> DataFrame:
-    """Three runs of the type-2 table with history, NULL keys and a manager, read back after the third."""
+def _tracked_employee(spark, d, null_safe: bool, wrong_first: bool = False) -> DataFrame:
+    """Three runs of the stored type-2 table with history, NULL keys and a manager, read back after the third.
+
+    ``wrong_first``: the second run is made three times: from a snapshot whose
+    salaries are all wrong (every open row closes), from none, then from the right one.
+    """
     s, path = _s(spark, d), shared_dir(spark, "employee_scd2")
-    snapshots.write_scd2(scd2.scd2_init(s.tracked_snapshot(T0), T0), path, T0)
-    for before, at in ((T0, T1), (T1, T2)):
-        cur = snapshots.current_scd2(spark, path, before)
-        nxt = scd2.scd2_apply(cur, s.tracked_snapshot(at), "employee_id", at, null_safe=null_safe)
-        snapshots.write_scd2(nxt, path, at)
-    return snapshots.read_scd2(spark, path, T2)
+    for at in (T0, T1, T2):
+        snap = s.tracked_snapshot(at)
+        if wrong_first and at == T1:
+            scd2_store.apply_run(snap.withColumn("salary", (F.col("salary") + 1).cast("decimal(18,2)")), path, at, "employee_id")
+            scd2_store.apply_run(snap.filter(F.lit(False)), path, at, "employee_id")
+        scd2_store.apply_run(snap, path, at, "employee_id", null_safe=null_safe)
+    return scd2_store.read(spark, path, T2)
+
+
+def q_scd2_corrected_rerun(spark, d):
+    return _tracked_employee(spark, d, null_safe=False, wrong_first=True)
 
 
 def q_scd2_history(spark, d):
@@ -485,6 +528,11 @@ QUERIES: dict[str, Query] = {
     "table_overwrite": q_table_overwrite,
     "attendance_payroll_text_month": q_attendance_payroll_text_month,
     "headcount_zero_filled": q_headcount_zero_filled,
+    "latest_ranked": q_latest_ranked,
+    "empty_rerun": q_empty_rerun,
+    "runs_summary": q_runs_summary,
+    "footer_counts": q_footer_counts,
+    "scd2_corrected_rerun": q_scd2_corrected_rerun,
     "scd2_history": q_scd2_history,
     "scd2_history_null_safe": q_scd2_history_null_safe,
 }

@@ -357,6 +357,13 @@ ORACLE: dict[str, str] = {
         body="SELECT d.department_id, m.snapshot_month, CAST(COALESCE(hc.headcount, 0) AS BIGINT) AS headcount "
              "FROM (SELECT DISTINCT department_id FROM hc) d CROSS JOIN spine m LEFT JOIN hc "
              "ON hc.department_id = d.department_id AND hc.snapshot_month = m.snapshot_month"),
+    "latest_ranked": bronze_latest(("r2", T0, "true", 0), ("r3", T1, EARLY, 50)),
+    "empty_rerun": "SELECT *, 'r1' AS _run_id FROM orders",
+    "runs_summary": f"SELECT '001' AS _run_id, count(*) FILTER (WHERE {EARLY}) AS rows FROM orders UNION ALL SELECT '002', 0 "
+                    "UNION ALL SELECT '003', count(*) FROM orders",
+    "footer_counts": "SELECT l_returnflag, count(*) AS rows, min(l_orderkey) AS min_l_orderkey, max(l_orderkey) AS max_l_orderkey "
+                     "FROM lineitem GROUP BY l_returnflag",
+    "scd2_corrected_rerun": tracked_history(False),
     "scd2_history": tracked_history(False),
     "scd2_history_null_safe": tracked_history(True),
     "audit_row": with_ctes(

@@ -2,17 +2,20 @@
 
 Layout under ``base`` (a shared file system path)::
 
-    raw/<entity>/<run_date>/*.csv             landed files (``land_csv``)
+    raw/<entity>/<run_date>/*.csv             landed files (``land_csv``, or from outside)
     bronze/<entity>/_run_id=<run>/            append-only history, one folder per run
-    silver/<entity>/_as_of=<time>/            one partition per run
-    silver/employee/_as_of=<time>/is_current=true|false/   current rows, and rows closed by the run
+    latest/<entity>/                          latest row per source id (``latest_state``)
+    silver/<entity>/_as_of=<time>/            one folder per run
+    silver/employee/_as_of=<time>/            type-2 table (``scd2_store``)
     rejected/{attendance,payroll}/_run_id=<run>/
     gold/<report>/_as_of=<time>/
-    audit/                                    one row per run
+    audit/_run_id=<run>/                      one row per run
 
 A table is declared with the tables it reads; the run order follows from that.
-A failing table is recorded and the run goes on, the audit row is written, and
-the run raises at the end if any table failed.  Every step takes the run's
+A failing table is recorded, whatever reads it is skipped (and what reads that),
+so reports keep the last good run and nothing is published from a table that
+was not made.  The audit row lists both, with counts observed in the writes,
+and the run raises at the end if any table failed.  Every step takes the run's
 parameters; only the audit start and end times read a clock (``clock``,
 replaceable).
 """
@@ -28,13 +31,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import gold, quality, scd2, snapshots
-from strata.operators.audit import audit_row, narrow_counts, table_counts
-from strata.operators.bronze import append_run, latest_from_bronze, read_bronze, stamp_lineage
+from strata.operators import gold, latest_state, quality, runs, scd2_store, snapshots
+from strata.operators.audit import audit_row, counted, narrow_counts
+from strata.operators.bronze import append_run, stamp_lineage
 from strata.operators.dedupe import split_duplicates
 from strata.plans.standins import ATT_REJECT_COLS, PAY_REJECT_COLS
-from strata.sources.files import read_csv, safe_count
-from strata.sources.jdbc import append_jdbc, publish_all
+from strata.sources.files import read_landed
+from strata.sources.jdbc import publish_run
 
 # Fixed values that must equal the reference's for the same results.
 SCHEMAS = {
@@ -59,6 +62,7 @@ CLUSTER_COLUMNS = {
     "payroll": ("employee_id", "pay_period"),
     "attendance": ("employee_id", "attendance_date"),
 }
+GOLD_FOLDERS = {"gold_headcount_history": "dept_headcount_history"}  # where not the task's own name
 
 
 @dataclass
@@ -72,6 +76,7 @@ class RunParams:
     jdbc_url: str | None = None
     jdbc_props: Mapping[str, str] = field(default_factory=dict)
     cluster: bool = False         # write silver tables in value ranges of CLUSTER_COLUMNS
+    execute: Callable | None = None  # runs SQL statements as one transaction; by default over JDBC
     clock: Callable[[], _dt.datetime] = field(default=lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
 
     def path(self, *parts: str) -> str:
@@ -85,74 +90,68 @@ def _bronze(spark: SparkSession, p: RunParams, entity: str) -> int:
     src = p.path("raw", entity, p.run_date)
     if p.strict:
         schema = spark.createDataFrame([], SCHEMAS[entity]).schema
-        text = read_csv(spark, src, schema=", ".join(f"{f.name} STRING" for f in schema.fields))
+        text = read_landed(spark, src, schema=", ".join(f"{f.name} STRING" for f in schema.fields))
         raw, bad = quality.cast_or_reject(text, {f.name: f.dataType.simpleString() for f in schema.fields})
         _append_rejected(stamp_lineage(bad, p.run_id, p.as_of), p.path("rejected", f"{entity}_values"), p.run_id)
     else:
-        raw = read_csv(spark, src, schema=SCHEMAS[entity], mode="FAILFAST")
-    stamped = stamp_lineage(raw, p.run_id, p.as_of)
-    append_run(stamped, p.path("bronze", entity))
-    return safe_count(spark, p.path("bronze", entity, f"_run_id={p.run_id}"))
+        raw = read_landed(spark, src, schema=SCHEMAS[entity], mode="FAILFAST")
+    return append_run(stamp_lineage(raw, p.run_id, p.as_of), p.path("bronze", entity), p.run_id)
 
 
 def _latest(spark: SparkSession, p: RunParams, entity: str, key: str) -> DataFrame:
-    """Latest Bronze row per source id, over the whole history."""
-    return latest_from_bronze(read_bronze(spark, p.path("bronze", entity)), key)
+    """Latest Bronze row per source id: the state folds in the runs that are new or changed."""
+    return latest_state.fold(spark, p.path("bronze", entity), p.path("latest", entity), key)
 
 
 def _clustered(df: DataFrame, p: RunParams, entity: str) -> DataFrame:
     return snapshots.clustered(df, list(CLUSTER_COLUMNS[entity]), 128 << 20, 64) if p.cluster else df
 
 
-def _put(df: DataFrame, p: RunParams, *table: str) -> None:
-    snapshots.write_partition(df, p.path(*table), p.as_of)
+def _put(df: DataFrame, p: RunParams, *table: str) -> int:
+    return snapshots.write_partition(df, p.path(*table), p.as_of)
 
 
 def _get(spark: SparkSession, p: RunParams, *table: str) -> DataFrame:
+    """This run's version of a table; raises where the run has not made it."""
     return snapshots.read_partition(spark, p.path(*table), p.as_of)
 
 
-def _append_rejected(df: DataFrame, path: str, run_id: str) -> None:
-    """Rejected rows of this run, in this run's partition (re-runs replace it).
+def _append_rejected(df: DataFrame, path: str, run_id: str) -> int:
+    """Rejected rows of this run, in this run's folder (re-runs replace it).
 
     The row's own Bronze run id is kept as ``_ingest_run_id``.
     """
-    append_run(df.withColumnRenamed("_run_id", "_ingest_run_id").withColumn("_run_id", F.lit(run_id)), path)
+    return append_run(df.withColumnRenamed("_run_id", "_ingest_run_id"), path, run_id)
 
 
-def silver_attendance(spark: SparkSession, p: RunParams) -> None:
+def silver_attendance(spark: SparkSession, p: RunParams) -> Counts:
     df = quality.attendance_flags(quality.add_work_hours(_latest(spark, p, "attendance", "attendance_id")),
                                   strict=p.strict)
     clean, rejected = split_duplicates(
         df, ["employee_id", "attendance_date"], [F.desc("attendance_id")], "duplicate_attendance",
         reject_columns=ATT_REJECT_COLS, null_key_reason="null_key" if p.strict else None,
     )
-    _append_rejected(rejected, p.path("rejected", "attendance"), p.run_id)
-    _put(_clustered(clean, p, "attendance"), p, "silver", "attendance")
+    bad = _append_rejected(rejected, p.path("rejected", "attendance"), p.run_id)
+    return Counts(_put(_clustered(clean, p, "attendance"), p, "silver", "attendance"), bad)
 
 
-def silver_payroll(spark: SparkSession, p: RunParams) -> None:
+def silver_payroll(spark: SparkSession, p: RunParams) -> Counts:
     df = quality.add_payroll_delay(quality.recompute_net_pay(_latest(spark, p, "payroll", "payroll_id")))
     clean, rejected = split_duplicates(
         df, ["employee_id", "pay_period"], [F.desc("processed_date"), F.desc("payroll_id")], "duplicate_pay_period",
         reject_columns=PAY_REJECT_COLS, null_key_reason="null_key" if p.strict else None,
     )
-    _append_rejected(rejected, p.path("rejected", "payroll"), p.run_id)
-    _put(_clustered(clean, p, "payroll"), p, "silver", "payroll")
+    bad = _append_rejected(rejected, p.path("rejected", "payroll"), p.run_id)
+    return Counts(_put(_clustered(clean, p, "payroll"), p, "silver", "payroll"), bad)
 
 
-def silver_employee(spark: SparkSession, p: RunParams) -> None:
-    """Type-2 table: reads the current rows only, writes the current rows and those it closes."""
+def silver_employee(spark: SparkSession, p: RunParams) -> Counts:
+    """Type-2 table: a run writes the buckets that hold a changed key; its size comes from file footers."""
     snap = _latest(spark, p, "employee", "employee_id").drop("_ingest_ts", "_source_file", "_run_id")
     snap = snap.withColumns({"hire_date": F.to_date("hire_date"), "salary": F.col("salary").cast("decimal(18,2)")})
     store = p.path("silver", "employee")
-    last = snapshots.latest_label(spark, store, before=p.as_of)
-    if last is None:
-        nxt = scd2.scd2_init(snap, p.as_of)
-    else:
-        nxt = scd2.scd2_apply(snapshots.current_scd2(spark, store, last), snap, "employee_id", p.as_of,
-                              null_safe=p.strict, null_keys="reject" if p.strict else "insert")
-    snapshots.write_scd2(_clustered(nxt, p, "employee"), store, p.as_of)
+    scd2_store.apply_run(snap, store, p.as_of, "employee_id", null_safe=p.strict, null_keys="reject" if p.strict else "insert")
+    return Counts(scd2_store.row_count(spark, store, p.as_of))
 
 
 def silver_department(spark: SparkSession, p: RunParams) -> None:
@@ -160,7 +159,7 @@ def silver_department(spark: SparkSession, p: RunParams) -> None:
 
 
 def _employees(spark: SparkSession, p: RunParams) -> DataFrame:
-    return snapshots.read_scd2(spark, p.path("silver", "employee"), p.as_of)
+    return scd2_store.read(spark, p.path("silver", "employee"), p.as_of)
 
 
 def gold_workforce(spark: SparkSession, p: RunParams) -> None:
@@ -178,10 +177,9 @@ def gold_attendance_payroll(spark: SparkSession, p: RunParams) -> None:
     _put(gold.attendance_payroll(_get(spark, p, "silver", "payroll"), counts, p.as_of), p, "gold", "attendance_payroll")
 
 
-def publish(spark: SparkSession, p: RunParams) -> None:
+def publish(spark: SparkSession, p: RunParams, table: str, report: str) -> None:
     if p.jdbc_url:
-        tables = [(t, lambda rel=rel: _get(spark, p, rel)) for t, rel in REPORT_TABLES]
-        publish_all(spark, p.jdbc_url, tables, p.jdbc_props)
+        publish_run(_get(spark, p, report), p.jdbc_url, table, p.run_id, p.jdbc_props, execute=p.execute)
 
 
 @dataclass(frozen=True)
@@ -192,18 +190,29 @@ class Task:
     reads: tuple[str, ...] = ()
 
 
+@dataclass(frozen=True)
+class Counts:
+    """Rows of a silver table after its write, and rows the write rejected."""
+
+    rows: int
+    rejected: int = 0
+
+
 def tasks() -> dict[str, Task]:
     """Every table of the run by name; nothing here says in which order they are made."""
     out = {f"bronze_{e}": Task(lambda s, p, e=e: _bronze(s, p, e)) for e in SCHEMAS}
     out |= {
-        "publish_reports": Task(publish, ("gold_workforce_summary", "gold_headcount_history", "gold_attendance_payroll")),
         "gold_attendance_payroll": Task(gold_attendance_payroll, ("silver_attendance", "silver_payroll")),
         "gold_headcount_history": Task(gold_headcount, ("silver_employee",)),
         "gold_workforce_summary": Task(gold_workforce, ("silver_employee", "silver_department")),
     }
     makers = {"attendance": silver_attendance, "payroll": silver_payroll, "employee": silver_employee,
               "department": silver_department}
-    return out | {f"silver_{e}": Task(f, (f"bronze_{e}",)) for e, f in makers.items()}
+    out |= {f"silver_{e}": Task(f, (f"bronze_{e}",)) for e, f in makers.items()}
+    for table, report in REPORT_TABLES:
+        made = next(k for k in out if k.startswith("gold_") and report.endswith(GOLD_FOLDERS.get(k, k.removeprefix("gold_"))))
+        out[f"publish_{report.split('/')[-1]}"] = Task(lambda s, p, t=table, r=report: publish(s, p, t, r), (made,))
+    return out
 
 
 def run_order(todo: Mapping[str, Task]) -> list[str]:
@@ -223,53 +232,50 @@ class Outcome:
     table: str
     seconds: float
     error: str | None = None
+    skipped: bool = False
+    counts: Counts | None = None
 
     @property
     def status(self) -> str:
-        return "FAILED" if self.error is not None else "SUCCESS"
+        return "SKIPPED" if self.skipped else "FAILED" if self.error is not None else "SUCCESS"
 
 
-def run_audit(spark: SparkSession, p: RunParams, start: _dt.datetime, end: _dt.datetime, failed: list[str]) -> DataFrame:
-    """The audit row, counted from what the run has left; a table that is not there counts 0."""
-    none = spark.range(0)
+#: Tables whose rows the audit row sums.
+AUDITED = ("silver_attendance", "silver_payroll", "silver_employee")
 
-    def made(read: Callable[[], DataFrame]) -> DataFrame:
-        try:
-            return read()
-        except FileNotFoundError:
-            return none
-
-    def rejected(entity: str) -> DataFrame:
-        path = p.path("rejected", entity, f"_run_id={p.run_id}")
-        return spark.read.parquet(path) if safe_count(spark, path) else none
-
-    counts = table_counts(
-        {"silver_attendance": made(lambda: _get(spark, p, "silver", "attendance")),
-         "silver_payroll": made(lambda: _get(spark, p, "silver", "payroll")),
-         "silver_employee": made(lambda: _employees(spark, p))},
-        {f"rejected_{e}": rejected(e) for e in ("attendance", "payroll")},
-    )
-    return audit_row(counts, p.run_id, start.isoformat(sep=" "), end.isoformat(sep=" "), failed, ts_type="timestamp")
+
+def run_audit(spark: SparkSession, p: RunParams, start: _dt.datetime, end: _dt.datetime, outcomes: list[Outcome]) -> DataFrame:
+    """The audit row from what the writes observed; a table that failed or was skipped counts 0."""
+    known = {o.table: o.counts for o in outcomes if o.table in AUDITED and o.counts is not None}
+    counts = counted(spark, {k: c.rows for k, c in known.items()}, {k: c.rejected for k, c in known.items()})
+    return audit_row(counts, p.run_id, start.isoformat(sep=" "), end.isoformat(sep=" "),
+                     [o.table for o in outcomes if o.status == "FAILED"], [o.table for o in outcomes if o.skipped], ts_type="timestamp")
 
 
 def run_all(spark: SparkSession, p: RunParams, raise_on_failure: bool = True) -> tuple[list[Outcome], DataFrame]:
     """Make every table in dependency order; returns the outcome of each, and the audit row."""
-    todo, outcomes, start = tasks(), [], p.clock()
+    todo, done, start = tasks(), {}, p.clock()
     for name in run_order(todo):
-        began, error = time.perf_counter(), None
+        missing = [r for r in todo[name].reads if done[r].status != "SUCCESS"]
+        if missing:
+            done[name] = Outcome(name, 0.0, "needs " + ", ".join(missing), skipped=True)
+            continue
+        began, error, made = time.perf_counter(), None, None
         try:
-            todo[name].make(spark, p)
+            made = todo[name].make(spark, p)
         except Exception as e:  # noqa: BLE001 - recorded; tables that do not need this one are still made
             error = str(e)
-        outcomes.append(Outcome(name, time.perf_counter() - began, error))
-    failed = [o.table for o in outcomes if o.error is not None]
-    audit = run_audit(spark, p, start, p.clock(), failed)
-    audit.write.mode("append").parquet(p.path("audit"))
+        done[name] = Outcome(name, time.perf_counter() - began, error, counts=made if isinstance(made, Counts) else None)
+    outcomes = list(done.values())
+    failed = [o.table for o in outcomes if o.status == "FAILED"]
+    audit = run_audit(spark, p, start, p.clock(), outcomes)
+    runs.write_run(audit.withColumn(runs.RUN_ID, F.col("run_id")), p.path("audit"), p.run_id)
+    stored = runs.read_run(spark, p.path("audit"), p.run_id)
     if p.jdbc_url:
-        append_jdbc(narrow_counts(audit), p.jdbc_url, AUDIT_TABLE, p.jdbc_props)
+        publish_run(narrow_counts(stored), p.jdbc_url, AUDIT_TABLE, p.run_id, p.jdbc_props, run_column="run_id", execute=p.execute)
     if failed and raise_on_failure:
         raise RuntimeError(f"{len(failed)} tables failed: {', '.join(failed)}")
-    return outcomes, spark.read.parquet(p.path("audit")).filter(F.col("run_id") == p.run_id)
+    return outcomes, stored
 
 
 def main(argv: list[str] | None = None) -> None:

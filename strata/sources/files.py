@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,34 @@ def apply_mapping(df: DataFrame, mapping: Sequence[tuple[str, str, str]], lenien
     return df.select(*[conv(src, t).alias(dst) for src, dst, t in mapping])
 
 
+#: What landed text spells differently: a line break inside a value would keep the file from being split, a
+#: backslash is the dialect's escape, and the sign that introduces the spelling itself.
+LANDED_SPELLING = (("%", "%25"), ("\n", "%0A"), ("\r", "%0D"), ("\\", "%5C"))
+LANDED_MARK = "_spelled"  # beside the files that ``land_csv`` wrote; readers skip it
+LANDED_ROWS = 1_000_000  # rows of a landed file at most
+
+
+def _spelled(c: Column) -> Column:
+    for plain, coded in LANDED_SPELLING:
+        c = F.replace(c, F.lit(plain), F.lit(coded))
+    return c
+
+
+def _unspelled(c: Column) -> Column:
+    for plain, coded in reversed(LANDED_SPELLING):
+        c = F.replace(c, F.lit(coded), F.lit(plain))
+    return c
+
+
+def _each_text(df: DataFrame, rule) -> DataFrame:
+    return df.withColumns({f.name: rule(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, T.StringType)})
+
+
+def unspelled(df: DataFrame) -> DataFrame:
+    """Text columns as they were before ``land_csv`` spelled them."""
+    return _each_text(df, _unspelled)
+
+
 def land_csv(
     df: DataFrame,
     base: str,
@@ -70,18 +98,46 @@ def land_csv(
     load_date: str,
     mapping: Sequence[tuple[str, str, str]] | None = None,
     quote_all: bool = True,
+    file_rows: int = LANDED_ROWS,
 ) -> str:
     """Write ``df`` to ``<base>/<entity>/<load_date>/`` as header CSV, every value quoted.
 
-    Returns the folder.  ``load_date`` is an argument (the landing date of
-    the run), never the clock.  Re-landing the same date replaces that folder.
+    Line breaks inside values are spelled ``%0A`` / ``%0D`` (and ``%``,
+    backslash ``%25``, ``%5C``), so every record is one line and a reader can
+    split a file; files hold ``file_rows`` rows at most.  ``read_landed``
+    reads it back.  Returns the folder.  ``load_date`` is an argument (the
+    landing date of the run), never the clock.  Re-landing the same date
+    replaces that folder.
     """
     out = apply_mapping(df, mapping) if mapping else df
     path = f"{base.rstrip('/')}/{entity}/{load_date}"
-    out.write.mode("overwrite").options(**CSV_DIALECT, **CSV_TIMES).option("quoteAll", str(quote_all).lower()).csv(path)
+    _each_text(out, _spelled).write.mode("overwrite").options(**CSV_DIALECT, **CSV_TIMES).option(
+        "quoteAll", str(quote_all).lower()).option("maxRecordsPerFile", str(file_rows)).csv(path)
+    spark = df.sparkSession
+    spark.createDataFrame([("%",)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{LANDED_MARK}")
     return path
 
 
+def is_landed(spark: SparkSession, path: str) -> bool:
+    """Whether ``land_csv`` wrote the folder (its mark is there)."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{LANDED_MARK}")
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def read_landed(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, infer: bool = False, mode: str = "PERMISSIVE",
+    with_source_file: bool = False,
+) -> DataFrame:
+    """A landing folder: split by bytes across tasks if ``land_csv`` wrote it, else one task per (foreign) file.
+
+    Foreign files may hold quoted line breaks, which only a reader of whole
+    files can tell from record ends; their text is taken as it is.
+    """
+    own = is_landed(spark, path)
+    df = read_csv(spark, path, schema, infer, multi_line=not own, with_source_file=with_source_file, mode=mode)
+    return unspelled(df) if own else df
+
+
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
@@ -110,10 +166,33 @@ def _norm(p: str) -> tuple[str, str]:
     return u.netloc, u.path.rstrip("/")
 
 
+def _footer_session(spark: SparkSession) -> SparkSession:
+    """A session over the same context whose Parquet reads answer counts and extremes from file footers."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "csv,json,text,orc,avro")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    own.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    return own
+
+
+def footer_rows(spark: SparkSession, path: str, columns: Sequence[str] = (), extremes: Sequence[str] = ()) -> DataFrame:
+    """``rows`` per value of the partition ``columns``, and min_/max_ of ``extremes``: no row is read.
+
+    The Parquet source answers from row-group footers (aggregate push-down).
+    ``columns`` must be partition columns (as text); ``extremes`` numbers or
+    dates that the files keep statistics of.
+    """
+    t = _footer_session(spark).read.parquet(path)
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for c in extremes:
+        aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+    return t.groupBy(*columns).agg(*aggs)
+
+
 def safe_count(spark: SparkSession, path: str) -> int:
-    """Row count of a table; 0 when there is no table (missing or empty folder), other errors raise."""
+    """Row count of a table from its file footers; 0 when there is no table (missing or empty folder), other errors raise."""
     try:
-        return spark.read.parquet(path).count()
+        return int(footer_rows(spark, path).first()["rows"])
     except AnalysisException as e:
         cond = e.getCondition() or ""
         if "PATH_NOT_FOUND" in cond or "UNABLE_TO_INFER_SCHEMA" in cond or "Path does not exist" in str(e):

@@ -3,8 +3,8 @@
 The file source remembers, in its checkpoint, which files it has read, so
 each landed file is ingested exactly once however often the job runs
 (``trigger(availableNow=True)``: read what is there, then stop).  Each
-micro-batch is written by ``foreachBatch`` into its own partition
-``_batch=<epoch>`` with dynamic partition overwrite, so a batch replayed after
+micro-batch is written by ``foreachBatch`` into its own folder
+``_batch=<epoch>``, replaced whole, so a batch replayed after
 a failure replaces its own output, also when the restart has another run id.
 One checkpoint belongs to one Bronze folder; batch numbers are the
 checkpoint's.  A replayed batch carries the run id of the run that completed it.
@@ -18,18 +18,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.columns import typed_timestamp
-from strata.sources.files import CSV_DIALECT
+from strata.operators.runs import write_run
+from strata.sources.files import CSV_DIALECT, unspelled
 
 
 def _writer(bronze_path: str):
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        (
-            batch.withColumn("_batch", F.lit(int(epoch_id)))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_batch")
-            .parquet(bronze_path)
-        )
+        write_run(batch, bronze_path, epoch_id, "_batch")  # a replayed batch replaces its output, also by nothing
 
     return write_batch
 
@@ -43,19 +38,23 @@ def start_csv_ingest(
     run_id: str,
     ingest_ts,
     max_files_per_trigger: int | None = None,
+    landed: bool = True,
 ) -> StreamingQuery:
     """Start an availableNow stream from ``source_dir`` (recursively) into Bronze.
 
     Rows get ``_ingest_ts`` (the given time), ``_source_file`` and ``_run_id``.
+    ``landed``: the files are those of ``land_csv``, one record a line; pass
+    False for foreign files, which may hold quoted line breaks.
     """
     reader = (
         spark.readStream.schema(schema)
         .options(**CSV_DIALECT)
-        .option("recursiveFileLookup", "true").option("multiLine", "true")
+        .option("recursiveFileLookup", "true").option("multiLine", str(not landed).lower())
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.csv(source_dir).withColumns(
+    rows = reader.csv(source_dir)
+    stream = (unspelled(rows) if landed else rows).withColumns(
         {
             "_ingest_ts": typed_timestamp(ingest_ts),
             "_source_file": F.col("_metadata.file_path"),
@@ -79,10 +78,11 @@ def ingest_available(
     run_id: str,
     ingest_ts,
     max_files_per_trigger: int | None = None,
+    landed: bool = True,
 ) -> None:
     """Run ``start_csv_ingest`` to completion (all files present now)."""
     q = start_csv_ingest(
-        spark, source_dir, schema, bronze_path, checkpoint_location, run_id, ingest_ts, max_files_per_trigger
+        spark, source_dir, schema, bronze_path, checkpoint_location, run_id, ingest_ts, max_files_per_trigger, landed
     )
     q.awaitTermination()
     if q.exception() is not None:

@@ -6,10 +6,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import scd2, snapshots
+from strata.operators import scd2_store, snapshots
 from strata.operators.bronze import ingest_bronze, latest_from_bronze, read_bronze, runs_summary
 from strata.session import shared_dir
-from strata.sources.files import apply_mapping, land_csv, read_csv, safe_count, write_table
+from strata.sources.files import apply_mapping, land_csv, read_csv, read_landed, safe_count, write_table
 
 
 def test_csv_landing_roundtrip_quotes_and_nulls(spark):
@@ -112,7 +112,7 @@ def test_end_to_end_run(spark):
         ("E3", "D1", "Ops", "M", "300.00", "Active", "2026-05-01")])
     p2 = RunParams(base, "r2", "2026-05-21", "2026-05-21 23:00:00", n_months=3, clock=clock, cluster=True)
     res, audit = run_all(spark, p2)
-    emp = snapshots.read_scd2(spark, p2.path("silver", "employee"))
+    emp = scd2_store.read(spark, p2.path("silver", "employee"))
     assert emp.count() == 4 and emp.filter("is_current").count() == 3
     ws = snapshots.read_partition(spark, p2.path("gold", "workforce_summary")).first()
     assert (ws.headcount, ws.active_count, ws.attrition_count, ws.department_name) == (3, 2, 1, "One")
@@ -140,7 +140,7 @@ def test_run_records_failed_steps_and_continues(spark):
         run_all(spark, p)
     res, audit = run_all(spark, RunParams(**{**p.__dict__, "run_id": "r1b"}), raise_on_failure=False)
     status = {o.table: o.status for o in res}
-    assert status["bronze_payroll"] == "FAILED" and status["silver_payroll"] == "FAILED"
+    assert status["bronze_payroll"] == "FAILED" and status["silver_payroll"] == "SKIPPED"
     assert status["gold_workforce_summary"] == "SUCCESS"
     a = audit.first()
     assert a.status == "PartialFailure" and "bronze_payroll" in a.error_message
@@ -184,7 +184,7 @@ def test_timestamps_keep_microseconds_and_newlines(spark):
             (2, dt.datetime(2026, 5, 20, 9, 0, 0), None, "c")]
     df = spark.createDataFrame(rows, "id INT, n TIMESTAMP_NTZ, t TIMESTAMP, txt STRING")
     folder = land_csv(df, shared_dir(spark, "raw"), "times", "2026-05-21")
-    back = read_csv(spark, folder, schema="id INT, n TIMESTAMP_NTZ, t TIMESTAMP, txt STRING")
+    back = read_landed(spark, folder, schema="id INT, n TIMESTAMP_NTZ, t TIMESTAMP, txt STRING")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
@@ -241,6 +241,8 @@ def test_replayed_stream_batch_replaces_its_output(spark):
     write(batch.limit(1), 1)
     b = read_bronze(spark, bronze)
     assert b.filter("_batch = 0").count() == 10 and b.count() == 11
+    write(batch.limit(0), 0)  # replayed without rows
+    assert read_bronze(spark, bronze).count() == 1
 
 
 def test_partitioned_table_by_label(spark):
@@ -259,24 +261,6 @@ def test_partitioned_table_by_label(spark):
         snapshots.read_partition(spark, shared_dir(spark, "none"))
 
 
-def test_scd2_run_leaves_history_files_alone(spark):
-    path = shared_dir(spark, "scd2")
-    ddl = "employee_id INT, department_id INT, designation STRING, manager_id INT, salary INT, employment_status STRING"
-    snap = lambda rows: spark.createDataFrame([(k, 1, "x", m, s, "Active") for k, m, s in rows], ddl)
-    times = ["2026-01-01 00:00:00", "2026-02-01 00:00:00", "2026-03-01 00:00:00"]
-    snapshots.write_scd2(scd2.scd2_init(snap([(1, 7, 10), (2, None, 20), (None, 7, 5)]), times[0]), path, times[0])
-    files = {}
-    for before, at, rows in ((times[0], times[1], [(1, 7, 11), (2, 7, 20)]), (times[1], times[2], [(1, 7, 12), (2, 7, 20)])):
-        nxt = scd2.scd2_apply(snapshots.current_scd2(spark, path, before), snap(rows), "employee_id", at, null_safe=True)
-        snapshots.write_scd2(nxt, path, at)
-        now = set(spark.read.parquet(path).inputFiles())
-        assert set(files) <= now
-        files = dict.fromkeys(now)
-    t = snapshots.read_scd2(spark, path)
-    assert t.filter("is_current").count() == 3 and t.filter("not is_current").count() == 3  # 1 twice, 2 once
-    assert t.filter("employee_id = 1").count() == 3 and snapshots.read_scd2(spark, path, times[1]).count() == 5
-
-
 def test_clustered_rewrite_preserves_rows_and_splits_hot_values(spark):
     hot = spark.range(0, 8000).select(F.lit(1).alias("a"), F.col("id").alias("v"))
     path = shared_dir(spark, "hot")
@@ -303,7 +287,7 @@ def test_run_order_follows_dependencies():
 
     todo = tasks()
     order = run_order(todo)
-    assert sorted(order) == sorted(todo) and order[-1] == "publish_reports"
+    assert sorted(order) == sorted(todo) and order[-1].startswith("publish_")
     assert all(order.index(r) < order.index(k) for k, t in todo.items() for r in t.reads)
 
 

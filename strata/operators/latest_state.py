@@ -24,7 +24,7 @@ from strata.operators import runs
 from strata.operators.dedupe import latest_by
 
 GEN, BUCKET = "_gen", "_bucket"
-BUCKETS = 64
+BUCKETS = 32
 FOLDED = "_folded"  # beside the generations: what each has folded
 
 

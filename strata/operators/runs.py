@@ -123,6 +123,8 @@ def write_run(df: DataFrame, path: str, label, column: str = RUN_ID, also: Seque
     if old != merged:
         _store_schema(spark, path, merged)
     seen = Observation()
+    if also:
+        out = out.hint("rebalance", *also)  # few files per sub-partition; large ones are split by size
     writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*also) if also else writer).parquet(target)
     return int(seen.get["rows"])

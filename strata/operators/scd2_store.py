@@ -28,7 +28,7 @@ from strata.operators.snapshots import AS_OF
 from strata.sources.files import footer_rows
 
 BUCKET, DIGEST = "_bucket", "_digest"
-BUCKETS = 64  # of a table; its first run fixes them
+BUCKETS = 32  # of a table; its first run fixes them
 NULL_KEYS = -1
 
 

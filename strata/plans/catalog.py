@@ -38,6 +38,8 @@ from strata.sources.files import footer_rows, land_csv, read_landed, read_table,
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BUCKETS = 8  # of stored state tables: the test tables are small, and every bucket is a file
+
 ATT_CLEAN_COLS = ["attendance_id", "employee_id", "attendance_date", "attendance_status", "check_in_time",
                   "check_out_time", "_ingest_ts", "_run_id", "check_in_ts", "check_out_ts", "work_hours",
                   "dq_status_with_times", "dq_excess_hours"]
@@ -297,7 +299,7 @@ def _latest_orders(spark, d, *folds) -> DataFrame:
     bronze, state = shared_dir(spark, "bronze_orders"), shared_dir(spark, "latest_orders")
     for ingests in folds:
         _ingest_orders(spark, d, bronze, ingests)
-        out = latest_state.fold(spark, bronze, state, "o_orderkey")
+        out = latest_state.fold(spark, bronze, state, "o_orderkey", buckets=BUCKETS)
     return out.drop("_source_file")
 
 
@@ -457,9 +459,9 @@ def _tracked_employee(spark, d, null_safe: bool, wrong_first: bool = False) -> D
     for at in (T0, T1, T2):
         snap = s.tracked_snapshot(at)
         if wrong_first and at == T1:
-            scd2_store.apply_run(snap.withColumn("salary", (F.col("salary") + 1).cast("decimal(18,2)")), path, at, "employee_id")
-            scd2_store.apply_run(snap.filter(F.lit(False)), path, at, "employee_id")
-        scd2_store.apply_run(snap, path, at, "employee_id", null_safe=null_safe)
+            scd2_store.apply_run(snap.withColumn("salary", (F.col("salary") + 1).cast("decimal(18,2)")), path, at, "employee_id", buckets=BUCKETS)
+            scd2_store.apply_run(snap.filter(F.lit(False)), path, at, "employee_id", buckets=BUCKETS)
+        scd2_store.apply_run(snap, path, at, "employee_id", null_safe=null_safe, buckets=BUCKETS)
     return scd2_store.read(spark, path, T2)
 
 

@@ -76,6 +76,7 @@ class RunParams:
     jdbc_url: str | None = None
     jdbc_props: Mapping[str, str] = field(default_factory=dict)
     cluster: bool = False         # write silver tables in value ranges of CLUSTER_COLUMNS
+    buckets: int = 32             # of the latest-row state and the type-2 table; a table keeps its first number
     execute: Callable | None = None  # runs SQL statements as one transaction; by default over JDBC
     clock: Callable[[], _dt.datetime] = field(default=lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
 
@@ -100,7 +101,7 @@ def _bronze(spark: SparkSession, p: RunParams, entity: str) -> int:
 
 def _latest(spark: SparkSession, p: RunParams, entity: str, key: str) -> DataFrame:
     """Latest Bronze row per source id: the state folds in the runs that are new or changed."""
-    return latest_state.fold(spark, p.path("bronze", entity), p.path("latest", entity), key)
+    return latest_state.fold(spark, p.path("bronze", entity), p.path("latest", entity), key, buckets=p.buckets)
 
 
 def _clustered(df: DataFrame, p: RunParams, entity: str) -> DataFrame:
@@ -150,7 +151,8 @@ def silver_employee(spark: SparkSession, p: RunParams) -> Counts:
     snap = _latest(spark, p, "employee", "employee_id").drop("_ingest_ts", "_source_file", "_run_id")
     snap = snap.withColumns({"hire_date": F.to_date("hire_date"), "salary": F.col("salary").cast("decimal(18,2)")})
     store = p.path("silver", "employee")
-    scd2_store.apply_run(snap, store, p.as_of, "employee_id", null_safe=p.strict, null_keys="reject" if p.strict else "insert")
+    scd2_store.apply_run(snap, store, p.as_of, "employee_id", null_safe=p.strict, null_keys="reject" if p.strict else "insert",
+                         buckets=p.buckets)
     return Counts(scd2_store.row_count(spark, store, p.as_of))
 
 
@@ -292,6 +294,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--run-date", required=True, help="landing folder date, yyyy-MM-dd")
     ap.add_argument("--as-of", required=True, help="'yyyy-MM-dd HH:mm:ss'")
     ap.add_argument("--months", type=int, default=12)
+    ap.add_argument("--buckets", type=int, default=32)
     ap.add_argument("--strict", action="store_true")
     ap.add_argument("--jdbc-url")
     ap.add_argument("--cluster", action="store_true", help="write silver tables in value ranges")
@@ -300,7 +303,7 @@ def main(argv: list[str] | None = None) -> None:
     from strata.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
-    params = RunParams(a.base, a.run_id, a.run_date, a.as_of, a.months, a.strict, a.jdbc_url, cluster=a.cluster)
+    params = RunParams(a.base, a.run_id, a.run_date, a.as_of, a.months, a.strict, a.jdbc_url, cluster=a.cluster, buckets=a.buckets)
     outcomes, audit = run_all(spark, params)
     for o in outcomes:
         print(f"{o.status:8s} {o.seconds:7.1f}s {o.table}")

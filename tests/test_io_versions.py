@@ -100,7 +100,7 @@ def test_end_to_end_run(spark):
     _land_fixture_run(spark, base, "2026-05-20", [
         ("E1", "D1", "Eng", "M", "100.00", "Active", "2020-01-01"),
         ("E2", "D1", "Eng", "M", "200.00", "Resigned", "2021-01-01")])
-    p1 = RunParams(base, "r1", "2026-05-20", "2026-05-20 23:00:00", n_months=3, clock=clock)
+    p1 = RunParams(base, "r1", "2026-05-20", "2026-05-20 23:00:00", n_months=3, buckets=2, clock=clock)
     res, audit = run_all(spark, p1)
     assert all(o.status == "SUCCESS" for o in res), res
     a = audit.first()
@@ -110,7 +110,7 @@ def test_end_to_end_run(spark):
         ("E1", "D1", "Eng", "M", "150.00", "Active", "2020-01-01"),
         ("E2", "D1", "Eng", "M", "200.00", "Resigned", "2021-01-01"),
         ("E3", "D1", "Ops", "M", "300.00", "Active", "2026-05-01")])
-    p2 = RunParams(base, "r2", "2026-05-21", "2026-05-21 23:00:00", n_months=3, clock=clock, cluster=True)
+    p2 = RunParams(base, "r2", "2026-05-21", "2026-05-21 23:00:00", n_months=3, buckets=2, clock=clock, cluster=True)
     res, audit = run_all(spark, p2)
     emp = scd2_store.read(spark, p2.path("silver", "employee"))
     assert emp.count() == 4 and emp.filter("is_current").count() == 3
@@ -131,7 +131,7 @@ def test_run_records_failed_steps_and_continues(spark):
     base = shared_dir(spark, "lake_fail")
     _land_fixture_run(spark, base, "2026-05-20", [("E1", "D1", "Eng", "M", "100.00", "Active", "2020-01-01")])
     # payroll lands nowhere for this date: its steps fail, the others still run
-    p = RunParams(base, "r1", "2026-05-20", "2026-05-20 23:00:00", n_months=3,
+    p = RunParams(base, "r1", "2026-05-20", "2026-05-20 23:00:00", n_months=3, buckets=2,
                   clock=lambda: dt.datetime(2026, 5, 21, 6, 0, 0))
     jvm = spark.sparkContext._jvm
     raw_pay = jvm.org.apache.hadoop.fs.Path(p.path("raw", "payroll"))

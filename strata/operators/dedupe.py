@@ -6,11 +6,13 @@ task forwards at most one row per key, so a key holding a third of all rows
 does not land whole on one reducer.
 
 ``split_duplicates`` returns (clean, rejected).  It stages its input once
-(a Parquet table in the shared folder) with a row id, ranks once through the
-same rank-1 path and writes the winners' ids; clean and rejected are a semi
-and an anti join with that list.  The row id is unique, so the joins spread
-evenly whatever the key distribution (also for a hot group of exact copies),
-and each input row lands in exactly one of them.
+(a Parquet table in the shared folder) with a row id.  Clean is the rank-1
+path over the staged rows; rejected is an anti join of the staged rows with
+the winners' ids.  The files fix rows and ids and the order is total, so both
+sides see the same winners whenever they run, and each input row lands in
+exactly one of them.  The row id is unique, so the join spreads evenly
+whatever the key distribution (also for a hot group of exact copies).
+``session.staging`` frees the staged table once both sides are written.
 """
 
 from __future__ import annotations
@@ -127,11 +129,9 @@ def split_duplicates(
         null_rows = None
         ranked_base = base
 
-    winners = stage(latest_by(ranked_base, keys, order, tiebreak=tb).select(ROW_ID), name="winners")
-    clean = ranked_base.join(winners, ROW_ID, "left_semi").select(*keep_cols)
-    losers = ranked_base.join(winners, ROW_ID, "left_anti").withColumn(
-        "rejection_reason", F.lit(reason)
-    )
+    won = latest_by(ranked_base, keys, order, tiebreak=tb)
+    clean = won.select(*keep_cols)
+    losers = ranked_base.join(won.select(ROW_ID), ROW_ID, "left_anti").withColumn("rejection_reason", F.lit(reason))
     if null_rows is not None:
         losers = losers.unionByName(null_rows)
     if reject_columns is None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators import gold, latest_state, runs, scd2, scd2_store, snapshots
@@ -241,6 +241,18 @@ def q_compact_and_cluster(spark, d):
     return read_table(spark, path)
 
 
+def q_cluster_ranges(spark, d):
+    """Files of ``orders`` clustered into many ranges: rows, and neighbours (by their least key) whose ranges overlap."""
+    path, key = shared_dir(spark, "orders_ranges"), F.struct("o_custkey", "o_orderdate")
+    write_table(snapshots.clustered(_s(spark, d).table("orders"), ["o_custkey", "o_orderdate"], 64 << 10, 40), path)
+    files = read_table(spark, path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n"))
+    # one row per file: the number of files follows the table's bytes
+    apart = files.withColumn("before", F.max("high").over(Window.orderBy("low", "high", "file").rowsBetween(Window.unboundedPreceding, -1)))
+    return apart.agg(F.sum("n").alias("rows"), F.count_if(F.col("before") > F.col("low")).alias("overlaps"),
+                     F.least(F.count(F.lit(1)), F.lit(2)).alias("files_up_to_two"))
+
+
 ORDERS_MAPPING = [
     ("o_orderkey", "o_orderkey", "bigint"),
     ("o_custkey", "o_custkey", "bigint"),
@@ -513,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "version_history": q_version_history,
     "read_version": q_read_version,
     "compact_and_cluster": q_compact_and_cluster,
+    "cluster_ranges": q_cluster_ranges,
     "csv_roundtrip": q_csv_roundtrip,
     "bronze_append": q_bronze_append,
     "schema_evolution": q_schema_evolution,

@@ -308,6 +308,7 @@ ORACLE: dict[str, str] = {
         body="SELECT 0 AS version, (SELECT COUNT(*) FROM v0) AS num_rows UNION ALL SELECT 1, (SELECT COUNT(*) FROM v1)"),
     "read_version": with_ctes(emp_ctes(), body="SELECT *, 0 AS version FROM v0"),
     "compact_and_cluster": "SELECT * FROM orders",
+    "cluster_ranges": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS overlaps, least(ceil(count(*) * 40 / 65536.0), 2)::BIGINT AS files_up_to_two FROM orders",
     "csv_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
                      "CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders",
     "bronze_append": f"SELECT event_id, ts, user_id, event_type, value, props, {TS(INGEST_TS)} AS _ingest_ts, "

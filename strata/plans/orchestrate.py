@@ -36,6 +36,7 @@ from strata.operators.audit import audit_row, counted, narrow_counts
 from strata.operators.bronze import append_run, stamp_lineage
 from strata.operators.dedupe import split_duplicates
 from strata.plans.standins import ATT_REJECT_COLS, PAY_REJECT_COLS
+from strata.session import staging
 from strata.sources.files import read_landed
 from strata.sources.jdbc import publish_run
 
@@ -264,7 +265,8 @@ def run_all(spark: SparkSession, p: RunParams, raise_on_failure: bool = True) ->
             continue
         began, error, made = time.perf_counter(), None, None
         try:
-            made = todo[name].make(spark, p)
+            with staging(spark):  # a task has written what it returns
+                made = todo[name].make(spark, p)
         except Exception as e:  # noqa: BLE001 - recorded; tables that do not need this one are still made
             error = str(e)
         done[name] = Outcome(name, time.perf_counter() - began, error, counts=made if isinstance(made, Counts) else None)

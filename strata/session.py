@@ -8,8 +8,10 @@ folder only when the session has none, as in tests.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -75,8 +77,9 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "strat
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; one is made only for a local master without the setting.
 
-    Staged tables stay there until the folder's owner expires them: results
-    are lazy and may still read them when a function returns.
+    Staged tables stay there until the folder's owner expires them, or a
+    ``staging`` block ends: results are lazy and may still read them when a
+    function returns.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -94,4 +97,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    for made in _SCOPES:
+        made.append(path)
+    return path
+
+
+#: Folders made inside each open ``staging`` block.
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Folders that ``shared_dir`` hands out inside the block are deleted at its end.
+
+    For steps that finish what they read before they return, as a write does;
+    a DataFrame that leaves the block must not read them.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        for path in made:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

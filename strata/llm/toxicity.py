@@ -12,6 +12,7 @@ sentences add up to.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,7 +30,7 @@ SHARP = 4  # power of the word kernel (a product of kernels is a kernel)
 FAR = 0.35  # words whose kernel to every landmark of the toxic kind is below this have the null feature
 LONG = 24  # longer words are read in windows of this length, half overlapping
 MAX_LANDMARKS = 100  # bound of the landmarks that mark toxic documents, and of those like them that do not
-MAX_DOCUMENTS = 6_000  # bound of the training documents whose sentences are read, per label
+MAX_DOCUMENTS = {1: 6_000, 0: 12_000}  # bound of the labelled documents that training reads, by label
 MAX_SENTENCES = 8_000  # bound of the training sample, per label
 MAX_CALIBRATION = 6_000  # bound of the documents that calibrate the score
 MIN_DOCS = 3  # toxic training documents in which a landmark occurs
@@ -89,6 +90,9 @@ class Model:
     def word_weights(self) -> np.ndarray:
         return self.nystrom @ self.weight
 
+    def name(self) -> str:
+        return hashlib.sha256(repr(self.landmarks).encode() + self.word_weights().tobytes()).hexdigest()
+
 
 class WordScorer:
     """Sharpened kernels of words to the landmarks, and their weighted sum, remembered per word.
@@ -98,7 +102,7 @@ class WordScorer:
     """
 
     def __init__(self, landmarks: list[str], marks: int, weights: np.ndarray | None = None):
-        self.marks, self.weights, self.seen = marks, weights, {}
+        self.marks, self.weights, self.seen, self.hot = marks, weights, {}, set()
         feats = [_triples(w) for w in landmarks]
         self.column: dict[str, int] = {}
         for f in feats:
@@ -109,6 +113,7 @@ class WordScorer:
             norm = sum(v * v for v in f.values()) ** 0.5
             for u, v in f.items():
                 self.unit[self.column[u], j] = v / norm
+        self.most = self.unit[:, :marks].max(1) if marks else np.zeros(len(self.column), np.float32)
         # characters that the landmarks use; all others are one class without any triple in common
         chars = sorted({c for u in self.column for c in u})
         self.code = {c: i + 1 for i, c in enumerate(chars)}
@@ -131,13 +136,18 @@ class WordScorer:
         flat = np.array([self.code.get(c, 0) for c in text], np.int32).reshape(len(words), n)
         ids = self.find[(flat[:, i] * self.base + flat[:, j]) * self.base + flat[:, k]]
         row, col = np.nonzero(ids)
+        # no mark's kernel exceeds what the best mark of every single triple would give
+        least = (FAR - 1e-4) * np.sqrt((weight * weight).sum())
+        reach = np.bincount(row, weight[col] * self.most[ids[row, col] - 1], len(words)) >= least
+        use = reach[row]
+        row, col = row[use], col[use]
         if not len(row):
             return none
         first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
         w = weight[col, None].astype(np.float32)
         dots = np.add.reduceat(self.unit[ids[row, col] - 1, :self.marks] * w, first, axis=0)
         # a word's norm is at least that of its triples taken one by one, so this leaves none out
-        some = row[first][dots.max(1) >= (FAR - 1e-4) * np.sqrt((weight * weight).sum())]
+        some = row[first][dots.max(1) >= least]
         if not len(some):
             return none
         # the exact norm: equal triples of a word count together
@@ -177,25 +187,30 @@ class WordScorer:
         """Work out the scores of words, as written, that were not seen before."""
         if len(self.seen) > 400_000:
             self.seen.clear()
+            self.hot.clear()
         new = [w for w in written if w not in self.seen]
         plain = [bare(w) for w in new]
         found = {w: float(f @ self.weights) for w, f in self.features(plain).items()}
         for raw, w in zip(new, plain):
             self.seen[raw] = found.get(w, 0.0)
+            if w in found:
+                self.hot.add(raw)
 
     def sentence_margins(self, sentences: list[list[str]]) -> list[float]:
         """Of sentences whose words have been learnt."""
-        get = self.seen.__getitem__
-        return [sum(map(get, s)) for s in sentences]
+        get, none = self.seen.__getitem__, self.hot.isdisjoint
+        return [0.0 if none(s) else sum(map(get, s)) for s in sentences]
 
 
-def pick_landmarks(labelled: DataFrame, limit: int = MAX_LANDMARKS) -> tuple[list[str], list[str]]:
+def pick_landmarks(labelled: DataFrame, odds: float = 1.0, limit: int = MAX_LANDMARKS) -> tuple[list[str], list[str]]:
     """Words that most mark toxic documents, and the nearest words that do not.
 
-    Counts cover all labelled training documents; ``limit`` bounds each kind.
-    A mark is in toxic documents at least half of the time, and oftener than
-    by chance: the Chernoff bound of its count, times the words counted, is at
-    most CHANCE.  How frequent other marks are does not matter.
+    Counts cover the training sample; ``limit`` bounds each kind.  ``odds``
+    says how much oftener the sample takes a toxic document than a clean one.
+    A mark is in toxic documents at least half of the time (the sample's odds
+    taken out), and oftener than by chance: the Chernoff bound of its count,
+    times the words counted, is at most CHANCE.  How frequent other marks are
+    does not matter.
     """
     total = labelled.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not total[0] or not total[1] or total[1] == total[0]:
@@ -211,7 +226,8 @@ def pick_landmarks(labelled: DataFrame, limit: int = MAX_LANDMARKS) -> tuple[lis
     other = F.when(part < 1, (1 - part) * F.log((1 - part) / (1 - share))).otherwise(0.0)
     surprise = F.when(part > share, F.col("n") * (part * F.log(part / share) + other)).otherwise(0.0)
     least = float(np.log(max(stats.count(), 1) / CHANCE))
-    top = stats.withColumn("z", lift).filter((F.col("a") >= 0.5 * F.col("n")) & (surprise >= least))
+    pure = F.col("a") >= odds * (F.col("n") - F.col("a"))
+    top = stats.withColumn("z", lift).filter(pure & (surprise >= least))
     marks = [r["w"] for r in top.orderBy(F.desc("z"), "w").limit(limit).collect()]
 
     if not marks:
@@ -225,7 +241,7 @@ def pick_landmarks(labelled: DataFrame, limit: int = MAX_LANDMARKS) -> tuple[lis
             k = [float(found[w].max()) if w in found else 0.0 for w in words]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(k, pa.float64())], ["w", "k"])
 
-    others = stats.filter(F.col("a") < 0.5 * F.col("n")).select("w").mapInArrow(near, "w string, k double")
+    others = stats.filter(~pure).select("w").mapInArrow(near, "w string, k double")
     others = others.filter("k > 0").orderBy(F.desc("k"), "w").limit(limit).collect()
     return marks, [r["w"] for r in others if r["w"] not in marks]
 
@@ -290,28 +306,45 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     return w
 
 
+def _taught(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float, float]:
+    """(training documents, share of toxic labels, how much oftener a toxic document is taken than a clean one).
+
+    Ids are chosen by hash among the labelled ones, at most ``MAX_DOCUMENTS``
+    of each label, before any text is touched; the chosen ids go to the texts,
+    not the texts to the ids.  An id that repeats counts once.
+    """
+    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(
+        F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
+    ids = None
+    for t, limit in MAX_DOCUMENTS.items():
+        some = known.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id").limit(limit)
+        ids = some if ids is None else ids.unionByName(some)
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")
+    one = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    rate = {t: min(1.0, limit / max(n.get(t, 0), 1)) for t, limit in MAX_DOCUMENTS.items()}
+    return staged(one, "toxicity-labelled"), n.get(1, 0) / max(sum(n.values()), 1), rate[1] / rate[0]
+
+
 def train(docs: DataFrame, labels: DataFrame, rounds: int = 3) -> Model:
     """Fit on labelled rows whose crc32(doc_id as text) mod 4 is not 2.
 
-    Landmark statistics cover all of them; the machine is fitted on at most
-    ``MAX_SENTENCES`` sentences of each label, out of at most
-    ``MAX_DOCUMENTS`` documents of it, and calibrated on at most
-    ``MAX_CALIBRATION`` documents, chosen by hash.  A toxic document need not
-    be toxic in every sentence: after each round only its most toxic one, and
-    those beyond the margin, stay positive.  Without two classes the score of
-    every document is the share of toxic labels (0 without labels).
+    At most ``MAX_DOCUMENTS`` of them are read, by label; the machine is
+    fitted on at most ``MAX_SENTENCES`` sentences of each label and calibrated
+    on at most ``MAX_CALIBRATION`` documents, chosen by hash; the calibration
+    takes out that one label was sampled more than the other.  A toxic
+    document need not be toxic in every sentence: after each round only its
+    most toxic one, and those beyond the margin, stay positive.  Without two
+    classes the score of every document is the share of toxic labels (0
+    without labels).
     """
-    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(
-        "doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    labelled = staged(rows.join(known, "doc_id"), "toxicity-labelled")
-    base = labelled.agg(F.avg("toxic")).first()[0] or 0.0
-    marks, others = pick_landmarks(labelled)
+    labelled, base, odds = _taught(docs, labels)
+    marks, others = pick_landmarks(labelled, odds)
     landmarks = marks + others
     if not marks:
         return Model([], 0, np.zeros((0, 0)), np.zeros(0), 0.0, np.zeros(4), base)
-    taught = _sample(labelled.filter("toxic = 1"), MAX_DOCUMENTS).unionByName(_sample(labelled.filter("toxic = 0"), MAX_DOCUMENTS))
-    sents = staged(_sentence_rows(taught, landmarks, len(marks)).withColumn("o", F.xxhash64("doc", "f")), "toxicity-sentences")
+    sents = staged(_sentence_rows(labelled, landmarks, len(marks)).withColumn("o", F.xxhash64("doc", "f")), "toxicity-sentences")
     picked = [sents.filter(F.col("toxic") == t).orderBy("o", "doc").limit(MAX_SENTENCES) for t in (1, 0)]
     pdf = picked[0].unionByName(picked[1]).toPandas()  # bounded by MAX_SENTENCES rows of each label
     unit = WordScorer(landmarks, len(marks)).unit.astype(np.float64)
@@ -343,6 +376,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3) -> Model:
     got = margins(some, model, ("toxic",)).toPandas()  # MAX_CALIBRATION rows of four numbers
     x = evidence(*(got[c].to_numpy(float) for c in ("margin", "total", "words")))
     model.curve = logistic(x, got["toxic"].to_numpy(float))
+    model.curve[-1] -= np.log(odds)
     return model
 
 
@@ -356,6 +390,17 @@ def held_out(doc_id: F.Column) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+#: The scorer of the last model that this Python worker met, with the words it has learnt: tasks share it.
+_KEPT: dict[str, WordScorer] = {}
+
+
+def _scorer(name: str, model: Model) -> WordScorer:
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = WordScorer(model.landmarks, model.marks, model.word_weights())
+    return _KEPT[name]
+
+
 def margins(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep`` and margin, total, words of each whole text.
 
@@ -363,10 +408,11 @@ def margins(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     ``total`` the sum of what lifts sentences above the bias.
     """
     cols = [*keep, *(["text"] if "text" not in keep else [])]
+    name = model.name()
     at, kinds = cols.index("text"), ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = WordScorer(model.landmarks, model.marks, model.word_weights())
+        scorer = _scorer(name, model)
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part, out = b.slice(lo, 512), []

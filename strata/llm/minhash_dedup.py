@@ -91,12 +91,12 @@ def shingles(text: str | None, size: int, cache: dict) -> np.ndarray:
 
 
 def minwise(s: np.ndarray, batch: int = 0) -> np.ndarray:
-    """The minwise token (32 bits) of a non-empty set at each coordinate."""
+    """The minwise token (16 bits: a clash only adds a candidate) of a non-empty set at each coordinate."""
     mult, xor = _draw(batch)
     low = np.full(COORDS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(s), 4096):
         low = np.minimum(low, ((s[None, at:at + 4096] ^ xor[:, None]) * mult[:, None]).min(1))
-    return (low >> np.uint64(32)).astype(">u4")
+    return (low >> np.uint64(48)).astype(">u2")
 
 
 def _sets(docs: DataFrame, size: int, full: bool, batch: int = 0) -> DataFrame:
@@ -126,13 +126,13 @@ def _sets(docs: DataFrame, size: int, full: bool, batch: int = 0) -> DataFrame:
 
 
 def _token(coord: Column) -> Column:
-    return F.substring(F.col("sketch"), coord * 4 + 1, F.lit(4))
+    return F.substring(F.col("sketch"), coord * 2 + 1, F.lit(2))
 
 
 def _sig() -> Column:
     """One byte of each token of ``sketch``."""
     return F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(COORDS - 1)), lambda i: F.hex(
-        F.substring(F.col("sketch"), i * 4 + 4, F.lit(1)))), ""))
+        F.substring(F.col("sketch"), i * 2 + 2, F.lit(1)))), ""))
 
 
 def _read_again(nodes: DataFrame, reps: DataFrame, docs: DataFrame, size: int, name: str, batch: int | None = None) -> DataFrame:
@@ -313,15 +313,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80,
     are linked; ``component_id`` is the smallest doc_id reachable and
     ``kept`` marks it.  Texts that are NULL or without words have an empty
     set and link with nothing.  Repeated rows give repeated rows; rows that
-    share a doc_id but not the text are judged by their own text.
+    share a doc_id but not the text are judged by their own text.  A NULL
+    doc_id counts as the greatest: it names a component only if all ids of the
+    component are NULL.
     """
     docs = docs.select("doc_id", "text")
     sets = staged(_sets(docs, shingle_words, full=False), "shingle-sketches")
     some = sets.filter("n > 0")
     # classes of equal sets, numbered in the order of their smallest doc_id
-    classes = some.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("x")).select("d1", "d2", "x.*")
+    no_id = F.col("doc_id").isNull().alias("no_id")
+    classes = some.groupBy("d1", "d2").agg(F.min(F.struct(no_id, "doc_id", "n", "sketch")).alias("x")).select("d1", "d2", "x.*")
     reps = staged(
-        classes.orderBy("doc_id", "d1", "d2").select("*", _sig().alias("sig"), F.monotonically_increasing_id().alias("node")),
+        classes.orderBy("no_id", "doc_id", "d1", "d2").drop("no_id").select("*", _sig().alias("sig"), F.monotonically_increasing_id().alias("node")),
         "shingle-classes")
 
     early = _confirmed(staged(_stars(reps, percent), "star-pairs"), reps, docs, shingle_words, percent, "star-links")
@@ -357,21 +360,21 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80,
 
 
 def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates: the smallest doc_id, then h.
+    """``docs`` with one document of each group of near-duplicates: the smallest doc_id (NULL last), then the text's hash.
 
-    Documents without words stay.  Of rows that share doc_id and text one stays.
+    Documents without words stay.  Of rows that share doc_id and text one
+    stays.  Columns of any name are kept as they are.
     """
     found = near_duplicates(docs, shingle_words, percent)
-    best = found.filter("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("k")).select("k.*")
-    stay = staged(best.unionByName(found.filter("root is null").select("doc_id", "h")).groupBy("doc_id", "h").agg(
-        F.count(F.lit(1)).alias("_n")), "near-duplicates-kept")
-    rows = docs.withColumn("_h", F.xxhash64("text"))
-    twice = staged(rows.groupBy("doc_id", "_h").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1"), "repeated-rows")
-    same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}._h") == F.col(f"{b}._h"))
-    stay = stay.select("doc_id", F.col("h").alias("_h"))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("h"))
+    best = found.filter("root is not null").groupBy("root").agg(F.min_by(F.struct("doc_id", "h"), order).alias("k")).select("k.*")
+    stay = staged(best.unionByName(found.filter("root is null").select("doc_id", "h")).distinct(), "near-duplicates-kept")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("h"))
+    twice = staged(rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "repeated-rows")
+    same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.h") == F.col(f"{b}.h"))
     kept = rows.alias("r").join(stay.alias("s"), same("r", "s"), "left_semi")
     if not twice.isEmpty():
         once = kept.alias("r").join(twice.alias("t"), same("r", "t"), "left_anti")
-        again = kept.alias("r").join(twice.alias("t"), same("r", "t"), "left_semi").dropDuplicates(["doc_id", "_h"])
+        again = kept.alias("r").join(twice.alias("t"), same("r", "t"), "left_semi").dropDuplicates(["doc_id", "h"])
         kept = once.unionByName(again)
-    return kept.select(*docs.columns)
+    return kept.select("row.*")

@@ -88,6 +88,20 @@ def test_minhash_keeps_one_of_each_group(spark):
     assert minhash_dedup.keep_one(docs.limit(0)).count() == 0
 
 
+def test_minhash_null_ids_do_not_split_copies(spark):
+    text, near = "one two three four five six seven eight nine ten eleven twelve", "zero " * 3
+    rows = [(None, text), (5, text), (7, text), (None, near + "a b c"), (None, near + "a b c"), (9, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id BIGINT, text STRING, _h STRING, root INT")
+    got = minhash_dedup.near_duplicates(docs, 2, 80).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [
+        (None, 11, 5, False), (5, 11, 5, True), (7, 11, 5, False), (None, 4, None, True), (None, 4, None, True),
+        (9, 0, 9, True), (None, 0, None, True)]))
+    kept = minhash_dedup.keep_one(docs)
+    assert kept.columns == ["doc_id", "text", "_h", "root"]
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [
+        (5, text, "x", 1), (None, near + "a b c", "x", 1), (9, None, "x", 1), (None, None, "x", 1)]))
+
+
 def test_embedding_links_match_brute_force(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(300, 16))

@@ -91,25 +91,27 @@ def sainte_lague(parts: DataFrame, group: list[str], claim: str, seats: str, cap
     return a.join(b, on, "left").select(*keep, (F.col("a._sure") + F.coalesce("b._more", F.lit(0))).alias("quota"))
 
 
-def mix(docs: DataFrame, seed: int = 11, block_words: int = BLOCK_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: ``carry``, doc_id, size, source, source_size, target, taken, and what is taken.
+def mix(docs: DataFrame, seed: int = 11, block_words: int = BLOCK_WORDS, carry: bool = False) -> DataFrame:
+    """One row per document: doc_id, size, source, source_size, target, taken, and what is taken.
 
     That is ``passes`` whole copies, its first ``ahead`` words once more, and
-    ``again`` words after its first ``skip``.
+    ``again`` words after its first ``skip``.  With ``carry`` the whole input
+    row comes along as ``row``, whatever its columns are called.
 
     Sources in code point order, NULL last, weigh 1, 2, 3, repeating.  Texts
     that are NULL or without words have size 0 and nothing is taken from
     them; a source without words has target 0.  Repeated rows are documents
-    of their own.  The choice depends on doc_id, text size and seed only.
+    of their own.  The choice depends on doc_id, text and seed only; rows that
+    share an id but not the text fall into different shards.
     """
-    d = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    spread = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    d = staged(d.withColumn("h", spread), "mix-sizes")
+    spread = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
+    size = word_count(F.col("text")).alias("size")
+    d = staged(docs.select("doc_id", "source", size, spread.alias("h")), "mix-sizes")
     shards = F.lit(max(1, -(-d.count() // SHARD_DOCS)))
     d = d.withColumn("shard", F.pmod("h", shards))
     whole = d
     if carry:
-        whole = docs.withColumns({"size": word_count(F.col("text")), "h": spread}).withColumn("shard", F.pmod("h", shards))
+        whole = docs.select("doc_id", "source", size, spread.alias("h"), F.struct("*").alias("row")).withColumn("shard", F.pmod("h", shards))
     cells = staged(d.groupBy("source", "shard").agg(F.sum("size").alias("cell")), "mix-cells")
     sources = cells.groupBy("source").agg(F.sum("cell").alias("source_size"))
     ranked = staged(code_point_rank(sources, "source", "mix-order").withColumn("weight", F.col("pos") % 3 + 1).drop("pos"),
@@ -134,9 +136,8 @@ def mix(docs: DataFrame, seed: int = 11, block_words: int = BLOCK_WORDS, carry:
     on = F.col("x.source").eqNullSafe(F.col("y.source")) & (F.col("x.shard") == F.col("y.shard"))
     blocks = F.greatest(F.ceil(F.col("y.cell") / block_words), F.lit(1))
     turn = F.pmod(F.xxhash64(F.lit(seed), "x.source", "x.shard"), blocks) * block_words  # the seeded first block
-    also = [c for c in carry if c not in ("doc_id", "size", "source")]
     out = x.join(y, on).select(
-        "x.doc_id", "x.size", "x.source", *[f"x.{c}" for c in also], "x.start", "y.cell", "y.source_size", "y.target",
+        "x.doc_id", "x.size", "x.source", *(["x.row"] if carry else []), "x.start", "y.cell", "y.source_size", "y.target",
         "y.words", turn.alias("turn"))
     cell, size = F.greatest(F.col("cell"), F.lit(1)), F.col("size")
     # whole passes of the shard, then the run of blocks from the seeded place on, going round at the shard's end
@@ -156,15 +157,16 @@ def mixture(docs: DataFrame, seed: int = 11, block_words: int = BLOCK_WORDS) ->
 
     Documents of which nothing is taken are not in it.
     """
-    m = mix(docs, seed, block_words, carry=tuple(docs.columns))
+    m = mix(docs, seed, block_words, carry=True)
     piece = lambda a, n: F.struct(a.cast("bigint").alias("a"), n.cast("bigint").alias("n"))
     parts = F.concat(
         F.array_repeat(piece(F.lit(0), F.col("size")), F.col("passes").cast("int")),
         F.array(piece(F.lit(0), F.col("ahead")), piece(F.col("skip"), F.col("again"))))
-    rows = m.filter("taken > 0").withColumn("_p", F.explode(F.filter(parts, lambda p: p["n"] > 0)))
-    words = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    cut = F.array_join(F.slice(words, (F.col("_p.a") + 1).cast("int"), F.col("_p.n").cast("int")), "")
-    rows = rows.withColumn("text", F.when(F.col("_p.n") == F.col("size"), F.col("text")).otherwise(cut))
+    rows = m.filter("taken > 0").select("row", "size", F.explode(F.filter(parts, lambda p: p["n"] > 0)).alias("p"))
+    words = F.regexp_extract_all("row.text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    cut = F.array_join(F.slice(words, (F.col("p.a") + 1).cast("int"), F.col("p.n").cast("int")), "")
+    rows = rows.select("row", F.when(F.col("p.n") == F.col("size"), F.col("row.text")).otherwise(cut).alias("cut"))
+    new = {"text": F.col("cut")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        new["n_chars"] = F.length("cut").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -97,22 +97,49 @@ _HOST = "translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), " + _LOWER +
 _PATH = "regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
 _KEY = ("nullif(translate(regexp_extract({0}, '(?s)^(.*?://[^/?#]*)', 1), " + _LOWER
         + ") || regexp_extract({0}, '(?s)^.*?://[^/?#]*([^#]*)', 1), '')")
-_LINK = "regexp_extract(tag, '(?is)\\bhref\\s*=\\s*(?:\"([^\"]*)\"|''([^'']*)''|([^\\s\"''>]+))', {0})"
+_LINK = "regexp_extract({1}, '(?is)\\bhref\\s*=\\s*(?:\"([^\"]*)\"|''([^'']*)''|([^\\s\"''>]+))', {0})"
+_HREF = "trim(replace(" + " || ".join(_LINK.replace("{0}", str(n)) for n in (1, 2, 3)).replace("{1}", "{0}") + ", '&amp;', '&'))"
+_REL = ("'(?is)\\srel\\s*=\\s*(?:\"(?:[^\"]*\\s)?canonical(?:\\s[^\"]*)?\"|''(?:[^'']*\\s)?canonical(?:\\s[^'']*)?''|canonical[\\s/>])'")
+
+
+def _plain(path: str) -> str:
+    """A path without dot segments."""
+    parts = f"string_split(substr({path}, 2), '/')"
+    return (f"('/' || array_to_string(list_concat(list_reduce(list_transform({parts}, lambda x: [x]), lambda done, x: "
+            "CASE x[1] WHEN '.' THEN done WHEN '..' THEN done[1:len(done) - 1] ELSE list_concat(done, x) END, CAST([] AS VARCHAR[])), "
+            f"CASE WHEN {parts}[-1] IN ('.', '..') THEN [''] ELSE CAST([] AS VARCHAR[]) END), '/'))")
+
+
+def _resolved(ref: str, base: str) -> str:
+    origin = f"regexp_extract({base}, '(?s)^(.*?://[^/?#]*)', 1)"
+    here = f"regexp_extract({base}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+    path, tail = f"regexp_extract({ref}, '(?s)^([^?#]*)', 1)", f"regexp_extract({ref}, '(?s)^[^?#]*(.*)$', 1)"
+    folder = f"coalesce(nullif(regexp_extract({here}, '(?s)^(.*/)', 1), ''), '/')"
+    return f"""CASE WHEN {ref} = '' OR starts_with({ref}, '#') THEN NULL
+    WHEN regexp_matches({ref}, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {ref}
+    WHEN regexp_matches({ref}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    WHEN starts_with({ref}, '//') THEN regexp_extract({base}, '(?s)^(.*?:)//', 1) || {ref}
+    WHEN starts_with({ref}, '?') THEN {origin} || {here} || {ref}
+    WHEN starts_with({ref}, '/') THEN {origin} || {_plain(path)} || {tail}
+    ELSE {origin} || {_plain(f'({folder} || {path})')} || {tail} END"""
+
+
 OP8 = f"""
-WITH RECURSIVE tags AS (
-  SELECT url, unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>', ' ', 'g'),
-                                        '(?is)<(?:link|meta)\\s[^>]*>')) AS tag
+WITH RECURSIVE found AS (
+  SELECT url, regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>', ' ', 'g'),
+                                 '(?is)<(?:link|meta|base)\\s(?:[^>"'']|"[^"]*"|''[^'']*'')*>') AS tags
   FROM pages WHERE regexp_matches(html, '(?i)canonical|http-equiv') AND contains(url, '://')),
+bases AS (
+  SELECT url, tags, {_HREF.format('own')} AS ref
+  FROM (SELECT *, list_filter(tags, lambda t: regexp_matches(t, '(?is)^<base') AND regexp_matches(t, '(?is)\\bhref\\s*='))[1] AS own FROM found)),
+tags AS (SELECT url, coalesce({_resolved('ref', 'url')}, url) AS base, unnest(tags) AS tag FROM bases),
 targets AS (
-  SELECT url, trim(replace(CASE
-    WHEN regexp_matches(tag, '(?is)^<link') AND regexp_matches(tag, '(?is)\\brel\\s*=\\s*["'']?(?:[^"''>]*\\s)?canonical\\b')
-      THEN {_LINK.format(1)} || {_LINK.format(2)} || {_LINK.format(3)}
+  SELECT url, base, CASE
+    WHEN regexp_matches(tag, '(?is)^<link') AND regexp_matches(tag, {_REL}) THEN {_HREF.format('tag')}
     WHEN regexp_matches(tag, '(?is)^<meta') AND regexp_matches(tag, '(?is)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')
-      THEN regexp_extract(tag, '(?is)\\bcontent\\s*=\\s*["'']?\\s*[0-9.]*\\s*[;,]?\\s*url\\s*=\\s*[''"]?([^"''>]+)', 1) END,
-    '&amp;', '&')) AS t FROM tags),
-full_urls AS (
-  SELECT url, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN regexp_extract(url, '^([^:/?#]*:)', 1) || t
-                   WHEN starts_with(t, '/') THEN regexp_extract(url, '^([^:/?#]*://[^/?#]*)', 1) || t END AS t FROM targets),
+      THEN trim(replace(regexp_extract(tag, '(?is)\\bcontent\\s*=\\s*["'']?\\s*[0-9.]*\\s*[;,]?\\s*url\\s*=\\s*[''"]?([^"''>]+)', 1), '&amp;', '&')) END AS t
+  FROM tags),
+full_urls AS (SELECT url, {_resolved('t', 'base')} AS t FROM targets WHERE t IS NOT NULL),
 links AS (SELECT DISTINCT {_KEY.format('url')} AS a, {_KEY.format('t')} AS b FROM full_urls
           WHERE {_KEY.format('t')} IS NOT NULL AND {_KEY.format('t')} <> {_KEY.format('url')}),
 {_CLOSURE},

@@ -16,9 +16,12 @@ from strata.llm.common import ascii_lower, components, staged
 #: Fixed values of the contract: (action, host + path), subdomains included.
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
-_TAGS = r"(?is)<(?:link|meta)\s[^>]*>"
+_TAGS = r"(?is)<(?:link|meta|base)\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"  # a quoted value may hold >
 _HREF = r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+_REL = r"(?is)\srel\s*=\s*(?:\"(?:[^\"]*\s)?canonical(?:\s[^\"]*)?\"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical(?=[\s/>]))"
 _REFRESH = r"(?is)\bcontent\s*=\s*[\"']?\s*[0-9.]*\s*[;,]?\s*url\s*=\s*['\"]?([^\"'>]+)"
+_ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.-]*://"
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 
 
 def host_of(url: Column) -> Column:
@@ -37,35 +40,68 @@ def url_key(url: Column) -> Column:
     return F.nullif(F.concat(head, F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)), F.lit(""))
 
 
+def _href(tag: Column) -> Column:
+    """The tag's href, trimmed, with its ampersands decoded; empty without one."""
+    return F.trim(F.replace(F.concat(*[F.regexp_extract(tag, _HREF, n) for n in (1, 2, 3)]), F.lit("&amp;"), F.lit("&")))
+
+
+def _plain_path(path: Column) -> Column:
+    """A path (from its first slash) without ``.`` and ``..`` segments."""
+    def step(done: Column, x: Column) -> Column:
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(x == ".", done).when(x == "..", up).otherwise(F.concat(done, F.array(x)))
+
+    parts = F.split(F.substring(path, 2, 2**31 - 1), "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    ends = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.concat(F.lit("/"), F.array_join(ends, "/"))
+
+
+def resolved(ref: Column, base: Column) -> Column:
+    """The URL that ``ref`` means on a page at ``base``: absolute, ``//host``, ``/path``, ``?query`` or relative.
+
+    NULL for an empty reference, a mere fragment and schemes without ``://``.
+    """
+    origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    here = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    path, tail = F.regexp_extract(ref, r"(?s)^([^?#]*)", 1), F.regexp_extract(ref, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(here, r"(?s)^(.*/)", 1), F.lit("")), F.lit("/"))
+    return (
+        F.when((ref == "") | F.startswith(ref, F.lit("#")), None)
+        .when(ref.rlike(_ABSOLUTE), ref)
+        .when(ref.rlike(_SCHEME), None)
+        .when(F.startswith(ref, F.lit("//")), F.concat(F.regexp_extract(base, r"(?s)^(.*?:)//", 1), ref))
+        .when(F.startswith(ref, F.lit("?")), F.concat(origin, here, ref))
+        .when(F.startswith(ref, F.lit("/")), F.concat(origin, _plain_path(path), tail))
+        .otherwise(F.concat(origin, _plain_path(F.concat(folder, path)), tail))
+    )
+
+
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Edges (src, dst) of every page's canonical link and refresh redirect.
 
-    Comments and scripts are left out; absolute, ``//host`` and ``/path``
-    targets are resolved against the page.  Pages without such tags are
-    passed over by one cheap test before any pattern runs on them.
+    Comments and scripts are left out.  Targets are resolved against the
+    page's ``base href`` (the first one, itself relative to the page) or the
+    page, dot segments removed.  Pages without such tags are passed over by
+    one cheap test before any pattern runs on them.
     """
     h = F.regexp_replace(F.col(html), r"(?is)<!--.*?-->|<script\b.*?</script\s*>", " ")
-    base = F.col("base")
-    origin = F.regexp_extract(base, r"^([^:/?#]*://[^/?#]*)", 1)
     tag = F.col("tag")
-    first = lambda rx, n: F.regexp_extract(tag, rx, n)
-    href = F.concat(first(_HREF, 1), first(_HREF, 2), first(_HREF, 3))
     target = (
-        F.when(tag.rlike(r"(?is)^<link") & tag.rlike(r"(?is)\brel\s*=\s*[\"']?(?:[^\"'>]*\s)?canonical\b"), href)
-        .when(tag.rlike(r"(?is)^<meta") & tag.rlike(r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"), first(_REFRESH, 1))
-    )
-    target = F.trim(F.replace(target, F.lit("&amp;"), F.lit("&")))
-    full = (
-        F.when(F.instr(F.col("t"), "://") > 0, F.col("t"))
-        .when(F.startswith(F.col("t"), F.lit("//")), F.concat(F.regexp_extract(base, r"^([^:/?#]*:)", 1), F.col("t")))
-        .when(F.startswith(F.col("t"), F.lit("/")), F.concat(origin, F.col("t")))
+        F.when(tag.rlike(r"(?is)^<link") & tag.rlike(_REL), _href(tag))
+        .when(tag.rlike(r"(?is)^<meta") & tag.rlike(r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"),
+              F.trim(F.replace(F.regexp_extract(tag, _REFRESH, 1), F.lit("&amp;"), F.lit("&"))))
     )
+    own = _href(F.get(F.filter("tags", lambda t: t.rlike(r"(?is)^<base") & t.rlike(_HREF)), F.lit(0)))
+    once = lambda c, name: F.explode(F.array(c)).alias(name)  # noqa: E731 - evaluated once, here
     return (
         pages.filter(F.col(html).rlike("(?i)canonical|http-equiv") & (F.instr(F.col(url), "://") > 0))
-        .select(F.col(url).alias("base"), F.explode(F.regexp_extract_all(h, F.lit(_TAGS), F.lit(0))).alias("tag"))
-        .select("base", F.explode(F.array(target)).alias("t"))  # evaluated once, here
-        .select("base", F.explode(F.array(full)).alias("to"))
-        .select(url_key(base).alias("src"), url_key(F.col("to")).alias("dst"))
+        .select(F.col(url).alias("page"), once(F.regexp_extract_all(h, F.lit(_TAGS), F.lit(0)), "tags"))
+        .select("page", once(F.coalesce(resolved(own, F.col("page")), F.col("page")), "base"), "tags")
+        .select("page", "base", F.explode("tags").alias("tag"))
+        .select("page", "base", once(target, "t")).filter(F.col("t").isNotNull())
+        .select("page", once(resolved(F.col("t"), F.col("base")), "to"))
+        .select(url_key(F.col("page")).alias("src"), url_key(F.col("to")).alias("dst"))
         .filter(F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
     )
 

@@ -112,6 +112,37 @@ def test_url_verdicts_and_aliases(spark):
     assert {r.verdict for r in url_filter.judge(df, rules.limit(0), edges).collect()} == {"allow"}
 
 
+LINKED = [  # page, html, where its link leads (None: nowhere)
+    ("http://a.org/x/y.html", "<link rel=canonical href='q'>", "http://a.org/x/q"),
+    ("http://a.org/x/y.html?z=1#f", "<link href=\"?id=3&amp;b=2\" rel='canonical'>", "http://a.org/x/y.html?id=3&b=2"),
+    ("http://a.org/x/y", "<link title='a>b' rel=\"canonical\" href='../../../up/./one/..'>", "http://a.org/up/"),
+    ("http://a.org", "<link rel='canonical' href='page'>", "http://a.org/page"),
+    ("http://a.org/x/", "<base href='http://www.example.com/de/'><link rel='canonical' href='q'>", "http://www.example.com/de/q"),
+    ("http://a.org/x/", "<link rel=\"next canonical\" href='q'/><base target=_top href='../b/'><base href='http://c.org/'>", "http://a.org/b/q"),
+    ("http://a.org/x/", "<meta http-equiv='refresh' content='0; url=./r?u=http://z.org/'>", "http://a.org/x/r?u=http://z.org/"),
+    ("https://a.org/x/", "<link rel=canonical href='//b.org/../m'>", "https://b.org/../m"),
+    ("http://a.org/x/", "<link rel=canonical href='/p/../q/#top'>", "http://a.org/q/"),
+    ("http://a.org/x/", "<link rel=canonical href='mailto:x@y'>", None), ("http://a.org/x/", "<link rel=canonical href='#top'>", None),
+    ("http://a.org/x/", "<link rel=canonical href=''>", None), ("http://a.org/x/", "<link rel=canonicalise href=q>", None),
+    ("http://a.org/x/", "<!-- <link rel=canonical href=q> --><script><link rel=canonical href=q></script>", None),
+    (None, "<link rel=canonical href=q>", None), ("http://a.org/x/", None, None)]
+
+
+def test_links_are_resolved_and_the_sql_agrees(spark):
+    rows = [(i, u and u.replace("a.org", f"a{i}.org"), h) for i, (u, h, _) in enumerate(LINKED)]
+    df = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING")
+    got = {r.src: r.dst for r in url_filter.link_edges(df).collect()}
+    want = {url.split("#")[0]: to.replace("a.org", f"a{i}.org") for (i, url, _), (_, _, to) in zip(rows, LINKED) if to}
+    assert got == want
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    rules = spark.createDataFrame(url_filter.RULES, "action string, rule string")
+    judged = url_filter.judge(df, rules, url_filter.link_edges(df)).select("page_id", "host", "path", "rule", "verdict")
+    assert sorted(map(str, map(tuple, judged.collect()))) == sorted(map(str, con.execute(ORACLE["op8_url_filter"]).fetchall()))
+    assert {r.page_id: r.verdict for r in judged.collect()}[4] == "block"  # through the base href
+
+
 @needs_data
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_equals_its_sql(spark, key):
@@ -156,3 +187,13 @@ def test_pipeline_stages(spark):
     # a stage on nothing gives nothing
     for _, stage in cp.STAGES:
         assert stage(spark, raw.limit(0), SF).count() == 0
+
+
+def test_mixture_keeps_columns_of_any_name(spark):
+    rows = [(i % 4 or None, f"w{i} " * (5 + i), "s", 6, 3, "h") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING, size INT, passes INT, h STRING")
+    got = source_mix.mixture(docs, block_words=4)
+    assert got.columns == docs.columns
+    assert {(r.size, r.passes, r.h) for r in got.collect()} == {(6, 3, "h")} and got.count() >= 12
+    whole = {t for _, t, *_ in rows}
+    assert all(any(t.startswith(r.text) or r.text in t for t in whole) for r in got.collect())

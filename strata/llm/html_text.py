@@ -25,7 +25,9 @@ TRAIN_PAGES = 300  # bound of the sample of given pages
 TEMPLATE_PAGES = 500
 EPOCHS = 10
 
-_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+# a quoted value with a tag in it has lost its second quote: the tag then ends at its first >
+_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
+                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"<]*\"|'[^'<]*')*+(?:>|\Z)|[^>]*(?:>|\Z))", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 # Fixed values of HTML: elements that do not break a line of text, without content, or whose content is no text.
@@ -35,6 +37,9 @@ HIDDEN_TAGS = frozenset("script style noscript template svg math iframe object t
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 RAW = frozenset("script style textarea title iframe noscript template".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
+FOREIGN = frozenset(("svg", "math"))
+_SELF_CLOSED = re.compile(r"/\s*>?\Z")
+DEEP = 64  # enclosing elements that a block remembers: those farther out weigh less than 0.0001 in its vector
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "p": {"p"}}
 
 
@@ -54,15 +59,39 @@ def leaf_blocks(page: str | None) -> list[Block]:
     page = page or ""
     out: list[Block] = []
     stack: list[tuple[str, tuple]] = []
+    outer: list[tuple[str, tuple]] = []  # those of them that break a line
+    count: dict[str, int] = {}  # open elements by tag
     run: list[str] = []
     linked = at = hidden = links = 0
 
+    def pop() -> str:
+        nonlocal hidden, links
+        t = stack.pop()[0]
+        if t not in INLINE:
+            outer.pop()
+        count[t] -= 1
+        hidden -= t in HIDDEN_TAGS
+        links -= t == "a"
+        return t
+
+    def close(tags: set, stop: set) -> None:
+        """End the innermost open element of ``tags``, unless one of ``stop`` is met first."""
+        if not any(count.get(t) for t in tags):
+            return
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in tags:
+                while len(stack) > i:
+                    pop()
+                return
+            if stack[i][0] in stop:
+                return
+
     def flush() -> None:
         nonlocal linked
         if run:
             text = " ".join(htmllib.unescape("".join(run)).split())
             if text:
-                out.append(Block(text, tuple(x for x in stack if x[0] not in INLINE), linked))
+                out.append(Block(text, tuple(outer[-DEEP:]), linked))
             run.clear()
         linked = 0
 
@@ -71,8 +100,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
         m = _MARK.search(page, at)
         end = m.start() if m else n
         if stack and stack[-1][0] == "head" and page[at:end].strip():  # text ends an open head
-            stack.pop()
-            hidden -= 1
+            pop()
         if end > at and not hidden:
             piece = page[at:end]
             run.append(piece)
@@ -88,52 +116,40 @@ def leaf_blocks(page: str | None) -> list[Block]:
             if tag in ("html", "head"):
                 continue
             if tag not in IN_HEAD:  # so does what cannot stand in it
-                stack.pop()
-                hidden -= 1
+                pop()
         if tag == "br":
             run.append(" ")
         if m.group(1):
             if tag not in INLINE:
                 flush()
-            if any(x[0] == tag for x in stack):
-                while True:
-                    t = stack.pop()[0]
-                    hidden -= t in HIDDEN_TAGS
-                    links -= t == "a"
-                    if t == tag:
-                        break
+            if count.get(tag):
+                while pop() != tag:
+                    pass
             continue
         if tag not in INLINE:
             flush()
             if tag in CLOSES_P:
-                _close(stack, {"p"}, {"div", "article", "section", "td", "li", "main", "body", "blockquote"})
+                close({"p"}, {"div", "article", "section", "td", "li", "main", "body", "blockquote"})
             if tag in SAME and tag != "p":
-                _close(stack, SAME[tag], {"ul", "ol", "dl", "table"})
-            links = sum(x[0] == "a" for x in stack)
-        if tag in VOID or (m.group(3) or "").endswith("/"):
+                close(SAME[tag], {"ul", "ol", "dl", "table"})
+        foreign = tag in FOREIGN or any(count.get(t) for t in FOREIGN)
+        if tag in VOID or (foreign and _SELF_CLOSED.search(m.group(3) or "")):  # elsewhere a last slash means nothing
             continue
         if tag in RAW:  # everything up to the end tag is its content
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = close.end() if close else n
+            ends = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            at = ends.end() if ends else n
             continue
         words = [w for a in _ATTR.finditer(m.group(3) or "") for w in _NAME.findall((a[2] or a[3] or a[4] or "").lower())]
         stack.append((tag, tuple(words)))
+        if tag not in INLINE:
+            outer.append(stack[-1])
+        count[tag] = count.get(tag, 0) + 1
         hidden += tag in HIDDEN_TAGS
         links += tag == "a"
     flush()
     return out
 
 
-def _close(stack: list, tags: set, stop: set) -> None:
-    """End the innermost open element of ``tags``, unless one of ``stop`` is met first."""
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] in tags:
-            del stack[i:]
-            return
-        if stack[i][0] in stop:
-            return
-
-
 def _slot(token: str, dim: int) -> tuple[int, float]:
     h = zlib.crc32(token.encode("utf-8", "replace"))
     return h % dim, 1.0 if h >> 31 else -1.0

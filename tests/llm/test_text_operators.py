@@ -187,3 +187,30 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score(docs, toxicity.train(docs, none)).first().score == 0.0
     one = spark.createDataFrame([(1, 1, 0)], "doc_id BIGINT, quality INT, toxic INT")
     assert toxicity.score(docs.limit(0), toxicity.train(docs, one)).count() == 0
+
+
+@pytest.mark.parametrize("page,texts,linked,path", [
+    ("<article class=x/><p>a</p></article>", ["a"], [0], ["article", "p"]),  # only void elements close themselves
+    ("<a href=/x/>link</a> t", ["link t"], [4], []),
+    ('<p title="abc>hello</p><p class="q">two</p>', ["hello", "two"], [0, 0], ["p"]),  # a quote that is never closed
+    ("<p title='a>b'>x", ["x"], [0], ["p"]),
+    ("<div title=\"a<b\">k</div>", ["k"], [0], ["div"]),
+    ("<svg/><p>after", ["after"], [0], ["p"]),
+    ("<p>x<svg><path d=''/><g></svg>y", ["x", "y"], [0, 0], ["p"]),
+])
+def test_leaf_blocks_of_sloppy_markup(page, texts, linked, path):
+    blocks = html_text.leaf_blocks(page)
+    assert [b.text for b in blocks] == texts and [b.linked for b in blocks] == linked
+    assert [t for t, _ in blocks[-1].path] == path
+
+
+def test_leaf_blocks_of_deep_markup_take_linear_time():
+    import time
+
+    took = []
+    for n in (4_000, 32_000):
+        began = time.perf_counter()
+        assert len(html_text.leaf_blocks("<div>x" * n)) == n
+        assert len(html_text.leaf_blocks("<b><p>x" * n + "</i></u>" * n)) == n
+        took.append(time.perf_counter() - began)
+    assert took[1] < 40 * took[0]

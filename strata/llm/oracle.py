@@ -28,12 +28,15 @@ _KNOWN = ", ".join(f"({_q(k)}, {_q(t)})" for k, t in KNOWN)
 OP1 = f"""
 WITH known AS (SELECT {_digest(_canonical('t'))} AS digest, min(k) AS license FROM (VALUES {_KNOWN}) v(k, t) GROUP BY 1),
 d AS (SELECT row_number() OVER () AS row, doc_id, {_canonical('text')} AS c FROM documents),
-units AS (SELECT row, doc_id, unnest(string_split(c, chr(10))) AS unit FROM d),
-hits AS (SELECT row, array_to_string(list_sort(list(DISTINCT license)), ',') AS line_licenses, count(*) AS n
-         FROM units JOIN known ON {_digest('unit')} = known.digest GROUP BY row)
-SELECT d.doc_id, known.license AS whole_license, coalesce(line_licenses, '') AS line_licenses,
-       CAST(coalesce(n, 0) AS BIGINT) AS n_lines_matched
-FROM d LEFT JOIN known ON {_digest('c')} = known.digest LEFT JOIN hits USING (row)"""
+units AS (SELECT row, false AS wrapped, unnest(string_split(c, chr(10))) AS unit FROM d
+          UNION ALL SELECT row, true, unnest(list_filter(string_split_regex(c, '\\n *(?:\\n *)+'), lambda x: contains(x, chr(10)))) FROM d),
+hits AS (SELECT row, wrapped, array_to_string(list_sort(list(DISTINCT license)), ',') AS licenses, count(*) AS n
+         FROM units JOIN known ON {_digest('unit')} = known.digest GROUP BY row, wrapped)
+SELECT d.doc_id, known.license AS whole_license, coalesce(l.licenses, '') AS line_licenses,
+       CAST(coalesce(l.n, 0) AS BIGINT) AS n_lines_matched, coalesce(p.licenses, '') AS paragraph_licenses,
+       CAST(coalesce(p.n, 0) AS BIGINT) AS n_paragraphs_matched
+FROM d LEFT JOIN known ON {_digest('c')} = known.digest LEFT JOIN hits l ON l.row = d.row AND NOT l.wrapped
+     LEFT JOIN hits p ON p.row = d.row AND p.wrapped"""
 
 #: Closure of a symmetric relation links(a, b): the smallest node reachable from each node.
 _CLOSURE = """

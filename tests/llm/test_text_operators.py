@@ -28,6 +28,38 @@ def test_license_digests(spark):
     assert license_scan.scan_documents(docs.limit(0), license_scan.known_digests(spark)).count() == 0
 
 
+def test_license_notices_wrapped_over_lines(spark):
+    header = """package x;
+
+/*
+ * Copyright 2020 Someone
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */
+int main() {}"""
+    gnu = ("# SPDX-License-Identifier: GPL-3.0-or-later\n#\n# This program is free software: you can redistribute it and/or modify\n"
+           "# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the "
+           "License, or\n# (at your option) any later version.\n\nprose")
+    bsd = next(t for k, t in license_scan.KNOWN if k == "BSD-3-Clause" and "Redistribution" in t)
+    rows = [(1, header), (2, gnu), (3, "Copyright (c) 2001 The Authors\nAll of it.\n\n" + bsd), (4, "(c) Me\n" + bsd), (5, "own words\nof ours\n\nmore")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    known = spark.createDataFrame([*license_scan.KNOWN, ("Own-1", "Own words of OURS."), ("None", "..."), ("None", None)], "license string, text string")
+    cols = ["doc_id", "whole_license", "line_licenses", "n_lines_matched", "paragraph_licenses", "n_paragraphs_matched"]
+    got = {r[0]: tuple(r)[1:] for r in license_scan.scan_documents(docs, license_scan.known_digests(spark, known)).select(cols).collect()}
+    assert got == {1: (None, "", 0, "Apache-2.0", 2), 2: (None, "GPL-3.0-or-later", 1, "GPL-3.0-or-later", 1), 3: (None, "", 0, "", 0),
+                   4: ("BSD-3-Clause", "", 0, "", 0), 5: (None, "", 0, "Own-1", 1)}
+
+
 TEXTS = [None, "", "a", "Hello  world's\n\n\ttabs 123 4567", "été ñandú größe 中文字符 \U0001f600\U0001f468‍\U0001f469", "\x00\x01\r\n ",
          "   trailing   ", "it's we'll I'D", "x" * 3000, "<|endoftext|>", "word " * 60000, "中" * 5000 + " and then some"]
 

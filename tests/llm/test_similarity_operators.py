@@ -153,9 +153,22 @@ def test_topk_few_candidates_and_empty(spark):
     got = sorted(map(tuple, topk_search.topk(v.filter("vec_id % 50 = 0"), v, 5).collect()))
     assert got == [(0, 1, 50, 0), (0, 2, 51, 0), (50, 1, 0, 0), (50, 2, 51, 0)]
     assert topk_search.topk(v.limit(0), v).count() == 0 and topk_search.topk(v, v.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        big = topk_search.vectors(spark.createDataFrame([(0, [1e30, 1.0], 0), (50, [1e30, 1.0], 0)], VECS))
-        topk_search.topk(big, big)
+
+
+def test_topk_of_unequal_lengths_and_large_components(spark):
+    rows = [(0, [1e12, 1.0], 0), (50, [1e12, 2.0], 0), (51, [-1e12, 1.0], 0), (52, [1e5, 1e5], 0), (53, [1e5, 1e5], 0), (100, [1.0, 2.0, 3.0], 0),
+            (54, [1.0, 0.0, 0.0], 0), (150, [1.0], 0), (55, [1e30, 0.0], 0)]
+    ddl = "vec_id BIGINT, embedding ARRAY<DOUBLE>, label INT"
+    v = topk_search.vectors(spark.createDataFrame(rows, ddl))
+    got = sorted(map(tuple, topk_search.topk(v.filter("vec_id % 50 = 0"), v, 3).collect()))
+    top, mid = 2**63 - 1, 256 * 10**12 * 256 * 10**5
+    want = []
+    for i, x in ((0, 1), (50, 2)):
+        other = 50 - i
+        both = mid + 256 * 256 * x * 10**5
+        want += [(i, 1, other, top), (i, 2, 55, top), (i, 3, 52, min(top, both))]
+    assert [g for g in got if g[0] in (0, 50)] == sorted(want)
+    assert [g for g in got if g[0] == 100] == [(100, 1, 54, 65536)] and not [g for g in got if g[0] == 150]
 
 
 def test_line_dedup_matches_brute_force(spark):

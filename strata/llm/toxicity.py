@@ -30,7 +30,7 @@ SHARP = 4  # power of the word kernel (a product of kernels is a kernel)
 FAR = 0.35  # words whose kernel to every landmark of the toxic kind is below this have the null feature
 LONG = 24  # longer words are read in windows of this length, half overlapping
 MAX_LANDMARKS = 100  # bound of the landmarks that mark toxic documents, and of those like them that do not
-MAX_DOCUMENTS = {1: 6_000, 0: 12_000}  # bound of the labelled documents that training reads, by label
+MAX_DOCUMENTS = {1: 6_000, 0: 6_000}  # bound of the labelled documents that training reads, by label
 MAX_SENTENCES = 8_000  # bound of the training sample, per label
 MAX_CALIBRATION = 6_000  # bound of the documents that calibrate the score
 MIN_DOCS = 3  # toxic training documents in which a landmark occurs
@@ -188,13 +188,18 @@ class WordScorer:
         if len(self.seen) > 400_000:
             self.seen.clear()
             self.hot.clear()
-        new = [w for w in written if w not in self.seen]
-        plain = [bare(w) for w in new]
-        found = {w: float(f @ self.weights) for w, f in self.features(plain).items()}
-        for raw, w in zip(new, plain):
-            self.seen[raw] = found.get(w, 0.0)
-            if w in found:
-                self.hot.add(raw)
+        seen = self.seen
+        new = [(w, bare(w)) for w in written if w not in seen]
+        found = {w: float(f @ self.weights) for w, f in self.features([p for _, p in new if p not in seen]).items()}
+        for raw, w in new:
+            if w not in seen:
+                seen[w] = found.get(w, 0.0)
+                if w in found:
+                    self.hot.add(w)
+            if raw != w:
+                seen[raw] = seen[w]
+                if w in self.hot:
+                    self.hot.add(raw)
 
     def sentence_margins(self, sentences: list[list[str]]) -> list[float]:
         """Of sentences whose words have been learnt."""

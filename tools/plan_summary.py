@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query (markdown table on stdout).
+"""Summarise the physical plan of every registered table query (markdown table on stdout).
 
 Usage: python tools/plan_summary.py [sf_dir]
 Counts come from the plan Spark would run before adaptive re-planning.
@@ -8,7 +8,7 @@ import re
 import sys
 
 sys.path.insert(0, ".")
-import __spark_entry__ as E  # noqa: E402
+from strata.plans.catalog import QUERIES  # noqa: E402
 from strata.session import local_session  # noqa: E402
 
 
@@ -30,7 +30,7 @@ def main():
     spark = local_session()
     print("| query | shuffles | broadcasts | joins | partial WindowGroupLimit | scans with pushed filters | Python |")
     print("|---|---|---|---|---|---|---|")
-    for k, q in E.queries().items():
+    for k, q in QUERIES.items():
         plan = q(spark, d)._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
         print(f"| `{k}` | {s['shuffles']} | {s['broadcasts']} | {s['joins']} | {s['partial_limit']} | "

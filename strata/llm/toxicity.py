@@ -34,6 +34,7 @@ MAX_DOCUMENTS = {1: 6_000, 0: 6_000}  # bound of the labelled documents that tra
 MAX_SENTENCES = 8_000  # bound of the training sample, per label
 MAX_CALIBRATION = 6_000  # bound of the documents that calibrate the score
 MIN_DOCS = 3  # toxic training documents in which a landmark occurs
+BLOCK = 2_048  # rows of the training matrix that a step of the fit copies
 CHANCE = 0.01  # bound of the expected number of landmarks that mark toxic documents by chance alone
 
 _SENTENCE = re.compile(r"[.!?]+(?:\s+|$)|\n+|\s[|]\s")
@@ -278,13 +279,32 @@ def _sentence_rows(labelled: DataFrame, landmarks: list[str], marks: int) -> Dat
         run, "doc string, toxic int, f array<float>")
 
 
+def training_matrix(f: pa.ChunkedArray, nystrom: np.ndarray) -> np.ndarray:
+    """Mapped features of the sentences ``f`` (equal lists), a row of zeros, and a column of ones.
+
+    Filled a block at a time: the driver holds the matrix once.
+    """
+    x = np.zeros((len(f) + 1, nystrom.shape[1] + 1))
+    x[:, -1] = 1
+    for lo in range(0, len(f), BLOCK):
+        part = f.slice(lo, BLOCK).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        x[lo:min(lo + BLOCK, len(f)), :-1] = part.reshape(-1, nystrom.shape[0]).astype(np.float64) @ nystrom
+    return x
+
+
 def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 50.0, rounds: int = 50) -> np.ndarray:
     """Weights of an L2-regularised squared-hinge machine (Newton steps over its support vectors); classes weigh alike."""
     cost = np.where(y > 0, 1 / max((y > 0).sum(), 1), 1 / max((y < 0).sum(), 1)) * c
     w, inside = np.zeros(x.shape[1]), np.ones(len(y), bool)
     for _ in range(rounds):
-        part = x[inside] * cost[inside, None]
-        new = np.linalg.solve(part.T @ x[inside] + np.eye(len(w)) * 0.01, part.T @ y[inside])
+        square, right = np.zeros((len(w), len(w))), np.zeros(len(w))
+        for lo in range(0, len(y), BLOCK):  # a copy of a block, not of the whole matrix
+            use = lo + np.flatnonzero(inside[lo:lo + BLOCK])
+            rows = x[use]
+            part = rows * cost[use, None]
+            square += part.T @ rows
+            right += part.T @ y[use]
+        new = np.linalg.solve(square + np.eye(len(w)) * 0.01, right)
         w = new if inside.all() else 0.5 * (w + new)
         now = y * (x @ w) < 1
         if (now == inside).all() and np.abs(new - w).max() < 1e-6:
@@ -351,17 +371,17 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3) -> Model:
         return Model([], 0, np.zeros((0, 0)), np.zeros(0), 0.0, np.zeros(4), base)
     sents = staged(_sentence_rows(labelled, landmarks, len(marks)).withColumn("o", F.xxhash64("doc", "f")), "toxicity-sentences")
     picked = [sents.filter(F.col("toxic") == t).orderBy("o", "doc").limit(MAX_SENTENCES) for t in (1, 0)]
-    pdf = picked[0].unionByName(picked[1]).toPandas()  # bounded by MAX_SENTENCES rows of each label
+    # bounded by MAX_SENTENCES rows of each label
+    some = picked[0].unionByName(picked[1]).select("doc", "toxic", "f").toArrow()
     unit = WordScorer(landmarks, len(marks)).unit.astype(np.float64)
     k = np.clip(unit.T @ unit, 0, 1) ** SHARP
     value, vector = np.linalg.eigh(k)
     use = value > 1e-6 * value.max()
     nystrom = vector[:, use] / np.sqrt(value[use])
-    f = np.stack(pdf["f"].to_numpy()).astype(np.float64) @ nystrom
-    toxic, doc = pdf["toxic"].to_numpy(), pdf["doc"].to_numpy()
+    toxic, doc = some["toxic"].to_numpy(), some["doc"].to_pylist()
     # sentences without any feature are clean; one row stands for them
-    x = np.concatenate([f, np.zeros((1, f.shape[1]))])
-    x = np.concatenate([x, np.ones((len(x), 1))], 1)
+    x = training_matrix(some["f"], nystrom)
+    del some
     y = np.r_[np.where(toxic == 1, 1, -1), -1]
     w = linear_svm(x, y)
     for _ in range(rounds):
@@ -377,10 +397,10 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3) -> Model:
         y = np.r_[now, -1]
         w = linear_svm(x, y)
     model = Model(landmarks, len(marks), nystrom, w[:-1], float(w[-1]), np.zeros(4), base)
-    some = _sample(labelled, MAX_CALIBRATION)
-    got = margins(some, model, ("toxic",)).toPandas()  # MAX_CALIBRATION rows of four numbers
-    x = evidence(*(got[c].to_numpy(float) for c in ("margin", "total", "words")))
-    model.curve = logistic(x, got["toxic"].to_numpy(float))
+    del x
+    got = margins(_sample(labelled, MAX_CALIBRATION), model, ("toxic",)).toArrow()  # MAX_CALIBRATION rows of four numbers
+    known = evidence(*(got[c].to_numpy() for c in ("margin", "total", "words")))
+    model.curve = logistic(known, got["toxic"].to_numpy().astype(float))
     model.curve[-1] -= np.log(odds)
     return model
 

@@ -13,6 +13,11 @@ are compared in blocks, exactly.  Every link is confirmed on full sets.
 A pair at the threshold survives fewer of the deeper trees.  Classes whose
 nodes branched too deep for RECALL get further batches of trees, on minwise
 tokens drawn anew, until the product of their batches' misses is small enough.
+
+Only groups are asked for, so a block with many candidate pairs names a
+spanning forest of them, the likeliest pairs first.  Where full sets refute a
+pair of a forest and its ends stay apart, the node names all its other pairs
+across groups: no link that joins two groups is lost.
 """
 
 from __future__ import annotations
@@ -36,6 +41,7 @@ LEAF = 64  # classes of a node that are compared exhaustively
 DEPTH = 24  # levels before the remaining large nodes are compared in blocks
 STARS = 6  # star rounds, each keyed by STAR_COORDS minwise tokens
 STAR_COORDS = 6
+BITS = 1024  # bits of a set's parity bitmap
 
 
 @cache
@@ -99,30 +105,36 @@ def minwise(s: np.ndarray, batch: int = 0) -> np.ndarray:
     return (low >> np.uint64(48)).astype(">u2")
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Parity bitmap of a set: each shingle flips one bit, so two bitmaps differ in no more bits than the sets in shingles."""
+    return np.packbits(np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes()
+
+
 def _sets(docs: DataFrame, size: int, full: bool, batch: int = 0) -> DataFrame:
-    """doc_id, h (hash of the text), n, d1, d2 (digest of the set) and ``sketch`` or, with ``full``, the set as ``items``."""
+    """doc_id, h (hash of the text), n, d1, d2 (digest of the set) and ``sketch`` with ``bits`` or, with ``full``, the set as ``items``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    last = "items" if full else "sketch"
+    names = ["doc_id", "h", "n", "d1", "d2", *(["items"] if full else ["sketch", "bits"])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHash()
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                n, d, data = [], [], []
+                n, d, data, bits = [], [], [], []
                 for text in part.column(1).to_pylist():
                     s = shingles(text, size, known)
                     x = xxhash.xxh3_128_digest(s.tobytes())
                     n.append(len(s))
                     d.append(np.frombuffer(x, np.int64))
                     data.append((s.tobytes() if full else minwise(s, batch).tobytes()) if len(s) else b"")
+                    bits.append(b"" if full else parity(s))
                 d = np.array(d).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()),
-                     pa.array(data, pa.binary())], ["doc_id", "h", "n", "d1", "d2", last])
+                cols = [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()),
+                        pa.array(data, pa.binary()), pa.array(bits, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols[:len(names)], names)
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(
-        run, f"doc_id {kind}, h bigint, n bigint, d1 bigint, d2 bigint, {last} binary")
+        run, f"doc_id {kind}, h bigint, n bigint, d1 bigint, d2 bigint, {', '.join(f'{c} binary' for c in names[5:])}")
 
 
 def _token(coord: Column) -> Column:
@@ -173,17 +185,46 @@ def _least_equal(percent: int) -> float:
     return COORDS * (t - 4 * np.sqrt(t * (1 - t) / COORDS))
 
 
-def _close(sig: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs that may link: exact bound by set size, and enough equal tokens (``sig`` has one byte of each)."""
-    same = (sig[:, None, :] == sig[None, :, :]).sum(2)
-    low, high = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
-    return (same >= _least_equal(percent)) & (100 * low >= percent * high)
+def _close(x: np.ndarray, y: np.ndarray, sig: np.ndarray, bits: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """Those of the pairs (x, y) that may link, and the share of shingles by which their bitmaps differ.
 
+    Exact bounds by set size and by the bitmaps; enough equal tokens (``sig`` has one byte of each).
+    """
+    low, high = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+    use = 100 * low >= percent * high
+    x, y = x[use], y[use]
+    apart, both = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64), n[x] + n[y]
+    use = (100 + percent) * apart <= (100 - percent) * both
+    x, y, share = x[use], y[use], apart[use] / both[use]
+    use = (sig[x] == sig[y]).sum(1) >= _least_equal(percent)
+    return x[use], y[use], share[use]
+
+
+def forest(x: np.ndarray, y: np.ndarray, order: np.ndarray, label: np.ndarray) -> list[int]:
+    """Numbers of the pairs (x, y) that, taken in ``order``, first join two groups; groups start as ``label``."""
+    root: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while (up := root.get(v, v)) != v:
+            root[v] = v = root.get(up, up)
+        return v
+
+    out = []
+    a, b = label[x].tolist(), label[y].tolist()
+    for k in order.tolist():
+        u, v = find(a[k]), find(b[k])
+        if u != v:
+            root[u] = v
+            out.append(k)
+    return out
 
-def _compare(rows: DataFrame, percent: int, name: str) -> DataFrame:
-    """Candidate pairs (a < b, labels differ) inside each block.
 
-    ``rows``: path, how, c, odd, node, label, n, sig.  A leaf is one block.
+def _compare(rows: DataFrame, percent: int, name: str, every: bool = False) -> DataFrame:
+    """Candidate pairs (a < b, labels differ) inside each block, and ``path`` where a block has more than it names.
+
+    With more pairs than members a block names a spanning forest of them,
+    unless ``every`` one is asked for.  The pairs may repeat.
+    ``rows``: path, how, c, odd, node, label, n, sig, bits.  A leaf is one block.
     Of a node with one large component and ``few`` other members, each of
     ``c`` blocks has a part of the large one and all the others.  Of any
     other (``grid``) ``c`` parts meet two by two.
@@ -199,17 +240,18 @@ def _compare(rows: DataFrame, percent: int, name: str) -> DataFrame:
     )
     spread = (
         rows.withColumn("chunk", chunk).withColumn("at", F.explode(blocks)).groupBy("path", "at.i", "at.j")
-        .agg(F.collect_list(F.struct("node", "label", "n", "sig", "chunk")).alias("m"))
-        .select("i", "j", "m").filter(F.size("m") > 1)
+        .agg(F.collect_list(F.struct("node", "label", "n", "sig", "chunk", "bits")).alias("m"))
+        .select("i", "j", "m", "path").filter(F.size("m") > 1)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = []
+            found, more = [], []
             flat, ends = b.column(2).flatten(), np.cumsum([0, *(len(x) for x in b.column(2))])
             node, label, n, part = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 4))
             sig = np.frombuffer(b"".join(flat.field(3).to_pylist()), np.uint8).reshape(-1, COORDS)
-            i, j = b.column(0).to_numpy(), b.column(1).to_numpy()
+            bits = np.frombuffer(b"".join(flat.field(5).to_pylist()), np.uint64).reshape(-1, BITS // 64)
+            i, j, path = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(3).to_numpy()
             for k in range(b.num_rows):
                 s = slice(ends[k], ends[k + 1])
                 ok = (label[s][:, None] != label[s][None, :]) & (node[s][:, None] < node[s][None, :])
@@ -217,14 +259,19 @@ def _compare(rows: DataFrame, percent: int, name: str) -> DataFrame:
                     ok &= part[s][:, None] != part[s][None, :]
                 if not ok.any():
                     continue
-                x, y = np.nonzero(ok & _close(sig[s], n[s], percent))
+                x, y, share = _close(*np.nonzero(ok), sig[s], bits[s], n[s], percent)
                 if len(x):
-                    found.append(np.stack([node[s][x], node[s][y]]))
+                    some, left = slice(None), False
+                    if not every and len(x) > len(ok):
+                        some, left = forest(x, y, np.argsort(share, kind="stable"), label[s]), True
+                    found.append((node[s][x][some], node[s][y][some], np.full(len(x), path[k] if left else 0)[some]))
+                    more.append(np.full(len(found[-1][0]), left))
             if found:
-                f = np.unique(np.concatenate(found, 1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(f[0]), pa.array(f[1])], ["a", "b"])
+                a, z, at = (np.concatenate(c) for c in zip(*found))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a), pa.array(z), pa.array(at, mask=~np.concatenate(more))], ["a", "b", "path"])
 
-    return staged(spread.mapInArrow(run, "a bigint, b bigint").distinct(), name)
+    return staged(spread.mapInArrow(run, "a bigint, b bigint, path bigint"), name)
 
 
 def _stars(reps: DataFrame, percent: int) -> DataFrame:
@@ -252,10 +299,11 @@ def _stars(reps: DataFrame, percent: int) -> DataFrame:
 
 
 def _trees(base: DataFrame, percent: int, trees: int, batch: int,
-           before: DataFrame | None = None) -> tuple[list[DataFrame], DataFrame | None]:
-    """Candidate pairs of one batch of trees, and the classes (node, bound) that need another.
+           before: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Nodes of one batch of trees to compare, and the classes (node, bound) that need another batch.
 
-    ``base``: node, label, n, sig, sketch.  ``bound`` is the logarithm of the
+    The first has path, how, c, odd, node, as ``_compare`` takes them.
+    ``base``: node, label, sketch.  ``bound`` is the logarithm of the
     miss of all batches so far, at the deepest node of the class: pairs never
     branch oftener than either class.
     """
@@ -272,7 +320,7 @@ def _trees(base: DataFrame, percent: int, trees: int, batch: int,
     first = F.sequence(F.lit(batch * trees + 1).cast("bigint"), F.lit((batch + 1) * trees).cast("bigint"))
     live = branch(base.select(F.explode(first).alias("path"), "node", "sketch"))
     misses = [miss(percent, trees, d) for d in range(1, DEPTH + 1)]
-    pairs, deep, tag = [], None, f"{batch}-" if batch else ""
+    met, deep, tag = None, None, f"{batch}-" if batch else ""
     if misses[0] > 1 - RECALL:  # so few trees that even a leaf at the first level is not enough
         deep = base.select("node", F.lit(0).alias("level"))
     for level in range(1, DEPTH + 1):
@@ -288,8 +336,9 @@ def _trees(base: DataFrame, percent: int, trees: int, batch: int,
                        f"nodes-{tag}{level}")
         kinds = {r["how"] for r in nodes.select("how").distinct().collect()}
         if kinds - {"more"}:
-            here = rows.join(nodes.filter("how != 'more'"), "path").withColumn("odd", F.col("label") != F.col("main"))
-            pairs.append(_compare(here.join(base.select("node", "n", "sig"), "node"), percent, f"leaf-pairs-{tag}{level}"))
+            here = rows.join(nodes.filter("how != 'more'"), "path").select(
+                "path", "how", "c", (F.col("label") != F.col("main")).alias("odd"), "node")
+            met = here if met is None else met.unionByName(here)
         if "more" not in kinds:
             break
         more = rows.join(nodes.filter("how = 'more'").select("path"), "path", "left_semi")
@@ -298,12 +347,28 @@ def _trees(base: DataFrame, percent: int, trees: int, batch: int,
             deep = at if deep is None else deep.unionByName(at)
         live = branch(more.select("path", "node").join(base.select("node", "sketch"), "node"))
     if deep is None:
-        return pairs, None
+        return met, None
     logs = F.array(*[F.lit(math.log(m)) for m in misses])
     left = deep.groupBy("node").agg(F.max("level").alias("level")).withColumn("bound", F.get(logs, F.col("level")))
     if before is not None:
         left = left.join(before.select("node", F.col("bound").alias("b")), "node").withColumn("bound", F.col("bound") + F.col("b"))
-    return pairs, staged(left.filter(F.col("bound") > math.log(1 - RECALL)).select("node", "bound"), f"deep-{batch}")
+    return met, staged(left.filter(F.col("bound") > math.log(1 - RECALL)).select("node", "bound"), f"deep-{batch}")
+
+
+def _rest(batches: list[tuple[DataFrame, DataFrame, DataFrame]], refuted: DataFrame, asked: DataFrame, links: DataFrame,
+          reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links across groups among the pairs that forests left out, in nodes where a refuted pair's ends are still apart."""
+    comp = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "forest-components")
+    label = lambda c: comp.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    ends = refuted.join(label("a"), "a", "left").join(label("b"), "b", "left")
+    again = staged(ends.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("path").distinct(), "forest-nodes")
+    more = None
+    for batch, (met, traits, _) in enumerate(batches):
+        rows = met.join(again, "path", "left_semi").join(traits.drop("label"), "node").join(comp, "node", "left")
+        p = _compare(rows.withColumn("label", F.coalesce("root", "node")).drop("root"), percent, f"other-pairs-{batch}", every=True)
+        more = p if more is None else more.unionByName(p)
+    new = staged(more.select("a", "b").distinct().join(asked, ["a", "b"], "left_anti"), "other-pairs")
+    return _confirmed(new, reps, docs, size, percent, "other-links")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80, trees: int = TREES) -> DataFrame:
@@ -322,7 +387,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80,
     some = sets.filter("n > 0")
     # classes of equal sets, numbered in the order of their smallest doc_id
     no_id = F.col("doc_id").isNull().alias("no_id")
-    classes = some.groupBy("d1", "d2").agg(F.min(F.struct(no_id, "doc_id", "n", "sketch")).alias("x")).select("d1", "d2", "x.*")
+    classes = some.groupBy("d1", "d2").agg(F.min(F.struct(no_id, "doc_id", "n", "sketch", "bits")).alias("x")).select("d1", "d2", "x.*")
     reps = staged(
         classes.orderBy("no_id", "doc_id", "d1", "d2").drop("no_id").select("*", _sig().alias("sig"), F.monotonically_increasing_id().alias("node")),
         "shingle-classes")
@@ -331,25 +396,30 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80,
     comp = components(early.select(F.col("a").alias("src"), F.col("b").alias("dst")), "star-components")
     base = staged(
         reps.join(comp, "node", "left").select("node", F.coalesce("root", "node").alias("label"), "n", "sig",
-                                               "sketch"), "class-labels")
-
-    pairs, batch = [], 0
-    found, left = _trees(base, percent, trees, batch)
-    pairs += found
-    while left is not None and not left.isEmpty():
+                                               "bits", "sketch"), "class-labels")
+
+    batch, left, batches = 0, None, []  # of each batch the nodes to compare, the traits of their members, the pairs
+    traits = base
+    while batch == 0 or left is not None and not left.isEmpty():
+        if batch:
+            fresh = _read_again(left, reps, docs, shingle_words, f"batch-{batch}", batch)
+            traits = staged(base.select("node", "label", "n", "bits").join(
+                fresh.select("node", "sketch", _sig().alias("sig")), "node"), f"batch-{batch}-labels")
+        met, left = _trees(traits, percent, trees, batch, left)
+        if met is not None:
+            met, traits = staged(met, f"met-{batch}"), traits.drop("sketch")
+            batches.append((met, traits, _compare(met.join(traits, "node"), percent, f"leaf-pairs-{batch}")))
         batch += 1
-        fresh = _read_again(left, reps, docs, shingle_words, f"batch-{batch}", batch)
-        again = staged(base.select("node", "label", "n").join(fresh.select("node", "sketch", _sig().alias("sig")), "node"),
-                       f"batch-{batch}-labels")
-        found, left = _trees(again, percent, trees, batch, left)
-        pairs += found
-    links = early
-    if pairs:
-        every = pairs[0]
-        for p in pairs[1:]:
-            every = every.unionByName(p)
-        links = links.unionByName(
-            _confirmed(staged(every.distinct(), "tree-pairs"), reps, docs, shingle_words, percent, "tree-links"))
+    links, pairs = early, None
+    for _, _, p in batches:
+        pairs = p if pairs is None else pairs.unionByName(p)
+    if pairs is not None:
+        asked = staged(pairs.select("a", "b").distinct(), "tree-pairs")
+        good = _confirmed(asked, reps, docs, shingle_words, percent, "tree-links")
+        links = links.unionByName(good)
+        refuted = staged(pairs.filter("path is not null").join(good, ["a", "b"], "left_anti"), "refuted-pairs")
+        if not refuted.isEmpty():
+            links = links.unionByName(_rest(batches, refuted, asked, links, reps, docs, shingle_words, percent))
     final = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "shingle-components")
     head = reps.select(F.col("node").alias("root"), F.col("doc_id").alias("component_id"))
     known = reps.select("node", "d1", "d2").join(final, "node", "left").withColumn("root", F.coalesce("root", "node")) \

@@ -38,9 +38,11 @@ COORDS = 128  # minwise tokens of a document, drawn anew for each batch of trees
 TREES = 12  # trees of a batch
 RECALL = 0.999  # of pairs at the threshold, whatever the depth of their nodes
 LEAF = 64  # classes of a node that are compared exhaustively
+FEW = 512  # classes outside the main component of a node, if that is larger, that are compared with all of it
 DEPTH = 24  # levels before the remaining large nodes are compared in blocks
 STARS = 6  # star rounds, each keyed by STAR_COORDS minwise tokens
 STAR_COORDS = 6
+PAIRS = 1 << 16  # pairs of a block that are compared at once
 BITS = 1024  # bits of a set's parity bitmap
 
 
@@ -259,7 +261,9 @@ def _compare(rows: DataFrame, percent: int, name: str, every: bool = False) -> D
                     ok &= part[s][:, None] != part[s][None, :]
                 if not ok.any():
                     continue
-                x, y, share = _close(*np.nonzero(ok), sig[s], bits[s], n[s], percent)
+                x, y = np.nonzero(ok)
+                x, y, share = (np.concatenate(c) for c in zip(*(
+                    _close(x[at:at + PAIRS], y[at:at + PAIRS], sig[s], bits[s], n[s], percent) for at in range(0, len(x), PAIRS))))
                 if len(x):
                     some, left = slice(None), False
                     if not every and len(x) > len(ok):
@@ -330,9 +334,11 @@ def _trees(base: DataFrame, percent: int, trees: int, batch: int,
             F.sum("k").alias("total"), F.max("k").alias("most"), F.max_by("label", "k").alias("main"))
         nodes = nodes.filter("total > most")  # others hold one component only
         rest = F.col("total") - F.col("most")
-        how = F.when(F.col("total") <= LEAF, "leaf").when(rest <= LEAF, "few").otherwise("more" if level < DEPTH else "grid")
-        parts = F.when(rest <= LEAF, F.col("most")).otherwise(F.col("total"))
-        nodes = staged(nodes.select("path", "main", how.alias("how"), F.ceil(parts / LEAF).cast("int").alias("c")),
+        few = (rest <= LEAF) | ((rest <= FEW) & (rest < F.col("most")))
+        how = F.when(F.col("total") <= LEAF, "leaf").when(few, "few").otherwise("more" if level < DEPTH else "grid")
+        # as many of the main component in a block as there are others: each member is sent about twice
+        parts = F.when(few, F.col("most") / F.greatest(F.lit(LEAF), rest)).otherwise(F.col("total") / LEAF)
+        nodes = staged(nodes.select("path", "main", how.alias("how"), F.ceil(parts).cast("int").alias("c")),
                        f"nodes-{tag}{level}")
         kinds = {r["how"] for r in nodes.select("how").distinct().collect()}
         if kinds - {"more"}:
